@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators.joins import join_small
 from starloom.schemas import STAT_COLUMNS
-from starloom.session import materialize
+from starloom.session import stage
 
 
 def award_stats(awards: DataFrame, key: str = "artist_norm", flag: str = "winner",
@@ -39,7 +39,7 @@ def enrich(spine: DataFrame, stats: DataFrame, key: str = "artist_norm",
     shuffles and AQE splits a skewed spine partition.
     """
     if stage_stats:
-        stats = materialize(stats, "award-stats")
+        stats = stage(stats, "award-stats")
     joined = join_small(spine, stats, key, "left")
     return joined.withColumns(
         {c: F.coalesce(F.col(c), F.lit(fill)).cast("int") for c in stat_cols})

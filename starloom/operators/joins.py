@@ -1,10 +1,11 @@
 """Join helpers: broadcast only behind a measured size bound.
 
-A side is broadcast only after an exact check proves it small: a bounded
-row count (``limit(n + 1).count()``, which stops early) followed by an
-exact byte count over those few rows. Anything larger is left to a shuffle
-join; AQE may still switch that to a broadcast at runtime from the real
-shuffle sizes and splits skewed partitions of the big side.
+A side is broadcast only when its exact row count and payload are known to
+be under the limits: either measured while it was staged (``Staged``), or
+probed with one bounded job (``limit(n + 1)`` stops early on big inputs).
+Anything larger is left to a shuffle join; AQE may still switch that to a
+broadcast at runtime from the real shuffle sizes, and it splits skewed
+partitions of the big side.
 """
 
 from __future__ import annotations
@@ -13,49 +14,42 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+
+from starloom.session import Staged, payload_expr
 
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+def bounded_size(df: DataFrame, cap: int) -> tuple[int, int] | None:
+    """(rows, bytes) if ``df`` has at most ``cap`` rows, else ``None``."""
+    row = df.limit(cap + 1).agg(F.count(F.lit(1)).alias("n"),
+                                F.sum(payload_expr(df)).alias("b")).first()
+    n = int(row["n"])
+    return (n, int(row["b"] or 0)) if n <= cap else None
+
+
 def bounded_count(df: DataFrame, cap: int) -> int | None:
     """Exact row count if it is at most ``cap``, else ``None``."""
     n = df.limit(cap + 1).count()
     return n if n <= cap else None
 
 
-def payload_bytes(df: DataFrame) -> int:
-    """Exact data size: string/binary lengths plus 8 bytes per other value."""
-    parts = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (StringType, BinaryType)):
-            parts.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)).cast("long"))
-        else:
-            parts.append(F.lit(8).cast("long"))
-    if not parts:
-        return 0
-    total = parts[0]
-    for p in parts[1:]:
-        total = total + p
-    row = df.agg(F.sum(total).alias("b")).first()
-    return int(row["b"] or 0)
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+def fits_broadcast(small: DataFrame | Staged, max_rows: int = MAX_BROADCAST_ROWS,
                    max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """True only when ``df`` is proven to be at most ``max_rows`` rows and
-    ``max_bytes`` of payload. Callers pass materialized inputs, so the probe
-    reads stored data instead of recomputing a plan."""
-    if bounded_count(df, max_rows) is None:
-        return False
-    return payload_bytes(df) <= max_bytes
+    """True only when ``small`` is proven to be at most ``max_rows`` rows and
+    ``max_bytes`` of payload."""
+    if isinstance(small, Staged):
+        return small.rows <= max_rows and small.bytes <= max_bytes
+    size = bounded_size(small, max_rows)
+    return size is not None and size[1] <= max_bytes
 
 
-def join_small(big: DataFrame, small: DataFrame, on: str | Sequence[str],
+def join_small(big: DataFrame, small: DataFrame | Staged, on: str | Sequence[str],
                how: str = "inner", *, max_rows: int = MAX_BROADCAST_ROWS,
                max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Equi-join that broadcasts ``small`` only if its size is proven."""
+    side = small.df if isinstance(small, Staged) else small
     if fits_broadcast(small, max_rows, max_bytes):
-        small = F.broadcast(small)
-    return big.join(small, on, how)
+        side = F.broadcast(side)
+    return big.join(side, on, how)

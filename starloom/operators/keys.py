@@ -30,13 +30,17 @@ def _order(cols: Sequence[str | Column]) -> list[Column]:
 
 
 def dense_keys(df: DataFrame, key_name: str, order_by: Sequence[str | Column], *,
-               small_rows: int = SMALL_DIM_ROWS, num_partitions: int | None = None,
-               first: bool = True) -> DataFrame:
+               rows: int | None = None, small_rows: int = SMALL_DIM_ROWS,
+               num_partitions: int | None = None, first: bool = True) -> DataFrame:
     """Add ``key_name`` = 1..n following ``order_by`` (which must be a total
     order over the rows; add the natural key as a tiebreak). The key column
-    is placed first when ``first``."""
+    is placed first when ``first``. ``rows`` is a known upper bound of the
+    row count (e.g. measured when the input was staged); without it a
+    bounded count is run."""
     order = _order(order_by)
-    if bounded_count(df, small_rows) is not None:
+    small = rows <= small_rows if rows is not None else (
+        bounded_count(df, small_rows) is not None)
+    if small:
         keyed = df.withColumn(key_name, F.row_number().over(Window.orderBy(*order)).cast("int"))
     else:
         keyed = _range_keys(df, key_name, order, num_partitions)

@@ -2,7 +2,10 @@
 
 Plan shape (one fact-sized pass per step, everything else dimension-sized):
 
-1. The merged spine is staged once (parquet in the checkpoint folder).
+1. The merged spine is staged once (parquet in the checkpoint folder);
+   every stage records its exact row count and payload while it is
+   written, and those sizes decide broadcast vs shuffle and single-task
+   vs range-partitioned key numbering without extra probe jobs.
 2. One aggregate over the spine at album grain (album, artist) yields the
    album's first appearance, the first display name and the per-artist
    stats. The artist dimension is then an aggregate of that, not of the
@@ -18,7 +21,7 @@ Plan shape (one fact-sized pass per step, everything else dimension-sized):
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 from starloom.operators.joins import join_small
 from starloom.operators.keys import dense_keys
 from starloom.schemas import ROW_ORD, STAT_COLUMNS, TABLE_ORDER, WAREHOUSE
-from starloom.session import materialize
+from starloom.session import Staged, stage
 
 FACT_COLUMNS = tuple(f.name for f in WAREHOUSE["fact_track"].fields)
 
@@ -38,12 +41,27 @@ class Star:
     dim_genre: DataFrame
     dim_year: DataFrame
     fact_track: DataFrame
+    # Exact (rows, payload bytes) per table where known, for broadcast checks.
+    sizes: dict[str, tuple[int, int]] = field(default_factory=dict, compare=False)
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in TABLE_ORDER}
 
-    def map(self, fn) -> Star:
-        return Star(**{name: fn(name, df) for name, df in self.tables().items()})
+    def side(self, name: str, fn=None) -> DataFrame | Staged:
+        """A table (optionally narrowed by ``fn``: a projection or filter, which
+        can only shrink it) plus its measured size bound when known, for
+        ``join_small``."""
+        df = getattr(self, name)
+        if fn is not None:
+            df = fn(df)
+        if name in self.sizes:
+            rows, nbytes = self.sizes[name]
+            return Staged(df, rows, nbytes)
+        return df
+
+    def map(self, fn, keep_sizes: bool = True) -> Star:
+        return Star(**{name: fn(name, df) for name, df in self.tables().items()},
+                    sizes=dict(self.sizes) if keep_sizes else {})
 
 
 def album_first_rows(merged: DataFrame) -> DataFrame:
@@ -54,7 +72,11 @@ def album_first_rows(merged: DataFrame) -> DataFrame:
         *[F.min(c).alias(c) for c in STAT_COLUMNS])
 
 
-def build_star(merged: DataFrame, stage: bool = True) -> Star:
+def _keyed_size(src: Staged) -> tuple[int, int]:
+    return src.rows, src.bytes + 4 * src.rows
+
+
+def build_star(merged: DataFrame, stage_spine: bool = True) -> Star:
     """Split the merged spine into ``dim_artist``, ``dim_album``,
     ``dim_genre``, ``dim_year`` and ``fact_track``.
 
@@ -62,45 +84,48 @@ def build_star(merged: DataFrame, stage: bool = True) -> Star:
     order, albums in order of first appearance (ties broken by the natural
     key). Year 0 (never nominated) is an ordinary member.
     """
-    m = materialize(merged, "merged") if stage else merged
+    m = stage(merged, "merged").df if stage_spine else merged
 
-    albums = materialize(album_first_rows(m), "album-first")
+    albums = stage(album_first_rows(m), "album-first")
+    dim_album = dense_keys(albums.df.select("album_name", "artist_norm", "_first"), "album_key",
+                           ["_first", "album_name", "artist_norm"],
+                           rows=albums.rows).drop("_first")
 
-    dim_album = materialize(
-        dense_keys(albums.select("album_name", "artist_norm", "_first"), "album_key",
-                   ["_first", "album_name", "artist_norm"]).drop("_first"),
-        "dim-album")
-
-    artists = materialize(
-        albums.groupBy("artist_norm").agg(
+    artists = stage(
+        albums.df.groupBy("artist_norm").agg(
             F.min_by("_first_name", "_first").alias("artist_name"),
             *[F.min(c).alias(c) for c in STAT_COLUMNS]),
         "artist-rows")
-    dim_artist = materialize(dense_keys(artists, "artist_key", ["artist_norm"]), "dim-artist")
-
-    genres = materialize(m.select(F.col("track_genre").alias("genre_name")).distinct(),
-                         "genre-rows")
-    dim_genre = materialize(dense_keys(genres, "genre_key", ["genre_name"]), "dim-genre")
-
-    years = dim_artist.select(F.col("first_grammy_year").alias("year_value")).distinct()
-    dim_year = materialize(dense_keys(years, "year_key", ["year_value"]), "dim-year")
-
-    key_map = join_small(
-        join_small(dim_album,
-                   dim_artist.select("artist_key", "artist_norm", "first_grammy_year"),
-                   "artist_norm"),
-        dim_year.withColumnRenamed("year_value", "first_grammy_year"),
-        "first_grammy_year",
-    ).select("album_name", "artist_norm", "album_key", "artist_key", "year_key")
-    key_map = materialize(key_map, "key-map")
-
-    fact = join_small(m, dim_genre.withColumnRenamed("genre_name", "track_genre"),
-                      "track_genre")
+    dim_artist = dense_keys(artists.df, "artist_key", ["artist_norm"], rows=artists.rows)
+
+    genres = stage(m.select(F.col("track_genre").alias("genre_name")).distinct(), "genre-rows")
+    dim_genre = dense_keys(genres.df, "genre_key", ["genre_name"], rows=genres.rows)
+
+    # At most one year per artist: the artist count bounds this dimension.
+    years = artists.df.select(F.col("first_grammy_year").alias("year_value")).distinct()
+    dim_year = dense_keys(years, "year_key", ["year_value"], rows=artists.rows)
+
+    # Upper bounds (rows, bytes) of each dimension, for broadcast decisions.
+    sizes = {"dim_album": _keyed_size(albums), "dim_artist": _keyed_size(artists),
+             "dim_genre": _keyed_size(genres), "dim_year": (artists.rows, 12 * artists.rows)}
+
+    def sized(name: str, df: DataFrame) -> Staged:
+        return Staged(df, *sizes[name])
+
+    artist_part = dim_artist.select("artist_key", "artist_norm", "first_grammy_year")
+    key_map = join_small(dim_album, Staged(artist_part, *sizes["dim_artist"]), "artist_norm")
+    key_map = join_small(key_map, sized("dim_year", dim_year.withColumnRenamed(
+        "year_value", "first_grammy_year")), "first_grammy_year")
+    key_map = stage(key_map.select("album_name", "artist_norm", "album_key", "artist_key",
+                                   "year_key"), "key-map")
+
+    fact = join_small(m, sized("dim_genre", dim_genre.withColumnRenamed(
+        "genre_name", "track_genre")), "track_genre")
     fact = join_small(fact, key_map, ["album_name", "artist_norm"])
     fact = fact.withColumnRenamed("key", "music_key").select(*FACT_COLUMNS)
 
     return Star(dim_artist=dim_artist, dim_album=dim_album, dim_genre=dim_genre,
-                dim_year=dim_year, fact_track=fact)
+                dim_year=dim_year, fact_track=fact, sizes=sizes)
 
 
 def conform(star: Star) -> Star:

@@ -34,21 +34,25 @@ def _status(wins: Column) -> Column:
     return F.when(wins > 0, F.lit(WINNER)).otherwise(F.lit(NON_WINNER))
 
 
+def _wins(dim_artist: DataFrame) -> DataFrame:
+    return dim_artist.select("artist_key", "grammy_wins")
+
+
 def _per_artist(star: Star, cols: list[str]) -> DataFrame:
     """Fact pre-aggregated to artist grain, then joined to ``dim_artist``."""
     agg = star.fact_track.groupBy("artist_key").agg(*_sums(cols))
-    return join_small(agg, star.dim_artist, "artist_key")
+    return join_small(agg, star.side("dim_artist"), "artist_key")
 
 
 def _per_genre(star: Star, cols: list[str]) -> DataFrame:
     agg = star.fact_track.groupBy("genre_key").agg(*_sums(cols))
-    return join_small(agg, star.dim_genre, "genre_key")
+    return join_small(agg, star.side("dim_genre"), "genre_key")
 
 
 def overview(star: Star) -> DataFrame:
     """KPI scorecards: tracks, artists, winning artists, genres, avg popularity."""
     pairs = star.fact_track.groupBy("artist_key", "genre_key").agg(*_sums(["popularity"]))
-    j = join_small(pairs, star.dim_artist.select("artist_key", "grammy_wins"), "artist_key")
+    j = join_small(pairs, star.side("dim_artist", _wins), "artist_key")
     return j.agg(
         F.sum("_n").cast("long").alias("total_tracks"),
         F.count_distinct("artist_key").cast("long").alias("unique_artists"),
@@ -97,7 +101,7 @@ def popularity_by_nominations(star: Star) -> DataFrame:
     """Nominated artists with popularity and features, by nominations desc."""
     agg = star.fact_track.groupBy("artist_key").agg(
         *_sums(["popularity", "danceability", "energy"]))
-    nominated = star.dim_artist.filter(F.col("grammy_nominations") > 0)
+    nominated = star.side("dim_artist", lambda d: d.filter(F.col("grammy_nominations") > 0))
     j = join_small(agg, nominated, "artist_key")
     out = j.groupBy("artist_key", "artist_name", "grammy_nominations", "grammy_wins").agg(
         _avg("popularity", 1), _avg("danceability", 3), _avg("energy", 3),
@@ -126,11 +130,11 @@ def artist_scatter(star: Star, min_tracks: int = 5) -> DataFrame:
 def genre_share(star: Star, min_artists: int = 20, k: int = 10) -> DataFrame:
     """Genres by share of winning artists (>= min_artists), top k."""
     pairs = star.fact_track.select("genre_key", "artist_key").distinct()
-    j = join_small(pairs, star.dim_artist.select("artist_key", "grammy_wins"), "artist_key")
+    j = join_small(pairs, star.side("dim_artist", _wins), "artist_key")
     per_genre = j.groupBy("genre_key").agg(
         F.count(F.lit(1)).cast("long").alias("total_artists"),
         F.count_if(F.col("grammy_wins") > 0).cast("long").alias("grammy_artists"))
-    out = join_small(per_genre, star.dim_genre, "genre_key").select(
+    out = join_small(per_genre, star.side("dim_genre"), "genre_key").select(
         "genre_key", "genre_name", "total_artists", "grammy_artists",
         pct(F.col("grammy_artists"), F.col("total_artists"), 1).alias("grammy_pct"))
     return (out.filter(F.col("total_artists") >= min_artists)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from starloom.operators.clean import clean_awards, clean_tracks
 from starloom.operators.enrich import award_stats, enrich
 from starloom.operators.star import Star, build_star, conform
+from starloom.session import stage
 from starloom.sources.fixtures import raw_awards, raw_tracks
 
 _STAR_CACHE: dict[tuple[str, str], Star] = {}
@@ -30,10 +31,18 @@ def fixture_star(spark: SparkSession, sf_dir: str) -> Star:
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STAR_CACHE:
-        _STAR_CACHE[key] = conform(build_star(fixture_merged(spark, sf_dir)))
+        _STAR_CACHE[key] = staged_star(conform(build_star(fixture_merged(spark, sf_dir))))
     return _STAR_CACHE[key]
 
 
+def staged_star(star: Star) -> Star:
+    """Write every table once to the checkpoint folder (exact sizes recorded),
+    so repeated readers scan parquet instead of re-running the build."""
+    staged = {name: stage(df, name) for name, df in star.tables().items()}
+    return Star(**{n: st.df for n, st in staged.items()},
+                sizes={n: (st.rows, st.bytes) for n, st in staged.items()})
+
+
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Attach a row-count metric collected by whatever action runs next
     (no extra job)."""
