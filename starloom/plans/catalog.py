@@ -1,16 +1,265 @@
-"""Registry of runnable queries: name -> (spark, sf_dir) -> DataFrame."""
+"""Registry of runnable queries: name -> (spark, sf_dir) -> DataFrame.
+
+Every query reads the driver tables (or tables Spark derives from them) in
+full; nothing here runs on fixed inline data. Names follow SURVEY section 2.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from starloom.functions.text import blank_to_null, na_tokens_to_null, normalize_key
+from starloom.functions.time import epoch_micros, parse_ts_utc
+from starloom.operators import profile as P
+from starloom.operators import validate as V
+from starloom.operators.clean import clean_awards, clean_tracks, dedup_rows
+from starloom.operators.enrich import award_stats
 from starloom.plans import marts
-from starloom.plans.pipeline import fixture_star
+from starloom.plans.pipeline import fixture_merged, fixture_raw_star, fixture_star
+from starloom.sources.fixtures import raw_awards, raw_tracks, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+DESCRIBE_COLS = ("popularity", "duration_ms", "danceability", "energy", "key", "loudness",
+                 "mode", "speechiness", "acousticness", "instrumentalness", "liveness",
+                 "valence", "tempo", "time_signature")
+PLOT_COLS = ("popularity", "danceability", "energy", "valence", "acousticness", "tempo")
+CORR_COLS = ("popularity", "danceability", "energy", "loudness", "speechiness",
+             "acousticness", "instrumentalness", "liveness", "valence", "tempo")
+DOC_COLS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _awards_out(df: DataFrame) -> DataFrame:
+    """Cleaned awards with instants rendered as epoch microseconds."""
+    return df.select(
+        "_row_ord", "year", "title",
+        epoch_micros("published_at").alias("published_at_us"),
+        epoch_micros("updated_at").alias("updated_at_us"),
+        "category", "nominee", "artist", "winner", "artist_norm")
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _documents(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select(*DOC_COLS)
+
+
+# --- sources, scalar rules, cleaning -------------------------------------
+
+def scan_tracks(spark, d):
+    return raw_tracks(spark, d)
+
+
+def na_tokens_to_null_q(spark, d):
+    return na_tokens_to_null(raw_awards(spark, d))
+
+
+def blank_to_null_q(spark, d):
+    return blank_to_null(raw_awards(spark, d))
+
+
+def normalize_key_q(spark, d):
+    return raw_tracks(spark, d).select("_row_ord", "artists",
+                                       normalize_key("artists").alias("artist_norm"))
+
+
+def parse_mixed_ts(spark, d):
+    a = raw_awards(spark, d)
+    return a.select("_row_ord", "published_at", "updated_at",
+                    epoch_micros(parse_ts_utc("published_at")).alias("published_at_us"),
+                    epoch_micros(parse_ts_utc("updated_at")).alias("updated_at_us"))
+
+
+def clean_tracks_q(spark, d):
+    return clean_tracks(raw_tracks(spark, d))
+
+
+def clean_awards_q(spark, d):
+    return _awards_out(clean_awards(raw_awards(spark, d)))
+
+
+def award_stats_q(spark, d):
+    return award_stats(clean_awards(raw_awards(spark, d)))
+
+
+def merge_left_fill(spark, d):
+    return fixture_merged(spark, d)
+
+
+def dedup_documents(spark, d):
+    return dedup_rows(_documents(spark, d), order_col="doc_id")
+
+
+def drop_index_reveals_dups(spark, d):
+    """Distinct rows with and without the index column, in two aggregate
+    levels (row content, then text) so no distinct is expanded."""
+    docs = _documents(spark, d)
+    rows = docs.groupBy("text", "lang", "source", "n_chars").agg(
+        F.count(F.lit(1)).alias("_c"), F.count_distinct("doc_id").alias("_d"))
+    texts = rows.groupBy("text").agg(F.sum("_c").alias("_c"), F.sum("_d").alias("_d"),
+                                     F.count(F.lit(1)).alias("_g"))
+    return texts.agg(F.sum("_c").cast("long").alias("n_rows"),
+                     F.sum("_d").cast("long").alias("distinct_with_index"),
+                     F.sum("_g").cast("long").alias("distinct_without_index"),
+                     F.count(F.lit(1)).cast("long").alias("distinct_text"))
+
+
+# --- star tables ------------------------------------------------------------
+
+def _dim(name: str) -> Query:
+    def run(spark, d):
+        return getattr(fixture_star(spark, d), name)
+    run.__name__ = name
+    return run
+
+
+def fact_track(spark, d):
+    return fixture_raw_star(spark, d).fact_track
+
+
+def fact_conform(spark, d):
+    return fixture_star(spark, d).fact_track
+
+
+# --- contract checks --------------------------------------------------------
+
+def check_fact_grain(spark, d):
+    return V.grain_violations(fixture_star(spark, d).fact_track, ["track_id", "genre_key"])
+
+
+def check_unique_genre(spark, d):
+    return V.unique_violations(fixture_star(spark, d).dim_genre, "genre_name",
+                               "UNICODE_CI_AI", key="genre_key")
+
+
+def check_fk_orphans(spark, d):
+    return V.fk_orphans(fixture_star(spark, d))
+
+
+def check_not_null(spark, d):
+    return V.null_counts(fixture_star(spark, d))
+
+
+def check_domain(spark, d):
+    return V.domain_violations(fixture_star(spark, d))
+
+
+def check_violations(spark, d):
+    return V.violations(fixture_star(spark, d))
+
+
+# --- warehouse sanity / run metrics -------------------------------------------
+
+def star_counts(spark, d):
+    return marts.star_counts(fixture_star(spark, d))
+
+
+def adhoc_top_by_name(spark, d):
+    return marts.top_by_name(fixture_star(spark, d))
+
+
+def pipeline_counts(spark, d):
+    star = fixture_star(spark, d)
+    stages = [("raw_tracks", raw_tracks(spark, d)), ("raw_awards", raw_awards(spark, d)),
+              ("clean_tracks", clean_tracks(raw_tracks(spark, d))),
+              ("clean_awards", clean_awards(raw_awards(spark, d))),
+              ("merged", fixture_merged(spark, d))] + list(star.tables().items())
+    return _union([df.agg(F.count(F.lit(1)).cast("long").alias("row_count"))
+                   .select(F.lit(name).alias("stage"), "row_count") for name, df in stages])
+
+
+# --- profiling ----------------------------------------------------------------
+
+def profile_shape(spark, d):
+    return P.shape(raw_tracks(spark, d), "raw_tracks").unionByName(
+        P.shape(raw_awards(spark, d), "raw_awards"))
+
+
+def profile_info(spark, d):
+    return P.info(raw_tracks(spark, d))
+
+
+def profile_describe(spark, d):
+    return P.describe(raw_tracks(spark, d), DESCRIBE_COLS)
+
+
+def profile_describe_all(spark, d):
+    return P.describe_all(raw_awards(spark, d))
+
+
+def profile_nulls(spark, d):
+    return P.nulls(raw_tracks(spark, d), "raw_tracks").unionByName(
+        P.nulls(raw_awards(spark, d), "raw_awards"))
+
+
+def profile_dup_count(spark, d):
+    docs = _documents(spark, d)
+    return (P.duplicate_count(docs).select(F.lit("with_index").alias("mode"), "duplicates")
+            .unionByName(P.duplicate_count(docs, ["doc_id"])
+                         .select(F.lit("without_index").alias("mode"), "duplicates")))
+
+
+def profile_dup_sample(spark, d):
+    return P.duplicate_members(_documents(spark, d), ["doc_id"], ["text", "doc_id"], 4)
+
+
+def profile_key_dups(spark, d):
+    return P.key_duplicate_rows(raw_tracks(spark, d), ["track_id"])
+
+
+def profile_distinct(spark, d):
+    t, a = raw_tracks(spark, d), raw_awards(spark, d)
+    parts = [t.select(F.lit("track_genre").alias("column_name"), F.col("track_genre").alias("value"))]
+    parts += [a.select(F.lit(c).alias("column_name"), F.col(c).alias("value"))
+              for c in ("category", "title", "winner")]
+    return _union([p.distinct() for p in parts])
+
+
+def profile_top_genres(spark, d):
+    return P.top_values(raw_tracks(spark, d), "track_genre", 15, "track_genre")
+
+
+def profile_top_entities(spark, d):
+    return P.first_entity_counts(raw_tracks(spark, d), "artists", 10)
+
+
+def profile_top_categories(spark, d):
+    return P.top_values(raw_awards(spark, d), "category", 15, "category")
+
+
+def profile_top_award_artists(spark, d):
+    return P.top_values(blank_to_null(raw_awards(spark, d)), "artist", 10, "artist")
+
+
+def profile_freq_by_year(spark, d):
+    a = raw_awards(spark, d)
+    return (a.filter(F.col("year").isNotNull()).groupBy("year")
+            .agg(F.count(F.lit(1)).cast("long").alias("n")).orderBy("year"))
+
+
+def profile_head_tail(spark, d):
+    return P.head_tail(raw_tracks(spark, d), "_row_ord", 5)
+
+
+def profile_histogram(spark, d):
+    return P.histogram(raw_tracks(spark, d), PLOT_COLS, 50)
+
+
+def profile_boxstats(spark, d):
+    return P.boxstats(raw_tracks(spark, d), PLOT_COLS)
+
+
+def profile_corr(spark, d):
+    return P.corr_matrix(raw_tracks(spark, d), CORR_COLS)
+
 
 def _mart(fn) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,7 +270,52 @@ def _mart(fn) -> Query:
 
 
 def registry() -> dict[str, Query]:
-    q: dict[str, Query] = {}
+    q: dict[str, Query] = {
+        "scan_tracks": scan_tracks,
+        "na_tokens_to_null": na_tokens_to_null_q,
+        "blank_to_null": blank_to_null_q,
+        "normalize_key": normalize_key_q,
+        "parse_mixed_ts": parse_mixed_ts,
+        "clean_tracks": clean_tracks_q,
+        "clean_awards": clean_awards_q,
+        "award_stats": award_stats_q,
+        "merge_left_fill": merge_left_fill,
+        "dedup_documents": dedup_documents,
+        "drop_index_reveals_dups": drop_index_reveals_dups,
+        "dim_artist": _dim("dim_artist"),
+        "dim_album": _dim("dim_album"),
+        "dim_genre": _dim("dim_genre"),
+        "dim_year": _dim("dim_year"),
+        "fact_track": fact_track,
+        "fact_conform": fact_conform,
+        "check_fact_grain": check_fact_grain,
+        "check_unique_genre": check_unique_genre,
+        "check_fk_orphans": check_fk_orphans,
+        "check_not_null": check_not_null,
+        "check_domain": check_domain,
+        "check_violations": check_violations,
+        "star_counts": star_counts,
+        "adhoc_top_by_name": adhoc_top_by_name,
+        "pipeline_counts": pipeline_counts,
+        "profile_shape": profile_shape,
+        "profile_info": profile_info,
+        "profile_describe": profile_describe,
+        "profile_describe_all": profile_describe_all,
+        "profile_nulls": profile_nulls,
+        "profile_dup_count": profile_dup_count,
+        "profile_dup_sample": profile_dup_sample,
+        "profile_key_dups": profile_key_dups,
+        "profile_distinct": profile_distinct,
+        "profile_top_genres": profile_top_genres,
+        "profile_top_entities": profile_top_entities,
+        "profile_top_categories": profile_top_categories,
+        "profile_top_award_artists": profile_top_award_artists,
+        "profile_freq_by_year": profile_freq_by_year,
+        "profile_head_tail": profile_head_tail,
+        "profile_histogram": profile_histogram,
+        "profile_boxstats": profile_boxstats,
+        "profile_corr": profile_corr,
+    }
     for name, fn in marts.MARTS.items():
         q[name] = _mart(fn)
     return q

@@ -11,7 +11,7 @@ from starloom.operators.star import Star, build_star, conform
 from starloom.session import stage
 from starloom.sources.fixtures import raw_awards, raw_tracks
 
-_STAR_CACHE: dict[tuple[str, str], Star] = {}
+_STAR_CACHE: dict[tuple[str, str, str], Star] = {}
 
 
 def merged_from(tracks: DataFrame, awards: DataFrame) -> DataFrame:
@@ -29,9 +29,17 @@ def fixture_star(spark: SparkSession, sf_dir: str) -> Star:
     Built once per session and folder: every table is staged in the shared
     checkpoint folder, so the marts read it like a published warehouse.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, "conformed")
     if key not in _STAR_CACHE:
-        _STAR_CACHE[key] = staged_star(conform(build_star(fixture_merged(spark, sf_dir))))
+        _STAR_CACHE[key] = staged_star(conform(fixture_raw_star(spark, sf_dir)))
+    return _STAR_CACHE[key]
+
+
+def fixture_raw_star(spark: SparkSession, sf_dir: str) -> Star:
+    """The star as built (source types, before the warehouse casts)."""
+    key = (spark.sparkContext.applicationId, sf_dir, "raw")
+    if key not in _STAR_CACHE:
+        _STAR_CACHE[key] = build_star(fixture_merged(spark, sf_dir))
     return _STAR_CACHE[key]
 
 
