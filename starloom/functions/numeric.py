@@ -11,7 +11,10 @@ def round_half_up(c: Column | str, digits: int) -> Column:
     exact average. Rounding the raw double differs between engines on exact
     ties, so the value is first fixed to 9 decimals."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.round(col.cast("decimal(18,9)"), digits).cast("double")
+    finite = ~(F.isnan(col) | (F.abs(col) == float("inf")))
+    # NaN / infinity pass through (a decimal cannot hold them).
+    return F.when(finite, F.round(col.cast("decimal(18,9)"), digits).cast("double")).otherwise(
+        col.cast("double"))
 
 
 def avg_rounded(c: Column | str, digits: int) -> Column:

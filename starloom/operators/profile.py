@@ -257,12 +257,50 @@ def boxstats(df: DataFrame, cols: Sequence[str], whis: float = 1.5, digits: int
                       "outliers")
 
 
-def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
-    """Pearson correlation for every ordered pair (null pairs skipped), one
-    aggregate pass for the upper triangle, mirrored."""
+def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6,
+                chunk: int = 10) -> DataFrame:
+    """Pearson correlation for every ordered pair (rows with a null in either
+    column skipped, as pandas does).
+
+    Null-free columns (the usual case, checked in the first pass) use the
+    two-pass centered form: column means, then one aggregate of centered
+    cross-products -- plain sums that stay inside generated code. With
+    nulls, Spark's pairwise ``corr`` runs in chunks of ``chunk`` pairs so
+    each aggregate stays small enough for code generation.
+    """
+    cols = list(cols)
     data = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    wide = data.agg(*[F.corr(a, b).alias(f"{a}\u0001{b}") for a, b in pairs])
+    # First pass: a handful of numbers (two per column), fetched to the driver.
+    first = data.agg(F.count(F.lit(1)).alias("_n"),
+                     *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
+                     *[F.count(c).alias(f"k{i}") for i, c in enumerate(cols)]).first()
+    if all(first[f"k{i}"] == first["_n"] for i in range(len(cols))):
+        centered = data.select(*[(F.col(c) - F.lit(first[f"m{i}"] or 0.0)).alias(c)
+                                 for i, c in enumerate(cols)])
+        sums = centered.agg(
+            F.count(F.lit(1)).alias("_n"),
+            *[F.sum(c).alias(f"s\u0001{c}") for c in cols],
+            *[F.sum(F.col(a) * F.col(b)).alias(f"p\u0001{a}\u0001{b}") for a, b in pairs])
+        n = F.col("_n").cast("double")
+
+        def cov(a: str, b: str) -> Column:
+            return (F.col(f"`p\u0001{a}\u0001{b}`")
+                    - F.col(f"`s\u0001{a}`") * F.col(f"`s\u0001{b}`") / n)
+
+        def corr(a: str, b: str) -> Column:
+            den = F.sqrt(cov(a, a) * cov(b, b))
+            return F.when((n < 2) | (den == 0), F.lit(float("nan"))).otherwise(cov(a, b) / den)
+        wide = sums.select(*[corr(a, b).alias(f"{a}\u0001{b}") for a, b in pairs])
+    else:
+        parts = [data.agg(*[F.corr(a, b).alias(f"{a}\u0001{b}") for a, b in pairs[k:k + chunk]])
+                 for k in range(0, len(pairs), chunk)]
+        rows = {}
+        for p in parts:  # each is one row of at most ``chunk`` numbers
+            rows.update(p.first().asDict())
+        wide = df.sparkSession.range(1).select(
+            *[F.lit(rows[f"{a}\u0001{b}"]).cast("double").alias(f"{a}\u0001{b}")
+              for a, b in pairs])
     structs = []
     for a, b in pairs:
         v = round_half_up(F.col(f"`{a}\u0001{b}`"), digits)
