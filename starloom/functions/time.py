@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# An explicit zone at the end of the text: Z, UTC/GMT, or +hh[:mm[:ss]].
-_ZONE_SUFFIX = r"(?i)(z|utc|gmt|[+-]\d{1,2}(:?\d{2}){0,2})$"
+# An explicit zone after the time of day: Z, UTC/GMT, +hh[:mm[:ss]] or a
+# region id. A date alone ("2020-01-15") has no zone, whatever its last "-dd".
+_ZONE_SUFFIX = (r"(?i)\d:\d{2}(:\d{2}(\.\d*)?)?\s*"
+                r"(z|utc|gmt|[+-]\d{1,2}(:?\d{2}){0,2}|[a-z]+/[a-z_]+)$")
 
 
 def parse_ts_utc(c: Column | str) -> Column:
