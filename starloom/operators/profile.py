@@ -102,44 +102,43 @@ def top_values(df: DataFrame, col: str | Column, n: int | None = None,
 
 
 def describe_all(df: DataFrame, digits: int = 6) -> DataFrame:
-    """``describe(include='all')``: count/unique/top/freq for every column,
-    numeric summaries where the column is numeric (null elsewhere)."""
+    """``describe(include='all')``: count for every column; unique/top/freq
+    for text and boolean columns; numeric summaries for numeric columns
+    (null elsewhere).
+
+    Text statistics come from one (column, value, count) table built by a
+    partial/final hash aggregate, so no distinct aggregate expands the
+    source once per column.
+    """
     names = df.columns
-    strings = {f.name for f in df.schema.fields
-               if isinstance(f.dataType, (StringType, BooleanType))}
-    base = _unpivot_row(df, names, {c: [F.count(F.col(f"`{c}`")).cast("long"),
-                                        F.count_distinct(F.col(f"`{c}`")).cast("long")]
-                                    for c in names}, ["count", "unique"])
-    text = [c for c in names if c in strings]
-    parts = [df.select(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("v"))
-             for c in text]
-    tops = None
-    if parts:
-        long = parts[0]
-        for p in parts[1:]:
-            long = long.unionByName(p)
-        freq = (long.filter(F.col("v").isNotNull()).groupBy("column_name", "v")
-                .agg(F.count(F.lit(1)).cast("long").alias("n")))
-        # Mode: highest count, smallest value among ties -- two aggregates and
-        # a one-row-per-column broadcast, so no column is sorted in one task.
-        peak = freq.groupBy("column_name").agg(F.max("n").alias("freq"))
+    strings = [f.name for f in df.schema.fields
+               if isinstance(f.dataType, (StringType, BooleanType))]
+    nums = [c for c in numeric_columns(df) if c not in strings]
+    out = _unpivot_row(df, names, {c: [F.count(F.col(f"`{c}`")).cast("long")] for c in names},
+                       ["count"])
+    if strings:
+        long = df.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("v"))
+            for c in strings])).alias("s")).select("s.*").filter(F.col("v").isNotNull())
+        freq = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).cast("long").alias("n"))
+        # Mode: highest count, smallest value among ties -- aggregates plus a
+        # one-row-per-column broadcast, so no column is sorted in one task.
+        peak = freq.groupBy("column_name").agg(F.max("n").alias("freq"),
+                                               F.count(F.lit(1)).cast("long").alias("unique"))
         tops = (freq.join(F.broadcast(peak), "column_name")
                 .filter(F.col("n") == F.col("freq"))
-                .groupBy("column_name", "freq").agg(F.min("v").alias("top")))
-    nums = [c for c in names if c not in strings and c in numeric_columns(df)]
-    out = base
-    if tops is not None:
+                .groupBy("column_name", "unique", "freq").agg(F.min("v").alias("top")))
         out = out.join(tops, "column_name", "left")
     else:
-        out = out.withColumn("top", F.lit(None).cast("string")).withColumn(
-            "freq", F.lit(None).cast("long"))
+        out = out.select("*", F.lit(None).cast("long").alias("unique"),
+                         F.lit(None).cast("string").alias("top"),
+                         F.lit(None).cast("long").alias("freq"))
     if nums:
         out = out.join(describe(df, nums, digits).drop("count"), "column_name", "left")
     else:
         for c in ("mean", "std", "min", "q25", "q50", "q75", "max"):
             out = out.withColumn(c, F.lit(None).cast("double"))
-    return out.withColumn("unique", F.when(F.col("column_name").isin(*nums), None)
-                          .otherwise(F.col("unique")))
+    return out
 
 
 def duplicate_count(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:

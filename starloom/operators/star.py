@@ -6,11 +6,11 @@ Plan shape (one fact-sized pass per step, everything else dimension-sized):
    every stage records its exact row count and payload while it is
    written, and those sizes decide broadcast vs shuffle and single-task
    vs range-partitioned key numbering without extra probe jobs.
-2. One aggregate over the spine at album grain (album, artist) yields the
-   album's first appearance, the first display name and the per-artist
-   stats. The artist dimension is then an aggregate of that, not of the
-   spine, because an artist's first row is the earliest of its albums'
-   first rows.
+2. One hash aggregate over the spine at album grain (album, artist) yields
+   the album's first appearance and the per-artist stats. The artist
+   dimension aggregates that (an artist's first row is the earliest of its
+   albums' first rows); its display name is fetched from the spine with a
+   semi join on (artist, row order), a key that does not skew.
 3. ``dim_year`` comes from ``dim_artist`` (the year is an artist attribute);
    ``dim_genre`` is a distinct over the spine (partial aggregation leaves a
    handful of rows per task).
@@ -65,13 +65,35 @@ class Star:
 
 
 def album_first_rows(merged: DataFrame) -> DataFrame:
-    """Album grain: first appearance, first display name, artist stats."""
+    """Album grain: first appearance and the (per-artist constant) stats.
+
+    Only fixed-width aggregation buffers, so this runs as a partial + final
+    hash aggregate over the spine (no sort of fact-sized data)."""
     return merged.groupBy("album_name", "artist_norm").agg(
         F.min(ROW_ORD).alias("_first"),
-        F.min_by("artists", ROW_ORD).alias("_first_name"),
         *[F.min(c).alias(c) for c in STAT_COLUMNS])
 
 
+def artist_rows(merged: DataFrame, albums: Staged) -> DataFrame:
+    """Artist grain: stats plus the display name of the artist's first row.
+
+    The first row is the earliest of the artist's album first rows; its text
+    is fetched with an equi-join on (artist_norm, _row_ord). That key is
+    (nearly) unique per row, so even an artist owning a third of the spine
+    spreads evenly over the join's partitions; the artist side is broadcast
+    when its measured size allows.
+    """
+    firsts = albums.df.groupBy("artist_norm").agg(
+        F.min("_first").alias(ROW_ORD), *[F.min(c).alias(c) for c in STAT_COLUMNS])
+    names = join_small(merged.select("artist_norm", ROW_ORD, "artists"),
+                       Staged(firsts.select("artist_norm", ROW_ORD), albums.rows, albums.bytes),
+                       ["artist_norm", ROW_ORD], "left_semi")
+    # Rows sharing an order value are copies of one source line: same text.
+    names = names.groupBy("artist_norm").agg(F.min("artists").alias("artist_name"))
+    return firsts.join(names, "artist_norm").select(
+        "artist_norm", "artist_name", *STAT_COLUMNS)
+
+
 def _keyed_size(src: Staged) -> tuple[int, int]:
     return src.rows, src.bytes + 4 * src.rows
 
@@ -91,11 +113,7 @@ def build_star(merged: DataFrame, stage_spine: bool = True) -> Star:
                            ["_first", "album_name", "artist_norm"],
                            rows=albums.rows).drop("_first")
 
-    artists = stage(
-        albums.df.groupBy("artist_norm").agg(
-            F.min_by("_first_name", "_first").alias("artist_name"),
-            *[F.min(c).alias(c) for c in STAT_COLUMNS]),
-        "artist-rows")
+    artists = stage(artist_rows(m, albums), "artist-rows")
     dim_artist = dense_keys(artists.df, "artist_key", ["artist_norm"], rows=artists.rows)
 
     genres = stage(m.select(F.col("track_genre").alias("genre_name")).distinct(), "genre-rows")
