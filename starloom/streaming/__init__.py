@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming surface: both sources are read in full
+(one CSV file, one full-table read) and the job is triggered by hand, so
+there is no watermark, window, state or late data to model. Incremental
+loading is not invented here; a periodic batch run of
+``starloom.plans.pipeline.run`` publishes a new warehouse version, and
+readers always see the newest committed one.
+"""
