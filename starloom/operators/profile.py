@@ -71,22 +71,40 @@ def nulls(df: DataFrame, name: str | None = None, only_missing: bool = False) ->
     return out.orderBy(F.desc("pct"), F.asc("column_name"))
 
 
+def moments_from_counts(counts: DataFrame) -> DataFrame:
+    """(column_name, count, mean, std, min, max) from a (column_name, value,
+    cnt) table: a first aggregate for count/mean/min/max, then the sample
+    standard deviation around that mean (two-pass, numerically stable)."""
+    first = counts.groupBy("column_name").agg(
+        F.sum("cnt").cast("long").alias("count"),
+        (F.sum(F.col("value") * F.col("cnt")) / F.sum("cnt")).alias("mean"),
+        F.min("value").alias("min"), F.max("value").alias("max"))
+    # One row per column: a bounded broadcast.
+    dev = counts.join(F.broadcast(first.select("column_name", "mean")), "column_name")
+    ss = dev.groupBy("column_name").agg(
+        F.sum(F.col("cnt") * (F.col("value") - F.col("mean")) ** 2).alias("_ss"))
+    std = F.when(F.col("count") > 1, F.sqrt(F.col("_ss") / (F.col("count") - 1)))
+    return first.join(ss, "column_name").select(
+        "column_name", "count", "mean", std.alias("std"), "min", "max")
+
+
 def describe(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
-    """count, mean, sample std, min, quartiles (exact, linear), max per column."""
+    """count, mean, sample std, min, quartiles (exact, linear), max per column.
+
+    The source is scanned once: every statistic comes from the staged
+    (column, value, count) table, which a hash aggregate builds map-side."""
     cols = list(cols) if cols is not None else numeric_columns(df)
-    moments = _unpivot_row(
-        df, cols,
-        {c: [F.count(c).cast("long"), F.avg(F.col(c).cast("double")),
-             F.stddev_samp(F.col(c).cast("double")), F.min(F.col(c).cast("double")),
-             F.max(F.col(c).cast("double"))] for c in cols},
-        ["count", "mean", "std", "min", "max"])
-    q = quantiles_from_counts(value_counts(df, cols), [0.25, 0.5, 0.75])
+    counts = value_counts(df, cols)
+    q = quantiles_from_counts(counts, [0.25, 0.5, 0.75])
     qw = q.groupBy("column_name").agg(
         *[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(a)
           for p, a in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
-    out = moments.join(qw, "column_name", "left")
+    # Column names (metadata of the request) keep all-null columns in the output.
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
+    out = (names.join(moments_from_counts(counts.df), "column_name", "left")
+           .join(qw, "column_name", "left"))
     return out.select(
-        "column_name", "count",
+        "column_name", F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"),
         *[round_half_up(F.col(c), digits).alias(c)
           for c in ("mean", "std", "min", "q25", "q50", "q75", "max")])
 
