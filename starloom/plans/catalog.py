@@ -18,8 +18,14 @@ from starloom.operators import validate as V
 from starloom.operators.clean import clean_awards, clean_tracks, dedup_rows
 from starloom.operators.enrich import award_stats
 from starloom.plans import marts
-from starloom.plans.pipeline import fixture_merged, fixture_raw_star, fixture_star
-from starloom.sources.fixtures import raw_awards, raw_tracks, table
+from starloom.plans.pipeline import (
+    fixture_merged,
+    fixture_raw_star,
+    fixture_star,
+    landed_awards,
+    landed_tracks,
+)
+from starloom.sources.fixtures import raw_tracks, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,39 +61,40 @@ def _documents(spark: SparkSession, d: str) -> DataFrame:
 # --- sources, scalar rules, cleaning -------------------------------------
 
 def scan_tracks(spark, d):
+    """The track source straight from the driver tables (joins included)."""
     return raw_tracks(spark, d)
 
 
 def na_tokens_to_null_q(spark, d):
-    return na_tokens_to_null(raw_awards(spark, d))
+    return na_tokens_to_null(landed_awards(spark, d))
 
 
 def blank_to_null_q(spark, d):
-    return blank_to_null(raw_awards(spark, d))
+    return blank_to_null(landed_awards(spark, d))
 
 
 def normalize_key_q(spark, d):
-    return raw_tracks(spark, d).select("_row_ord", "artists",
-                                       normalize_key("artists").alias("artist_norm"))
+    return landed_tracks(spark, d).select("_row_ord", "artists",
+                                          normalize_key("artists").alias("artist_norm"))
 
 
 def parse_mixed_ts(spark, d):
-    a = raw_awards(spark, d)
+    a = landed_awards(spark, d)
     return a.select("_row_ord", "published_at", "updated_at",
                     epoch_micros(parse_ts_utc("published_at")).alias("published_at_us"),
                     epoch_micros(parse_ts_utc("updated_at")).alias("updated_at_us"))
 
 
 def clean_tracks_q(spark, d):
-    return clean_tracks(raw_tracks(spark, d))
+    return clean_tracks(landed_tracks(spark, d))
 
 
 def clean_awards_q(spark, d):
-    return _awards_out(clean_awards(raw_awards(spark, d)))
+    return _awards_out(clean_awards(landed_awards(spark, d)))
 
 
 def award_stats_q(spark, d):
-    return award_stats(clean_awards(raw_awards(spark, d)))
+    return award_stats(clean_awards(landed_awards(spark, d)))
 
 
 def merge_left_fill(spark, d):
@@ -168,9 +175,9 @@ def adhoc_top_by_name(spark, d):
 
 def pipeline_counts(spark, d):
     star = fixture_star(spark, d)
-    stages = [("raw_tracks", raw_tracks(spark, d)), ("raw_awards", raw_awards(spark, d)),
-              ("clean_tracks", clean_tracks(raw_tracks(spark, d))),
-              ("clean_awards", clean_awards(raw_awards(spark, d))),
+    stages = [("raw_tracks", landed_tracks(spark, d)), ("raw_awards", landed_awards(spark, d)),
+              ("clean_tracks", clean_tracks(landed_tracks(spark, d))),
+              ("clean_awards", clean_awards(landed_awards(spark, d))),
               ("merged", fixture_merged(spark, d))] + list(star.tables().items())
     return _union([df.agg(F.count(F.lit(1)).cast("long").alias("row_count"))
                    .select(F.lit(name).alias("stage"), "row_count") for name, df in stages])
@@ -179,25 +186,25 @@ def pipeline_counts(spark, d):
 # --- profiling ----------------------------------------------------------------
 
 def profile_shape(spark, d):
-    return P.shape(raw_tracks(spark, d), "raw_tracks").unionByName(
-        P.shape(raw_awards(spark, d), "raw_awards"))
+    return P.shape(landed_tracks(spark, d), "raw_tracks").unionByName(
+        P.shape(landed_awards(spark, d), "raw_awards"))
 
 
 def profile_info(spark, d):
-    return P.info(raw_tracks(spark, d))
+    return P.info(landed_tracks(spark, d))
 
 
 def profile_describe(spark, d):
-    return P.describe(raw_tracks(spark, d), DESCRIBE_COLS)
+    return P.describe(landed_tracks(spark, d), DESCRIBE_COLS)
 
 
 def profile_describe_all(spark, d):
-    return P.describe_all(raw_awards(spark, d))
+    return P.describe_all(landed_awards(spark, d))
 
 
 def profile_nulls(spark, d):
-    return P.nulls(raw_tracks(spark, d), "raw_tracks").unionByName(
-        P.nulls(raw_awards(spark, d), "raw_awards"))
+    return P.nulls(landed_tracks(spark, d), "raw_tracks").unionByName(
+        P.nulls(landed_awards(spark, d), "raw_awards"))
 
 
 def profile_dup_count(spark, d):
@@ -212,11 +219,11 @@ def profile_dup_sample(spark, d):
 
 
 def profile_key_dups(spark, d):
-    return P.key_duplicate_rows(raw_tracks(spark, d), ["track_id"])
+    return P.key_duplicate_rows(landed_tracks(spark, d), ["track_id"])
 
 
 def profile_distinct(spark, d):
-    t, a = raw_tracks(spark, d), raw_awards(spark, d)
+    t, a = landed_tracks(spark, d), landed_awards(spark, d)
     parts = [t.select(F.lit("track_genre").alias("column_name"), F.col("track_genre").alias("value"))]
     parts += [a.select(F.lit(c).alias("column_name"), F.col(c).alias("value"))
               for c in ("category", "title", "winner")]
@@ -224,41 +231,41 @@ def profile_distinct(spark, d):
 
 
 def profile_top_genres(spark, d):
-    return P.top_values(raw_tracks(spark, d), "track_genre", 15, "track_genre")
+    return P.top_values(landed_tracks(spark, d), "track_genre", 15, "track_genre")
 
 
 def profile_top_entities(spark, d):
-    return P.first_entity_counts(raw_tracks(spark, d), "artists", 10)
+    return P.first_entity_counts(landed_tracks(spark, d), "artists", 10)
 
 
 def profile_top_categories(spark, d):
-    return P.top_values(raw_awards(spark, d), "category", 15, "category")
+    return P.top_values(landed_awards(spark, d), "category", 15, "category")
 
 
 def profile_top_award_artists(spark, d):
-    return P.top_values(blank_to_null(raw_awards(spark, d)), "artist", 10, "artist")
+    return P.top_values(blank_to_null(landed_awards(spark, d)), "artist", 10, "artist")
 
 
 def profile_freq_by_year(spark, d):
-    a = raw_awards(spark, d)
+    a = landed_awards(spark, d)
     return (a.filter(F.col("year").isNotNull()).groupBy("year")
             .agg(F.count(F.lit(1)).cast("long").alias("n")).orderBy("year"))
 
 
 def profile_head_tail(spark, d):
-    return P.head_tail(raw_tracks(spark, d), "_row_ord", 5)
+    return P.head_tail(landed_tracks(spark, d), "_row_ord", 5)
 
 
 def profile_histogram(spark, d):
-    return P.histogram(raw_tracks(spark, d), PLOT_COLS, 50)
+    return P.histogram(landed_tracks(spark, d), PLOT_COLS, 50)
 
 
 def profile_boxstats(spark, d):
-    return P.boxstats(raw_tracks(spark, d), PLOT_COLS)
+    return P.boxstats(landed_tracks(spark, d), PLOT_COLS)
 
 
 def profile_corr(spark, d):
-    return P.corr_matrix(raw_tracks(spark, d), CORR_COLS)
+    return P.corr_matrix(landed_tracks(spark, d), CORR_COLS)
 
 
 def _mart(fn) -> Query:

@@ -20,16 +20,32 @@ def merged_from(tracks: DataFrame, awards: DataFrame) -> DataFrame:
     return enrich(clean_tracks(tracks), award_stats(clean_awards(awards)))
 
 
-def fixture_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The merged spine from the driver tables, staged once per session (the
-    star build and every later reader scan the same written copy)."""
-    key = (spark.sparkContext.applicationId, sf_dir, "merged")
+def _staged_once(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STAGE_CACHE:
-        _STAGE_CACHE[key] = stage(
-            merged_from(raw_tracks(spark, sf_dir), raw_awards(spark, sf_dir)), "merged").df
+        _STAGE_CACHE[key] = stage(build(), name).df
     return _STAGE_CACHE[key]
 
 
+def landed_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The track source derived from the driver tables, landed once per
+    session as parquet in the checkpoint folder (the landing/stage step of
+    the pipeline); later readers scan it instead of re-running the joins."""
+    return _staged_once(spark, sf_dir, "landed-tracks", lambda: raw_tracks(spark, sf_dir))
+
+
+def landed_awards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The awards landing table derived from the driver tables, landed once."""
+    return _staged_once(spark, sf_dir, "landed-awards", lambda: raw_awards(spark, sf_dir))
+
+
+def fixture_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merged spine from the landed sources, staged once per session (the
+    star build and every later reader scan the same written copy)."""
+    return _staged_once(spark, sf_dir, "merged", lambda: merged_from(
+        landed_tracks(spark, sf_dir), landed_awards(spark, sf_dir)))
+
+
 def fixture_star(spark: SparkSession, sf_dir: str) -> Star:
     """Conformed warehouse tables built from the driver tables.
 
