@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from starloom.operators.joins import bounded_count
 from starloom.session import materialize
 
-SMALL_DIM_ROWS = 200_000
+SMALL_DIM_ROWS = 500_000
 _POS_BITS = 33
 
 

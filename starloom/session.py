@@ -104,4 +104,5 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/starloom/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    # Known schema: no footer sampling to infer it again.
+    return spark.read.schema(df.schema).parquet(path)
