@@ -94,10 +94,6 @@ def artist_rows(merged: DataFrame, albums: Staged) -> DataFrame:
         "artist_norm", "artist_name", *STAT_COLUMNS)
 
 
-def _keyed_size(src: Staged) -> tuple[int, int]:
-    return src.rows, src.bytes + 4 * src.rows
-
-
 def build_star(merged: DataFrame, stage_spine: bool = True) -> Star:
     """Split the merged spine into ``dim_artist``, ``dim_album``,
     ``dim_genre``, ``dim_year`` and ``fact_track``.
@@ -109,23 +105,30 @@ def build_star(merged: DataFrame, stage_spine: bool = True) -> Star:
     m = stage(merged, "merged").df if stage_spine else merged
 
     albums = stage(album_first_rows(m), "album-first")
-    dim_album = dense_keys(albums.df.select("album_name", "artist_norm", "_first"), "album_key",
-                           ["_first", "album_name", "artist_norm"],
-                           rows=albums.rows).drop("_first")
+    dim_album = stage(dense_keys(albums.df.select("album_name", "artist_norm", "_first"),
+                                 "album_key", ["_first", "album_name", "artist_norm"],
+                                 rows=albums.rows).drop("_first"), "dim-album")
 
     artists = stage(artist_rows(m, albums), "artist-rows")
-    dim_artist = dense_keys(artists.df, "artist_key", ["artist_norm"], rows=artists.rows)
+    dim_artist = stage(dense_keys(artists.df, "artist_key", ["artist_norm"], rows=artists.rows),
+                       "dim-artist")
 
     genres = stage(m.select(F.col("track_genre").alias("genre_name")).distinct(), "genre-rows")
-    dim_genre = dense_keys(genres.df, "genre_key", ["genre_name"], rows=genres.rows)
+    dim_genre = stage(dense_keys(genres.df, "genre_key", ["genre_name"], rows=genres.rows),
+                      "dim-genre")
 
     # At most one year per artist: the artist count bounds this dimension.
     years = artists.df.select(F.col("first_grammy_year").alias("year_value")).distinct()
-    dim_year = dense_keys(years, "year_key", ["year_value"], rows=artists.rows)
-
-    # Upper bounds (rows, bytes) of each dimension, for broadcast decisions.
-    sizes = {"dim_album": _keyed_size(albums), "dim_artist": _keyed_size(artists),
-             "dim_genre": _keyed_size(genres), "dim_year": (artists.rows, 12 * artists.rows)}
+    dim_year = stage(dense_keys(years, "year_key", ["year_value"], rows=artists.rows),
+                     "dim-year")
+
+    # Each dimension is numbered once and staged: the key map, the fact join
+    # and every later reader see the same keys. Exact sizes for broadcasts.
+    sizes = {name: (st.rows, st.bytes) for name, st in (
+        ("dim_album", dim_album), ("dim_artist", dim_artist), ("dim_genre", dim_genre),
+        ("dim_year", dim_year))}
+    dim_album, dim_artist, dim_genre, dim_year = (
+        dim_album.df, dim_artist.df, dim_genre.df, dim_year.df)
 
     def sized(name: str, df: DataFrame) -> Staged:
         return Staged(df, *sizes[name])
