@@ -12,7 +12,9 @@ SF = "/root/testdata/sf0.001"
 
 
 def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    """Physical plan of a fresh query over ``df`` (an already executed
+    adaptive plan would print its initial and final forms)."""
+    return df.select("*")._jdf.queryExecution().executedPlan().toString()
 
 
 def test_dedup_and_album_grain_are_hash_aggregates(spark):
