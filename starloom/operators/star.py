@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.joins import join_small
-from starloom.operators.keys import dense_keys
+from starloom.operators.keys import SMALL_DIM_ROWS, dense_keys
 from starloom.schemas import ROW_ORD, STAT_COLUMNS, TABLE_ORDER, WAREHOUSE
 from starloom.session import Staged, stage
 
@@ -94,33 +94,37 @@ def artist_rows(merged: DataFrame, albums: Staged) -> DataFrame:
         "artist_norm", "artist_name", *STAT_COLUMNS)
 
 
-def build_star(merged: DataFrame, stage_spine: bool = True) -> Star:
+def build_star(merged: DataFrame, stage_spine: bool = True,
+               small_dim_rows: int = SMALL_DIM_ROWS) -> Star:
     """Split the merged spine into ``dim_artist``, ``dim_album``,
     ``dim_genre``, ``dim_year`` and ``fact_track``.
 
     Keys: artists, genres and years are numbered in sorted natural-key
     order, albums in order of first appearance (ties broken by the natural
-    key). Year 0 (never nominated) is an ordinary member.
+    key). Year 0 (never nominated) is an ordinary member. Dimensions above
+    ``small_dim_rows`` rows are numbered with range partitions instead of a
+    single-task window.
     """
     m = stage(merged, "merged").df if stage_spine else merged
 
     albums = stage(album_first_rows(m), "album-first")
     dim_album = stage(dense_keys(albums.df.select("album_name", "artist_norm", "_first"),
                                  "album_key", ["_first", "album_name", "artist_norm"],
-                                 rows=albums.rows).drop("_first"), "dim-album")
+                                 rows=albums.rows, small_rows=small_dim_rows).drop("_first"),
+                      "dim-album")
 
     artists = stage(artist_rows(m, albums), "artist-rows")
-    dim_artist = stage(dense_keys(artists.df, "artist_key", ["artist_norm"], rows=artists.rows),
-                       "dim-artist")
+    dim_artist = stage(dense_keys(artists.df, "artist_key", ["artist_norm"], rows=artists.rows,
+                                  small_rows=small_dim_rows), "dim-artist")
 
     genres = stage(m.select(F.col("track_genre").alias("genre_name")).distinct(), "genre-rows")
-    dim_genre = stage(dense_keys(genres.df, "genre_key", ["genre_name"], rows=genres.rows),
-                      "dim-genre")
+    dim_genre = stage(dense_keys(genres.df, "genre_key", ["genre_name"], rows=genres.rows,
+                                 small_rows=small_dim_rows), "dim-genre")
 
     # At most one year per artist: the artist count bounds this dimension.
     years = artists.df.select(F.col("first_grammy_year").alias("year_value")).distinct()
-    dim_year = stage(dense_keys(years, "year_key", ["year_value"], rows=artists.rows),
-                     "dim-year")
+    dim_year = stage(dense_keys(years, "year_key", ["year_value"], rows=artists.rows,
+                                small_rows=small_dim_rows), "dim-year")
 
     # Each dimension is numbered once and staged: the key map, the fact join
     # and every later reader see the same keys. Exact sizes for broadcasts.
