@@ -73,39 +73,42 @@ def fk_orphans(star: Star) -> DataFrame:
     return _union(parts)
 
 
-def null_counts(star: Star) -> DataFrame:
-    """(table_name, column_name, nulls) for every warehouse column; one
-    aggregate pass per table."""
+def _rules(table: str) -> list[tuple[str, str, Column]]:
+    """(column, rule, violation predicate) for every rule on ``table``:
+    NOT NULL on each column, then value ranges and VARCHAR lengths."""
+    items = [(f.name, "not null", F.col(f.name).isNull()) for f in WAREHOUSE[table].fields]
+    items += [(col, f"between {lo} and {hi}", ~F.col(col).between(lo, hi))
+              for t, col, lo, hi in RANGES if t == table]
+    items += [(col, f"length <= {n}", F.char_length(F.col(col)) > n)
+              for t, col, n in LENGTHS if t == table]
+    return items
+
+
+def rule_counts(star: Star) -> DataFrame:
+    """(table_name, column_name, rule, violations): NOT NULL and domain rules
+    of a table evaluated together in one aggregate pass over it."""
     parts = []
     for table, df in star.tables().items():
-        cols = [f.name for f in WAREHOUSE[table].fields]
-        wide = df.agg(*[F.count_if(F.col(c).isNull()).cast("long").alias(c) for c in cols])
+        items = _rules(table)
+        wide = df.agg(*[F.count_if(bad).cast("long").alias(f"r{i}")
+                        for i, (_, _, bad) in enumerate(items)])
         parts.append(wide.select(F.explode(F.array(*[
-            F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"),
-                     F.col(c).alias("nulls")) for c in cols])).alias("s")).select("s.*"))
+            F.struct(F.lit(table).alias("table_name"), F.lit(col).alias("column_name"),
+                     F.lit(rule).alias("rule"), F.col(f"r{i}").alias("violations"))
+            for i, (col, rule, _) in enumerate(items)])).alias("s")).select("s.*"))
     return _union(parts)
 
 
+def null_counts(star: Star) -> DataFrame:
+    """(table_name, column_name, nulls) for every warehouse column."""
+    return (rule_counts(star).filter(F.col("rule") == "not null")
+            .select("table_name", "column_name", F.col("violations").alias("nulls")))
+
+
 def domain_violations(star: Star) -> DataFrame:
     """(table_name, column_name, rule, violations) for value ranges (TINYINT
-    and unsigned TINYINT) and VARCHAR lengths; one pass per table."""
-    rules: dict[str, list[tuple[str, str, Column]]] = {}
-    for table, col, lo, hi in RANGES:
-        rules.setdefault(table, []).append(
-            (col, f"between {lo} and {hi}", ~F.col(col).between(lo, hi)))
-    for table, col, n in LENGTHS:
-        rules.setdefault(table, []).append(
-            (col, f"length <= {n}", F.char_length(F.col(col)) > n))
-    parts = []
-    tables = star.tables()
-    for table, items in rules.items():
-        wide = tables[table].agg(*[F.count_if(bad).cast("long").alias(f"r{i}")
-                                   for i, (_, _, bad) in enumerate(items)])
-        parts.append(wide.select(F.explode(F.array(*[
-            F.struct(F.lit(table).alias("table_name"), F.lit(col).alias("column_name"),
-                     F.lit(rule).alias("rule"), F.col(f"r{i}").alias("violations"))
-            for i, (col, rule, _) in enumerate(items)])).alias("s")).select("s.*"))
-    return _union(parts)
+    and unsigned TINYINT) and VARCHAR lengths."""
+    return rule_counts(star).filter(F.col("rule") != "not null")
 
 
 def violations(star: Star) -> DataFrame:
@@ -122,12 +125,12 @@ def violations(star: Star) -> DataFrame:
     parts.append(fk_orphans(star).select(F.col("fk_name").alias("check_name"),
                                          F.lit("fact_track").alias("table_name"),
                                          F.col("orphans").alias("n")))
-    parts.append(null_counts(star).groupBy("table_name").agg(
-        F.sum("nulls").cast("long").alias("n")).select(
-        F.lit("not_null").alias("check_name"), "table_name", "n"))
-    parts.append(domain_violations(star).groupBy("table_name").agg(
-        F.sum("violations").cast("long").alias("n")).select(
-        F.lit("domain").alias("check_name"), "table_name", "n"))
+    # NOT NULL and domain rules share one pass per table.
+    rules = rule_counts(star).withColumn(
+        "check_name", F.when(F.col("rule") == "not null", F.lit("not_null"))
+        .otherwise(F.lit("domain")))
+    parts.append(rules.groupBy("check_name", "table_name").agg(
+        F.sum("violations").cast("long").alias("n")).select("check_name", "table_name", "n"))
     return _union(parts)
 
 

@@ -26,12 +26,30 @@ def jdbc_read_options(url: str, table: str, *, partition_column: str | None = "y
     return opts
 
 
+def jdbc_bounds(spark: SparkSession, url: str, table: str, column: str,
+                properties: dict[str, str] | None = None) -> tuple[int, int] | None:
+    """(min, max) of ``column``, computed by the database (one pushed-down
+    aggregate row), to shape a partitioned read. ``None`` for an empty table."""
+    query = f"(SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}) bounds"
+    row = (spark.read.format("jdbc")
+           .options(url=url, dbtable=query, **(properties or {})).load().first())
+    if row is None or row["lo"] is None:
+        return None
+    return int(row["lo"]), int(row["hi"])
+
+
 def read_awards_jdbc(spark: SparkSession, url: str, table: str = "awards", *,
                      partition_column: str | None = "year", lower_bound: int | None = None,
                      upper_bound: int | None = None, num_partitions: int = 8,
                      properties: dict[str, str] | None = None) -> DataFrame:
-    """Full-table read of the landing table. Bounds only shape the split;
-    rows outside them still land in the first/last partition."""
+    """Full-table read of the landing table, split into ``num_partitions``
+    range predicates on ``partition_column``. Without explicit bounds they
+    are asked from the database first. Bounds only shape the split: rows
+    outside them (and NULLs) still land in the first/last partition."""
+    if partition_column and (lower_bound is None or upper_bound is None):
+        bounds = jdbc_bounds(spark, url, table, partition_column, properties)
+        if bounds is not None:
+            lower_bound, upper_bound = bounds
     opts = jdbc_read_options(url, table, partition_column=partition_column,
                              lower_bound=lower_bound, upper_bound=upper_bound,
                              num_partitions=num_partitions, properties=properties)
