@@ -21,6 +21,7 @@ Plan shape (one fact-sized pass per step, everything else dimension-sized):
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from starloom.operators.joins import join_small
 from starloom.operators.keys import SMALL_DIM_ROWS, dense_keys
 from starloom.schemas import ROW_ORD, STAT_COLUMNS, TABLE_ORDER, WAREHOUSE
-from starloom.session import Staged, stage
+from starloom.session import Staged, stage, stage_all
 
 FACT_COLUMNS = tuple(f.name for f in WAREHOUSE["fact_track"].fields)
 
@@ -107,32 +108,38 @@ def build_star(merged: DataFrame, stage_spine: bool = True,
     """
     m = stage(merged, "merged").df if stage_spine else merged
 
-    albums = stage(album_first_rows(m), "album-first")
-    dim_album = stage(dense_keys(albums.df.select("album_name", "artist_norm", "_first"),
-                                 "album_key", ["_first", "album_name", "artist_norm"],
-                                 rows=albums.rows, small_rows=small_dim_rows).drop("_first"),
-                      "dim-album")
-
-    artists = stage(artist_rows(m, albums), "artist-rows")
-    dim_artist = stage(dense_keys(artists.df, "artist_key", ["artist_norm"], rows=artists.rows,
-                                  small_rows=small_dim_rows), "dim-artist")
-
-    genres = stage(m.select(F.col("track_genre").alias("genre_name")).distinct(), "genre-rows")
-    dim_genre = stage(dense_keys(genres.df, "genre_key", ["genre_name"], rows=genres.rows,
-                                 small_rows=small_dim_rows), "dim-genre")
-
+    def keyed(src: DataFrame, key: str, order: list[str], rows: int) -> Callable[[], DataFrame]:
+        return lambda: dense_keys(src, key, order, rows=rows, small_rows=small_dim_rows)
+
+    # Independent stages run concurrently; each wave depends on the last.
+    w1 = stage_all({
+        "album-first": lambda: album_first_rows(m),
+        "genre-rows": lambda: m.select(F.col("track_genre").alias("genre_name")).distinct(),
+    })
+    albums, genres = w1["album-first"], w1["genre-rows"]
+    w2 = stage_all({
+        "dim-album": lambda: dense_keys(
+            albums.df.select("album_name", "artist_norm", "_first"), "album_key",
+            ["_first", "album_name", "artist_norm"], rows=albums.rows,
+            small_rows=small_dim_rows).drop("_first"),
+        "artist-rows": lambda: artist_rows(m, albums),
+        "dim-genre": keyed(genres.df, "genre_key", ["genre_name"], genres.rows),
+    })
+    artists = w2["artist-rows"]
     # At most one year per artist: the artist count bounds this dimension.
     years = artists.df.select(F.col("first_grammy_year").alias("year_value")).distinct()
-    dim_year = stage(dense_keys(years, "year_key", ["year_value"], rows=artists.rows,
-                                small_rows=small_dim_rows), "dim-year")
+    w3 = stage_all({
+        "dim-artist": keyed(artists.df, "artist_key", ["artist_norm"], artists.rows),
+        "dim-year": keyed(years, "year_key", ["year_value"], artists.rows),
+    })
 
     # Each dimension is numbered once and staged: the key map, the fact join
     # and every later reader see the same keys. Exact sizes for broadcasts.
-    sizes = {name: (st.rows, st.bytes) for name, st in (
-        ("dim_album", dim_album), ("dim_artist", dim_artist), ("dim_genre", dim_genre),
-        ("dim_year", dim_year))}
+    staged = {"dim_album": w2["dim-album"], "dim_genre": w2["dim-genre"],
+              "dim_artist": w3["dim-artist"], "dim_year": w3["dim-year"]}
+    sizes = {name: (st.rows, st.bytes) for name, st in staged.items()}
     dim_album, dim_artist, dim_genre, dim_year = (
-        dim_album.df, dim_artist.df, dim_genre.df, dim_year.df)
+        staged[n].df for n in ("dim_album", "dim_artist", "dim_genre", "dim_year"))
 
     def sized(name: str, df: DataFrame) -> Staged:
         return Staged(df, *sizes[name])

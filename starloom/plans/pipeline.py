@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starloom.operators.clean import clean_awards, clean_tracks
 from starloom.operators.enrich import award_stats, enrich
 from starloom.operators.star import Star, build_star, conform
-from starloom.session import stage
+from starloom.session import stage, stage_all
 from starloom.sources.fixtures import raw_awards, raw_tracks
 
 _STAR_CACHE: dict[tuple[str, str, str], Star] = {}
@@ -39,9 +39,22 @@ def landed_awards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _staged_once(spark, sf_dir, "landed-awards", lambda: raw_awards(spark, sf_dir))
 
 
+def land_sources(spark: SparkSession, sf_dir: str) -> None:
+    """Land both fixture sources, concurrently, if not landed yet."""
+    app = spark.sparkContext.applicationId
+    todo = {name: build for name, build in (
+        ("landed-tracks", lambda: raw_tracks(spark, sf_dir)),
+        ("landed-awards", lambda: raw_awards(spark, sf_dir)))
+        if (app, sf_dir, name) not in _STAGE_CACHE}
+    if todo:
+        for name, st in stage_all(todo).items():
+            _STAGE_CACHE[(app, sf_dir, name)] = st.df
+
+
 def fixture_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The merged spine from the landed sources, staged once per session (the
     star build and every later reader scan the same written copy)."""
+    land_sources(spark, sf_dir)
     return _staged_once(spark, sf_dir, "merged", lambda: merged_from(
         landed_tracks(spark, sf_dir), landed_awards(spark, sf_dir)))
 

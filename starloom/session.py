@@ -9,8 +9,10 @@ setting is absent *and* the master is local (tests, bench, smoke runs).
 from __future__ import annotations
 
 import os
-import uuid
 import tempfile
+import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from dataclasses import dataclass
 
@@ -92,6 +94,19 @@ def stage(df: DataFrame, name: str = "stage") -> Staged:
     return Staged(out, int(m.get("rows") or 0), int(m.get("bytes") or 0))
 
 
+def stage_all(builders: dict[str, Callable[[], DataFrame]]) -> dict[str, Staged]:
+    """Stage several independent tables concurrently (one Spark job each,
+    submitted from driver threads), so small jobs share the cluster instead
+    of queueing one after another."""
+    if len(builders) == 1:
+        (name, build), = builders.items()
+        return {name: stage(build(), name)}
+    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        futures = {name: pool.submit(lambda n=name, b=build: stage(b(), n))
+                   for name, build in builders.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut lineage by writing a parquet table into the shared checkpoint folder.
 
