@@ -255,7 +255,8 @@ def boxstats(df: DataFrame, cols: Sequence[str], whis: float = 1.5, digits: int
     whiskers = j.groupBy("column_name").agg(
         F.min(F.when(F.col("value") >= lo_f, F.col("value"))).alias("whisker_lo"),
         F.max(F.when(F.col("value") <= hi_f, F.col("value"))).alias("whisker_hi"))
-    # As matplotlib: a whisker never sits inside the box.
+    # As matplotlib: a whisker never sits inside the box. (Quartiles and
+    # whiskers below are one row per column: bounded broadcasts.)
     whiskers = whiskers.join(F.broadcast(qw.select("column_name", "q1", "q3")), "column_name")
     whiskers = whiskers.select(
         "column_name",
