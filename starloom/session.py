@@ -38,6 +38,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("STARLOOM_DRIVER_MEM", "12g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Staged tables are re-read by many jobs: cap rows per file so a
+        # stage written by few tasks still reads back in parallel.
+        .config("spark.sql.files.maxRecordsPerFile", "100000")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -30,6 +30,9 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> bool:
         if not single:
             log.warning("export_csv: data too large for one file; writing part files")
     out = df.coalesce(1) if single else df
-    (out.write.mode("overwrite").option("header", "true").option("quote", '"')
-     .option("escape", '"').csv(path))
+    writer = (out.write.mode("overwrite").option("header", "true").option("quote", '"')
+              .option("escape", '"'))
+    if single:
+        writer = writer.option("maxRecordsPerFile", 0)  # no per-file row cap
+    writer.csv(path)
     return single
