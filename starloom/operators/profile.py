@@ -101,8 +101,9 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 6)
           for p, a in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
     # Column names (metadata of the request) keep all-null columns in the output.
     names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
-    out = (names.join(moments_from_counts(counts.df), "column_name", "left")
-           .join(qw, "column_name", "left"))
+    # Statistic tables hold one row per column: bounded broadcasts.
+    out = (names.join(F.broadcast(moments_from_counts(counts.df)), "column_name", "left")
+           .join(F.broadcast(qw), "column_name", "left"))
     return out.select(
         "column_name", F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"),
         *[round_half_up(F.col(c), digits).alias(c)
@@ -146,13 +147,14 @@ def describe_all(df: DataFrame, digits: int = 6) -> DataFrame:
         tops = (freq.join(F.broadcast(peak), "column_name")
                 .filter(F.col("n") == F.col("freq"))
                 .groupBy("column_name", "unique", "freq").agg(F.min("v").alias("top")))
-        out = out.join(tops, "column_name", "left")
+        out = out.join(F.broadcast(tops), "column_name", "left")  # one row per column
     else:
         out = out.select("*", F.lit(None).cast("long").alias("unique"),
                          F.lit(None).cast("string").alias("top"),
                          F.lit(None).cast("long").alias("freq"))
     if nums:
-        out = out.join(describe(df, nums, digits).drop("count"), "column_name", "left")
+        out = out.join(F.broadcast(describe(df, nums, digits).drop("count")), "column_name",
+                       "left")
     else:
         for c in ("mean", "std", "min", "q25", "q50", "q75", "max"):
             out = out.withColumn(c, F.lit(None).cast("double"))
@@ -262,13 +264,13 @@ def boxstats(df: DataFrame, cols: Sequence[str], whis: float = 1.5, digits: int
         "column_name",
         F.least(F.coalesce("whisker_lo", "q1"), F.col("q1")).alias("whisker_lo"),
         F.greatest(F.coalesce("whisker_hi", "q3"), F.col("q3")).alias("whisker_hi"))
-    out = qw.join(whiskers, "column_name")
+    out = qw.join(F.broadcast(whiskers), "column_name")
     j2 = counts.df.join(F.broadcast(out.select("column_name", "whisker_lo", "whisker_hi")),
                         "column_name")
     outl = j2.groupBy("column_name").agg(
         F.sum(F.when((F.col("value") < F.col("whisker_lo")) | (F.col("value") > F.col("whisker_hi")),
                      F.col("cnt")).otherwise(0)).cast("long").alias("outliers"))
-    out = out.join(outl, "column_name")
+    out = out.join(F.broadcast(outl), "column_name")
     return out.select("column_name",
                       *[round_half_up(F.col(c), digits).alias(c)
                         for c in ("q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi")],
