@@ -2,7 +2,7 @@
 
 A side is broadcast only when its exact row count and payload are known to
 be under the limits: either measured while it was staged (``Staged``), or
-probed with one bounded job (``limit(n + 1)`` stops early on big inputs).
+measured by one distributed aggregate over it.
 Anything larger is left to a shuffle join; AQE may still switch that to a
 broadcast at runtime from the real shuffle sizes, and it splits skewed
 partitions of the big side.
@@ -22,16 +22,22 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def bounded_size(df: DataFrame, cap: int) -> tuple[int, int] | None:
-    """(rows, bytes) if ``df`` has at most ``cap`` rows, else ``None``."""
-    row = df.limit(cap + 1).agg(F.count(F.lit(1)).alias("n"),
-                                F.sum(payload_expr(df)).alias("b")).first()
+    """(rows, bytes) of ``df`` if it has at most ``cap`` rows, else ``None``.
+
+    A plain distributed aggregate (partial counts per task, combined), so
+    nothing is gathered into one task. (A ``limit(cap + 1)`` probe would
+    funnel up to ``cap`` rows from every partition through a single-partition
+    exchange, i.e. possibly the whole table.)
+    """
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(payload_expr(df)).alias("b")).first()
     n = int(row["n"])
     return (n, int(row["b"] or 0)) if n <= cap else None
 
 
 def bounded_count(df: DataFrame, cap: int) -> int | None:
-    """Exact row count if it is at most ``cap``, else ``None``."""
-    n = df.limit(cap + 1).count()
+    """Exact row count if it is at most ``cap``, else ``None`` (distributed
+    count, see :func:`bounded_size`)."""
+    n = df.count()
     return n if n <= cap else None
 
 
