@@ -17,15 +17,17 @@ version. Nothing is deleted or overwritten in place.
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators.star import Star
 from starloom.operators.validate import enforce as enforce_contract
 from starloom.schemas import TABLE_ORDER, WAREHOUSE
+from starloom.session import payload_expr
 
 COMMITS = "_commits"
 FACT_SORT = "artist_key"
@@ -36,23 +38,33 @@ def new_version() -> str:
     return f"{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}"
 
 
-def write_version(star: Star, target: str, version: str) -> None:
-    """Write all five tables of one version (dims first, then the fact)."""
+def write_version(star: Star, target: str, version: str) -> dict[str, tuple[int, int]]:
+    """Write all five tables of one version (dims first, then the fact) and
+    return each table's exact (rows, payload bytes), observed during the
+    write itself."""
+    sizes = {}
     for name in TABLE_ORDER:
         df = getattr(star, name)
         if name == "fact_track":
             df = df.sortWithinPartitions(FACT_SORT)
-        df.write.mode("error").parquet(f"{target}/v={version}/{name}")
+        obs = Observation(f"publish-{name}-{version}")
+        (df.observe(obs, F.count(F.lit(1)).alias("rows"), F.sum(payload_expr(df)).alias("bytes"))
+         .write.mode("error").parquet(f"{target}/v={version}/{name}"))
+        sizes[name] = (int(obs.get["rows"] or 0), int(obs.get["bytes"] or 0))
+    return sizes
 
 
-def read_version(spark: SparkSession, target: str, version: str) -> Star:
+def read_version(spark: SparkSession, target: str, version: str,
+                 sizes: dict[str, tuple[int, int]] | None = None) -> Star:
     return Star(**{name: spark.read.schema(WAREHOUSE[name]).parquet(
-        f"{target}/v={version}/{name}") for name in TABLE_ORDER})
+        f"{target}/v={version}/{name}") for name in TABLE_ORDER}, sizes=dict(sizes or {}))
+
+
+COMMIT_SCHEMA = "version string, committed_at_ms long, fact_rows long, sizes string"
 
 
 def committed_versions(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.schema("version string, committed_at_ms long, fact_rows long").json(
-        f"{target}/{COMMITS}")
+    return spark.read.schema(COMMIT_SCHEMA).json(f"{target}/{COMMITS}")
 
 
 def current_version(spark: SparkSession, target: str) -> str | None:
@@ -67,11 +79,17 @@ def current_version(spark: SparkSession, target: str) -> str | None:
 
 
 def read_published(spark: SparkSession, target: str, version: str | None = None) -> Star:
-    """The current (or a given) committed version of the warehouse."""
+    """The current (or a given) committed version of the warehouse, with the
+    table sizes recorded at publish time (so broadcast decisions on it need
+    no extra job)."""
     v = version or current_version(spark, target)
     if v is None:
         raise FileNotFoundError(f"nothing published under {target}")
-    return read_version(spark, target, v)
+    row = (committed_versions(spark, target).filter(F.col("version") == v)
+           .select("sizes").first())
+    sizes = {k: (int(a), int(b)) for k, (a, b) in json.loads(row["sizes"]).items()} \
+        if row and row["sizes"] else {}
+    return read_version(spark, target, v, sizes)
 
 
 def publish(star: Star, target: str, enforce: bool = True) -> str:
@@ -83,13 +101,12 @@ def publish(star: Star, target: str, enforce: bool = True) -> str:
     """
     spark = star.fact_track.sparkSession
     version = new_version()
-    write_version(star, target, version)
-    written = read_version(spark, target, version)
+    sizes = write_version(star, target, version)
+    written = read_version(spark, target, version, sizes)
     if enforce:
         enforce_contract(written)
-    fact_rows = written.fact_track.count()
-    spark.createDataFrame([(version, int(time.time() * 1000), fact_rows)],
-                          "version string, committed_at_ms long, fact_rows long") \
+    spark.createDataFrame([(version, int(time.time() * 1000), sizes["fact_track"][0],
+                            json.dumps(sizes))], COMMIT_SCHEMA) \
         .coalesce(1).write.mode("append").json(f"{target}/{COMMITS}")
     return version
 

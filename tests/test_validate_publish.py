@@ -72,6 +72,9 @@ def test_publish_is_all_or_nothing_and_rerunnable(spark, tmp_dir):
     good = clean_toy(spark)
     v1 = publish(good, target)
     assert current_version(spark, target) == v1
+    sizes = read_published(spark, target).sizes
+    assert set(sizes) == {"dim_artist", "dim_album", "dim_genre", "dim_year", "fact_track"}
+    assert sizes["fact_track"][0] == good.fact_track.count()
     before = sorted(tuple(r) for r in read_published(spark, target).fact_track.collect())
 
     bad = _with(good, fact_track=good.fact_track.unionByName(good.fact_track.limit(1)))
