@@ -1,6 +1,6 @@
 """Dense, reproducible surrogate keys 1..n in a given order.
 
-Small inputs (proven by a bounded count) use ``row_number`` over a global
+Small inputs (row count known from staging, or counted) use ``row_number`` over a global
 window, which runs in a single task. Large inputs never go through one
 task: they are range-partitioned and sorted within partitions, each row's
 position inside its partition is taken from ``monotonically_increasing_id``

@@ -14,9 +14,10 @@ Plan shape (one fact-sized pass per step, everything else dimension-sized):
 3. ``dim_year`` comes from ``dim_artist`` (the year is an artist attribute);
    ``dim_genre`` is a distinct over the spine (partial aggregation leaves a
    handful of rows per task).
-4. Album, artist and year keys are resolved at dimension grain into one
-   map keyed by (album_name, artist_norm); the fact then needs a single
-   join for three keys plus a proven-small genre lookup.
+4. Every dimension is numbered once and staged; independent stages run
+   concurrently in waves. Album, artist and year keys are then resolved at
+   dimension grain into one map keyed by (album_name, artist_norm), so the
+   fact needs a single join for three keys plus a proven-small genre lookup.
 """
 
 from __future__ import annotations
