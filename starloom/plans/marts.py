@@ -17,8 +17,11 @@ from starloom.functions.numeric import pct, round_half_up
 from starloom.operators.joins import join_small
 from starloom.operators.star import Star
 
+# The status and content labels the dashboards report.
 WINNER = "Grammy Winner"
 NON_WINNER = "No Grammy"
+EXPLICIT = "Explicit"
+CLEAN = "Clean"
 
 
 def _sums(cols: list[str]) -> list[Column]:
@@ -144,7 +147,7 @@ def genre_share(star: Star, min_artists: int = 20, k: int = 10) -> DataFrame:
 def explicit_split(star: Star) -> DataFrame:
     """Explicit vs clean tracks: popularity and features."""
     f = star.fact_track.withColumn(
-        "content_type", F.when(F.col("explicit"), F.lit("Explicit")).otherwise(F.lit("Clean")))
+        "content_type", F.when(F.col("explicit"), F.lit(EXPLICIT)).otherwise(F.lit(CLEAN)))
     cols = ["popularity", "danceability", "energy", "speechiness", "valence"]
     return f.groupBy("content_type").agg(*_sums(cols)).select(
         "content_type", F.col("_n").cast("long").alias("track_count"),
