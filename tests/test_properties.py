@@ -37,3 +37,17 @@ def test_strip_and_flag_equal_python(spark, values):
     rows = df.select(py_strip(F.col("c")), parse_flag(F.col("c"))).collect()
     assert [r[0] for r in rows] == [None if v is None else v.strip() for v in values]
     assert [r[1] for r in rows] == [v is not None and v.strip().lower() == "true" for v in values]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.tuples(st.integers(0, 5), st.text(alphabet="abcxyz", max_size=3)),
+                       min_size=1, max_size=300, unique=True),
+       parts=st.integers(1, 12))
+def test_range_keys_follow_sort_order(spark, values, parts):
+    from starloom.operators.keys import dense_keys
+
+    df = spark.createDataFrame(values, "hot int, name string")  # few distinct 'hot' values
+    keyed = dense_keys(df, "k", ["hot", "name"], small_rows=0, num_partitions=parts)
+    got = [(r.hot, r.name) for r in keyed.orderBy("k").collect()]
+    assert got == sorted(values)
+    assert sorted(r.k for r in keyed.collect()) == list(range(1, len(values) + 1))
