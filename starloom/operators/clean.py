@@ -34,6 +34,31 @@ def dedup_rows(df: DataFrame, order_col: str = ROW_ORD,
     return df.groupBy(*keys).agg(*aggs).select(*df.columns)
 
 
+def dedup_wide_rows(df: DataFrame, order_col: str = ROW_ORD) -> DataFrame:
+    """Keep-first full-row dedup for rows carrying long texts, exact.
+
+    Phase 1 shuffles only a 96-bit row signature (xxhash64 + murmur3) and
+    the order value; signatures seen once mark rows that are certainly
+    unique, and those rows never move. Only rows in signature-collision
+    groups (the actual copies, plus any hash collisions) go through the
+    exact :func:`dedup_rows`. The candidate-signature table is broadcast
+    only when its measured size allows; otherwise this is the plain dedup.
+    """
+    from starloom.operators.joins import fits_broadcast
+    from starloom.session import stage
+
+    keys = [c for c in df.columns if c != order_col]
+    tagged = df.withColumns({"_h1": F.xxhash64(*keys), "_h2": F.hash(*keys)})
+    repeated = stage(tagged.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
+                     .filter(F.col("_n") > 1).drop("_n"), "dedup-signatures")
+    if not fits_broadcast(repeated):
+        return dedup_rows(df, order_col)
+    sigs = F.broadcast(repeated.df)
+    unique = tagged.join(sigs, ["_h1", "_h2"], "left_anti").drop("_h1", "_h2")
+    copies = tagged.join(sigs, ["_h1", "_h2"], "left_semi").drop("_h1", "_h2")
+    return unique.unionByName(dedup_rows(copies, order_col))
+
+
 def clean_tracks(df: DataFrame, required: Sequence[str] = TRACK_REQUIRED,
                  key_source: str = "artists", key_name: str = "artist_norm") -> DataFrame:
     """Drop rows missing a required field, collapse full-row copies, then

@@ -15,7 +15,7 @@ from starloom.functions.text import blank_to_null, na_tokens_to_null, normalize_
 from starloom.functions.time import epoch_micros, parse_ts_utc
 from starloom.operators import profile as P
 from starloom.operators import validate as V
-from starloom.operators.clean import clean_awards, clean_tracks, dedup_rows
+from starloom.operators.clean import clean_awards, clean_tracks, dedup_wide_rows
 from starloom.operators.enrich import award_stats
 from starloom.plans import marts
 from starloom.plans.pipeline import (
@@ -102,7 +102,9 @@ def merge_left_fill(spark, d):
 
 
 def dedup_documents(spark, d):
-    return dedup_rows(_documents(spark, d), order_col="doc_id")
+    """Whole documents deduplicated on every column but the id (lowest id kept);
+    only signature-collision groups shuffle their full texts."""
+    return dedup_wide_rows(_documents(spark, d), order_col="doc_id")
 
 
 def drop_index_reveals_dups(spark, d):

@@ -81,3 +81,14 @@ def test_enrich_keeps_row_count_on_fixture(spark):
     merged = enrich(spine, award_stats(clean_awards(raw_awards(spark, d))))
     assert merged.count() == spine.count()
     assert merged.filter(F.col("grammy_nominations").isNull()).count() == 0
+
+
+def test_signature_dedup_equals_plain_dedup(spark):
+    from starloom.operators.clean import dedup_wide_rows
+
+    rows = [(i, f"text {i % 7}" if i % 5 else None, "en" if i % 3 else "fr", i % 2) for i in range(60)]
+    rows += [(100 + i, "hot copy", "en", 1) for i in range(40)]  # one big group of copies
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, n long")
+    plain = sorted(tuple(r) for r in dedup_rows(df, order_col="doc_id").collect())
+    wide = sorted(tuple(r) for r in dedup_wide_rows(df, order_col="doc_id").collect())
+    assert wide == plain and (100, "hot copy", "en", 1) in wide
