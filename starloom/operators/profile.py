@@ -161,26 +161,55 @@ def describe_all(df: DataFrame, digits: int = 6) -> DataFrame:
     return out
 
 
-def duplicate_count(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
+def repeated_signature_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame | None:
+    """Rows whose 96-bit signature over ``cols`` occurs more than once: a
+    superset of every repeated group, found by shuffling only signatures.
+    ``None`` when the repeated-signature table is not provably small (the
+    caller then groups the full rows)."""
+    from starloom.operators.joins import fits_broadcast
+    from starloom.session import stage
+
+    tagged = df.withColumns({"_h1": F.xxhash64(*cols), "_h2": F.hash(*cols)})
+    repeated = stage(tagged.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
+                     .filter(F.col("_n") > 1).drop("_n"), "dup-signatures")
+    if not fits_broadcast(repeated):
+        return None
+    return tagged.join(F.broadcast(repeated.df), ["_h1", "_h2"], "left_semi").drop("_h1", "_h2")
+
+
+def duplicate_count(df: DataFrame, ignore: Sequence[str] = (),
+                    by_signature: bool = False) -> DataFrame:
     """Rows that repeat an earlier row (``duplicated().sum()``), comparing all
-    columns except ``ignore``."""
+    columns except ``ignore``. ``by_signature`` (for long-text rows) groups
+    full rows only among signature-collision candidates; rows outside them
+    are in groups of one and add nothing, so the count stays exact."""
     cols = [c for c in df.columns if c not in ignore]
-    return (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
+    src = df.select(*cols)
+    if by_signature:
+        cand = repeated_signature_rows(src, cols)
+        src = src if cand is None else cand
+    return (src.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
             .agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("long").alias("duplicates")))
 
 
 def duplicate_members(df: DataFrame, ignore: Sequence[str] = (),
-                      order_by: Sequence[str] = (), n: int | None = None) -> DataFrame:
+                      order_by: Sequence[str] = (), n: int | None = None,
+                      by_signature: bool = False) -> DataFrame:
     """All members of repeated groups (``keep=False``), sorted, first ``n``.
 
     Group sizes are counted by a partial/final aggregate and joined back,
     rather than a window over each group, so a huge group of copies is never
-    buffered in one task.
+    buffered in one task. ``by_signature`` restricts both steps to
+    signature-collision candidates (exact, far less text shuffled).
     """
     cols = [c for c in df.columns if c not in ignore]
-    sizes = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
+    src = df
+    if by_signature:
+        cand = repeated_signature_rows(df, cols)
+        src = df if cand is None else cand
+    sizes = (src.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
              .filter(F.col("_c") > 1).drop("_c"))
-    members = df.join(sizes, [df[c].eqNullSafe(sizes[c]) for c in cols], "left_semi")
+    members = src.join(sizes, [src[c].eqNullSafe(sizes[c]) for c in cols], "left_semi")
     if order_by:
         members = members.orderBy(*order_by)
     return members.limit(n) if n is not None else members

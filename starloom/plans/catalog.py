@@ -211,13 +211,15 @@ def profile_nulls(spark, d):
 
 def profile_dup_count(spark, d):
     docs = _documents(spark, d)
-    return (P.duplicate_count(docs).select(F.lit("with_index").alias("mode"), "duplicates")
-            .unionByName(P.duplicate_count(docs, ["doc_id"])
+    return (P.duplicate_count(docs, by_signature=True)
+            .select(F.lit("with_index").alias("mode"), "duplicates")
+            .unionByName(P.duplicate_count(docs, ["doc_id"], by_signature=True)
                          .select(F.lit("without_index").alias("mode"), "duplicates")))
 
 
 def profile_dup_sample(spark, d):
-    return P.duplicate_members(_documents(spark, d), ["doc_id"], ["text", "doc_id"], 4)
+    return P.duplicate_members(_documents(spark, d), ["doc_id"], ["text", "doc_id"], 4,
+                               by_signature=True)
 
 
 def profile_key_dups(spark, d):

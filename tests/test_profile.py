@@ -121,3 +121,14 @@ def test_nulls_dups_and_top_values(spark):
         pdf.duplicated(subset=["k"], keep=False).sum())
     top = [(r.value, r.n) for r in P.top_values(df, "k", 2).collect()]
     assert top == [("x", 3), ("y", 2)]
+
+
+def test_signature_duplicate_profiles_equal_plain(spark):
+    rows = [(i, f"t{i % 9}" if i % 4 else None, i % 2) for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n long")
+    for ignore in ([], ["doc_id"]):
+        plain = P.duplicate_count(df, ignore).first()[0]
+        assert P.duplicate_count(df, ignore, by_signature=True).first()[0] == plain
+    a = [tuple(r) for r in P.duplicate_members(df, ["doc_id"], ["doc_id"]).collect()]
+    b = [tuple(r) for r in P.duplicate_members(df, ["doc_id"], ["doc_id"], by_signature=True).collect()]
+    assert a == b and len(a) > 0
