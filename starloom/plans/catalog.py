@@ -108,17 +108,23 @@ def dedup_documents(spark, d):
 
 
 def drop_index_reveals_dups(spark, d):
-    """Distinct rows with and without the index column, in two aggregate
-    levels (row content, then text) so no distinct is expanded."""
+    """Row count and distinct rows with the index column, without it, and on
+    the text alone. Each distinct count is the row count minus a duplicate
+    count computed on signature candidates, so full texts are shuffled only
+    for rows that share a signature."""
     docs = _documents(spark, d)
-    rows = docs.groupBy("text", "lang", "source", "n_chars").agg(
-        F.count(F.lit(1)).alias("_c"), F.count_distinct("doc_id").alias("_d"))
-    texts = rows.groupBy("text").agg(F.sum("_c").alias("_c"), F.sum("_d").alias("_d"),
-                                     F.count(F.lit(1)).alias("_g"))
-    return texts.agg(F.sum("_c").cast("long").alias("n_rows"),
-                     F.sum("_d").cast("long").alias("distinct_with_index"),
-                     F.sum("_g").cast("long").alias("distinct_without_index"),
-                     F.count(F.lit(1)).cast("long").alias("distinct_text"))
+    parts = [("n_rows", docs.agg(F.count(F.lit(1)).cast("long").alias("v"))),
+             ("dup_with_index", P.duplicate_count(docs, by_signature=True)),
+             ("dup_without_index", P.duplicate_count(docs, ["doc_id"], by_signature=True)),
+             ("dup_text", P.duplicate_count(docs.select("text"), by_signature=True))]
+    long = _union([df.select(F.lit(k).alias("k"), F.col(df.columns[0]).alias("v"))
+                   for k, df in parts])
+    m = {k: F.max(F.when(F.col("k") == k, F.col("v"))) for k, _ in parts}
+    return long.agg(
+        m["n_rows"].alias("n_rows"),
+        (m["n_rows"] - m["dup_with_index"]).alias("distinct_with_index"),
+        (m["n_rows"] - m["dup_without_index"]).alias("distinct_without_index"),
+        (m["n_rows"] - m["dup_text"]).alias("distinct_text"))
 
 
 # --- star tables ------------------------------------------------------------
