@@ -48,3 +48,14 @@ def test_fact_build_uses_one_shuffle_free_lookup_per_dimension(spark):
     p = plan(fixture_raw_star(spark, SF).fact_track)
     assert p.count("BroadcastHashJoin") == 2  # genre lookup + (album, artist) key map
     assert "SortMergeJoin" not in p
+
+
+def test_no_query_plans_a_cross_product_or_fact_grain_sort_aggregate(spark):
+    import __spark_entry__ as entry
+
+    allowed_sort_agg = {"check_unique_genre", "check_violations", "profile_describe_all"}
+    for name, fn in entry.queries().items():
+        p = plan(fn(spark, SF))
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+        if name not in allowed_sort_agg:  # collated dim keys / per-column mode only
+            assert "SortAggregate" not in p, name
