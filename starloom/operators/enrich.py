@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.joins import join_small
-from starloom.schemas import STAT_COLUMNS
+from starloom.schemas import ROW_ORD, STAT_COLUMNS
 from starloom.session import stage
 
 
@@ -40,6 +40,7 @@ def enrich(spine: DataFrame, stats: DataFrame, key: str = "artist_norm",
     """
     if stage_stats:
         stats = stage(stats, "award-stats")
-    joined = join_small(spine, stats, key, "left")
+    salt = [ROW_ORD] if ROW_ORD in spine.columns else None
+    joined = join_small(spine, stats, key, "left", salt_by=salt)
     return joined.withColumns(
         {c: F.coalesce(F.col(c), F.lit(fill)).cast("int") for c in stat_cols})

@@ -19,6 +19,7 @@ from starloom.session import Staged, payload_expr
 
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+SALT_BUCKETS = 16
 
 
 def bounded_size(df: DataFrame, cap: int) -> tuple[int, int] | None:
@@ -51,11 +52,43 @@ def fits_broadcast(small: DataFrame | Staged, max_rows: int = MAX_BROADCAST_ROWS
     return size is not None and size[1] <= max_bytes
 
 
+def skew_splitting_on(spark) -> bool:
+    """Whether AQE will split skewed join partitions at runtime."""
+    conf = spark.conf
+    return (conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+            and conf.get("spark.sql.adaptive.skewJoin.enabled", "true").lower() == "true")
+
+
+def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str,
+                salt_by: Sequence[str], buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Shuffle join that spreads every key of ``big`` over ``buckets`` tasks.
+
+    ``big`` gets a salt from a hash of ``salt_by`` (deterministic, so a
+    retried task sees the same salt); ``small`` is replicated once per salt
+    value. Each ``big`` row meets exactly one replica, so inner and left
+    joins keep their meaning, and a key holding a third of ``big`` is cut
+    into ``buckets`` pieces.
+    """
+    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(buckets)))
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                            F.lit(buckets - 1).cast("long"))))
+    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+
+
 def join_small(big: DataFrame, small: DataFrame | Staged, on: str | Sequence[str],
                how: str = "inner", *, max_rows: int = MAX_BROADCAST_ROWS,
-               max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Equi-join that broadcasts ``small`` only if its size is proven."""
+               max_bytes: int = MAX_BROADCAST_BYTES,
+               salt_by: Sequence[str] | None = None) -> DataFrame:
+    """Equi-join that broadcasts ``small`` only if its size is proven.
+
+    Otherwise it is a shuffle join: AQE splits skewed partitions of ``big``
+    at runtime, and where that is switched off and ``salt_by`` names
+    row-identifying columns of ``big``, the join is salted instead.
+    """
     side = small.df if isinstance(small, Staged) else small
     if fits_broadcast(small, max_rows, max_bytes):
-        side = F.broadcast(side)
+        return big.join(F.broadcast(side), on, how)
+    if salt_by and not skew_splitting_on(big.sparkSession):
+        keys = [on] if isinstance(on, str) else list(on)
+        return salted_join(big, side, keys, how, salt_by)
     return big.join(side, on, how)

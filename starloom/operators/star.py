@@ -154,7 +154,7 @@ def build_star(merged: DataFrame, stage_spine: bool = True,
 
     fact = join_small(m, sized("dim_genre", dim_genre.withColumnRenamed(
         "genre_name", "track_genre")), "track_genre")
-    fact = join_small(fact, key_map, ["album_name", "artist_norm"])
+    fact = join_small(fact, key_map, ["album_name", "artist_norm"], salt_by=[ROW_ORD])
     fact = fact.withColumnRenamed("key", "music_key").select(*FACT_COLUMNS)
 
     return Star(dim_artist=dim_artist, dim_album=dim_album, dim_genre=dim_genre,
