@@ -88,12 +88,37 @@ def moments_from_counts(counts: DataFrame) -> DataFrame:
         "column_name", "count", "mean", std.alias("std"), "min", "max")
 
 
-def describe(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
+APPROX_ACCURACY = 100_000
+
+
+def describe_approx(df: DataFrame, cols: Sequence[str], digits: int = 6,
+                    accuracy: int = APPROX_ACCURACY) -> DataFrame:
+    """``describe`` in one aggregate pass with sketch quartiles
+    (``percentile_approx``, relative rank error about 1/accuracy): memory per
+    task is bounded whatever the number of distinct values."""
+    exprs = {}
+    for c in cols:
+        x = F.col(c).cast("double")
+        q = F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy)
+        exprs[c] = [F.count(x).cast("long"), F.avg(x), F.stddev_samp(x), F.min(x),
+                    q[0], q[1], q[2], F.max(x)]
+    stats = ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
+    out = _unpivot_row(df, cols, exprs, stats)
+    return out.select("column_name", "count",
+                      *[round_half_up(F.col(c), digits).alias(c) for c in stats[1:]])
+
+
+def describe(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 6,
+             exact: bool = True) -> DataFrame:
     """count, mean, sample std, min, quartiles (exact, linear), max per column.
 
     The source is scanned once: every statistic comes from the staged
-    (column, value, count) table, which a hash aggregate builds map-side."""
+    (column, value, count) table, which a hash aggregate builds map-side.
+    That table is as large as the number of distinct values; ``exact=False``
+    switches to :func:`describe_approx` (one pass, bounded sketches)."""
     cols = list(cols) if cols is not None else numeric_columns(df)
+    if not exact:
+        return describe_approx(df, cols, digits)
     counts = value_counts(df, cols)
     q = quantiles_from_counts(counts, [0.25, 0.5, 0.75])
     qw = q.groupBy("column_name").agg(
@@ -269,10 +294,41 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 50, digits: int =
                       F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
 
 
-def boxstats(df: DataFrame, cols: Sequence[str], whis: float = 1.5, digits: int = 6) -> DataFrame:
+def boxstats_approx(df: DataFrame, cols: Sequence[str], whis: float = 1.5, digits: int = 6,
+                    accuracy: int = APPROX_ACCURACY) -> DataFrame:
+    """Box statistics from sketch quartiles: pass one computes the quartiles
+    of every column (a handful of numbers, fetched to the driver), pass two
+    the whiskers and outlier counts with those fences -- two scans, bounded
+    memory per task."""
+    data = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    first = data.agg(*[F.percentile_approx(c, [0.25, 0.5, 0.75], accuracy).alias(c)
+                       for c in cols]).first()
+    exprs = {}
+    for c in cols:
+        q1, med, q3 = first[c] or (None, None, None)
+        if q1 is None:
+            exprs[c] = [F.lit(None).cast("double")] * 6 + [F.lit(0).cast("long")]
+            continue
+        lo_f, hi_f = q1 - whis * (q3 - q1), q3 + whis * (q3 - q1)
+        x = F.col(c)
+        exprs[c] = [F.lit(q1), F.lit(med), F.lit(q3), F.lit(q3 - q1),
+                    F.least(F.coalesce(F.min(F.when(x >= lo_f, x)), F.lit(q1)), F.lit(q1)),
+                    F.greatest(F.coalesce(F.max(F.when(x <= hi_f, x)), F.lit(q3)), F.lit(q3)),
+                    F.count_if((x < lo_f) | (x > hi_f)).cast("long")]
+    names = ["q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi", "outliers"]
+    out = _unpivot_row(data, cols, exprs, names)
+    return out.select("column_name", *[round_half_up(F.col(c), digits).alias(c)
+                                       for c in names[:-1]], "outliers")
+
+
+def boxstats(df: DataFrame, cols: Sequence[str], whis: float = 1.5, digits: int = 6,
+             exact: bool = True) -> DataFrame:
     """Quartiles, IQR, whiskers (extreme values inside q1 - whis*IQR and
     q3 + whis*IQR, never inside the box) and the count of values beyond the
-    whiskers per column, all from the staged value-count table."""
+    whiskers per column, all from the staged value-count table.
+    ``exact=False`` uses :func:`boxstats_approx` (sketch quartiles)."""
+    if not exact:
+        return boxstats_approx(df, cols, whis, digits)
     counts = value_counts(df, cols)
     q = quantiles_from_counts(counts, [0.25, 0.5, 0.75])
     qw = q.groupBy("column_name").agg(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.operators import profile as P
 from starloom.operators.quantiles import exact_quantiles
@@ -132,3 +133,32 @@ def test_signature_duplicate_profiles_equal_plain(spark):
     a = [tuple(r) for r in P.duplicate_members(df, ["doc_id"], ["doc_id"]).collect()]
     b = [tuple(r) for r in P.duplicate_members(df, ["doc_id"], ["doc_id"], by_signature=True).collect()]
     assert a == b and len(a) > 0
+
+
+def test_describe_approx_is_close_to_exact(spark, data):
+    pdf, df = data
+    exact = {r.column_name: r for r in P.describe(df, ["a", "hot"]).collect()}
+    approx = {r.column_name: r for r in P.describe(df, ["a", "hot"], exact=False).collect()}
+    for c in ("a", "hot"):
+        for k in ("count", "mean", "std", "min", "max"):
+            assert approx[c][k] == pytest.approx(exact[c][k], abs=1e-6)
+        x = np.sort(pdf[c].to_numpy())
+        for k, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
+            # A sketch quantile is an actual value within a small rank error.
+            lo = np.searchsorted(x, approx[c][k] - 1e-6, side="left") / len(x)
+            hi = np.searchsorted(x, approx[c][k] + 1e-6, side="right") / len(x)
+            assert lo - 0.01 <= p <= hi + 0.01
+
+
+def test_boxstats_approx_on_discrete_data_equals_exact(spark):
+    # Few distinct values: sketch quartiles are exact values, so the box
+    # statistics agree with the exact path wherever interpolation is not needed.
+    df = spark.range(0, 4001).select((F.col("id") % 21).cast("double").alias("x"),
+                                     F.when(F.col("id") % 50 == 0, F.lit(1000.0))
+                                     .otherwise(F.col("id") % 7).cast("double").alias("y"))
+    exact = {r.column_name: r for r in P.boxstats(df, ["x", "y"]).collect()}
+    approx = {r.column_name: r for r in P.boxstats(df, ["x", "y"], exact=False).collect()}
+    for c in ("x", "y"):
+        assert approx[c].outliers == exact[c].outliers
+        assert approx[c].whisker_hi == exact[c].whisker_hi
+        assert approx[c].median == exact[c].median
