@@ -42,3 +42,13 @@ def test_describe_all_mixed_types(spark):
     assert (d["s"]["count"], d["s"]["unique"], d["s"]["top"], d["s"]["freq"]) == (3, 2, "b", 2)
     assert (d["f"]["count"], d["f"]["unique"], d["f"]["top"]) == (2, 1, "true")
     assert d["n"]["unique"] is None and d["n"]["mean"] == pytest.approx(5 / 3, abs=1e-6)
+
+
+def test_spread_only_touches_scans_with_too_few_splits(spark):
+    from starloom.sources.fixtures import spread
+
+    slots = spark.sparkContext.defaultParallelism
+    one = spark.range(0, 1000, numPartitions=1)
+    assert spread(one).rdd.getNumPartitions() == slots
+    many = spark.range(0, 1000, numPartitions=slots * 2)
+    assert spread(many) is many
