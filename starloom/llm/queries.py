@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import secret_scan, url_filter
+from starloom.llm import decontaminate, secret_scan, simhash_dedup, url_filter
 from starloom.llm.common import table
 
 #: The rules of the URL query (host, path, action).
@@ -20,6 +20,10 @@ URL_RULES = [
 ]
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.flag(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def secret_columns(spans: Column) -> list[Column]:
     """The digest columns of the secret query from the operator's spans."""
     base = F.filter(spans, lambda s: s["kind_no"] < len(secret_scan.BASE_RULES))
@@ -38,6 +42,12 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *secret_columns(F.col("spans")))
 
 
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_dedup.group(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), simhash_dedup.hex_digits(F.col("fp")).alias("fingerprint"),
+                        "component_id")
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
@@ -45,7 +55,9 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_decontaminate": op2_decontaminate,
         "op3_secret_scan": op3_secret_scan,
+        "op5_simhash_dedup": op5_simhash_dedup,
         "op9_url_filter": op9_url_filter,
     }
 
