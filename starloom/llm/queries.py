@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, secret_scan, simhash_dedup, url_filter
-from starloom.llm.common import table
+from starloom.llm import bpe, decontaminate, secret_scan, simhash_dedup, toxicity, url_filter
+from starloom.llm.common import crc_mod, table
 
 #: The rules of the URL query (host, path, action).
 URL_RULES = [
@@ -48,17 +48,57 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+#: Remainder of crc32(doc_id) modulo 5 whose labels the toxicity query never sees.
+TOXIC_HELD_OUT = 0
+TOXIC_AT = 0.5
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """Trained on labelled documents outside the held-out fold."""
+    return toxicity.sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                           crc_mod(F.col("id"), 5) != TOXIC_HELD_OUT)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
+    return scored.select("doc_id", (crc_mod(F.col("doc_id"), 5) == TOXIC_HELD_OUT).alias("held_out"), "score",
+                         (F.col("score") >= TOXIC_AT).cast("int").alias("predicted"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def vocabulary(path: str | None = None) -> bpe.Vocabulary:
+    """The byte-level vocabulary of the BPE query, or the file at ``path``."""
+    if path is None:
+        import public_tokenizers
+        path = public_tokenizers.path("byte_bpe_50k.json")
+    return bpe.load(path)
+
+
+def token_columns() -> list[Column]:
+    """The digest columns of the BPE query from the operator's ids and decoded text."""
+    return [F.size("ids").cast("long").alias("n_tokens"),
+            F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+            F.sha2("text", 256).alias("decoded_sha256")]
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = vocabulary()
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), v), v)
+    return coded.select("doc_id", *token_columns())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_decontaminate": op2_decontaminate,
         "op3_secret_scan": op3_secret_scan,
         "op5_simhash_dedup": op5_simhash_dedup,
+        "op7_toxicity": op7_toxicity,
         "op9_url_filter": op9_url_filter,
+        "op10_bpe": op10_bpe,
     }
 
 

@@ -27,10 +27,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import pick
+from starloom.llm.common import fresh, pick
 from starloom.llm.trigrams import derive
 from starloom.operators.joins import join_small
-from starloom.session import stage
+from starloom.session import Staged, stage
 
 
 @dataclass(frozen=True)
@@ -131,20 +131,28 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(id, text, spans) for every row; spans is an array of (start, kind_no, kind, stop)
     ordered by start, then by the rules' order, stop exclusive, in code points."""
     base = pick(docs, id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
-    found = candidates(base, rules)
+    found = _with_spans(base, F.col("id"), F.col("text"), rules, "spans")
+    return found.select(F.col("id").alias(id_col), F.col("text").alias(text_col), "spans")
+
+
+def _with_spans(docs: DataFrame, doc_id: Column, text: Column, rules: tuple[Rule, ...], name: str) -> DataFrame:
+    """``docs`` plus the column ``name`` with the sorted spans of ``text``."""
+    found = candidates(docs.select(doc_id.alias("id"), text.alias("text")), rules)
+    key, asked_col = fresh(docs, "_key"), fresh(docs, "_rules")
     if found is not None:
-        base = (join_small(base.withColumn("key", _key(F.col("id"), F.col("text"))),
-                           stage(found, "secret-candidates"), "key", "left").drop("key"))
+        ready = stage(found, "secret-candidates")
+        side = Staged(ready.df.select(F.col("key").alias(key), F.col("rules").alias(asked_col)),
+                      ready.rows, ready.bytes)
+        marked = join_small(docs.withColumn(key, _key(doc_id, text)), side, key, "left").drop(key)
     else:
-        base = base.withColumn("rules", F.lit(None).cast("array<int>"))
+        marked = docs.withColumn(asked_col, F.lit(None).cast("array<int>"))
     none = F.array().cast("array<struct<start:int,kind_no:int,kind:string,stop:int>>")
     parts = []
     for i, rule in enumerate(rules):
-        asked = F.array_contains("rules", i) if derive(rule.pattern) is not None else F.lit(True)
-        parts.append(F.when(F.coalesce(asked, F.lit(False)) & F.col("text").rlike(rule.pattern),
-                            _matches(F.col("text"), rule, i)).otherwise(none))
-    return base.select(F.col("id").alias(id_col), F.col("text").alias(text_col),
-                       F.array_sort(F.concat(*parts)).alias("spans"))
+        asked = F.array_contains(asked_col, i) if derive(rule.pattern) is not None else F.lit(True)
+        parts.append(F.when(F.coalesce(asked, F.lit(False)) & text.rlike(rule.pattern),
+                            _matches(text, rule, i)).otherwise(none))
+    return marked.withColumn(name, F.array_sort(F.concat(*parts))).drop(asked_col)
 
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
@@ -160,3 +168,22 @@ def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(
         spans, begin, step, lambda acc: F.concat(acc["out"], F.substring(
             text, acc["at"] + 1, F.length(text)))))
+
+
+def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+         rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]", length_col: str = "n_chars") -> DataFrame:
+    """``docs`` with every secret replaced by ``mark``, all columns; where there is a column
+    ``length_col`` it follows the new text. Rows without secrets are unchanged."""
+    name = fresh(docs, "_spans")
+    found = _with_spans(docs, F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")), rules, name)
+    hit = F.size(name) > 0
+    text = F.when(hit, redact(F.col(f"`{text_col}`"), F.col(name), mark)).otherwise(F.col(f"`{text_col}`"))
+    out = []
+    for c in docs.columns:
+        col = F.col(f"`{c}`")
+        if c == text_col:
+            col = text
+        elif c == length_col:
+            col = F.when(hit, F.length(text).cast(docs.schema[c].dataType)).otherwise(col)
+        out.append(col.alias(c))
+    return found.select(*out)

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import pick, roots
+from starloom.llm.common import fresh, pick, roots
 from starloom.operators.joins import join_small
 from starloom.session import Staged, stage
 
@@ -263,3 +263,21 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
 
 def hex_digits(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+             radius: int = RADIUS) -> DataFrame:
+    """One row of each component, all columns: the one with the component's id. Rows that
+    repeat that id and its text are one row."""
+    found = group(docs, id_col, text_col, shingle, radius)
+    kept = stage(found.where(F.col("id").eqNullSafe(F.col("component_id")))
+                 # The same id may come with several texts of one component: the first hash stays.
+                 .groupBy("id", "component_id").agg(F.min("text_hash").alias("text_hash"),
+                                                    F.count("*").alias("copies")), "kept")
+    key = fresh(docs, "_key")
+    keys = Staged(kept.df.select(F.xxhash64("id", "text_hash").alias(key)), kept.rows, kept.bytes)
+    marked = docs.withColumn(key, F.xxhash64(F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text_col}`"))))
+    out = join_small(marked, keys, key, "left_semi")
+    if kept.df.where("copies > 1").limit(1).count():
+        out = out.dropDuplicates([key])
+    return out.select(*[f"`{c}`" for c in docs.columns])

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,14 +29,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from starloom.llm.common import pick
+from starloom.llm.common import fresh, pick
 
-WINDOW, STRIDE = 64, 32
+WINDOW, STRIDE = 64, 48
 HIDDEN, DIM = 8, 8
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 15, 1 << 13
 #: Bounds of the training sample: documents of each class, windows and characters of a document.
-PER_CLASS, WINDOWS_PER_DOC, CHARS_PER_DOC = 500, 48, 20_000
+PER_CLASS, WINDOWS_PER_DOC, CHARS_PER_DOC = 1500, 8, 20_000
 _PAD_GATE = 30.0
 
 _words = re.compile(r"[^\W_]+").findall
@@ -55,7 +57,8 @@ def words_of(text: str | None) -> list[str]:
 def _features(word: str) -> tuple[int, list[int]]:
     w = zlib.crc32(word.encode()) % WORD_BUCKETS
     s = f"<{word[:40]}>"
-    grams = [zlib.crc32(s[i:i + 3].encode()) % CHAR_BUCKETS for i in range(len(s) - 2)] or [0]
+    grams = [zlib.crc32(s[i:i + n].encode()) % CHAR_BUCKETS for n in (3, 4)
+             for i in range(len(s) - n + 1)] or [0]
     return w, grams
 
 
@@ -84,12 +87,13 @@ def _init(rng: np.random.Generator) -> dict[str, np.ndarray]:
 
 
 class _Lexicon:
-    """Row numbers for words; row 0 is padding."""
+    """Row numbers for words; row 0 is padding. The n-grams of all rows lie end to end."""
 
     def __init__(self) -> None:
         self.row: dict[str, int] = {}
-        self.word: list[int] = []
-        self.grams: list[list[int]] = []
+        self.word = array("l")
+        self.gram = array("l")
+        self.size = array("l")
 
     def rows(self, words: list[str]) -> np.ndarray:
         row = self.row
@@ -100,20 +104,19 @@ class _Lexicon:
                     w = words[i]
                     r = row.get(w)
                     if r is None:
-                        f = _features(w)
-                        self.word.append(f[0])
-                        self.grams.append(f[1])
+                        word, grams = _features(w)
+                        self.word.append(word)
+                        self.gram.extend(grams)
+                        self.size.append(len(grams))
                         r = row[w] = len(row) + 1
                     out[i] = r
         return np.array(out, np.int32)
 
-    def inputs(self, p: dict[str, np.ndarray], lo: int = 0) -> np.ndarray:
-        """Word plus mean n-gram vectors of the rows after ``lo``."""
-        grams = self.grams[lo:]
-        size = np.fromiter(map(len, grams), np.int64, len(grams))
-        flat = np.fromiter((g for gs in grams for g in gs), np.int64, int(size.sum()))
-        sums = np.add.reduceat(p["char"][flat], np.cumsum(size) - size, axis=0)
-        return p["word"][np.array(self.word[lo:])] + sums / size[:, None].astype(np.float32)
+
+def _inputs(word: np.ndarray, gram: np.ndarray, size: np.ndarray, p: dict) -> np.ndarray:
+    """Word plus mean n-gram vectors."""
+    sums = np.add.reduceat(p["char"][gram], np.cumsum(size) - size, axis=0)
+    return p["word"][word] + sums / size[:, None].astype(np.float32)
 
 
 def _gru(gates: np.ndarray, rec: np.ndarray, keep: list | None) -> np.ndarray:
@@ -188,8 +191,9 @@ def _bptt(d_out: np.ndarray, keep: list, rec: np.ndarray) -> tuple[np.ndarray, n
     return d_gates, d_rec
 
 
-def _backward(rows: np.ndarray, y: np.ndarray, weight: np.ndarray, lexicon: _Lexicon, x: np.ndarray,
-              p: dict) -> dict[str, np.ndarray]:
+def _backward(rows: np.ndarray, y: np.ndarray, weight: np.ndarray, x: np.ndarray,
+              p: dict) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Gradients of the dense parameters, and of the inputs x of rows 1, 2, ..."""
     tables = _tables(x, p)
     kf, kb = [], []
     f = _gru(_gates(rows, tables["f"]), p["rec_f"], kf)
@@ -215,14 +219,13 @@ def _backward(rows: np.ndarray, y: np.ndarray, weight: np.ndarray, lexicon: _Lex
         seen = np.concatenate([np.zeros((1, DIM), np.float32), x])[at]
         g[f"in_{d}"] = seen.T @ flat
         g[f"bias_{d}"] = flat.sum(axis=0)
-        np.add.at(d_x, at, flat @ p[f"in_{d}"].T)
-    used = np.unique(rows[rows != 0])
-    word = np.array(lexicon.word)[used - 1]
-    g["word"] = (word, d_x[used])
-    size = np.array([len(lexicon.grams[u - 1]) for u in used])
-    flat = np.array([c for u in used for c in lexicon.grams[u - 1]], np.int64)
-    g["char"] = (flat, np.repeat(d_x[used] / size[:, None], size, axis=0).astype(np.float32))
-    return g
+        d_x += _add_rows(at, flat @ p[f"in_{d}"].T, len(d_x))
+    return g, d_x[1:]
+
+
+def _add_rows(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sum of the values' rows by their target row."""
+    return np.stack([np.bincount(at, c, n) for c in values.T], axis=1).astype(np.float32)
 
 
 class _Adam:
@@ -236,11 +239,8 @@ class _Adam:
         fix = np.sqrt(1 - 0.999 ** self.t) / (1 - 0.9 ** self.t)
         for k, g in grads.items():
             if isinstance(g, tuple):  # rows of an embedding table
-                rows, back = np.unique(g[0], return_inverse=True)
-                summed = np.zeros((len(rows), g[1].shape[1]), np.float32)
-                np.add.at(summed, back, g[1])
-                at: object = rows
-                g = summed
+                at, back = np.unique(g[0], return_inverse=True)
+                g = _add_rows(back, g[1], len(at))
             else:
                 at = slice(None)
             m = self.m[k][at] = 0.9 * self.m[k][at] + 0.1 * g
@@ -257,8 +257,9 @@ def _windows(rows: np.ndarray, most: int | None = None) -> np.ndarray:
     return rows[np.add.outer(np.array(starts), np.arange(WINDOW))]
 
 
-def train(texts: list[str], labels: list[int], passes: int = 10, seed: int = 7) -> Model:
-    """Fit on a bounded list of labelled texts."""
+def train(texts: list[str], labels: list[int], shown: int = 8_000, seed: int = 7) -> Model:
+    """Fit on a bounded list of labelled texts; ``shown`` is how many documents are looked
+    at in all passes together."""
     y = np.array(labels, np.float32)
     if len(y) == 0 or y.min() == y.max():
         return Model({}, float(y.mean()) if len(y) else 0.0)
@@ -267,42 +268,66 @@ def train(texts: list[str], labels: list[int], passes: int = 10, seed: int = 7)
     adam = _Adam(p, 0.01)
     lexicon = _Lexicon()
     bags = [_windows(lexicon.rows(words_of(t)), WINDOWS_PER_DOC) for t in texts]
+    word, gram, size = (np.array(a) for a in (lexicon.word, lexicon.gram, lexicon.size))
+    begin = np.cumsum(size) - size
+    _informed(p, bags, y, word, gram, size, begin)
+    batch = min(96, max(16, len(bags) // 16))
     share = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (1 - y).sum()))
     # Every class gets half of the weight; a pass is shuffled into batches of documents.
+    passes = max(4, -(-shown // len(bags)))
     for k in range(passes):
         order = rng.permutation(len(bags))
-        for lo in range(0, len(order), 64):
-            docs = order[lo:lo + 64]
+        for lo in range(0, len(order), batch):
+            docs = order[lo:lo + batch]
             rows = np.concatenate([bags[i] for i in docs])
             owner = np.repeat(np.arange(len(docs)), [len(bags[i]) for i in docs])
-            used, inner = np.unique(rows, return_inverse=True)
-            small = _Sub(lexicon, used)
-            rows = small.renumber(inner.reshape(rows.shape))
-            x = small.lexicon.inputs(p)
             weight = share[docs][owner] / len(docs)
-            if k < 2:
+            if k < max(2, passes // 4):
                 weight = weight / np.bincount(owner)[owner]
             else:
-                logit = _forward(rows, _tables(x, p), p)
+                sub, w, g, s = _part(rows, word, gram, size, begin)
+                logit = _forward(sub, _tables(_inputs(w, g, s, p), p), p)
                 best = np.lexsort((-logit, owner))
                 best = best[np.unique(owner[best], return_index=True)[1]]
                 rows, owner, weight = rows[best], owner[best], weight[best]
-            adam.step(_backward(rows, y[docs][owner], weight, small.lexicon, x, p))
+            sub, w, g, s = _part(rows, word, gram, size, begin)
+            grads, d_x = _backward(sub, y[docs][owner], weight, _inputs(w, g, s, p), p)
+            grads |= {"word": (w, d_x), "char": (g, np.repeat(d_x / s[:, None].astype(np.float32), s, axis=0))}
+            adam.step(grads)
     return Model(p)
 
 
-class _Sub:
-    """The part of a lexicon that a batch uses."""
-
-    def __init__(self, whole: _Lexicon, used: np.ndarray):
-        self.pad = len(used) > 0 and used[0] == 0
-        self.lexicon = _Lexicon()
-        real = used[1:] if self.pad else used
-        self.lexicon.word = [whole.word[r - 1] for r in real] or [0]
-        self.lexicon.grams = [whole.grams[r - 1] for r in real] or [[0]]
-
-    def renumber(self, inner: np.ndarray) -> np.ndarray:
-        return (inner if self.pad else inner + 1).astype(np.int32)
+def _informed(p: dict, bags: list[np.ndarray], y: np.ndarray, word: np.ndarray, gram: np.ndarray,
+              size: np.ndarray, begin: np.ndarray) -> None:
+    """Start values: the first input unit holds how much likelier a word is in documents of
+    label 1 (a smoothed log-odds z-score), the second the same for character n-grams. What
+    occurs in few documents starts near zero, so it cannot stand for a single document."""
+    seen = {"word": (np.zeros((2, WORD_BUCKETS)), 0), "char": (np.zeros((2, CHAR_BUCKETS)), 1)}
+    for bag, label in zip(bags, y, strict=True):
+        used = np.unique(bag)
+        used = used[used > 0] - 1
+        if len(used):
+            at = np.concatenate([np.arange(b, b + s) for b, s in zip(begin[used], size[used], strict=True)])
+            seen["word"][0][int(label), np.unique(word[used])] += 1
+            seen["char"][0][int(label), np.unique(gram[at])] += 1
+    n = np.array([(y == 0).sum(), (y == 1).sum()], float)
+    for name, (df, unit) in seen.items():
+        odds = np.log((df[1] + 0.5) / (n[1] + 1)) - np.log((df[0] + 0.5) / (n[0] + 1))
+        z = odds / np.sqrt(1 / (df[1] + 0.5) + 1 / (df[0] + 0.5))
+        z[df.sum(axis=0) < 3] = 0
+        p[name][:, unit] = np.clip(z / 3, -1, 3)
+
+
+def _part(rows: np.ndarray, word: np.ndarray, gram: np.ndarray, size: np.ndarray,
+          begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Windows renumbered to the words they use, and those words' features."""
+    used, inner = np.unique(np.append(rows, 0), return_inverse=True)
+    real = used[1:] - 1
+    if not len(real):  # nothing but padding
+        return np.zeros_like(rows), np.zeros(1, int), np.zeros(1, int), np.ones(1, int)
+    s = size[real]
+    at = np.repeat(begin[real] - (np.cumsum(s) - s), s) + np.arange(s.sum())
+    return inner[:-1].reshape(rows.shape).astype(np.int32), word[real], gram[at], s
 
 
 class Scorer:
@@ -318,13 +343,16 @@ class Scorer:
         for d in "fb":
             self.tables[d][0] = 0
             self.tables[d][0, :HIDDEN] = -_PAD_GATE
-        self.ready = 0
+        self.ready = self.grams = 0
 
     def _grow(self) -> None:
-        n = len(self.lexicon.word)
+        lex, n = self.lexicon, len(self.lexicon.word)
         if n == self.ready:
             return
-        new = _tables(self.lexicon.inputs(self.model.p, self.ready), self.model.p)
+        word, gram, size = (np.array(a) for a in (lex.word[self.ready:], lex.gram[self.grams:],
+                                                  lex.size[self.ready:]))
+        new = _tables(_inputs(word, gram, size, self.model.p), self.model.p)
+        self.grams = len(lex.gram)
         for d in "fb":
             if n + 1 > len(self.tables[d]):
                 bigger = np.empty((max(n + 1, 2 * len(self.tables[d])), 3 * HIDDEN), np.float32)
@@ -386,17 +414,28 @@ def sample(docs: DataFrame, labels: DataFrame, use: Column, id_col: str = "doc_i
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) for every row, in [0, 1]."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
     base = pick(docs, id=id_col, text=text_col)
+    return _scored(base, model, "text", "score").select(F.col("id").alias(id_col), "score")
+
+
+def drop_toxic(docs: DataFrame, model: Model, at: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is below ``at``."""
+    name = fresh(docs, "_score")
+    return (_scored(docs, model, text_col, name).where(F.col(name) < at)
+            .select(*[f"`{c}`" for c in docs.columns]))
+
+
+def _scored(docs: DataFrame, model: Model, text_col: str, name: str) -> DataFrame:
+    """``docs`` plus the score, row by row where the rows are."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(sent.value)
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 s = b.slice(lo, 256)
-                yield pa.RecordBatch.from_arrays(
-                    [s.column("id"), pa.array(scorer.scores(s.column("text").to_pylist()), pa.float64())],
-                    names=["id", "score"])
+                got = pa.array(scorer.scores(s.column(at).to_pylist()), pa.float64())
+                yield pa.RecordBatch.from_arrays([*s.columns, got], names=[*s.schema.names, name])
 
-    kind = base.schema["id"].dataType.simpleString()
-    return base.mapInArrow(work, f"id {kind}, score double").select(F.col("id").alias(id_col), "score")
+    return docs.mapInArrow(work, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
