@@ -57,15 +57,17 @@ def simhash(hashes: Column) -> Column:
     """SimHash of an array of 64-bit hashes: a bit is set if it is in over half of them.
 
     Two bits are counted at a time, in the halves of a long."""
-    n = F.size(hashes)
-    bits = []
-    for j in range(32):
-        both = F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: a + F.shiftrightunsigned(
-            h, j).bitwiseAND(F.lit(0x0000000100000001)))
-        low, high = both.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(both, 32)
-        bits.append(F.when(low * 2 > n, F.shiftleft(F.lit(1).cast("long"), j)).otherwise(F.lit(0)))
-        bits.append(F.when(high * 2 > n, F.shiftleft(F.lit(1).cast("long"), j + 32)).otherwise(F.lit(0)))
-    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+    n, one = F.size(hashes), F.lit(1).cast("long")
+    halves = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda j: F.aggregate(
+        hashes, F.lit(0).cast("long"), lambda a, h: a + F.call_function(
+            "shiftrightunsigned", h, j).bitwiseAND(F.lit(0x0000000100000001))))
+
+    def bit(count: Column, at: Column) -> Column:
+        return F.when(count * 2 > n, F.call_function("shiftleft", one, at)).otherwise(F.lit(0).cast("long"))
+
+    bits = F.transform(halves, lambda both, j: bit(both.bitwiseAND(F.lit(0xFFFFFFFF)), j).bitwiseOR(
+        bit(F.shiftrightunsigned(both, 32), j + 32)))
+    return F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
 
 
 def _blocks(radius: int) -> list[tuple[int, int]]:
@@ -76,13 +78,16 @@ def _blocks(radius: int) -> list[tuple[int, int]]:
 
 
 def _block_values(fp: Column, radius: int) -> Column:
-    return F.array(*[F.shiftrightunsigned(fp, s).bitwiseAND(F.lit(m)) for s, m in _blocks(radius)])
+    """Array of block values in block order."""
+    shifts, masks = zip(*_blocks(radius), strict=True)
+    at = F.array(*[F.struct(F.lit(s).alias("s"), F.lit(m).cast("long").alias("m"))
+                   for s, m in zip(shifts, masks, strict=True)])
+    return F.transform(at, lambda b: F.call_function("shiftrightunsigned", fp, b["s"]).bitwiseAND(b["m"]))
 
 
 def _first_shared(x: Column, radius: int) -> Column:
     """Number of the first block in which the xor ``x`` is zero."""
-    return F.coalesce(*[F.when(F.shiftrightunsigned(x, s).bitwiseAND(F.lit(m)) == 0, F.lit(i))
-                        for i, (s, m) in enumerate(_blocks(radius))], F.lit(-1))
+    return (F.array_position(_block_values(x, radius), F.lit(0).cast("long")) - 1).cast("int")
 
 
 def _shingles(words: Column, k: Column) -> Column:
@@ -158,6 +163,9 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
                .withColumn("hashes", F.coalesce(*[F.when(F.col("k") == k, _hashes(F.col("window"), k))
                                                   for k in ks]))
                .withColumn("wfp", simhash(F.col("hashes"))).drop("hashes"))
+    # Written once: filters on a fingerprint or a similarity would otherwise be pushed down to
+    # where the texts are cut and compute them there again.
+    windows = stage(windows, "windows").df
     table = Staged(ready.df.select("n", "item_id", F.col("words").alias("item"), F.col("fp").alias("ifp"),
                                    F.posexplode(_block_values(F.col("fp"), radius)).alias("block", "value")),
                    ready.rows * (radius + 1), ready.bytes * (radius + 1))
@@ -165,10 +173,11 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     x = F.col("wfp").bitwiseXOR(F.col("ifp"))
     near = (join_small(probes, table, ["n", "block", "value"])
             .where((F.bit_count(x) <= radius) & (_first_shared(x, radius) == F.col("block"))))
-    score = _weighted_jaccard(_shingles(F.col("window"), F.col("k")), _shingles(F.col("item"), F.col("k")))
-    return (near.select("key", "item_id", score.alias("similarity"))
-            .where(F.col("similarity") >= similarity)
-            .groupBy("key", "item_id").agg(F.max("similarity").alias("similarity")))
+    pairs = stage(near.select("key", "item_id", _shingles(F.col("window"), F.col("k")).alias("a"),
+                              _shingles(F.col("item"), F.col("k")).alias("b")), "window-pairs").df
+    return (pairs.groupBy("key", "item_id")
+            .agg(F.max(_weighted_jaccard(F.col("a"), F.col("b"))).alias("similarity"))
+            .where(F.col("similarity") >= similarity))
 
 
 def document_key(doc_id: Column, text: Column) -> Column:

@@ -68,11 +68,12 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("name", "children", "cut", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("name", "children", "cut", "chars", "tags", "link_chars", "link_tags", "block", "density", "sum")
 
     def __init__(self, name: str, cut: bool = False):
         self.name, self.cut = name, cut
         self.children: list[Node | str] = []
+        self.block = name in BLOCK  # or holds a block
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
 
@@ -186,39 +187,51 @@ def measure(root: Node) -> list[Node]:
         for c in node.children:
             if not isinstance(c, str) and not c.cut:
                 inside[id(c)] = link
+    own: dict[int, list[int]] = {}  # what stands in an element outside the blocks below it
     for node in reversed(nodes):
         link = inside.get(id(node), False) or node.name == "a"
-        chars = tags = link_chars = link_tags = 0
+        below, direct = [0, 0, 0, 0], [0, 0, 0, 0]
         for c in node.children:
             if isinstance(c, str):
-                k = len(c) - c.count(" ") if not c.isspace() else 0
-                chars += k
-                link_chars += k if link else 0
-            elif not c.cut:
-                chars, tags = chars + c.chars, tags + c.tags + 1
-                link_chars, link_tags = link_chars + c.link_chars, link_tags + c.link_tags + (c.name == "a")
-        node.chars, node.tags, node.link_chars, node.link_tags = chars, tags, link_chars, link_tags
-    c_b, lc_b = max(root.chars, 1), root.link_chars
+                k = 0 if c.isspace() else len(c)
+                counts = (k, 0, k if link else 0, 0)
+            elif c.cut:
+                continue
+            else:
+                counts = (c.chars, c.tags + 1, c.link_chars, c.link_tags + (c.name == "a"))
+                node.block = node.block or c.block
+            into = below if not isinstance(c, str) and c.block else direct
+            for i, k in enumerate(counts):
+                into[i] += k
+        own[id(node)] = direct
+        node.chars, node.tags, node.link_chars, node.link_tags = (
+            x + y for x, y in zip(below, direct, strict=True))
+    share = root.link_chars / max(root.chars, 1)
     for node in reversed(nodes):
-        c, t = node.chars, max(node.tags, 1)
-        if c:
-            lc, lt = max(node.link_chars, 1), max(node.link_tags, 1)
-            rest = max(c - node.link_chars, 1)
-            base = math.log(c / rest * node.link_chars + lc_b / c_b * c + math.e)
-            share = c / lc * t / lt
-            # A logarithm to the base ``base`` (over 1); all-link text turns to zero or less.
-            node.density = c / t * math.log(max(share, 1.0)) / math.log(base + 1e-9) if base > 1 else \
-                c / t * math.log(max(share, 1.0))
-        node.sum = sum(x.density for x in node.children if not isinstance(x, str) and not x.cut)
+        node.density = _density(node.chars, node.tags, node.link_chars, node.link_tags, share)
+        # Text that stands between the blocks counts as one more child.
+        node.sum = _density(*own[id(node)], share) + sum(
+            x.density for x in node.children if not isinstance(x, str) and not x.cut and x.block)
     return nodes
 
 
+def _density(chars: int, tags: int, link_chars: int, link_tags: int, body_share: float) -> float:
+    """Composite text density: characters per tag times a logarithm that falls with links,
+    to a base that grows with the link share of the element and of the body (and is e where
+    there are no links at all)."""
+    if not chars:
+        return 0.0
+    tags, lc, lt = max(tags, 1), max(link_chars, 1), max(link_tags, 1)
+    base = math.log(chars / max(chars - link_chars, 1) * link_chars + body_share * chars + math.e ** math.e)
+    return chars / tags * math.log(max(chars / lc * tags / lt, 1.0)) / math.log(base)
+
+
 def content(root: Node) -> list[Node]:
     """The content elements in page order."""
     nodes = measure(root)
     if not root.chars:
         return []
-    best = max(nodes, key=lambda x: x.sum)  # the first of equals, which is the outer one
+    best = max((n for n in nodes if n.block or n is root), key=lambda x: x.sum)  # the first of equals, which is the outer one
     if best.sum <= 0:
         return [root]
     parent = {id(c): n for n in nodes for c in n.children if not isinstance(c, str)}
@@ -231,7 +244,7 @@ def content(root: Node) -> list[Node]:
     for n in reversed(nodes):
         choice = n
         for c in n.children:
-            if not isinstance(c, str) and not c.cut and top[id(c)].sum > choice.sum:
+            if not isinstance(c, str) and not c.cut and c.block and top[id(c)].sum > choice.sum:
                 choice = top[id(c)]
         top[id(n)] = choice
     out, stack = [], [root]
@@ -240,7 +253,7 @@ def content(root: Node) -> list[Node]:
         if n is not root and n.density >= threshold or n is best:
             out.append(top[id(n)])
             continue
-        stack.extend(c for c in reversed(n.children) if not isinstance(c, str) and not c.cut)
+        stack.extend(c for c in reversed(n.children) if not isinstance(c, str) and not c.cut and c.block)
     return out or [best]
 
 

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, decontaminate, secret_scan, simhash_dedup, toxicity, url_filter
+from starloom.llm import (bpe, decontaminate, html_text, licenses, pu_quality, secret_scan, simhash_dedup,
+                          toxicity, url_filter)
 from starloom.llm.common import crc_mod, table
 
 #: The rules of the URL query (host, path, action).
@@ -20,6 +21,19 @@ URL_RULES = [
 ]
 
 
+#: Remainder of crc32(doc_id) modulo 4 whose labels the quality query never sees.
+QUALITY_HELD_OUT = 2
+QUALITY_AT = 0.7
+
+
+def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = pu_quality.sample(docs, table(spark, sf_dir, "labels"), crc_mod(F.col("id"), 4) != QUALITY_HELD_OUT)
+    return pu_quality.score(docs, model).select(
+        "doc_id", (crc_mod(F.col("doc_id"), 4) == QUALITY_HELD_OUT).alias("held_out"), "score",
+        (F.col("score") >= QUALITY_AT).cast("int").alias("predicted"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.flag(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -42,6 +56,11 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *secret_columns(F.col("spans")))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (html_text.extract_text(table(spark, sf_dir, "pages"))
+            .withColumn("n_chars", F.length("text").cast("long")))
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.group(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), simhash_dedup.hex_digits(F.col("fp")).alias("fingerprint"),
@@ -65,6 +84,16 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= TOXIC_AT).cast("int").alias("predicted"))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    best = F.array_max(F.transform("found", lambda x: x["coverage"]))
+    return found.select("doc_id", F.size("found").cast("long").alias("n_licenses"),
+                        F.array_join(F.transform("found", lambda x: x["template"]), ",").alias("licenses"),
+                        F.coalesce(best, F.lit(0.0)).alias("coverage"),
+                        F.array_join(F.transform("found", lambda x: F.concat_ws(
+                            ":", x["start"].cast("string"), x["stop"].cast("string"))), ",").alias("places"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
@@ -93,10 +122,13 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_pu_quality": op1_pu_quality,
         "op2_decontaminate": op2_decontaminate,
         "op3_secret_scan": op3_secret_scan,
+        "op4_html_text": op4_html_text,
         "op5_simhash_dedup": op5_simhash_dedup,
         "op7_toxicity": op7_toxicity,
+        "op8_licenses": op8_licenses,
         "op9_url_filter": op9_url_filter,
         "op10_bpe": op10_bpe,
     }
