@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import (bpe, decontaminate, html_text, licenses, pu_quality, secret_scan, simhash_dedup,
-                          toxicity, url_filter)
+from starloom.llm import (bpe, decontaminate, embedding_dedup, html_text, licenses, pu_quality,
+                          secret_scan, simhash_dedup, toxicity, url_filter)
 from starloom.llm.common import crc_mod, table
 
 #: The rules of the URL query (host, path, action).
@@ -67,6 +67,12 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_dedup.group(table(spark, sf_dir, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id",
+                        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 #: Remainder of crc32(doc_id) modulo 5 whose labels the toxicity query never sees.
 TOXIC_HELD_OUT = 0
 TOXIC_AT = 0.5
@@ -127,6 +133,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_secret_scan": op3_secret_scan,
         "op4_html_text": op4_html_text,
         "op5_simhash_dedup": op5_simhash_dedup,
+        "op6_embedding_dedup": op6_embedding_dedup,
         "op7_toxicity": op7_toxicity,
         "op8_licenses": op8_licenses,
         "op9_url_filter": op9_url_filter,
