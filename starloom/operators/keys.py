@@ -1,14 +1,11 @@
 """Dense, reproducible surrogate keys 1..n in a given order.
 
-Small inputs (row count known from staging, or counted) use ``row_number`` over a global
-window, which runs in a single task. Large inputs never go through one
-task: they are range-partitioned and sorted within partitions, each row's
-position inside its partition is taken from ``monotonically_increasing_id``
-(partition index in the high bits, position in the low 33 bits), and the
-per-partition row counts -- one row per partition, a proven bound -- give
-the offsets through a small broadcast join. The ranged copy is written to
-the shared checkpoint folder first, so counts and positions come from the
-same data even if executors are lost in between.
+Rows are range-partitioned and sorted within partitions; each row's position inside its
+partition is taken from ``monotonically_increasing_id`` (partition index in the high bits,
+position in the low 33 bits), and the per-partition row counts -- one row per partition, a
+proven bound -- give the offsets through a small broadcast join. No task sees more than its
+range. The ranged copy is written to the shared checkpoint folder first, so counts and
+positions come from the same data even if executors are lost in between.
 """
 
 from __future__ import annotations
@@ -18,10 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.operators.joins import bounded_count
 from starloom.session import materialize
 
-SMALL_DIM_ROWS = 500_000
 _POS_BITS = 33
 
 
@@ -30,23 +25,11 @@ def _order(cols: Sequence[str | Column]) -> list[Column]:
 
 
 def dense_keys(df: DataFrame, key_name: str, order_by: Sequence[str | Column], *,
-               rows: int | None = None, small_rows: int = SMALL_DIM_ROWS,
                num_partitions: int | None = None, first: bool = True) -> DataFrame:
-    """Add ``key_name`` = 1..n following ``order_by`` (which must be a total
-    order over the rows; add the natural key as a tiebreak). The key column
-    is placed first when ``first``. ``rows`` is a known upper bound of the
-    row count (e.g. measured when the input was staged); without it a
-    bounded count is run."""
-    order = _order(order_by)
-    small = rows <= small_rows if rows is not None else (
-        bounded_count(df, small_rows) is not None)
-    if small:
-        keyed = df.withColumn(key_name, F.row_number().over(Window.orderBy(*order)).cast("int"))
-    else:
-        keyed = _range_keys(df, key_name, order, num_partitions)
-    if first:
-        keyed = keyed.select(key_name, *[c for c in df.columns])
-    return keyed
+    """Add ``key_name`` = 1..n following ``order_by`` (which must be a total order over the
+    rows; add the natural key as a tiebreak). The key column is placed first when ``first``."""
+    keyed = _range_keys(df, key_name, _order(order_by), num_partitions)
+    return keyed.select(key_name, *df.columns) if first else keyed
 
 
 def _range_keys(df: DataFrame, key_name: str, order: list[Column],

@@ -10,13 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, NumericType, StringType
+from pyspark.sql.types import BooleanType, DoubleType, FloatType, NumericType, StringType
 
 from starloom.functions.numeric import round_half_up
 from starloom.functions.text import display_first_part
-from starloom.operators.quantiles import quantiles_from_counts, value_counts
+from starloom.operators.quantiles import exact_quantiles, number
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -38,6 +38,12 @@ def _unpivot_row(df: DataFrame, names: Sequence[str], exprs: dict[str, list[Colu
     return wide.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
 
 
+def _present(df: DataFrame, c: str) -> Column:
+    """The column with NaN as missing."""
+    floating = isinstance(df.schema[c].dataType, (FloatType, DoubleType))
+    return number(c) if floating else F.col(f"`{c}`")
+
+
 def shape(df: DataFrame, name: str) -> DataFrame:
     """(table_name, n_rows, n_cols)."""
     return df.agg(F.count(F.lit(1)).cast("long").alias("n_rows")).select(
@@ -47,7 +53,7 @@ def shape(df: DataFrame, name: str) -> DataFrame:
 def info(df: DataFrame) -> DataFrame:
     """(position, column_name, dtype, non_null) per column."""
     names = df.columns
-    out = _unpivot_row(df, names, {c: [F.count(F.col(f"`{c}`")).cast("long")] for c in names},
+    out = _unpivot_row(df, names, {c: [F.count(_present(df, c)).cast("long")] for c in names},
                        ["non_null"])
     meta = {f.name: (i, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)}
     pos = F.create_map(*[x for n in names for x in (F.lit(n), F.lit(meta[n][0]))])
@@ -59,11 +65,11 @@ def info(df: DataFrame) -> DataFrame:
 def nulls(df: DataFrame, name: str | None = None, only_missing: bool = False) -> DataFrame:
     """(column_name, nulls, pct) per column, sorted by pct desc; one scan."""
     names = df.columns
-    exprs = {c: [F.count_if(F.col(f"`{c}`").isNull()).cast("long"), F.count(F.lit(1))]
+    exprs = {c: [F.count_if(_present(df, c).isNull()).cast("long"), F.count(F.lit(1))]
              for c in names}
     out = _unpivot_row(df, names, exprs, ["nulls", "_n"])
     out = out.select("column_name", "nulls",
-                     round_half_up(F.col("nulls") / F.col("_n") * 100, 6).alias("pct"))
+                     round_half_up(F.try_divide(F.col("nulls"), F.col("_n")) * 100, 6).alias("pct"))
     if name is not None:
         out = out.select(F.lit(name).alias("table_name"), "*")
     if only_missing:
@@ -71,68 +77,20 @@ def nulls(df: DataFrame, name: str | None = None, only_missing: bool = False) ->
     return out.orderBy(F.desc("pct"), F.asc("column_name"))
 
 
-def moments_from_counts(counts: DataFrame) -> DataFrame:
-    """(column_name, count, mean, std, min, max) from a (column_name, value,
-    cnt) table: a first aggregate for count/mean/min/max, then the sample
-    standard deviation around that mean (two-pass, numerically stable)."""
-    first = counts.groupBy("column_name").agg(
-        F.sum("cnt").cast("long").alias("count"),
-        (F.sum(F.col("value") * F.col("cnt")) / F.sum("cnt")).alias("mean"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    # One row per column: a bounded broadcast.
-    dev = counts.join(F.broadcast(first.select("column_name", "mean")), "column_name")
-    ss = dev.groupBy("column_name").agg(
-        F.sum(F.col("cnt") * (F.col("value") - F.col("mean")) ** 2).alias("_ss"))
-    std = F.when(F.col("count") > 1, F.sqrt(F.col("_ss") / (F.col("count") - 1)))
-    return first.join(ss, "column_name").select(
-        "column_name", "count", "mean", std.alias("std"), "min", "max")
-
-
-APPROX_ACCURACY = 100_000
-
-
-def describe_approx(df: DataFrame, cols: Sequence[str], digits: int = 6,
-                    accuracy: int = APPROX_ACCURACY) -> DataFrame:
-    """``describe`` in one aggregate pass with sketch quartiles
-    (``percentile_approx``, relative rank error about 1/accuracy): memory per
-    task is bounded whatever the number of distinct values."""
-    exprs = {}
-    for c in cols:
-        x = F.col(c).cast("double")
-        q = F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy)
-        exprs[c] = [F.count(x).cast("long"), F.avg(x), F.stddev_samp(x), F.min(x),
-                    q[0], q[1], q[2], F.max(x)]
-    stats = ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
-    out = _unpivot_row(df, cols, exprs, stats)
-    return out.select("column_name", "count",
-                      *[round_half_up(F.col(c), digits).alias(c) for c in stats[1:]])
-
-
-def describe(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 6,
-             exact: bool = True) -> DataFrame:
-    """count, mean, sample std, min, quartiles (exact, linear), max per column.
-
-    The source is scanned once: every statistic comes from the staged
-    (column, value, count) table, which a hash aggregate builds map-side.
-    That table is as large as the number of distinct values; ``exact=False``
-    switches to :func:`describe_approx` (one pass, bounded sketches)."""
+def describe(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
+    """count, mean, sample std, min, quartiles (exact, linear), max per column; NaN counts as
+    missing. Moments are one wide aggregate, quartiles come from :func:`exact_quantiles`."""
     cols = list(cols) if cols is not None else numeric_columns(df)
-    if not exact:
-        return describe_approx(df, cols, digits)
-    counts = value_counts(df, cols)
-    q = quantiles_from_counts(counts, [0.25, 0.5, 0.75])
-    qw = q.groupBy("column_name").agg(
+    exprs = {c: [F.count(number(c)).cast("long"), F.avg(number(c)), F.stddev_samp(number(c)),
+                 F.min(number(c)), F.max(number(c))] for c in cols}
+    moments = _unpivot_row(df, cols, exprs, ["count", "mean", "std", "min", "max"])
+    quartiles = exact_quantiles(df, cols, [0.25, 0.5, 0.75]).groupBy("column_name").agg(
         *[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(a)
           for p, a in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
-    # Column names (metadata of the request) keep all-null columns in the output.
-    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
-    # Statistic tables hold one row per column: bounded broadcasts.
-    out = (names.join(F.broadcast(moments_from_counts(counts.df)), "column_name", "left")
-           .join(F.broadcast(qw), "column_name", "left"))
-    return out.select(
-        "column_name", F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"),
-        *[round_half_up(F.col(c), digits).alias(c)
-          for c in ("mean", "std", "min", "q25", "q50", "q75", "max")])
+    # One row per column: a bounded broadcast.
+    out = moments.join(F.broadcast(quartiles), "column_name", "left")
+    return out.select("column_name", "count", *[round_half_up(F.col(c), digits).alias(c) for c in (
+        "mean", "std", "min", "q25", "q50", "q75", "max")])
 
 
 def top_values(df: DataFrame, col: str | Column, n: int | None = None,
@@ -158,7 +116,7 @@ def describe_all(df: DataFrame, digits: int = 6) -> DataFrame:
     strings = [f.name for f in df.schema.fields
                if isinstance(f.dataType, (StringType, BooleanType))]
     nums = [c for c in numeric_columns(df) if c not in strings]
-    out = _unpivot_row(df, names, {c: [F.count(F.col(f"`{c}`")).cast("long")] for c in names},
+    out = _unpivot_row(df, names, {c: [F.count(_present(df, c)).cast("long")] for c in names},
                        ["count"])
     if strings:
         long = df.select(F.explode(F.array(*[
@@ -186,20 +144,18 @@ def describe_all(df: DataFrame, digits: int = 6) -> DataFrame:
     return out
 
 
-def repeated_signature_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame | None:
-    """Rows whose 96-bit signature over ``cols`` occurs more than once: a
-    superset of every repeated group, found by shuffling only signatures.
-    ``None`` when the repeated-signature table is not provably small (the
-    caller then groups the full rows)."""
-    from starloom.operators.joins import fits_broadcast
+def repeated_signature_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Rows whose 96-bit signature over ``cols`` occurs more than once: a superset of every
+    repeated group. Only signatures are grouped; the rows then meet the repeated signatures
+    in a semi join (a broadcast where those are proven small, else a shuffle on the narrow
+    signature, whose skewed partitions AQE splits)."""
+    from starloom.operators.joins import join_small
     from starloom.session import stage
 
     tagged = df.withColumns({"_h1": F.xxhash64(*cols), "_h2": F.hash(*cols)})
     repeated = stage(tagged.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
                      .filter(F.col("_n") > 1).drop("_n"), "dup-signatures")
-    if not fits_broadcast(repeated):
-        return None
-    return tagged.join(F.broadcast(repeated.df), ["_h1", "_h2"], "left_semi").drop("_h1", "_h2")
+    return join_small(tagged, repeated, ["_h1", "_h2"], "left_semi").drop("_h1", "_h2")
 
 
 def duplicate_count(df: DataFrame, ignore: Sequence[str] = (),
@@ -211,8 +167,7 @@ def duplicate_count(df: DataFrame, ignore: Sequence[str] = (),
     cols = [c for c in df.columns if c not in ignore]
     src = df.select(*cols)
     if by_signature:
-        cand = repeated_signature_rows(src, cols)
-        src = src if cand is None else cand
+        src = repeated_signature_rows(src, cols)
     return (src.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
             .agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("long").alias("duplicates")))
 
@@ -230,8 +185,7 @@ def duplicate_members(df: DataFrame, ignore: Sequence[str] = (),
     cols = [c for c in df.columns if c not in ignore]
     src = df
     if by_signature:
-        cand = repeated_signature_rows(df, cols)
-        src = df if cand is None else cand
+        src = repeated_signature_rows(df, cols)
     sizes = (src.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
              .filter(F.col("_c") > 1).drop("_c"))
     members = src.join(sizes, [src[c].eqNullSafe(sizes[c]) for c in cols], "left_semi")
@@ -253,37 +207,51 @@ def first_entity_counts(df: DataFrame, col: str, n: int = 10) -> DataFrame:
 
 
 def head_tail(df: DataFrame, order_col: str, n: int = 5) -> DataFrame:
-    """First and last ``n`` rows in source order (two top-k, no full sort)."""
-    head = df.orderBy(F.asc(order_col)).limit(n).withColumn("part", F.lit("head"))
-    tail = df.orderBy(F.desc(order_col)).limit(n).withColumn("part", F.lit("tail"))
-    return head.unionByName(tail)
+    """First and last ``n`` rows in source order. The two top-k run over the order column
+    alone; the few rows are then fetched by it."""
+    keys = df.select(order_col)
+    parts = []
+    for part, order in (("head", F.asc(order_col)), ("tail", F.desc(order_col))):
+        top = keys.orderBy(order).limit(n).groupBy(order_col).agg(F.count(F.lit(1)).alias("_take"))
+        rows = df.join(F.broadcast(top), order_col)  # at most n rows
+        # Rows that share the last order value: only as many as belong to the n.
+        rank = F.row_number().over(Window.partitionBy(order_col).orderBy(order_col))
+        parts.append(rows.withColumn("_rank", rank).where("_rank <= _take")
+                     .select(*df.columns, F.lit(part).alias("part")))
+    return parts[0].unionByName(parts[1])
 
 
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 50, digits: int = 6) -> DataFrame:
     """Equal-width histogram per column with numpy's edge rules (right edge of
     the last bin closed, degenerate range widened by 0.5); empty bins kept."""
-    data = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    vals = data.unpivot([], list(cols), "column_name", "value").filter(F.col("value").isNotNull())
-    rng = vals.groupBy("column_name").agg(F.min("value").alias("_mn"), F.max("value").alias("_mx"))
-    lo = F.when(F.col("_mn") == F.col("_mx"), F.col("_mn") - 0.5).otherwise(F.col("_mn"))
-    hi = F.when(F.col("_mn") == F.col("_mx"), F.col("_mx") + 0.5).otherwise(F.col("_mx"))
-    edges = rng.select("column_name", lo.alias("_lo"), hi.alias("_hi"))
-
-    def edge(i: Column) -> Column:
-        step = (F.col("_hi") - F.col("_lo")) / bins
-        return F.when(i >= bins, F.col("_hi")).otherwise(i * step + F.col("_lo"))
-
-    # Per-column range: one row per column, a bounded broadcast.
-    j = vals.join(F.broadcast(edges), "column_name")
-    f = (F.col("value") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins
-    idx0 = F.least(f.cast("int"), F.lit(bins - 1))
-    j = j.withColumn("_i", idx0)
-    j = j.withColumn("_i", F.when(F.col("value") < edge(F.col("_i")), F.col("_i") - 1)
-                     .otherwise(F.col("_i")))
-    j = j.withColumn("_i", F.when((F.col("_i") != bins - 1)
-                                  & (F.col("value") >= edge(F.col("_i") + 1)), F.col("_i") + 1)
-                     .otherwise(F.col("_i")))
-    counts = j.groupBy("column_name", F.col("_i").alias("bin")).agg(
+    names = list(cols)
+    ranges = df.agg(*[f(number(c)).alias(f"{s}{i}") for i, c in enumerate(names)
+                      for s, f in (("l", F.min), ("h", F.max))]).first()  # two numbers per column
+    held = [(i, c) for i, c in enumerate(names) if ranges[f"l{i}"] is not None]
+    spans = {}
+    for i, c in held:
+        lo, hi = ranges[f"l{i}"], ranges[f"h{i}"]
+        spans[c] = (lo - 0.5, hi + 0.5) if lo == hi else (lo, hi)
+    edges = df.sparkSession.createDataFrame([(c, *spans[c]) for _, c in held],
+                                            "column_name string, _lo double, _hi double")
+
+    def edge(i: Column, lo: Column | None = None, hi: Column | None = None) -> Column:
+        lo, hi = (F.col("_lo") if lo is None else lo), (F.col("_hi") if hi is None else hi)
+        return F.when(i >= bins, hi).otherwise(i * ((hi - lo) / bins) + lo)
+
+    def bin_of(c: str) -> Column:
+        x, (lo, hi) = number(c), map(F.lit, spans[c])
+        i = F.least(((x - lo) / (hi - lo) * bins).cast("int"), F.lit(bins - 1))
+        i = F.when(x < edge(i, lo, hi), i - 1).otherwise(i)
+        return F.when((i != bins - 1) & (x >= edge(i + 1, lo, hi)), i + 1).otherwise(i)
+
+    # All columns of a row are binned at once; bins (columns x bins) are counted map-side.
+    binned = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), bin_of(c).alias("bin"))
+                                           for _, c in held])).alias("s")).select("s.*") if held else None
+    if binned is None:
+        return df.sparkSession.createDataFrame(
+            [], "column_name string, bin int, bin_lo double, bin_hi double, n long")
+    counts = binned.where("bin IS NOT NULL").groupBy("column_name", "bin").agg(
         F.count(F.lit(1)).cast("long").alias("n"))
     grid = edges.select("column_name", "_lo", "_hi",
                         F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
@@ -294,123 +262,66 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 50, digits: int =
                       F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
 
 
-def boxstats_approx(df: DataFrame, cols: Sequence[str], whis: float = 1.5, digits: int = 6,
-                    accuracy: int = APPROX_ACCURACY) -> DataFrame:
-    """Box statistics from sketch quartiles: pass one computes the quartiles
-    of every column (a handful of numbers, fetched to the driver), pass two
-    the whiskers and outlier counts with those fences -- two scans, bounded
-    memory per task."""
-    data = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    first = data.agg(*[F.percentile_approx(c, [0.25, 0.5, 0.75], accuracy).alias(c)
-                       for c in cols]).first()
-    exprs = {}
-    for c in cols:
-        q1, med, q3 = first[c] or (None, None, None)
-        if q1 is None:
-            exprs[c] = [F.lit(None).cast("double")] * 6 + [F.lit(0).cast("long")]
-            continue
-        lo_f, hi_f = q1 - whis * (q3 - q1), q3 + whis * (q3 - q1)
-        x = F.col(c)
-        exprs[c] = [F.lit(q1), F.lit(med), F.lit(q3), F.lit(q3 - q1),
-                    F.least(F.coalesce(F.min(F.when(x >= lo_f, x)), F.lit(q1)), F.lit(q1)),
-                    F.greatest(F.coalesce(F.max(F.when(x <= hi_f, x)), F.lit(q3)), F.lit(q3)),
-                    F.count_if((x < lo_f) | (x > hi_f)).cast("long")]
+def boxstats(df: DataFrame, cols: Sequence[str], whis: float = 1.5, digits: int = 6) -> DataFrame:
+    """Quartiles, IQR, whiskers (extreme values inside q1 - whis*IQR and q3 + whis*IQR, never
+    inside the box) and the count of values beyond the whiskers per column. Quartiles are
+    exact; whiskers and outliers are one wide aggregate with the fences they give."""
+    quartiles = {(r["column_name"], r["prob"]): r["quantile"]
+                 for r in exact_quantiles(df, cols, [0.25, 0.5, 0.75]).collect()}  # columns x 3 numbers
+    exprs, held = {}, [c for c in cols if (c, 0.5) in quartiles]
+    for c in held:
+        q1, median, q3 = (quartiles[c, p] for p in (0.25, 0.5, 0.75))
+        low, high = q1 - (q3 - q1) * whis, q3 + (q3 - q1) * whis
+        x = number(c)
+        exprs[c] = [F.lit(q1), F.lit(median), F.lit(q3), F.lit(q3 - q1),
+                    F.least(F.coalesce(F.min(F.when(x >= low, x)), F.lit(q1)), F.lit(q1)),
+                    F.greatest(F.coalesce(F.max(F.when(x <= high, x)), F.lit(q3)), F.lit(q3)),
+                    F.count_if((x < low) | (x > high)).cast("long")]
     names = ["q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi", "outliers"]
-    out = _unpivot_row(data, cols, exprs, names)
-    return out.select("column_name", *[round_half_up(F.col(c), digits).alias(c)
-                                       for c in names[:-1]], "outliers")
-
-
-def boxstats(df: DataFrame, cols: Sequence[str], whis: float = 1.5, digits: int = 6,
-             exact: bool = True) -> DataFrame:
-    """Quartiles, IQR, whiskers (extreme values inside q1 - whis*IQR and
-    q3 + whis*IQR, never inside the box) and the count of values beyond the
-    whiskers per column, all from the staged value-count table.
-    ``exact=False`` uses :func:`boxstats_approx` (sketch quartiles)."""
-    if not exact:
-        return boxstats_approx(df, cols, whis, digits)
-    counts = value_counts(df, cols)
-    q = quantiles_from_counts(counts, [0.25, 0.5, 0.75])
-    qw = q.groupBy("column_name").agg(
-        *[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(a)
-          for p, a in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
-    qw = qw.withColumn("iqr", F.col("q3") - F.col("q1"))
-    lo_f = F.col("q1") - F.col("iqr") * whis
-    hi_f = F.col("q3") + F.col("iqr") * whis
-    # One row per column: a bounded broadcast.
-    j = counts.df.join(F.broadcast(qw), "column_name")
-    whiskers = j.groupBy("column_name").agg(
-        F.min(F.when(F.col("value") >= lo_f, F.col("value"))).alias("whisker_lo"),
-        F.max(F.when(F.col("value") <= hi_f, F.col("value"))).alias("whisker_hi"))
-    # As matplotlib: a whisker never sits inside the box. (Quartiles and
-    # whiskers below are one row per column: bounded broadcasts.)
-    whiskers = whiskers.join(F.broadcast(qw.select("column_name", "q1", "q3")), "column_name")
-    whiskers = whiskers.select(
-        "column_name",
-        F.least(F.coalesce("whisker_lo", "q1"), F.col("q1")).alias("whisker_lo"),
-        F.greatest(F.coalesce("whisker_hi", "q3"), F.col("q3")).alias("whisker_hi"))
-    out = qw.join(F.broadcast(whiskers), "column_name")
-    j2 = counts.df.join(F.broadcast(out.select("column_name", "whisker_lo", "whisker_hi")),
-                        "column_name")
-    outl = j2.groupBy("column_name").agg(
-        F.sum(F.when((F.col("value") < F.col("whisker_lo")) | (F.col("value") > F.col("whisker_hi")),
-                     F.col("cnt")).otherwise(0)).cast("long").alias("outliers"))
-    out = out.join(F.broadcast(outl), "column_name")
-    return out.select("column_name",
-                      *[round_half_up(F.col(c), digits).alias(c)
-                        for c in ("q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi")],
-                      "outliers")
-
-
-def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6,
-                chunk: int = 10) -> DataFrame:
-    """Pearson correlation for every ordered pair (rows with a null in either
-    column skipped, as pandas does).
-
-    Null-free columns (the usual case, checked in the first pass) use the
-    two-pass centered form: column means, then one aggregate of centered
-    cross-products -- plain sums that stay inside generated code. With
-    nulls, Spark's pairwise ``corr`` runs in chunks of ``chunk`` pairs so
-    each aggregate stays small enough for code generation.
-    """
+    if not held:
+        return df.sparkSession.createDataFrame(
+            [], "column_name string, " + ", ".join(f"{n} double" for n in names[:-1]) + ", outliers long")
+    return _unpivot_row(df, held, exprs, names).select(
+        "column_name", *[round_half_up(F.col(c), digits).alias(c) for c in names[:-1]], "outliers")
+
+
+def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
+    """Pearson correlation for every ordered pair of columns over the rows that have both (NaN
+    counts as missing); NaN where a column is constant or fewer than two rows remain.
+
+    Two scans: column means, then for every unordered pair five sums of the values shifted by
+    those means, over the rows that have both. The formula is applied afterwards to one row
+    per pair."""
     cols = list(cols)
-    data = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    # First pass: a handful of numbers (two per column), fetched to the driver.
-    first = data.agg(F.count(F.lit(1)).alias("_n"),
-                     *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
-                     *[F.count(c).alias(f"k{i}") for i, c in enumerate(cols)]).first()
-    if all(first[f"k{i}"] == first["_n"] for i in range(len(cols))):
-        centered = data.select(*[(F.col(c) - F.lit(first[f"m{i}"] or 0.0)).alias(c)
-                                 for i, c in enumerate(cols)])
-        sums = centered.agg(
-            F.count(F.lit(1)).alias("_n"),
-            *[F.sum(c).alias(f"s\u0001{c}") for c in cols],
-            *[F.sum(F.col(a) * F.col(b)).alias(f"p\u0001{a}\u0001{b}") for a, b in pairs])
-        n = F.col("_n").cast("double")
-
-        def cov(a: str, b: str) -> Column:
-            return (F.col(f"`p\u0001{a}\u0001{b}`")
-                    - F.col(f"`s\u0001{a}`") * F.col(f"`s\u0001{b}`") / n)
-
-        def corr(a: str, b: str) -> Column:
-            den = F.sqrt(cov(a, a) * cov(b, b))
-            return F.when((n < 2) | (den == 0), F.lit(float("nan"))).otherwise(cov(a, b) / den)
-        wide = sums.select(*[corr(a, b).alias(f"{a}\u0001{b}") for a, b in pairs])
-    else:
-        parts = [data.agg(*[F.corr(a, b).alias(f"{a}\u0001{b}") for a, b in pairs[k:k + chunk]])
-                 for k in range(0, len(pairs), chunk)]
-        rows = {}
-        for p in parts:  # each is one row of at most ``chunk`` numbers
-            rows.update(p.first().asDict())
-        wide = df.sparkSession.range(1).select(
-            *[F.lit(rows[f"{a}\u0001{b}"]).cast("double").alias(f"{a}\u0001{b}")
-              for a, b in pairs])
-    structs = []
-    for a, b in pairs:
-        v = round_half_up(F.col(f"`{a}\u0001{b}`"), digits)
-        structs.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), v.alias("corr")))
-        if a != b:
-            structs.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"),
-                                    v.alias("corr")))
-    return wide.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
+    data = df.select(*[number(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    # One number per column, fetched to the driver.
+    means = data.agg(*[F.avg(f"c{i}").alias(f"m{i}") for i in range(len(cols))]).first()
+    shifted = data.select(*[(F.col(f"c{i}") - F.lit(means[i] or 0.0)).alias(f"c{i}") for i in range(len(cols))])
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    sums = []
+    for k, (i, j) in enumerate(pairs):
+        x, y = F.col(f"c{i}"), F.col(f"c{j}")
+        both = x.isNotNull() & y.isNotNull()
+        sums += [F.count_if(both).alias(f"n{k}"), F.sum(x * y).alias(f"xy{k}"),
+                 F.sum(F.when(both, x)).alias(f"x{k}"), F.sum(F.when(both, y)).alias(f"y{k}"),
+                 F.sum(F.when(both, x * x)).alias(f"xx{k}"), F.sum(F.when(both, y * y)).alias(f"yy{k}")]
+    # As many pairs to an aggregate as generated code takes.
+    parts = [shifted.agg(*sums[at:at + 6 * 12]) for at in range(0, len(sums), 6 * 12)]
+    rows = [part.select(F.explode(F.array(*[F.struct(
+        F.lit(cols[i]).alias("a"), F.lit(cols[j]).alias("b"),
+        *[F.col(f"{s}{k}").alias(s) for s in ("n", "xy", "x", "y", "xx", "yy")])
+        for k, (i, j) in list(enumerate(pairs))[at * 12:at * 12 + 12]])).alias("s")).select("s.*")
+        for at, part in enumerate(parts)]
+    long = rows[0]
+    for r in rows[1:]:
+        long = long.unionByName(r)
+    n = F.col("n").cast("double")
+    cov, var_x, var_y = (F.col(s) - F.try_divide(F.col(u) * F.col(v), n) for s, u, v in (
+        ("xy", "x", "y"), ("xx", "x", "x"), ("yy", "y", "y")))
+    value = F.coalesce(F.when((n >= 2) & (var_x > 0) & (var_y > 0), F.try_divide(cov, F.sqrt(var_x * var_y))),
+                       F.lit(float("nan")))
+    out = long.select("a", "b", round_half_up(value, digits).alias("corr"))
+    ways = F.when(F.col("a") == F.col("b"), F.array(F.struct(F.col("a").alias("col_a"), F.col("b").alias("col_b")))
+                  ).otherwise(F.array(F.struct(F.col("a").alias("col_a"), F.col("b").alias("col_b")),
+                                      F.struct(F.col("b").alias("col_a"), F.col("a").alias("col_b"))))
+    return out.select("corr", F.explode(ways).alias("w")).select("w.col_a", "w.col_b", "corr")

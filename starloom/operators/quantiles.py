@@ -1,102 +1,165 @@
-"""Exact quantiles (linear interpolation, as pandas/numpy) without funnelling
-a column through one task.
-
-Spark's exact ``percentile`` keeps a map of every distinct value of a group
-in one buffer, and a global quantile puts that buffer in one final task. Here
-the column is instead reduced to (column, value, count) with a partial hash
-aggregate (hot values collapse map-side), ranks are obtained as running sums
-of the counts, and only the rows covering the needed ranks are kept:
-
-* small value tables (proven by their measured row count): a running sum
-  over a window partitioned by column;
-* large ones: range-partitioned by (column, value) and staged, running sums
-  per (partition, column), plus per-partition offsets from a table of
-  (partitions x columns) rows.
+"""Exact quantiles (linear interpolation, as numpy) in bounded memory.
+
+A quantile is one or two order statistics. Each is found by narrowing a bracket:
+
+1. A bounded sketch (``percentile_approx``) of all requested quantiles of all columns in one
+   aggregate gives brackets around the wanted ranks.
+2. One aggregate counts, for each bracket, the values below and inside it and takes its
+   neighbours; brackets that miss a rank are widened, brackets with too many values inside
+   are sketched again over what they hold.
+3. Only the values inside the final brackets (at most ``keep`` for each) are counted by
+   value, ranked and read off.
+
+Each pass is one scan with fixed-size buffers: no table of a column's values is ever
+shuffled. The driver sees a handful of numbers for each (column, quantile). NaN counts as
+missing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from math import floor
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.session import Staged, stage
-
-SMALL_VALUE_ROWS = 500_000
-
-
-def long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Unpivot ``cols`` to (column_name, value) as double, nulls dropped."""
-    wide = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    return (wide.unpivot([], list(cols), "column_name", "value")
-            .filter(F.col("value").isNotNull()))
-
-
-def value_counts(df: DataFrame, cols: Sequence[str]) -> Staged:
-    """(column_name, value, cnt): one row per distinct value per column."""
-    counts = long_values(df, cols).groupBy("column_name", "value").agg(
-        F.count(F.lit(1)).alias("cnt"))
-    return stage(counts, "value-counts")
-
-
-def running_counts(counts: Staged, *, small_rows: int = SMALL_VALUE_ROWS,
-                   num_partitions: int | None = None) -> DataFrame:
-    """Add ``_before`` = number of values smaller than ``value`` in the same
-    column, so the row covers 0-based ranks [_before, _before + cnt)."""
-    df = counts.df
-    if counts.rows <= small_rows:
-        w = (Window.partitionBy("column_name").orderBy("value")
-             .rowsBetween(Window.unboundedPreceding, -1))
-        return df.withColumn("_before", F.coalesce(F.sum("cnt").over(w), F.lit(0)))
-    parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = stage(df.repartitionByRange(parts, "column_name", "value")
-                   .withColumn("_pid", F.spark_partition_id()), "value-ranges").df
-    local = (Window.partitionBy("_pid", "column_name").orderBy("value")
-             .rowsBetween(Window.unboundedPreceding, -1))
-    ranged = ranged.withColumn("_local", F.coalesce(F.sum("cnt").over(local), F.lit(0)))
-    per_part = ranged.groupBy("column_name", "_pid").agg(F.sum("cnt").alias("_pn"))
-    offsets = per_part.select(
-        "column_name", "_pid",
-        F.coalesce(F.sum("_pn").over(Window.partitionBy("column_name").orderBy("_pid")
-                                     .rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"))
-    # One row per (range partition, column): a bounded table.
-    return (ranged.join(F.broadcast(offsets), ["column_name", "_pid"])
-            .withColumn("_before", F.col("_off") + F.col("_local"))
-            .drop("_pid", "_local", "_off"))
-
-
-def quantiles_from_counts(counts: Staged, probs: Sequence[float], **kw) -> DataFrame:
-    """(column_name, prob, quantile) with numpy's linear interpolation."""
-    ranked = running_counts(counts, **kw)
-    totals = counts.df.groupBy("column_name").agg(F.sum("cnt").alias("_n"))
-    # Needed ranks per (column, prob): tiny (columns x probs rows).
-    h = (F.col("_n") - 1) * F.col("prob")
-    wanted = (totals.withColumn("prob", F.explode(F.array(*[F.lit(float(x)) for x in probs])))
-              .select("column_name", "prob", F.floor(h).alias("_lo"),
-                      F.least(F.floor(h) + 1, F.col("_n") - 1).alias("_hi"),
-                      (h - F.floor(h)).alias("_t")))
-    ranks = wanted.select(F.col("column_name").alias("_col"), "prob",
-                          F.col("_lo").alias("_rank"), F.lit("lo").alias("_side")).unionByName(
-        wanted.select(F.col("column_name").alias("_col"), "prob",
-                      F.col("_hi").alias("_rank"), F.lit("hi").alias("_side")))
-    # Equi-join on the column name, range condition on the rank.
-    hit = ranked.join(F.broadcast(ranks),
-                      (F.col("column_name") == F.col("_col"))
-                      & (F.col("_rank") >= F.col("_before"))
-                      & (F.col("_rank") < F.col("_before") + F.col("cnt")))
-    picked = hit.groupBy("column_name", "prob").agg(
-        F.max(F.when(F.col("_side") == "lo", F.col("value"))).alias("_a"),
-        F.max(F.when(F.col("_side") == "hi", F.col("value"))).alias("_b"))
-    out = picked.join(wanted.select("column_name", "prob", "_t"), ["column_name", "prob"])
-    diff = F.col("_b") - F.col("_a")
-    # numpy's lerp: a + d*t below t = 0.5, b - d*(1-t) from 0.5 up.
-    q = F.when(F.col("_t") >= 0.5, F.col("_b") - diff * (1 - F.col("_t"))).otherwise(
-        F.col("_a") + diff * F.col("_t"))
-    return out.select("column_name", "prob", q.alias("quantile"))
+#: Rank error of a sketch is at most 1/ACCURACY of the values.
+ACCURACY = 10_000
+#: Values of a bracket that are ranked one by one.
+KEEP = 100_000
+
+
+def number(c: str | Column) -> Column:
+    """The column as a double with NaN as missing."""
+    x = (F.col(f"`{c}`") if isinstance(c, str) else c).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+@dataclass
+class _Wanted:
+    column: str
+    prob: float
+    n: int           # values of the column
+    lo: float        # bracket, both ends inside
+    hi: float
+    below: int = 0   # values under the bracket
+    inside: int = 0
+    before: float | None = None  # nearest values outside
+    after: float | None = None
+    slack: float = 2.0
+
+    @property
+    def ranks(self) -> tuple[int, int, float]:
+        h = (self.n - 1) * self.prob
+        low = floor(h)
+        return low, min(low + 1, self.n - 1), h - low
+
+    def covers(self) -> bool:
+        first = self.below - (self.before is not None)
+        last = self.below + self.inside - 1 + (self.after is not None)
+        low, high, _ = self.ranks
+        return first <= low and high <= last
+
+
+def _around(n: int, p: float, slack: float) -> list[float]:
+    e = slack / ACCURACY
+    return [max(0.0, p - e), min(1.0, p + e)]
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    **kw) -> DataFrame:
-    return quantiles_from_counts(value_counts(df, cols), probs, **kw)
+                    keep: int = KEEP) -> DataFrame:
+    """(column_name, prob, quantile) for every column that has values."""
+    data = df.select(*[number(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    ask = [x for p in probs for x in _around(0, p, 2.0)]
+    first = data.agg(*[F.count(f"c{i}").alias(f"n{i}") for i in range(len(cols))],
+                     *[F.percentile_approx(f"c{i}", ask, ACCURACY).alias(f"q{i}")
+                       for i in range(len(cols))]).first()
+    open_, done = [], []
+    for i, c in enumerate(cols):
+        for k, p in enumerate(probs):
+            if first[f"n{i}"]:
+                lo, hi = first[f"q{i}"][2 * k:2 * k + 2]
+                open_.append((i, _Wanted(c, p, first[f"n{i}"], lo, hi)))
+    while open_:
+        open_ = _measure(data, open_)
+        wide = [(i, w) for i, w in open_ if not w.covers()]
+        many = [(i, w) for i, w in open_ if w.covers() and w.lo < w.hi and w.inside > keep]
+        done += [(i, w) for i, w in open_ if w.covers() and not (w.lo < w.hi and w.inside > keep)]
+        open_ = _narrow(data, wide, many)
+    rows = _read_off(data, done)
+    return df.sparkSession.createDataFrame(rows, "column_name string, prob double, quantile double")
+
+
+def _measure(data: DataFrame, wanted: list[tuple[int, _Wanted]]) -> list[tuple[int, _Wanted]]:
+    aggs = []
+    for k, (i, w) in enumerate(wanted):
+        x = F.col(f"c{i}")
+        aggs += [F.count_if(x < w.lo).alias(f"b{k}"), F.count_if(x.between(w.lo, w.hi)).alias(f"i{k}"),
+                 F.max(F.when(x < w.lo, x)).alias(f"p{k}"), F.min(F.when(x > w.hi, x)).alias(f"a{k}")]
+    row = data.agg(*aggs).first()
+    for k, (_, w) in enumerate(wanted):
+        w.below, w.inside, w.before, w.after = (row[f"{s}{k}"] for s in "bipa")
+    return wanted
+
+
+def _narrow(data: DataFrame, wide: list, many: list) -> list[tuple[int, _Wanted]]:
+    """New brackets: further out where a rank was missed, closer in where too much is inside."""
+    if not wide and not many:
+        return []
+    aggs = []
+    for k, (i, w) in enumerate(wide):
+        w.slack *= 10
+        aggs.append(F.percentile_approx(f"c{i}", _around(w.n, w.prob, w.slack), ACCURACY).alias(f"w{k}"))
+    for k, (i, w) in enumerate(many):
+        low, high, _ = w.ranks
+        x = F.col(f"c{i}")
+        at = [(low - w.below) / w.inside, (high - w.below + 1) / w.inside]
+        aggs.append(F.percentile_approx(F.when(x.between(w.lo, w.hi), x), [
+            min(1.0, max(0.0, at[0] - w.slack / ACCURACY)), min(1.0, max(0.0, at[1] + w.slack / ACCURACY))],
+            ACCURACY).alias(f"m{k}"))
+    row = data.agg(*aggs).first()
+    for name, group in (("w", wide), ("m", many)):
+        for k, (_, w) in enumerate(group):
+            w.lo, w.hi = row[f"{name}{k}"]
+    return wide + many
+
+
+def _read_off(data: DataFrame, wanted: list[tuple[int, _Wanted]]) -> list[tuple[str, float, float]]:
+    several = [(k, i, w) for k, (i, w) in enumerate(wanted) if w.lo < w.hi]
+    found: dict[tuple[int, int], float] = {}
+    if several:
+        # Every row contributes only the values that fall into a bracket.
+        hits = F.array_compact(F.array(*[
+            F.when(F.col(f"c{i}").between(w.lo, w.hi), F.struct(F.lit(k).alias("k"), F.col(f"c{i}").alias("v")))
+            for k, i, w in several]))
+        counts = (data.select(F.explode(hits).alias("h")).groupBy("h.k", "h.v")
+                  .agg(F.count(F.lit(1)).alias("n")))
+        # At most ``keep`` rows in a window: the brackets were narrowed until they hold no more.
+        before = F.coalesce(F.sum("n").over(Window.partitionBy("k").orderBy("v").rowsBetween(
+            Window.unboundedPreceding, -1)), F.lit(0))
+        needed = F.create_map(*[F.lit(x) for k, _, w in several for x in (k, w.ranks[0] - w.below)])
+        local = F.try_element_at(needed, F.col("k"))
+        ranked = counts.withColumn("first", before).withColumn("last", before + F.col("n") - 1)
+        # The wanted rank and the one after it.
+        rows = ranked.where((F.col("first") <= local + 1) & (F.col("last") >= local)).collect()
+        for r in rows:
+            w = wanted[r["k"]][1]
+            for rank in w.ranks[:2]:
+                if r["first"] <= rank - w.below <= r["last"]:
+                    found[r["k"], rank] = r["v"]
+    out = []
+    for k, (_, w) in enumerate(wanted):
+        low, high, t = w.ranks
+
+        def at(rank: int) -> float:
+            if rank < w.below:
+                return w.before
+            if rank >= w.below + w.inside:
+                return w.after
+            return w.lo if w.lo == w.hi else found[k, rank]
+
+        a, b = at(low), at(high)
+        # numpy's interpolation: from the nearer end.
+        out.append((w.column, float(w.prob), float(b - (b - a) * (1 - t) if t >= 0.5 else a + (b - a) * t)))
+    return out

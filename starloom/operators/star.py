@@ -4,8 +4,8 @@ Plan shape (one fact-sized pass per step, everything else dimension-sized):
 
 1. The merged spine is staged once (parquet in the checkpoint folder);
    every stage records its exact row count and payload while it is
-   written, and those sizes decide broadcast vs shuffle and single-task
-   vs range-partitioned key numbering without extra probe jobs.
+   written, and those sizes decide broadcast vs shuffle without extra
+   probe jobs.
 2. One hash aggregate over the spine at album grain (album, artist) yields
    the album's first appearance and the per-artist stats. The artist
    dimension aggregates that (an artist's first row is the earliest of its
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.joins import join_small
-from starloom.operators.keys import SMALL_DIM_ROWS, dense_keys
+from starloom.operators.keys import dense_keys
 from starloom.schemas import ROW_ORD, STAT_COLUMNS, TABLE_ORDER, WAREHOUSE
 from starloom.session import Staged, stage, stage_all
 
@@ -96,21 +96,18 @@ def artist_rows(merged: DataFrame, albums: Staged) -> DataFrame:
         "artist_norm", "artist_name", *STAT_COLUMNS)
 
 
-def build_star(merged: DataFrame, stage_spine: bool = True,
-               small_dim_rows: int = SMALL_DIM_ROWS) -> Star:
+def build_star(merged: DataFrame, stage_spine: bool = True) -> Star:
     """Split the merged spine into ``dim_artist``, ``dim_album``,
     ``dim_genre``, ``dim_year`` and ``fact_track``.
 
     Keys: artists, genres and years are numbered in sorted natural-key
     order, albums in order of first appearance (ties broken by the natural
-    key). Year 0 (never nominated) is an ordinary member. Dimensions above
-    ``small_dim_rows`` rows are numbered with range partitions instead of a
-    single-task window.
+    key). Year 0 (never nominated) is an ordinary member.
     """
     m = stage(merged, "merged").df if stage_spine else merged
 
-    def keyed(src: DataFrame, key: str, order: list[str], rows: int) -> Callable[[], DataFrame]:
-        return lambda: dense_keys(src, key, order, rows=rows, small_rows=small_dim_rows)
+    def keyed(src: DataFrame, key: str, order: list[str]) -> Callable[[], DataFrame]:
+        return lambda: dense_keys(src, key, order)
 
     # Independent stages run concurrently; each wave depends on the last.
     w1 = stage_all({
@@ -121,17 +118,15 @@ def build_star(merged: DataFrame, stage_spine: bool = True,
     w2 = stage_all({
         "dim-album": lambda: dense_keys(
             albums.df.select("album_name", "artist_norm", "_first"), "album_key",
-            ["_first", "album_name", "artist_norm"], rows=albums.rows,
-            small_rows=small_dim_rows).drop("_first"),
+            ["_first", "album_name", "artist_norm"]).drop("_first"),
         "artist-rows": lambda: artist_rows(m, albums),
-        "dim-genre": keyed(genres.df, "genre_key", ["genre_name"], genres.rows),
+        "dim-genre": keyed(genres.df, "genre_key", ["genre_name"]),
     })
     artists = w2["artist-rows"]
-    # At most one year per artist: the artist count bounds this dimension.
     years = artists.df.select(F.col("first_grammy_year").alias("year_value")).distinct()
     w3 = stage_all({
-        "dim-artist": keyed(artists.df, "artist_key", ["artist_norm"], artists.rows),
-        "dim-year": keyed(years, "year_key", ["year_value"], artists.rows),
+        "dim-artist": keyed(artists.df, "artist_key", ["artist_norm"]),
+        "dim-year": keyed(years, "year_key", ["year_value"]),
     })
 
     # Each dimension is numbered once and staged: the key map, the fact join

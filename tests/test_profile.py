@@ -26,13 +26,12 @@ def data(spark):
     return pdf, _frame(spark, pdf)
 
 
-@pytest.mark.parametrize("small_rows", [500_000, 0])
-def test_exact_quantiles_match_numpy(spark, data, small_rows):
+@pytest.mark.parametrize("keep", [100_000, 3])
+def test_exact_quantiles_match_numpy(spark, data, keep):
     pdf, df = data
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
     got = {(r.column_name, r.prob): r.quantile
-           for r in exact_quantiles(df, ["a", "b", "hot"], probs, small_rows=small_rows,
-                                    num_partitions=5).collect()}
+           for r in exact_quantiles(df, ["a", "b", "hot"], probs, keep=keep).collect()}
     for c in ("a", "b", "hot"):
         for p in probs:
             assert got[(c, p)] == pytest.approx(np.percentile(pdf[c], p * 100), abs=1e-9)
@@ -135,30 +134,30 @@ def test_signature_duplicate_profiles_equal_plain(spark):
     assert a == b and len(a) > 0
 
 
-def test_describe_approx_is_close_to_exact(spark, data):
-    pdf, df = data
-    exact = {r.column_name: r for r in P.describe(df, ["a", "hot"]).collect()}
-    approx = {r.column_name: r for r in P.describe(df, ["a", "hot"], exact=False).collect()}
-    for c in ("a", "hot"):
-        for k in ("count", "mean", "std", "min", "max"):
-            assert approx[c][k] == pytest.approx(exact[c][k], abs=1e-6)
-        x = np.sort(pdf[c].to_numpy())
-        for k, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
-            # A sketch quantile is an actual value within a small rank error.
-            lo = np.searchsorted(x, approx[c][k] - 1e-6, side="left") / len(x)
-            hi = np.searchsorted(x, approx[c][k] + 1e-6, side="right") / len(x)
-            assert lo - 0.01 <= p <= hi + 0.01
-
-
-def test_boxstats_approx_on_discrete_data_equals_exact(spark):
-    # Few distinct values: sketch quartiles are exact values, so the box
-    # statistics agree with the exact path wherever interpolation is not needed.
-    df = spark.range(0, 4001).select((F.col("id") % 21).cast("double").alias("x"),
-                                     F.when(F.col("id") % 50 == 0, F.lit(1000.0))
-                                     .otherwise(F.col("id") % 7).cast("double").alias("y"))
-    exact = {r.column_name: r for r in P.boxstats(df, ["x", "y"]).collect()}
-    approx = {r.column_name: r for r in P.boxstats(df, ["x", "y"], exact=False).collect()}
+def test_nan_counts_as_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, 5.0), (nan, 5.0), (3.0, 5.0), (None, None)], "x double, k double")
+    nulls = {r.column_name: r.nulls for r in P.nulls(df).collect()}
+    assert nulls == {"x": 2, "k": 1}
+    assert {r.column_name: r.non_null for r in P.info(df).collect()} == {"x": 2, "k": 3}
+    d = {r.column_name: r for r in P.describe(df, ["x", "k"]).collect()}
+    assert (d["x"]["count"], d["x"]["mean"], d["x"]["q50"], d["x"]["max"]) == (2, 2.0, 2.0, 3.0)
+    assert sum(r.n for r in P.histogram(df, ["x"], 4).collect()) == 2
+    corr = {(r.col_a, r.col_b): r.corr for r in P.corr_matrix(df, ["x", "k"]).collect()}
+    assert corr["x", "x"] == 1.0 and corr["x", "k"] != corr["x", "k"]  # a constant column has none
+    empty = df.where("false")
+    assert [r.pct for r in P.nulls(empty).collect()] == [None, None]
+    assert P.boxstats(empty, ["x"]).collect() == [] and P.histogram(empty, ["x"]).collect() == []
+    assert P.describe(empty, ["x"]).first()["count"] == 0
+
+
+def test_quantiles_of_large_skewed_data(spark):
+    """More values in a bracket than are ranked one by one: brackets are narrowed."""
+    df = spark.range(200_000).select((F.col("id") * 7919 % 200_003).cast("double").alias("x"),
+                                     F.when(F.col("id") % 3 == 0, 7.0).otherwise(F.col("id") % 1000).alias("y"))
+    pdf = df.toPandas()
+    got = {(r.column_name, r.prob): r.quantile
+           for r in exact_quantiles(df, ["x", "y"], [0.01, 0.25, 0.5], keep=5).collect()}
     for c in ("x", "y"):
-        assert approx[c].outliers == exact[c].outliers
-        assert approx[c].whisker_hi == exact[c].whisker_hi
-        assert approx[c].median == exact[c].median
+        for p in (0.01, 0.25, 0.5):
+            assert got[c, p] == pytest.approx(np.percentile(pdf[c], p * 100), abs=1e-9)

@@ -47,7 +47,7 @@ def test_range_keys_follow_sort_order(spark, values, parts):
     from starloom.operators.keys import dense_keys
 
     df = spark.createDataFrame(values, "hot int, name string")  # few distinct 'hot' values
-    keyed = dense_keys(df, "k", ["hot", "name"], small_rows=0, num_partitions=parts)
+    keyed = dense_keys(df, "k", ["hot", "name"], num_partitions=parts)
     got = [(r.hot, r.name) for r in keyed.orderBy("k").collect()]
     assert got == sorted(values)
     assert sorted(r.k for r in keyed.collect()) == list(range(1, len(values) + 1))
@@ -56,8 +56,8 @@ def test_range_keys_follow_sort_order(spark, values, parts):
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(values=st.lists(st.integers(-3, 3) | st.floats(-100, 100, allow_nan=False),
                        min_size=1, max_size=200),
-       small=st.booleans(), parts=st.integers(1, 9))
-def test_exact_quantiles_equal_numpy(spark, values, small, parts):
+       keep=st.sampled_from([1, 10, 1000]))
+def test_exact_quantiles_equal_numpy(spark, values, keep):
     import numpy as np
 
     from starloom.operators.quantiles import exact_quantiles
@@ -65,6 +65,6 @@ def test_exact_quantiles_equal_numpy(spark, values, small, parts):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
     probs = [0.0, 0.25, 0.5, 0.9, 1.0]
     got = {r.prob: r.quantile for r in exact_quantiles(
-        df, ["x"], probs, small_rows=10**6 if small else 0, num_partitions=parts).collect()}
+        df, ["x"], probs, keep=keep).collect()}
     for p in probs:
         assert abs(got[p] - np.percentile(values, p * 100)) <= 1e-9 * max(1.0, abs(got[p]))
