@@ -1,4 +1,5 @@
-"""Explicit schemas: the two sources and the five warehouse tables.
+"""Explicit schemas: the two sources and the five warehouse tables (fixed values: the column
+names, types and ranges that the sources and the warehouse DDL have).
 
 Sources are read with these (never ``inferSchema`` in production). The
 warehouse types mirror the DDL: INT keys, TINYINT UNSIGNED popularity
@@ -10,10 +11,10 @@ from __future__ import annotations
 from pyspark.sql.types import (
     BooleanType,
     ByteType,
+    DecimalType,
     DoubleType,
     FloatType,
     IntegerType,
-    LongType,
     ShortType,
     StringType,
     StructField,
@@ -27,7 +28,7 @@ AUDIO_FEATURES = ("danceability", "energy", "loudness", "speechiness", "acoustic
 
 # Track-grain source, CSV layout: a blank-headed index column first.
 TRACKS_CSV = StructType(
-    [StructField("_c0", LongType(), True),
+    [StructField("_c0", DecimalType(38, 0), True),
      StructField("track_id", StringType(), True),
      StructField("artists", StringType(), True),
      StructField("album_name", StringType(), True),

@@ -1,38 +1,12 @@
-"""File sinks: CSV export of the merged table and parquet stages."""
+"""File sinks: CSV export of the merged table."""
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import DataFrame
 
-from starloom.operators.joins import bounded_size
-
-log = logging.getLogger(__name__)
-
-# A single CSV file is written by one task; allow it only for proven-small data.
-SINGLE_FILE_MAX_ROWS = 2_000_000
-SINGLE_FILE_MAX_BYTES = 512 * 1024 * 1024
-
-
-def export_csv(df: DataFrame, path: str, single_file: bool = False) -> bool:
-    """Write ``df`` as CSV with a header and no index, replacing ``path``.
 
-    Output is one part file per partition. ``single_file`` merges to one
-    file only when the data is proven small (bounded row count and payload);
-    otherwise it logs a warning and keeps the parallel write. Returns whether
-    a single file was written.
-    """
-    single = False
-    if single_file:
-        size = bounded_size(df, SINGLE_FILE_MAX_ROWS)
-        single = size is not None and size[1] <= SINGLE_FILE_MAX_BYTES
-        if not single:
-            log.warning("export_csv: data too large for one file; writing part files")
-    out = df.coalesce(1) if single else df
-    writer = (out.write.mode("overwrite").option("header", "true").option("quote", '"')
-              .option("escape", '"'))
-    if single:
-        writer = writer.option("maxRecordsPerFile", 0)  # no per-file row cap
-    writer.csv(path)
-    return single
+def export_csv(df: DataFrame, path: str) -> None:
+    """Write ``df`` as CSV part files with a header and no index, one per partition, replacing
+    ``path``. Blanks at the ends of values are kept (Spark's writer trims them by default)."""
+    (df.write.mode("overwrite").option("header", "true").option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DataType, IntegralType, StringType, StructField, StructType
 
 from starloom.functions.text import NA_TOKENS, na_tokens_to_null, string_columns
 from starloom.schemas import AWARDS, ROW_ORD, TRACKS_CSV
@@ -11,25 +12,51 @@ from starloom.schemas import AWARDS, ROW_ORD, TRACKS_CSV
 # Header names under which an exported row-number column shows up.
 INDEX_HEADERS = ("_c0", "Unnamed: 0", "")
 
-# RFC-4180 style: doubled quotes inside quoted fields, embedded newlines.
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"',
-               "mode": "PERMISSIVE"}
+# RFC-4180 style: doubled quotes inside quoted fields. A record with another number of
+# fields than the header fails the read.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "FAILFAST"}
+
+
+def _read_text(spark: SparkSession, path: str, schema: StructType, multi_line: bool) -> DataFrame:
+    """All fields as text under the schema's names."""
+    text = StructType([StructField(f.name, StringType(), True) for f in schema.fields])
+    return (spark.read.schema(text).options(**CSV_OPTIONS)
+            .option("multiLine", str(multi_line).lower()).csv(path))
+
+
+def typed(column: str, kind: DataType) -> Column:
+    """Text as ``kind``; null stays null, a value that cannot be read fails the job with its
+    column and text. Whole numbers may be written with a decimal point (``50.0``)."""
+    text = F.trim(F.col(f"`{column}`"))
+    if isinstance(kind, StringType):
+        return F.col(f"`{column}`")
+    if isinstance(kind, BooleanType):
+        value = F.when(F.lower(text) == "true", True).when(F.lower(text) == "false", False)
+    elif isinstance(kind, IntegralType):
+        plain = F.regexp_replace(text, r"^([+-]?[0-9]+)[.]0*$", "$1")
+        value = plain.try_cast(kind.simpleString())
+    else:
+        value = text.try_cast(kind.simpleString())
+    wrong = F.raise_error(F.concat(F.lit(f"column {column}: cannot read as {kind.simpleString()}: "), text))
+    return F.when(text.isNull(), F.lit(None).cast(kind)).otherwise(
+        F.coalesce(value, wrong.cast(kind)))
 
 
 def _header(spark: SparkSession, path: str) -> list[str]:
-    return spark.read.options(**CSV_OPTIONS).csv(path).columns
+    return spark.read.option("header", "true").option("quote", '"').option("escape", '"').csv(path).columns
 
 
 def read_tracks(spark: SparkSession, path: str, fmt: str = "csv",
-                na_tokens=NA_TOKENS) -> DataFrame:
+                na_tokens=NA_TOKENS, multi_line: bool = False) -> DataFrame:
     """Track-grain source with ``_row_ord``.
 
     The exported index column (blank header: ``_c0`` in Spark, ``Unnamed: 0``
     in pandas) *is* the original row number, so it becomes ``_row_ord``
     instead of being thrown away; without one, scan order is used.
-    CSV missing-value tokens (``NA``, ``None``, ...) become NULL.
-    ``multiLine`` keeps quoted newlines intact; it reads each file in one
-    task, so large inputs should arrive as many files (or as parquet).
+    CSV missing-value tokens (``NA``, ``None``, ``NaN``, ...) become NULL in every column;
+    other values are read strictly (:func:`typed`).
+    ``multi_line`` keeps quoted newlines intact but reads each file in one task; without it
+    one big file is read by many tasks and a record broken by a newline fails the read.
     """
     if fmt == "parquet":
         df = spark.read.parquet(path)
@@ -40,24 +67,26 @@ def read_tracks(spark: SparkSession, path: str, fmt: str = "csv",
         return df
 
     has_index = _header(spark, path)[0] in INDEX_HEADERS
-    schema = TRACKS_CSV if has_index else TRACKS_CSV.__class__(TRACKS_CSV.fields[1:])
-    df = spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
-    df = (df.withColumnRenamed("_c0", ROW_ORD) if has_index
-          else df.withColumn(ROW_ORD, F.monotonically_increasing_id()))
+    schema = TRACKS_CSV if has_index else StructType(TRACKS_CSV.fields[1:])
+    df = _read_text(spark, path, schema, multi_line)
     if na_tokens:
-        df = na_tokens_to_null(df, na_tokens, [c for c in string_columns(df)])
-    return df
+        df = na_tokens_to_null(df, na_tokens)
+    df = df.select(*[typed(f.name, f.dataType).alias(f.name) for f in schema.fields])
+    return (df.withColumnRenamed("_c0", ROW_ORD) if has_index
+            else df.select(F.monotonically_increasing_id().alias(ROW_ORD), "*"))
 
 
-def read_awards_csv(spark: SparkSession, path: str, landing_blanks: bool = True) -> DataFrame:
+def read_awards_csv(spark: SparkSession, path: str, landing_blanks: bool = True,
+                    multi_line: bool = False) -> DataFrame:
     """Bulk load of the awards CSV into the landing layout (``,``, optional
-    ``"`` quoting, header skipped).
+    ``"`` quoting, header skipped; strict like :func:`read_tracks`).
 
     A database bulk loader stores blank text fields as ``''``; Spark's CSV
     reader yields NULL for them, so ``landing_blanks`` restores ``''`` on
     the text columns. The cleaning step turns them back into NULL either way.
     """
-    df = spark.read.schema(AWARDS).options(**CSV_OPTIONS).csv(path)
+    df = _read_text(spark, path, AWARDS, multi_line)
+    df = df.select(*[typed(f.name, f.dataType).alias(f.name) for f in AWARDS.fields])
     if landing_blanks:
         df = df.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in string_columns(df)})
     return df

@@ -9,7 +9,7 @@ skew splitting otherwise).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.schemas import ROW_ORD
@@ -19,20 +19,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer input splits than the cluster
-    has task slots (e.g. a single-row-group file), so the per-row work after
-    it runs in parallel. Large inputs already have many splits and pass
-    through untouched (no extra shuffle)."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+def source_order() -> Column:
+    """Order, line, part and supplier number side by side in 38 digits: the order of the
+    source rows, at any scale factor (a long would overflow)."""
+    def wide(c: Column | int) -> Column:
+        return (F.lit(c) if isinstance(c, int) else c).cast("decimal(38,0)")
+
+    out = F.col("l_orderkey").cast("decimal(13,0)") * F.lit(10).cast("decimal(2,0)") + F.col("l_linenumber")
+    for column, digits in (("l_partkey", 11), ("l_suppkey", 10)):
+        out = wide(out) * F.expr(f"CAST({10 ** digits} AS DECIMAL({digits + 1},0))") + wide(F.col(column))
+    return wide(out)
 
 
 def raw_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Track-grain source: one row per line item, 20 columns plus ``_row_ord``."""
-    li = spread(table(spark, sf_dir, "lineitem").select(
+    li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"))
+        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
@@ -49,8 +52,7 @@ def raw_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
                .when(line == 3, F.concat(F.lit(" "), F.upper("c_name")))
                .otherwise(F.col("c_name")))
     return j.select(
-        ((((F.col("l_orderkey") * 10 + line) * 100000 + F.col("l_partkey")) * 10000)
-         + F.col("l_suppkey")).alias(ROW_ORD),
+        source_order().alias(ROW_ORD),
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), line.cast("string"))
         .alias("track_id"),
         artists.alias("artists"),
@@ -76,11 +78,9 @@ def raw_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_awards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Awards landing table (10 text-ish columns plus ``_row_ord``): every
-    purchase (a win) and error (a nomination only) event, whole table."""
-    ev = (table(spark, sf_dir, "events")
-          .select("event_id", "ts", "user_id", "event_type", "props")
-          .filter(F.col("event_type").isin("purchase", "error")))
+    """Awards landing table (10 text-ish columns plus ``_row_ord``): every event,
+    a purchase being a win and any other a nomination only."""
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     j = ev.join(cust, F.col("user_id") == F.col("c_custkey"))
 
@@ -106,3 +106,14 @@ def raw_awards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "purchase", F.lit(" True")).otherwise(F.lit("False"))
         .alias("winner"),
     )
+
+
+def gappy_tracks_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The track source as text with gaps, as an export has them: missing-value tokens, NaN and
+    whole numbers written with a decimal point. By row: order number modulo 7, 5 and 3."""
+    order = F.col("track_id").substr(F.lit(1), F.instr("track_id", "-") - 1).cast("long")
+    return raw_tracks(spark, sf_dir).withColumns({
+        "popularity": F.when(order % 7 == 0, "NA").otherwise(F.concat(F.col("popularity").cast("string"), F.lit(".0"))),
+        "energy": F.when(order % 5 == 0, "NaN").otherwise(F.col("energy").cast("string")),
+        "tempo": F.when(order % 3 == 0, "n/a").otherwise(F.col("tempo").cast("string")),
+        "valence": F.lit("null")})

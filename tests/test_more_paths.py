@@ -44,11 +44,12 @@ def test_describe_all_mixed_types(spark):
     assert d["n"]["unique"] is None and d["n"]["mean"] == pytest.approx(5 / 3, abs=1e-6)
 
 
-def test_spread_only_touches_scans_with_too_few_splits(spark):
-    from starloom.sources.fixtures import spread
-
-    slots = spark.sparkContext.defaultParallelism
-    one = spark.range(0, 1000, numPartitions=1)
-    assert spread(one).rdd.getNumPartitions() == slots
-    many = spark.range(0, 1000, numPartitions=slots * 2)
-    assert spread(many) is many
+def test_source_order_is_wide_enough(spark):
+    """Keys far beyond a long's room stay in source order."""
+    from starloom.sources.fixtures import source_order
+
+    rows = [(9_000_000_000_00, 7, 20_000_000_000, 1_000_000_000), (9_000_000_000_00, 7, 20_000_000_000, 999_999_999),
+            (9_000_000_000_00, 6, 99_999_999_999, 9_999_999_999), (1, 1, 1, 1)]
+    df = spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long")
+    got = [tuple(r)[:4] for r in df.withColumn("o", source_order()).orderBy("o").collect()]
+    assert got == sorted(rows)

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import glob
 
+import pytest
+from pyspark.sql import functions as F
+
 from starloom.sinks.files import export_csv
 from starloom.sinks.jdbc import jdbc_write_options, swap_statements
 from starloom.sources.files import read_awards_csv, read_stage, read_tracks, write_stage
@@ -22,7 +25,7 @@ def test_read_tracks_csv_quotes_newlines_tokens(spark, tmp_dir):
         f.write('0,id0,"Gen Hoshino;Foo","Album ""X"", deluxe","line one\nline two",' + TAIL)
         f.write("1,id1,NA,Album,Song," + TAIL)
         f.write("2,id2,None,Album,Song," + TAIL)
-    df = read_tracks(spark, path)
+    df = read_tracks(spark, path, multi_line=True)
     rows = sorted(df.collect(), key=lambda r: r["_row_ord"])
     assert len(rows) == 3 and df.columns[0] == "_row_ord"
     assert rows[0].album_name == 'Album "X", deluxe'
@@ -31,6 +34,35 @@ def test_read_tracks_csv_quotes_newlines_tokens(spark, tmp_dir):
     assert rows[0].explicit is False and rows[0].popularity == 50
 
 
+def test_csv_values_are_read_strictly(spark, tmp_dir):
+    good, bad, short = (f"{tmp_dir}/{n}.csv" for n in ("good", "bad", "short"))
+    with open(good, "w") as f:
+        f.write(HEADER + "0,id0,A,Al,S," + TAIL.replace("50,", "50.0,", 1))
+        f.write("1,id1,A,Al,S," + TAIL.replace("0.5,0.6", "NaN,0.6"))
+    rows = sorted(read_tracks(spark, good).collect(), key=lambda r: r["_row_ord"])
+    assert rows[0].popularity == 50 and rows[1].danceability is None
+    for path, line in ((bad, "0,id0,A,Al,S," + TAIL.replace("50,", "50.5,", 1)), (short, "0,id0,A,Al\n")):
+        with open(path, "w") as f:
+            f.write(HEADER + line)
+        with pytest.raises(Exception, match="cannot read as int|MALFORMED|malformed"):
+            read_tracks(spark, path).collect()
+
+
+def test_one_big_csv_is_read_by_many_tasks(spark, tmp_dir):
+    path = f"{tmp_dir}/big.csv"
+    with open(path, "w") as f:
+        f.write(HEADER)
+        for i in range(30_000):
+            f.write(f"{i},id{i},A,Al,S," + TAIL)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+        df = read_tracks(spark, path)
+        assert df.select(F.spark_partition_id()).distinct().count() > 4 and df.count() == 30_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_read_tracks_csv_without_index(spark, tmp_dir):
     path = f"{tmp_dir}/noindex.csv"
     with open(path, "w") as f:
@@ -53,9 +85,8 @@ def test_read_awards_csv_landing_blanks(spark, tmp_dir):
 
 def test_export_csv_and_stage_round_trip(spark, tmp_dir):
     df = spark.range(100).selectExpr("id", "concat('a,', cast(id as string)) as s")
-    assert export_csv(df, f"{tmp_dir}/one", single_file=True)
-    files = glob.glob(f"{tmp_dir}/one/part-*.csv")
-    assert len(files) == 1
+    export_csv(df, f"{tmp_dir}/one")
+    assert glob.glob(f"{tmp_dir}/one/part-*.csv")
     back = spark.read.option("header", True).csv(f"{tmp_dir}/one")
     assert back.count() == 100 and back.columns == ["id", "s"]
     write_stage(df, f"{tmp_dir}/stage")
