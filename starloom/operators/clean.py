@@ -42,20 +42,18 @@ def dedup_wide_rows(df: DataFrame, order_col: str = ROW_ORD) -> DataFrame:
     unique, and those rows never move. Only rows in signature-collision
     groups (the actual copies, plus any hash collisions) go through the
     exact :func:`dedup_rows`. The candidate-signature table is broadcast
-    only when its measured size allows; otherwise this is the plain dedup.
+    only when its measured size allows; otherwise the rows meet it in a shuffle
+    join on the narrow signature.
     """
-    from starloom.operators.joins import fits_broadcast
+    from starloom.operators.joins import join_small
     from starloom.session import stage
 
     keys = [c for c in df.columns if c != order_col]
     tagged = df.withColumns({"_h1": F.xxhash64(*keys), "_h2": F.hash(*keys)})
     repeated = stage(tagged.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
                      .filter(F.col("_n") > 1).drop("_n"), "dedup-signatures")
-    if not fits_broadcast(repeated):
-        return dedup_rows(df, order_col)
-    sigs = F.broadcast(repeated.df)
-    unique = tagged.join(sigs, ["_h1", "_h2"], "left_anti").drop("_h1", "_h2")
-    copies = tagged.join(sigs, ["_h1", "_h2"], "left_semi").drop("_h1", "_h2")
+    unique = join_small(tagged, repeated, ["_h1", "_h2"], "left_anti").drop("_h1", "_h2")
+    copies = join_small(tagged, repeated, ["_h1", "_h2"], "left_semi").drop("_h1", "_h2")
     return unique.unionByName(dedup_rows(copies, order_col))
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from starloom.operators.joins import join_small
 from starloom.operators.star import Star
 from starloom.schemas import LENGTHS, RANGES, WAREHOUSE
+from starloom.session import Staged
 
 PRIMARY_KEYS = {
     "dim_artist": ("artist_key",),
@@ -63,14 +64,24 @@ def unique_violations(df: DataFrame, col: str, collation: str | None = None,
 
 
 def fk_orphans(star: Star) -> DataFrame:
-    """(fk_name, orphans): fact rows whose key has no dimension row."""
-    parts = []
-    for name, col, dim in FOREIGN_KEYS:
-        keys = star.side(dim, lambda d, c=col: d.select(c))
-        missing = join_small(star.fact_track.select(col), keys, col, "left_anti")
-        parts.append(missing.agg(F.count(F.lit(1)).cast("long").alias("orphans"))
-                     .select(F.lit(name).alias("fk_name"), "orphans"))
-    return _union(parts)
+    """(fk_name, orphans): fact rows whose key has no dimension row.
+
+    One scan of the fact gives the rows per (foreign key, value), combined map-side, so what
+    meets the dimensions is no larger than they are and no value is hot."""
+    values = (star.fact_track.select(F.explode(F.array(*[
+        F.struct(F.lit(name).alias("fk_name"), F.col(col).cast("long").alias("value"))
+        for name, col, _ in FOREIGN_KEYS])).alias("s")).select("s.*")
+        .groupBy("fk_name", "value").agg(F.count(F.lit(1)).alias("n")))
+    known = _union([getattr(star, dim).select(F.lit(name).alias("fk_name"), F.col(col).cast("long").alias("value"))
+                    for name, col, dim in FOREIGN_KEYS])
+    if all(dim in star.sizes for _, _, dim in FOREIGN_KEYS):
+        rows = sum(star.sizes[dim][0] for _, _, dim in FOREIGN_KEYS)
+        known = Staged(known, rows, 32 * rows)
+    missing = join_small(values, known, ["fk_name", "value"], "left_anti")
+    counts = missing.groupBy("fk_name").agg(F.sum("n").alias("n"))
+    names = star.fact_track.sparkSession.createDataFrame([(n,) for n, _, _ in FOREIGN_KEYS], "fk_name string")
+    return names.join(F.broadcast(counts), "fk_name", "left").select(  # a row for each foreign key
+        "fk_name", F.coalesce("n", F.lit(0)).cast("long").alias("orphans"))
 
 
 def _rules(table: str) -> list[tuple[str, str, Column]]:
@@ -84,12 +95,15 @@ def _rules(table: str) -> list[tuple[str, str, Column]]:
     return items
 
 
-def rule_counts(star: Star) -> DataFrame:
+def rule_counts(star: Star, which: str | None = None) -> DataFrame:
     """(table_name, column_name, rule, violations): NOT NULL and domain rules
-    of a table evaluated together in one aggregate pass over it."""
+    of a table evaluated together in one aggregate pass over it. ``which`` is ``"null"`` or
+    ``"domain"`` for one kind of rules only."""
     parts = []
     for table, df in star.tables().items():
-        items = _rules(table)
+        items = [r for r in _rules(table) if which is None or (r[1] == "not null") == (which == "null")]
+        if not items:
+            continue
         wide = df.agg(*[F.count_if(bad).cast("long").alias(f"r{i}")
                         for i, (_, _, bad) in enumerate(items)])
         parts.append(wide.select(F.explode(F.array(*[
@@ -101,14 +115,13 @@ def rule_counts(star: Star) -> DataFrame:
 
 def null_counts(star: Star) -> DataFrame:
     """(table_name, column_name, nulls) for every warehouse column."""
-    return (rule_counts(star).filter(F.col("rule") == "not null")
-            .select("table_name", "column_name", F.col("violations").alias("nulls")))
+    return rule_counts(star, "null").select("table_name", "column_name", F.col("violations").alias("nulls"))
 
 
 def domain_violations(star: Star) -> DataFrame:
     """(table_name, column_name, rule, violations) for value ranges (TINYINT
     and unsigned TINYINT) and VARCHAR lengths."""
-    return rule_counts(star).filter(F.col("rule") != "not null")
+    return rule_counts(star, "domain")
 
 
 def violations(star: Star) -> DataFrame:

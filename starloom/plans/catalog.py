@@ -24,8 +24,21 @@ from starloom.plans.pipeline import (
     fixture_star,
     landed_awards,
     landed_tracks,
+    run,
 )
-from starloom.sources.fixtures import raw_tracks, table
+from starloom.schemas import TABLE_ORDER
+from starloom.session import scratch
+from starloom.sinks.files import export_csv
+from starloom.sinks.warehouse import publish, read_published
+from starloom.sources.files import (
+    CSV_OPTIONS,
+    create_landing_table,
+    read_awards_csv,
+    read_stage,
+    read_tracks,
+    write_stage,
+)
+from starloom.sources.fixtures import gappy_tracks_text, raw_tracks, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +60,11 @@ def _awards_out(df: DataFrame) -> DataFrame:
         "category", "nominee", "artist", "winner", "artist_norm")
 
 
+def _shown(df: DataFrame) -> DataFrame:
+    """The order key is wider than a long, so results show it as text."""
+    return df.withColumn("_row_ord", F.col("_row_ord").cast("string"))
+
+
 def _union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
@@ -62,7 +80,7 @@ def _documents(spark: SparkSession, d: str) -> DataFrame:
 
 def scan_tracks(spark, d):
     """The track source straight from the driver tables (joins included)."""
-    return raw_tracks(spark, d)
+    return _shown(raw_tracks(spark, d))
 
 
 def na_tokens_to_null_q(spark, d):
@@ -74,8 +92,8 @@ def blank_to_null_q(spark, d):
 
 
 def normalize_key_q(spark, d):
-    return landed_tracks(spark, d).select("_row_ord", "artists",
-                                          normalize_key("artists").alias("artist_norm"))
+    return _shown(landed_tracks(spark, d)).select("_row_ord", "artists",
+                                                  normalize_key("artists").alias("artist_norm"))
 
 
 def parse_mixed_ts(spark, d):
@@ -86,7 +104,7 @@ def parse_mixed_ts(spark, d):
 
 
 def clean_tracks_q(spark, d):
-    return clean_tracks(landed_tracks(spark, d))
+    return _shown(clean_tracks(landed_tracks(spark, d)))
 
 
 def clean_awards_q(spark, d):
@@ -98,7 +116,7 @@ def award_stats_q(spark, d):
 
 
 def merge_left_fill(spark, d):
-    return fixture_merged(spark, d)
+    return _shown(fixture_merged(spark, d))
 
 
 def dedup_documents(spark, d):
@@ -182,13 +200,81 @@ def adhoc_top_by_name(spark, d):
 
 
 def pipeline_counts(spark, d):
-    star = fixture_star(spark, d)
-    stages = [("raw_tracks", landed_tracks(spark, d)), ("raw_awards", landed_awards(spark, d)),
-              ("clean_tracks", clean_tracks(landed_tracks(spark, d))),
-              ("clean_awards", clean_awards(landed_awards(spark, d))),
-              ("merged", fixture_merged(spark, d))] + list(star.tables().items())
-    return _union([df.agg(F.count(F.lit(1)).cast("long").alias("row_count"))
-                   .select(F.lit(name).alias("stage"), "row_count") for name, df in stages])
+    """The counts that the end-to-end job observes while it cleans, merges, builds, publishes
+    and exports."""
+    folder = scratch(spark, "run")
+    counts = run(landed_tracks(spark, d), landed_awards(spark, d), f"{folder}/warehouse",
+                 csv_out=f"{folder}/merged", enforce=False)  # the given keys repeat
+    return spark.createDataFrame([(k, int(v)) for k, v in counts.items() if k != "version"],
+                                 "stage string, row_count long")
+
+
+# --- files, stages, publishing ------------------------------------------------
+
+def csv_tracks(spark, d):
+    """The track source written as a CSV export with its index column and read back."""
+    path = scratch(spark, "tracks-csv")
+    export_csv(raw_tracks(spark, d).withColumnRenamed("_row_ord", "_c0"), path)
+    return _shown(read_tracks(spark, path))
+
+
+def csv_awards(spark, d):
+    """The awards source written as CSV and bulk-loaded into the landing layout."""
+    path = scratch(spark, "awards-csv")
+    export_csv(landed_awards(spark, d).drop("_row_ord"), path)
+    return read_awards_csv(spark, path)
+
+
+def landing_table(spark, d):
+    """The landing table created by its DDL (twice: re-runnable), filled and read."""
+    path = scratch(spark, "landing")
+    name = "landing_" + path.rsplit("-", 1)[-1]
+    create_landing_table(spark, name, path)
+    landed_awards(spark, d).drop("_row_ord").write.insertInto(name)
+    create_landing_table(spark, name, path)
+    return spark.table(name)
+
+
+def stage_round_trip(spark, d):
+    path = scratch(spark, "stage")
+    write_stage(landed_awards(spark, d), path)
+    return read_stage(spark, path)
+
+
+def csv_export(spark, d):
+    """The merged table exported as CSV and read back with its schema."""
+    path = scratch(spark, "export")
+    merged = fixture_merged(spark, d).drop("_row_ord")
+    export_csv(merged, path)
+    return spark.read.schema(merged.schema).options(**CSV_OPTIONS).csv(path)
+
+
+def gappy_tracks(spark, d):
+    """The track source with missing-value tokens and NaN, through the CSV reader."""
+    path = scratch(spark, "gappy-csv")
+    export_csv(gappy_tracks_text(spark, d).withColumnRenamed("_row_ord", "_c0"), path)
+    return read_tracks(spark, path)
+
+
+def gappy_nulls(spark, d):
+    return P.nulls(gappy_tracks(spark, d), "gappy_tracks")
+
+
+def gappy_describe(spark, d):
+    return P.describe(gappy_tracks(spark, d), ["popularity", "energy", "tempo", "valence", "danceability"])
+
+
+def gappy_corr(spark, d):
+    return P.corr_matrix(gappy_tracks(spark, d), CORR_COLS)
+
+
+def _published(name: str) -> Query:
+    def run_(spark, d):
+        target = scratch(spark, "published")
+        publish(fixture_star(spark, d), target, enforce=False)  # the given keys repeat
+        return getattr(read_published(spark, target), name)
+    run_.__name__ = f"published_{name}"
+    return run_
 
 
 # --- profiling ----------------------------------------------------------------
@@ -263,7 +349,7 @@ def profile_freq_by_year(spark, d):
 
 
 def profile_head_tail(spark, d):
-    return P.head_tail(landed_tracks(spark, d), "_row_ord", 5)
+    return _shown(P.head_tail(landed_tracks(spark, d), "_row_ord", 5))
 
 
 def profile_histogram(spark, d):
@@ -314,6 +400,14 @@ def registry() -> dict[str, Query]:
         "star_counts": star_counts,
         "adhoc_top_by_name": adhoc_top_by_name,
         "pipeline_counts": pipeline_counts,
+        "csv_tracks": csv_tracks,
+        "csv_awards": csv_awards,
+        "landing_table": landing_table,
+        "stage_round_trip": stage_round_trip,
+        "csv_export": csv_export,
+        "gappy_nulls": gappy_nulls,
+        "gappy_describe": gappy_describe,
+        "gappy_corr": gappy_corr,
         "profile_shape": profile_shape,
         "profile_info": profile_info,
         "profile_describe": profile_describe,
@@ -333,6 +427,8 @@ def registry() -> dict[str, Query]:
         "profile_boxstats": profile_boxstats,
         "profile_corr": profile_corr,
     }
+    for name in TABLE_ORDER:
+        q[f"published_{name}"] = _published(name)
     for name, fn in marts.MARTS.items():
         q[name] = _mart(fn)
     return q

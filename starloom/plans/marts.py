@@ -25,12 +25,20 @@ CLEAN = "Clean"
 
 
 def _sums(cols: list[str]) -> list[Column]:
-    return [F.count(F.lit(1)).alias("_n")] + [F.sum(F.col(c).cast("double")).alias(f"_s_{c}")
-                                             for c in cols]
+    """Rows, and per measure the sum and the count of its values (an average ignores nulls)."""
+    return [F.count(F.lit(1)).alias("_n")] + [
+        agg for c in cols for agg in (F.sum(F.col(c).cast("double")).alias(f"_s_{c}"),
+                                      F.count(c).alias(f"_n_{c}"))]
 
 
 def _avg(col: str, digits: int, alias: str | None = None) -> Column:
-    return round_half_up(F.sum(f"_s_{col}") / F.sum("_n"), digits).alias(alias or f"avg_{col}")
+    return round_half_up(F.try_divide(F.sum(f"_s_{col}"), F.sum(f"_n_{col}")), digits).alias(
+        alias or f"avg_{col}")
+
+
+def _mean(col: str, digits: int) -> Column:
+    """As ``_avg`` where the sums already are at the output's grain."""
+    return round_half_up(F.try_divide(F.col(f"_s_{col}"), F.col(f"_n_{col}")), digits).alias(f"avg_{col}")
 
 
 def _status(wins: Column) -> Column:
@@ -72,7 +80,7 @@ def top_artists(star: Star, k: int = 10) -> DataFrame:
     out = j.select(
         "artist_key", "artist_name", "grammy_nominations", "grammy_wins",
         F.col("_n").cast("long").alias("track_count"),
-        round_half_up(F.col("_s_popularity") / F.col("_n"), 1).alias("avg_popularity"))
+        _mean("popularity", 1))
     return (out.orderBy(F.desc("avg_popularity"), F.asc("artist_key")).limit(k)
             .drop("artist_key"))
 
@@ -151,8 +159,7 @@ def explicit_split(star: Star) -> DataFrame:
     cols = ["popularity", "danceability", "energy", "speechiness", "valence"]
     return f.groupBy("content_type").agg(*_sums(cols)).select(
         "content_type", F.col("_n").cast("long").alias("track_count"),
-        *[round_half_up(F.col(f"_s_{c}") / F.col("_n"), 1 if c == "popularity" else 3)
-          .alias(f"avg_{c}") for c in cols])
+        *[_mean(c, 1 if c == "popularity" else 3) for c in cols])
 
 
 def star_counts(star: Star) -> DataFrame:
@@ -173,7 +180,7 @@ def top_by_name(star: Star, k: int = 10) -> DataFrame:
     """Ad-hoc: average popularity per artist *name* (not key), top k."""
     j = _per_artist(star, ["popularity"])
     out = j.groupBy("artist_name").agg(
-        round_half_up(F.sum("_s_popularity") / F.sum("_n"), 6).alias("avg_pop"))
+        _avg("popularity", 6, "avg_pop"))
     return out.orderBy(F.desc("avg_pop"), F.asc("artist_name")).limit(k)
 
 

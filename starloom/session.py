@@ -37,9 +37,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("STARLOOM_DRIVER_MEM", "12g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # Staged tables are re-read by many jobs: cap rows per file so a
-        # stage written by few tasks still reads back in parallel.
-        .config("spark.sql.files.maxRecordsPerFile", "100000")
+        # Staged tables are re-read by many jobs, also those that few tasks wrote.
+        .config("spark.sql.files.maxPartitionBytes", "16m")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -66,6 +65,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder name below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/starloom/{name}-{uuid.uuid4().hex}"
+
+
 def payload_expr(df: DataFrame) -> Column:
     """Per-row data size: string/binary byte lengths plus 8 bytes per other value."""
     total = F.lit(0).cast("long")
@@ -118,8 +122,7 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     columnar copy keeps column pruning and filter pushdown for its readers.
     """
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/starloom/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.mode("error").parquet(path)
     # Known schema: no footer sampling to infer it again.
     return spark.read.schema(df.schema).parquet(path)
