@@ -241,7 +241,8 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 50, digits: int =
 
     def bin_of(c: str) -> Column:
         x, (lo, hi) = number(c), map(F.lit, spans[c])
-        i = F.least(((x - lo) / (hi - lo) * bins).cast("int"), F.lit(bins - 1))
+        # least() skips nulls, so missing values are kept out first.
+        i = F.when(x.isNotNull(), F.least(((x - lo) / (hi - lo) * bins).cast("int"), F.lit(bins - 1)))
         i = F.when(x < edge(i, lo, hi), i - 1).otherwise(i)
         return F.when((i != bins - 1) & (x >= edge(i + 1, lo, hi)), i + 1).otherwise(i)
 

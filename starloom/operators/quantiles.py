@@ -48,6 +48,12 @@ class _Wanted:
     before: float | None = None  # nearest values outside
     after: float | None = None
     slack: float = 2.0
+    settled: bool = False  # sketching again gave the same ends
+
+    def crowded(self, keep: int) -> bool:
+        """Worth another sketch. A bracket that no longer shrinks holds few values or is full
+        of copies of its ends, which are one row each when they are counted."""
+        return self.lo < self.hi and self.inside > keep and not self.settled
 
     @property
     def ranks(self) -> tuple[int, int, float]:
@@ -84,8 +90,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     while open_:
         open_ = _measure(data, open_)
         wide = [(i, w) for i, w in open_ if not w.covers()]
-        many = [(i, w) for i, w in open_ if w.covers() and w.lo < w.hi and w.inside > keep]
-        done += [(i, w) for i, w in open_ if w.covers() and not (w.lo < w.hi and w.inside > keep)]
+        many = [(i, w) for i, w in open_ if w.covers() and w.crowded(keep)]
+        done += [(i, w) for i, w in open_ if w.covers() and not w.crowded(keep)]
         open_ = _narrow(data, wide, many)
     rows = _read_off(data, done)
     return df.sparkSession.createDataFrame(rows, "column_name string, prob double, quantile double")
@@ -121,7 +127,9 @@ def _narrow(data: DataFrame, wide: list, many: list) -> list[tuple[int, _Wanted]
     row = data.agg(*aggs).first()
     for name, group in (("w", wide), ("m", many)):
         for k, (_, w) in enumerate(group):
-            w.lo, w.hi = row[f"{name}{k}"]
+            ends = tuple(row[f"{name}{k}"])
+            w.settled = name == "m" and ends == (w.lo, w.hi)
+            w.lo, w.hi = ends
     return wide + many
 
 
