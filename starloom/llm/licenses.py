@@ -145,9 +145,10 @@ class Scanner:
         return self._best_at_each_place(out)
 
     def _best_at_each_place(self, found: list[tuple[str, float, int, int]]) -> list[tuple[str, float, int, int]]:
-        """Of notices that overlap, the one with the higher coverage, then the longer one."""
+        """Of notices that overlap, the one with the higher coverage, then with more words."""
+        words = {name: len(t) for name, t in self.templates}
         kept: list[tuple[str, float, int, int]] = []
-        for f in sorted(found, key=lambda f: (-f[1], f[2] - f[3])):
+        for f in sorted(found, key=lambda f: (-f[1], -words[f[0]])):
             if all(f[3] <= k[2] or k[3] <= f[2] for k in kept):
                 kept.append(f)
         return [f for f in found if f in kept]

@@ -176,14 +176,12 @@ def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``length_col`` it follows the new text. Rows without secrets are unchanged."""
     name = fresh(docs, "_spans")
     found = _with_spans(docs, F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")), rules, name)
-    hit = F.size(name) > 0
-    text = F.when(hit, redact(F.col(f"`{text_col}`"), F.col(name), mark)).otherwise(F.col(f"`{text_col}`"))
-    out = []
-    for c in docs.columns:
-        col = F.col(f"`{c}`")
-        if c == text_col:
-            col = text
-        elif c == length_col:
-            col = F.when(hit, F.length(text).cast(docs.schema[c].dataType)).otherwise(col)
-        out.append(col.alias(c))
-    return found.select(*out)
+    marked = fresh(found, "_masked")
+    text = F.when(F.size(name) > 0, redact(F.col(f"`{text_col}`"), F.col(name), mark)).otherwise(
+        F.col(f"`{text_col}`"))
+    out = found.withColumn(marked, F.size(name) > 0).withColumn(text_col, text)
+    if length_col in docs.columns:
+        # Taken from the finished column: inside one projection the expression would run twice.
+        length = F.length(F.col(f"`{text_col}`")).cast(docs.schema[length_col].dataType)
+        out = out.withColumn(length_col, F.when(F.col(marked), length).otherwise(F.col(f"`{length_col}`")))
+    return out.select(*[f"`{c}`" for c in docs.columns])
