@@ -90,7 +90,7 @@ def load(path: str) -> Vocabulary:
 class Encoder:
     """Encodes and decodes with one vocabulary; built once per task."""
 
-    def __init__(self, vocabulary: Vocabulary, remembered: int = 300_000, short: int = 48):
+    def __init__(self, vocabulary: Vocabulary, remembered: int = 150_000, short: int = 32):
         self.v = vocabulary
         self.short, self.remembered = short, remembered
         taken = set(vocabulary.special.values())
@@ -107,11 +107,11 @@ class Encoder:
         #: Ids (packed as int32) of pieces, and of what stands between two single blanks.
         self.pieces: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether the encoding of both tokens' text is exactly these two tokens."""
-        known = self.pairs.get((left, right))
+        known = self.pairs.get(left << 32 | right)
         if known is not None:
             return known
         v, a, b, a_until, b_until = self.v, left, right, _NEVER, _NEVER
@@ -129,9 +129,9 @@ class Encoder:
                 a_until, a = v.rank[a], v.made_of[a][1]
             else:
                 b_until, b = v.rank[b], v.made_of[b][0]
-        if len(self.pairs) >= 1_000_000:
+        if len(self.pairs) >= self.remembered:
             self.pairs.clear()
-        self.pairs[left, right] = ok
+        self.pairs[left << 32 | right] = ok
         return ok
 
     def piece(self, text: str) -> bytes:

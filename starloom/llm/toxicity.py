@@ -333,7 +333,7 @@ def _part(rows: np.ndarray, word: np.ndarray, gram: np.ndarray, size: np.ndarray
 class Scorer:
     """Scores texts with a model; keeps the gate inputs of the words it has met (bounded)."""
 
-    def __init__(self, model: Model, remembered: int = 200_000, batch: int = 2048):
+    def __init__(self, model: Model, remembered: int = 100_000, batch: int = 1024):
         self.model, self.remembered, self.batch = model, remembered, batch
         self._fresh()
 
@@ -343,16 +343,17 @@ class Scorer:
         for d in "fb":
             self.tables[d][0] = 0
             self.tables[d][0, :HIDDEN] = -_PAD_GATE
-        self.ready = self.grams = 0
+        self.ready = 0
 
     def _grow(self) -> None:
-        lex, n = self.lexicon, len(self.lexicon.word)
+        lex, n = self.lexicon, len(self.lexicon.row)
         if n == self.ready:
             return
-        word, gram, size = (np.array(a) for a in (lex.word[self.ready:], lex.gram[self.grams:],
-                                                  lex.size[self.ready:]))
+        # Features of new words only; once they are gate inputs they are not needed again.
+        word, gram, size = (np.array(a) for a in (lex.word, lex.gram, lex.size))
         new = _tables(_inputs(word, gram, size, self.model.p), self.model.p)
-        self.grams = len(lex.gram)
+        for a in (lex.word, lex.gram, lex.size):
+            del a[:]
         for d in "fb":
             if n + 1 > len(self.tables[d]):
                 bigger = np.empty((max(n + 1, 2 * len(self.tables[d])), 3 * HIDDEN), np.float32)
@@ -382,7 +383,7 @@ class Scorer:
             n = 0
 
         for i, t in enumerate(texts):
-            if len(self.lexicon.word) > self.remembered:
+            if len(self.lexicon.row) > self.remembered:
                 flush()
                 self._fresh()
             w = _windows(self.lexicon.rows(words_of(t)))
