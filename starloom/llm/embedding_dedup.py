@@ -3,7 +3,11 @@
 1. Codes: vectors are scaled to unit length; a bounded sample gives a mean, principal axes
    and a rotation learned by iterative quantisation (alternate between the nearest corner of
    the cube and the rotation that fits the corners best), which spreads variance evenly over
-   the bits. Every vector is coded, not only the sample.
+   the bits. Every vector is coded, not only the sample. One code misses pairs whose bits
+   differ in more than the radius, the more so where the mean takes much of the length, so
+   independent codes are added until pairs planted in the sample at exactly the threshold
+   meet under one of them with a share of ``RECALL``. If ``CODES`` codes do not get there
+   all vectors are one neighbourhood, which is exact and quadratic.
 2. Tables: distinct codes are stored under their segments and probe the Hamming ball around
    each segment, so all codes within ``radius`` bits meet. Codes that meet and are within the
    radius are joined into neighbourhoods; under one value members are tied to each other by
@@ -41,6 +45,8 @@ SEGMENTS = 4
 #: Bounds: vectors the rotation is learned from, vectors of a rerank block, members of one
 #: table value in one task.
 SAMPLE, BLOCK, CROWD = 10_000, 2048, 4096
+#: Share of planted pairs that must meet, the most codes for it, and pairs planted of a kind.
+RECALL, CODES, PLANTED = 0.95, 24, 2000
 _BITS = 64
 _SEG = _BITS // SEGMENTS
 #: Numbers of cuts fit below this, so a pair of them is one long.
@@ -83,37 +89,93 @@ def codes(x: np.ndarray, mean: np.ndarray, projection: np.ndarray) -> np.ndarray
     return np.packbits(bits, axis=1).view(">u8").astype(np.uint64).view(np.int64).reshape(-1)
 
 
+def planted(sample: np.ndarray, cosine: float, seed: int = 5) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of unit rows at exactly ``cosine``: sampled vectors and what they become when they
+    are turned towards the way another sampled vector differs from the mean, towards another
+    one with the part along the mean kept, and towards any direction."""
+    rng = np.random.default_rng(seed)
+    x = sample[rng.permutation(len(sample))[:PLANTED]]
+    x = np.tile(x, (-(-min(PLANTED, 500) // len(x)), 1))
+    mean = sample.mean(axis=0)
+    apart = sample[rng.integers(len(sample), size=len(x))] - mean
+    m = mean / max(float(np.linalg.norm(mean)), 1e-12)
+    along, level = x - (x @ m)[:, None] * m, (x @ m)[:, None]
+    out = []
+    for kind, turn in enumerate((apart, apart, rng.normal(size=x.shape))):
+        if kind == 1:
+            # On the sphere of equal parts along the mean: 1 - cosine = |along|^2 (1 - cosine there).
+            size = np.linalg.norm(along, axis=1, keepdims=True)
+            inner = 1 - (1 - cosine) / np.maximum(size * size, 1e-12)
+            u = apart - (apart @ m)[:, None] * m
+            u = u - ((u * along).sum(axis=1, keepdims=True) / np.maximum(size * size, 1e-12)) * along
+            long = np.linalg.norm(u, axis=1, keepdims=True)
+            ok = ((long > 1e-6) & (inner > -1) & (size > 1e-6))[:, 0]
+            inner, size, long = inner[ok], size[ok], long[ok]
+            y = level[ok] * m + inner * along[ok] + np.sqrt(1 - inner * inner) * size * u[ok] / long
+        else:
+            u = turn - (turn * x).sum(axis=1, keepdims=True) * x
+            long = np.linalg.norm(u, axis=1, keepdims=True)
+            ok = (long > 1e-6)[:, 0]
+            y = cosine * x[ok] + np.sqrt(1 - cosine * cosine) * u[ok] / long[ok]
+        if len(y):
+            out.append((x[ok], y))
+    return out
+
+
+def enough(sample: np.ndarray, cosine: float, radius: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], float]:
+    """(codes, recall): (mean, projection) of as many codes as planted pairs need to meet, and
+    the smallest share of a kind of pairs that does."""
+    pairs = planted(sample, cosine)
+    met = [np.zeros(len(a), bool) for a, _ in pairs]
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    share = 0.0
+    while share < RECALL and len(out) < CODES:
+        out.append(learn(sample, seed=3 + len(out)))
+        for hit, (a, b) in zip(met, pairs, strict=True):
+            far = np.bitwise_count(codes(a, *out[-1]).view(np.uint64) ^ codes(b, *out[-1]).view(np.uint64))
+            hit |= far <= radius
+        share = min((float(hit.mean()) for hit in met), default=1.0)
+    return out, share
+
+
 def _usable(column: str) -> str:
     """SQL condition: can be compared by cosine."""
     return (f"{column} IS NOT NULL AND size({column}) > 0 AND NOT exists({column}, x -> x IS NULL OR isnan(x) "
             f"OR x = double('inf') OR x = double('-inf')) AND exists({column}, x -> x <> 0)")
 
 
-def _coded(groups: DataFrame, mean: np.ndarray, projection: np.ndarray) -> DataFrame:
-    """(g, code, dim, weight, vec) of distinct vectors."""
+def _coded(groups: DataFrame, learned: list[tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """(g, codes, dim, weight, vec) of distinct vectors."""
+    many = len(learned)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             dim = b.column("dim").to_numpy()
-            out = np.zeros(b.num_rows, np.int64)
+            out = np.zeros((b.num_rows, many), np.int64)
             vec = b.column("vec")
             flat, ends = vec.values.to_numpy(), vec.offsets.to_numpy()
             for d in np.unique(dim):
                 at = np.flatnonzero(dim == d)
                 rows = flat[ends[at][:, None] + np.arange(d)]
-                out[at] = codes(_unit(rows), mean, projection)
-            yield pa.RecordBatch.from_arrays([b.column("g"), pa.array(out), b.column("dim"),
-                                              b.column("weight"), vec],
-                                             names=["g", "code", "dim", "weight", "vec"])
+                unit = _unit(rows)
+                for k, (mean, projection) in enumerate(learned):
+                    out[at, k] = codes(unit, mean, projection)
+            every = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * many),
+                                             pa.array(out.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([b.column("g"), every, b.column("dim"), b.column("weight"), vec],
+                                             names=["g", "codes", "dim", "weight", "vec"])
 
     return groups.select("g", "dim", "weight", "vec").mapInArrow(
-        work, "g long, code long, dim int, weight long, vec array<double>")
+        work, "g long, codes array<long>, dim int, weight long, vec array<double>")
 
 
 def _neighbourhoods(coded: DataFrame, radius: int, crowd: int) -> DataFrame:
-    """(code, hood) for codes with another one in reach; all others stand alone."""
-    distinct = coded.select("code").distinct()
+    """(g, hood) for vectors with another one in reach under any code; all others stand alone."""
+    members = coded.select("g", F.posexplode("codes").alias("table", "code"))
+    distinct = members.select("table", "code").distinct()
     seg_of = [F.shiftrightunsigned("code", _SEG * s).bitwiseAND(F.lit((1 << _SEG) - 1)) for s in range(SEGMENTS)]
-    own = (distinct.select("code", F.posexplode(F.array(*seg_of)).alias("part", "own")))
+    own = (distinct.select("table", "code", F.posexplode(F.array(*seg_of)).alias("seg", "own"))
+           .select("code", (F.col("table") * SEGMENTS + F.col("seg")).alias("part"), "own"))
     crowds = stage(own.groupBy("part", F.col("own").alias("key")).count().where(F.col("count") > crowd)
                    .select("part", "key", F.ceil(F.col("count") / crowd).cast("int").alias("cuts")), "crowds")
     rows = (own.select("*", F.explode(_longs(_masks(_SEG, radius // SEGMENTS))).alias("mask"))
@@ -134,7 +196,17 @@ def _neighbourhoods(coded: DataFrame, radius: int, crowd: int) -> DataFrame:
                 .select("part", (F.col("key") * _WIDE * _WIDE + F.col("pair")).alias("key"), "near", "code"))
     edges = (rows.repartition("part", "key").sortWithinPartitions("part", "key", "near")
              .mapInArrow(lambda it: _link_partition(it, radius), "a long, b long"))
-    return roots(stage(edges, "code-links").df).select(F.col("v").alias("code"), F.col("root").alias("hood"))
+    links = stage(edges, "code-links").df
+    # A code stands for its first vector. That a value may occur under several codes can only
+    # make a neighbourhood larger.
+    heads = stage(members.groupBy("code").agg(F.min("g").alias("head"), F.count("*").alias("n")), "code-heads").df
+    shared = heads.where("n > 1").select("code", "head")
+    same = members.select("g", "code").join(shared, "code").select(F.col("g").alias("a"), F.col("head").alias("b"))
+    near = (links.join(heads.select(F.col("code").alias("a"), F.col("head").alias("x")), "a")
+            .join(heads.select(F.col("code").alias("b"), F.col("head").alias("y")), "b")
+            .select(F.col("x").alias("a"), F.col("y").alias("b")))
+    return roots(stage(same.unionByName(near), "vector-links").df).select(
+        F.col("v").alias("g"), F.col("root").alias("hood"))
 
 
 def _pairs(block: list[np.ndarray], pair: int, cosine: float) -> tuple[np.ndarray, ...]:
@@ -223,11 +295,14 @@ def group(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding"
     if top is None:
         return base.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     rows = groups.where(F.col("dim") == top).orderBy(F.xxhash64("vec"), "g").limit(sample).select("vec").collect()
-    mean, projection = learn(_unit(np.array([r["vec"] for r in rows])))
-    coded = stage(_coded(groups, mean, projection), "coded").df
-    hoods = _neighbourhoods(coded, radius, crowd)
-    placed = (join_small(coded, stage(hoods, "hoods"), "code", "left")
-              .select("g", "dim", "weight", "vec", F.coalesce("hood", "code").alias("hood")))
+    learned, recall = enough(_unit(np.array([r["vec"] for r in rows])), cosine, radius)
+    if recall >= RECALL:
+        coded = stage(_coded(groups, learned), "coded").df
+        hoods = _neighbourhoods(coded, radius, crowd)
+        placed = (join_small(coded, stage(hoods, "hoods"), "g", "left")
+                  .select("g", "dim", "weight", "vec", F.coalesce("hood", "g").alias("hood")))
+    else:
+        placed = groups.select("g", "dim", "weight", "vec", F.lit(0).cast("long").alias("hood"))
     sizes = stage(placed.groupBy("hood", "dim").count().where("count > 1")
                   .select("hood", "dim", F.ceil(F.col("count") / block).cast("int").alias("cuts")), "hood-sizes")
     mine = F.pmod(F.xxhash64("g"), F.col("cuts")).cast("int")

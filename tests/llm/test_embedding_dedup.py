@@ -86,3 +86,34 @@ def test_recall_at_the_threshold():
         a, b = E.codes(E._unit(base), mean, projection), E.codes(E._unit(other), mean, projection)
         far = np.bitwise_count(a.view(np.uint64) ^ b.view(np.uint64))
         assert (far <= E.RADIUS).mean() >= least
+
+
+@pytest.mark.parametrize("common", [0.0, 0.3, 0.5])
+def test_pairs_just_above_the_threshold_link(spark, common):
+    """Planted pairs at cosine 0.90 to 0.92, also where all vectors share a direction."""
+    rng = np.random.default_rng(8)
+    n, d = 1500, 64
+    top = np.zeros(d)
+    top[0] = np.sqrt(common)
+
+    def rest(x):
+        x[:, 0] = 0
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    a, u = rest(rng.normal(size=(n, d))), rng.normal(size=(n, d))
+    u = rest(u)
+    u = rest(u - (u * a).sum(axis=1, keepdims=True) * a)
+    inner = 1 - (1 - rng.uniform(0.901, 0.92, size=(n, 1))) / (1 - common)
+    b = inner * a + np.sqrt(1 - inner * inner) * u
+    x, y = (top + np.sqrt(1 - common) * v for v in (a, b))
+    got = run(spark, list(range(2 * n)), np.concatenate([x, y]).tolist())
+    assert np.mean([links > 0 for _, links, _ in got]) >= 0.9
+    learned, recall = E.enough(E._unit(np.concatenate([x, y])), 0.9, E.RADIUS)
+    assert recall >= E.RECALL and len(learned) <= E.CODES
+
+
+def test_a_mean_that_hides_the_links_is_compared_in_full(spark):
+    rng = np.random.default_rng(9)
+    vectors = (10 + rng.normal(size=(60, 8)) * 4).tolist()
+    ids = list(range(60))
+    assert run(spark, ids, vectors) == plain(ids, [np.array(v, np.float32).tolist() for v in vectors])
