@@ -249,16 +249,19 @@ def links(fps: DataFrame, radius: int = RADIUS, bucket_limit: int = 4096) -> Dat
 
 def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
           radius: int = RADIUS, bucket_limit: int = 4096) -> DataFrame:
-    """(id, text_hash, fp, component_id) for every row."""
+    """(id, text_hash, fp, component, component_id) for every row; ``component`` is the smallest
+    fingerprint of the component as a signed long, which names it even where ids repeat or
+    are null."""
     sigs = stage(fingerprints(docs, id_col, text_col, shingle), "fingerprints").df
     reps = stage(sigs.groupBy("fp").agg(F.min("id").alias("first_id")), "distinct-fingerprints")
     ends = roots(stage(links(reps.df.select("fp"), radius, bucket_limit), "links").df)
     tied = ends.withColumnRenamed("v", "fp").join(reps.df, "fp")
     smallest = tied.groupBy("root").agg(F.min("first_id").alias("least"))
-    least = tied.select("fp", "root").join(smallest, "root").select("fp", "least")
+    least = tied.select("fp", "root").join(smallest, "root").select("fp", "root", "least")
     home = stage(reps.df.join(least, "fp", "left")
-                 .select("fp", F.coalesce("least", "first_id").alias("component_id")), "components")
-    return join_small(sigs, home, "fp").select("id", "text_hash", "fp", "component_id")
+                 .select("fp", F.coalesce("root", "fp").alias("component"),
+                         F.coalesce("least", "first_id").alias("component_id")), "components")
+    return join_small(sigs, home, "fp").select("id", "text_hash", "fp", "component", "component_id")
 
 
 def hex_digits(fp: Column) -> Column:
@@ -268,11 +271,12 @@ def hex_digits(fp: Column) -> Column:
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
              radius: int = RADIUS) -> DataFrame:
     """One row of each component, all columns: the one with the component's id. Rows that
-    repeat that id and its text are one row."""
+    repeat that id and its text are one row; unrelated components that share an id, or have
+    none, keep one row each."""
     found = group(docs, id_col, text_col, shingle, radius)
     kept = stage(found.where(F.col("id").eqNullSafe(F.col("component_id")))
                  # The same id may come with several texts of one component: the first hash stays.
-                 .groupBy("id", "component_id").agg(F.min("text_hash").alias("text_hash"),
+                 .groupBy("component", "id").agg(F.min("text_hash").alias("text_hash"),
                                                     F.count("*").alias("copies")), "kept")
     key = fresh(docs, "_key")
     keys = Staged(kept.df.select(F.xxhash64("id", "text_hash").alias(key)), kept.rows, kept.bytes)

@@ -131,3 +131,15 @@ def test_link_partition_over_batches():
         return {c for _, c in _classes(sorted(fp.tolist()), lambda a, b: (a, b) in edges or (b, a) in edges)}
 
     assert pairs(1000) == pairs(7) == pairs(1) == pairs(64)
+
+
+def test_keep_one_of_each_component_whatever_the_ids(spark):
+    """Null ids and repeated ids do not make one component of unrelated texts."""
+    rng = random.Random(12)
+    a, b, c, d = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(40)) for _ in range(4))
+    rows = [(None, a), (None, b), (None, b), (7, c), (7, d), (9, d), (8, c), (None, c), (7, c)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS component")
+    got = S.keep_one(df)
+    assert got.columns == df.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr) == sorted(
+        [(None, a), (None, b), (7, c), (7, d)], key=repr)
