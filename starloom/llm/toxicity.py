@@ -1,7 +1,9 @@
 """Toxicity scores from a bidirectional gated recurrent network with attention pooling.
 
 Input of a step is a word vector plus the mean of its character n-gram vectors (both
-hashed, so any word has an input). Two gated recurrent layers read a window forwards and
+hashed, so any word has an input). A run of more than ``LONGEST`` characters without a
+break (languages written without blanks, glued text) is read as overlapping pieces of
+``PIECE`` characters, each a step of its own, so all its n-grams count. Two gated recurrent layers read a window forwards and
 backwards, attention weighs their states into one vector, a logistic unit scores it. A
 text is covered by overlapping windows of ``WINDOW`` words at ``STRIDE`` words, the last
 one aligned with the end; its score is that of the worst window. All windows of the whole
@@ -38,6 +40,8 @@ HIDDEN, DIM = 8, 8
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 15, 1 << 13
 #: Bounds of the training sample: documents of each class, windows and characters of a document.
 PER_CLASS, WINDOWS_PER_DOC, CHARS_PER_DOC = 1500, 8, 20_000
+#: Longest run that is one word; pieces of longer ones and the characters that two pieces share.
+LONGEST, PIECE, SHARED = 40, 16, 8
 _PAD_GATE = 30.0
 
 _words = re.compile(r"[^\W_]+").findall
@@ -51,12 +55,22 @@ class Model:
 
 
 def words_of(text: str | None) -> list[str]:
-    return _words((text or "").lower())
+    """The words of a text in order, long runs as overlapping pieces."""
+    words = _words((text or "").lower())
+    if max(map(len, words), default=0) <= LONGEST:
+        return words
+    out: list[str] = []
+    for w in words:
+        if len(w) <= LONGEST:
+            out.append(w)
+        else:
+            out.extend(w[i:i + PIECE] for i in range(0, len(w) - SHARED, PIECE - SHARED))
+    return out
 
 
 def _features(word: str) -> tuple[int, list[int]]:
     w = zlib.crc32(word.encode()) % WORD_BUCKETS
-    s = f"<{word[:40]}>"
+    s = f"<{word}>"
     grams = [zlib.crc32(s[i:i + n].encode()) % CHAR_BUCKETS for n in (3, 4)
              for i in range(len(s) - n + 1)] or [0]
     return w, grams

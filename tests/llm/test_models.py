@@ -113,3 +113,26 @@ def test_drop_toxic_keeps_columns(spark):
     docs = spark.createDataFrame([(1, "a", 0.1)], "doc_id long, text string, _score double")
     assert toxicity.drop_toxic(docs, model).collect() == docs.collect()
     assert toxicity.drop_toxic(docs, model, at=0.2).count() == 0
+
+
+def test_toxic_text_far_inside_a_run_without_blanks_is_scored():
+    g = np.random.default_rng(21)
+    letters = [chr(0x4E00 + i) for i in range(400)]
+
+    def run_of(n, bad=""):
+        out = "".join(g.choice(letters, n))
+        for at in sorted(g.integers(100, n - 100, 4).tolist(), reverse=True):
+            out = out[:at] + bad + out[at:]
+        return out
+
+    bad = "".join(chr(0x9000 + i) for i in range(8))
+    texts = [run_of(600, bad) for _ in range(120)] + [run_of(600) for _ in range(200)]
+    scorer = toxicity.Scorer(toxicity.train(texts, [1] * 120 + [0] * 200))
+    toxic = scorer.scores([run_of(900, bad) for _ in range(40)])
+    clean = scorer.scores([run_of(900) for _ in range(40)])
+    assert (toxic >= 0.5).mean() >= 0.8 and (clean >= 0.5).mean() < 0.1
+    for n in (40, 41, 48, 49, 1000):
+        word = "".join(g.choice(letters, n))
+        pieces = toxicity.words_of(word)
+        assert all(any(word[i:i + 4] in p for p in pieces) for i in range(n - 3))
+        assert pieces == [word] if n <= 40 else max(map(len, pieces)) <= 40
