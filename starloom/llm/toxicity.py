@@ -11,7 +11,8 @@ text are scored.
 
 Training (numpy, Adam) takes a bounded sample of labelled training rows: at most
 ``per_class`` documents of each class, those with the smallest hash of their id. It is the
-only thing that is sampled. A labelled document is a bag of windows: the first passes push
+only thing that is sampled: their texts are whole and every window counts, worked off
+``CHUNK`` at a time. A labelled document is a bag of windows: the first passes push
 every window towards the label, later ones only the window with the highest score.
 
 Defined results: null and empty texts have one window of padding and get the score of an
@@ -38,8 +39,8 @@ from starloom.llm.common import fresh, pick
 WINDOW, STRIDE = 64, 48
 HIDDEN, DIM = 8, 8
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 15, 1 << 13
-#: Bounds of the training sample: documents of each class, windows and characters of a document.
-PER_CLASS, WINDOWS_PER_DOC, CHARS_PER_DOC = 1500, 8, 20_000
+#: Bounds of training: documents of each class, windows in one step of the work.
+PER_CLASS, CHUNK = 1500, 1024
 #: Longest run that is one word; pieces of longer ones and the characters that two pieces share.
 LONGEST, PIECE, SHARED = 40, 16, 8
 _PAD_GATE = 30.0
@@ -262,15 +263,32 @@ class _Adam:
             self.p[k][at] -= (self.rate * fix * m / (np.sqrt(v) + 1e-8)).astype(np.float32)
 
 
-def _windows(rows: np.ndarray, most: int | None = None) -> np.ndarray:
-    starts = _window_starts(len(rows))
-    if most and len(starts) > most:
-        starts = [starts[i] for i in np.linspace(0, len(starts) - 1, most).astype(int)]
+def _windows(rows: np.ndarray, starts: list[int] | None = None) -> np.ndarray:
+    if starts is None:
+        starts = _window_starts(len(rows))
     if len(rows) < WINDOW:
         rows = np.concatenate([rows, np.zeros(WINDOW - len(rows), np.int32)])
     return rows[np.add.outer(np.array(starts), np.arange(WINDOW))]
 
 
+def _chunks(bags: list[np.ndarray], size: int = CHUNK) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(windows, number of their document) of all windows, about ``size`` at a time. A bag is a
+    document's row numbers, so overlapping windows exist only while they are worked on."""
+    held, owner, n = [], [], 0
+    for k, bag in enumerate(bags):
+        starts = _window_starts(len(bag))
+        for lo in range(0, len(starts), size):
+            w = _windows(bag, starts[lo:lo + size])
+            held.append(w)
+            owner.append(np.full(len(w), k))
+            n += len(w)
+            if n >= size:
+                yield np.concatenate(held), np.concatenate(owner)
+                held, owner, n = [], [], 0
+    if held:
+        yield np.concatenate(held), np.concatenate(owner)
+
+
 def train(texts: list[str], labels: list[int], shown: int = 8_000, seed: int = 7) -> Model:
     """Fit on a bounded list of labelled texts; ``shown`` is how many documents are looked
     at in all passes together."""
@@ -281,7 +299,8 @@ def train(texts: list[str], labels: list[int], shown: int = 8_000, seed: int = 7
     p = _init(rng)
     adam = _Adam(p, 0.01)
     lexicon = _Lexicon()
-    bags = [_windows(lexicon.rows(words_of(t)), WINDOWS_PER_DOC) for t in texts]
+    bags = [lexicon.rows(words_of(t)) for t in texts]
+    counts = np.array([len(_window_starts(len(b))) for b in bags])
     word, gram, size = (np.array(a) for a in (lexicon.word, lexicon.gram, lexicon.size))
     begin = np.cumsum(size) - size
     _informed(p, bags, y, word, gram, size, begin)
@@ -293,24 +312,38 @@ def train(texts: list[str], labels: list[int], shown: int = 8_000, seed: int = 7
         order = rng.permutation(len(bags))
         for lo in range(0, len(order), batch):
             docs = order[lo:lo + batch]
-            rows = np.concatenate([bags[i] for i in docs])
-            owner = np.repeat(np.arange(len(docs)), [len(bags[i]) for i in docs])
-            weight = share[docs][owner] / len(docs)
+            weight = share[docs] / len(docs)
             if k < max(2, passes // 4):
-                weight = weight / np.bincount(owner)[owner]
+                work, weight = _chunks([bags[i] for i in docs]), weight / counts[docs]
             else:
+                work = [_worst([bags[i] for i in docs], p, word, gram, size, begin)]
+            grads: dict = {}
+            for rows, owner in work:
                 sub, w, g, s = _part(rows, word, gram, size, begin)
-                logit = _forward(sub, _tables(_inputs(w, g, s, p), p), p)
-                best = np.lexsort((-logit, owner))
-                best = best[np.unique(owner[best], return_index=True)[1]]
-                rows, owner, weight = rows[best], owner[best], weight[best]
-            sub, w, g, s = _part(rows, word, gram, size, begin)
-            grads, d_x = _backward(sub, y[docs][owner], weight, _inputs(w, g, s, p), p)
-            grads |= {"word": (w, d_x), "char": (g, np.repeat(d_x / s[:, None].astype(np.float32), s, axis=0))}
+                more, d_x = _backward(sub, y[docs][owner], weight[owner], _inputs(w, g, s, p), p)
+                more |= {"word": (w, d_x), "char": (g, np.repeat(d_x / s[:, None].astype(np.float32), s, axis=0))}
+                for name, d in more.items():
+                    old = grads.get(name)
+                    grads[name] = (d if old is None else old + d if not isinstance(d, tuple) else
+                                   tuple(np.concatenate(x) for x in zip(old, d, strict=True)))
             adam.step(grads)
     return Model(p)
 
 
+def _worst(bags: list[np.ndarray], p: dict, word: np.ndarray, gram: np.ndarray, size: np.ndarray,
+           begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The window with the highest score of each document, found by a forward pass over all."""
+    top, out = np.full(len(bags), -np.inf), np.zeros((len(bags), WINDOW), np.int32)
+    for rows, owner in _chunks(bags):
+        sub, w, g, s = _part(rows, word, gram, size, begin)
+        logit = _forward(sub, _tables(_inputs(w, g, s, p), p), p)
+        best = np.lexsort((-logit, owner))
+        best = best[np.unique(owner[best], return_index=True)[1]]
+        best = best[logit[best] > top[owner[best]]]
+        top[owner[best]], out[owner[best]] = logit[best], rows[best]
+    return out, np.arange(len(bags))
+
+
 def _informed(p: dict, bags: list[np.ndarray], y: np.ndarray, word: np.ndarray, gram: np.ndarray,
               size: np.ndarray, begin: np.ndarray) -> None:
     """Start values: the first input unit holds how much likelier a word is in documents of
@@ -413,14 +446,14 @@ class Scorer:
 def sample(docs: DataFrame, labels: DataFrame, use: Column, id_col: str = "doc_id",
            text_col: str = "text", label_col: str = "toxic", per_class: int = PER_CLASS) -> Model:
     """Train on at most ``per_class`` labelled documents of each class for which ``use`` (over
-    the column id) holds. Only their ids and, of those, the texts' training part move."""
+    the column id) holds. Only their ids and, of those, the texts move."""
     marks = (pick(labels, id=id_col, label=label_col).where("label IN (0, 1)").where(use)
              .groupBy("id").agg(F.max("label").alias("label")))
     chosen = None
     for c in (0, 1):
         one = marks.where(F.col("label") == c).orderBy(F.xxhash64("id"), "id").limit(per_class)
         chosen = one if chosen is None else chosen.unionByName(one)
-    text = F.substring(F.coalesce("text", F.lit("")), 1, CHARS_PER_DOC)
+    text = F.coalesce("text", F.lit(""))
     rows = (pick(docs, id=id_col, text=text_col).join(F.broadcast(chosen), "id")
             .select("id", "label", text.alias("text")).dropDuplicates(["id"])
             .orderBy("label", "id").collect())

@@ -136,3 +136,31 @@ def test_toxic_text_far_inside_a_run_without_blanks_is_scored():
         pieces = toxicity.words_of(word)
         assert all(any(word[i:i + 4] in p for p in pieces) for i in range(n - 3))
         assert pieces == [word] if n <= 40 else max(map(len, pieces)) <= 40
+
+
+def test_training_sees_every_window_and_whole_texts(spark):
+    """The toxic passage stands once, past the prefix and between the windows of a sample."""
+    g = np.random.default_rng(22)
+
+    def long(bad):
+        words = list(g.choice(LEXICON, 4500))
+        if bad:
+            at = int(g.integers(3200, 4400))
+            words[at:at + 4] = ["scoundrel"] * 4
+        return " ".join(words)
+
+    rows = [(i, long(i % 2 == 0), int(i % 2 == 0)) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.sample(df.select("doc_id", "text"), df.select("doc_id", "toxic"), toxicity.F.lit(True))
+    scorer = toxicity.Scorer(model)
+    assert (scorer.scores([long(True) for _ in range(20)]) >= 0.5).mean() > 0.9
+    assert (scorer.scores([long(False) for _ in range(20)]) >= 0.5).mean() < 0.1
+
+
+def test_chunks_are_all_windows():
+    g = np.random.default_rng(23)
+    bags = [g.integers(1, 99, n).astype(np.int32) for n in (0, 1, 63, 64, 65, 111, 112, 113, 500, 5000)]
+    want = {(k, w.tobytes()) for k, b in enumerate(bags) for w in toxicity._windows(b)}
+    for size in (1, 3, 10, 1024):
+        got = [(int(o), r.tobytes()) for rows, owner in toxicity._chunks(bags, size) for r, o in zip(rows, owner, strict=True)]
+        assert set(got) == want and len(got) == sum(len(toxicity._windows(b)) for b in bags)
