@@ -10,10 +10,10 @@ notice is found where coverage reaches the threshold.
 A window that holds fewer template words than the threshold asks for cannot reach it and is
 not aligned. Whole texts are read; the window bounds the work of an alignment, not the text.
 
-Defined results: null and empty texts hold no notice; of windows with equal coverage the first
-counts; a notice that stands in a text several times is found once, at its best window;
-of notices at overlapping
-places the best covered one counts; templates without words are ignored; repeated rows get equal results.
+Defined results: null and empty texts hold no notice; every place of a notice is found, also
+of the same one; of notices at overlapping places the best covered one counts, then the one
+with more words, then the tighter and the earlier one, and the words beside it are aligned
+again; templates without words are ignored; repeated rows get equal results.
 """
 
 from __future__ import annotations
@@ -113,7 +113,16 @@ class Scanner:
                 self.templates.append((name, words))
 
     def find(self, text: str | None) -> list[tuple[str, float, int, int]]:
-        """(template, coverage, start, stop) of the notices in a text, in code points."""
+        """Of ``places``, the best covered and then first one of each template."""
+        best: dict[str, tuple[str, float, int, int]] = {}
+        for f in self.places(text):
+            if f[0] not in best or f[1] > best[f[0]][1]:
+                best[f[0]] = f
+        return list(best.values())
+
+    def places(self, text: str | None) -> list[tuple[str, float, int, int]]:
+        """(template, coverage, start, stop) of every notice in a text, in code points, in
+        template order and then by place."""
         if not text:
             return []
         lower = text.lower()
@@ -122,42 +131,92 @@ class Scanner:
         ids = np.array(words, np.int32)
         if not ids.any():
             return []
-        out, spans = [], None
-        for name, template in self.templates:
+        places = self._places(words, ids)
+        if not places:
+            return []
+        # Lower-casing may change lengths, so places come from the text itself.
+        spans = [m.span() for m in _word.finditer(text)]
+        if len(spans) != len(words):
+            spans = [m.span() for m in _word.finditer(lower)]
+        return [(self.templates[t][0], share, spans[a][0], spans[b - 1][1])
+                for t, share, a, b in sorted(places, key=lambda f: (f[0], f[2]))]
+
+    def _places(self, words: list[int], ids: np.ndarray) -> list[tuple[int, float, int, int]]:
+        """(template, coverage, start, stop) of all notices, in words. Rounds: of what aligns
+        with the highest coverage, the best at each place stays; pieces that it touches are cut
+        to what is left free of them and aligned again."""
+        work: list[tuple[int, int, int]] = []
+        held: list[np.ndarray] = []
+        for t, (_, template) in enumerate(self.templates):
             n = len(template)
-            need = self.coverage * n
-            held = np.cumsum(np.concatenate([[0], np.isin(ids, template)]))
+            held.append(np.cumsum(np.concatenate([[0], np.isin(ids, template)])))
             starts = np.arange(0, max(len(ids) - n, 0) + n, n)
-            count = held[np.minimum(starts + 2 * n, len(ids))] - held[np.minimum(starts, len(ids))]
-            best: tuple[float, int, int] | None = None
-            for s in starts[count >= need].tolist():
-                got = align(template, words[s:s + 2 * n])
-                share = len(got) / n
-                if share >= self.coverage and (best is None or share > best[0]):
-                    best = (share, s + got[0][1], s + got[-1][1])
-            if best:
-                # Lower-casing may change lengths, so places come from the text itself.
-                if spans is None:
-                    spans = [m.span() for m in _word.finditer(text)]
-                    if len(spans) != len(words):
-                        spans = [m.span() for m in _word.finditer(lower)]
-                out.append((name, best[0], spans[best[1]][0], spans[best[2]][1]))
-        return self._best_at_each_place(out)
-
-    def _best_at_each_place(self, found: list[tuple[str, float, int, int]]) -> list[tuple[str, float, int, int]]:
-        """Of notices that overlap, the one with the higher coverage, then with more words."""
-        words = {name: len(t) for name, t in self.templates}
-        kept: list[tuple[str, float, int, int]] = []
-        for f in sorted(found, key=lambda f: (-f[1], -words[f[0]])):
-            if all(f[3] <= k[2] or k[3] <= f[2] for k in kept):
-                kept.append(f)
-        return [f for f in found if f in kept]
+            stops = np.minimum(starts + 2 * n, len(ids))
+            enough = held[t][stops] - held[t][np.minimum(starts, len(ids))] >= self.coverage * n
+            work.extend((t, lo, hi) for lo, hi in zip(starts[enough].tolist(), stops[enough].tolist(), strict=True))
+        kept: list[tuple[int, float, int, int]] = []
+        hits: dict[tuple[int, int, int], tuple[int, float, int, int]] = {}
+        while True:
+            for t, lo, hi in work:
+                share, start, stop = self._tight(t, words, lo, hi)
+                hits[t, lo, hi] = (t, share if share >= self.coverage else 0.0, start, stop)
+            top = max((f[1] for f in hits.values()), default=0.0)
+            if not top:
+                return kept
+            new = self._best_at_each_place({f for f in hits.values() if f[1] == top})
+            kept.extend(new)
+            begins, ends = [f[2] for f in new], [f[3] for f in new]
+            left: set[tuple[int, int, int]] = set()
+            for t, lo, hi in list(hits):
+                i, at = bisect_left(ends, lo + 1), lo
+                if i == len(new) or begins[i] >= hi:
+                    continue
+                del hits[t, lo, hi]
+                while i < len(new) and begins[i] < hi:
+                    left.add((t, at, begins[i]))
+                    at = ends[i]
+                    i += 1
+                left.add((t, at, hi))
+            work = [(t, lo, hi) for t, lo, hi in left
+                    if lo < hi and held[t][hi] - held[t][lo] >= self.coverage * len(self.templates[t][1])]
+
+    def _tight(self, t: int, words: list[int], lo: int, hi: int) -> tuple[float, int, int]:
+        """(coverage, start, stop) of a template between two words. An alignment may begin in
+        one notice and end in another, so its two ends are tried on their own."""
+        template = self.templates[t][1]
+        n = len(template)
+
+        def aligned(lo: int, hi: int) -> tuple[float, int, int]:
+            got = align(template, words[lo:hi])
+            return (len(got) / n, lo + got[0][1], lo + got[-1][1] + 1) if got else (0.0, lo, lo)
+
+        best = aligned(lo, hi)
+        while best[0] >= self.coverage and best[2] - best[1] > n:
+            _, a, b = best
+            ends = [aligned(x, y) for m in (n, n + n // 4) if m < b - a for x, y in ((a, a + m), (b - m, b))]
+            closer = [e for e in ends if e[0] >= best[0] and e[2] - e[1] < b - a]
+            if not closer:
+                break
+            best = min(closer, key=lambda e: (-e[0], e[2] - e[1], e[1]))
+        return best
+
+    def _best_at_each_place(self, found: set[tuple[int, float, int, int]]) -> list[tuple[int, float, int, int]]:
+        """Of notices that overlap, the one with the higher coverage, then with more words, then
+        the tighter and the earlier one; by place."""
+        begins: list[int] = []
+        kept: list[tuple[int, float, int, int]] = []
+        for f in sorted(found, key=lambda f: (-f[1], -len(self.templates[f[0]][1]), f[3] - f[2], f[2], f[0])):
+            i = bisect_left(begins, f[2])
+            if (i == 0 or kept[i - 1][3] <= f[2]) and (i == len(kept) or f[3] <= kept[i][2]):
+                begins.insert(i, f[2])
+                kept.insert(i, f)
+        return kept
 
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, id_col: str = "doc_id",
          text_col: str = "text", coverage: float = COVERAGE) -> DataFrame:
     """(id, found) for every row; found is an array of (template, coverage, start, stop) in
-    template order, places in code points. The template list is a parameter that every task
+    template order and then by place, places in code points. The template list is a parameter that every task
     gets, of the size the caller gives it."""
     given = TEMPLATES if templates is None else templates
     base = pick(docs, id=id_col, text=text_col)
@@ -170,7 +229,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, id_col
             for lo in range(0, b.num_rows, 500):
                 s = b.slice(lo, 500)
                 found = [[{"template": t, "coverage": c, "start": x, "stop": y}
-                          for t, c, x, y in scanner.find(text)] for text in s.column("text").to_pylist()]
+                          for t, c, x, y in scanner.places(text)] for text in s.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([s.column("id"), pa.array(found, kind)], names=["id", "found"])
 
     kind = base.schema["id"].dataType.simpleString()

@@ -71,3 +71,20 @@ def test_edge_rows(spark):
     assert sorted(len(r["found"]) for r in L.scan(df).collect()) == [0, 0, 0, 1]
     assert L.scan(df.where("false")).count() == 0
     assert [len(r["found"]) for r in L.scan(df, templates=[("none", "")]).collect()] == [0] * 4
+
+
+def test_every_place_of_a_notice(spark):
+    filler = " ".join(f"word{i}" for i in range(20))
+    texts = dict(L.TEMPLATES)
+    cases = [["CC-BY-NC-4.0", "CC-BY-4.0"], ["Apache-2.0-header", "Apache-2.0"], ["MIT", "MIT", "MIT"],
+             ["BSD", "MIT", "BSD", "GPL-2.0", "GPL-3.0"], ["CC-BY-4.0", "CC-BY-SA-4.0"] * 3]
+    rows = []
+    for gap in (f" {filler} ", " "):
+        for names in cases:
+            rows.append((len(rows), gap.join(texts[n] for n in names), sorted(names)))
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = {r["doc_id"]: r["found"] for r in L.scan(df).collect()}
+    for i, text, names in rows:
+        assert sorted(f["template"] for f in got[i]) == names, text
+        assert all(L._word.findall(text[f["start"]:f["stop"]].lower()) == L._word.findall(texts[f["template"]].lower())
+                   for f in got[i])
