@@ -8,9 +8,12 @@ is the smallest density on the path from the body to it, and from the body down
 element at or above the threshold yields its descendant with the largest sum as content.
 
 Elements that are never article text (scripts, styles, forms, navigation, headers, footers,
-sidebars, and boxes whose class, id or role says advert, comments, notice, menu and the
-like) are cut before the densities, so they carry no weight; lists of links inside the
-chosen subtree are cut after it.
+sidebars, and boxes whose class, id or role names an advert, comments, notice, menu and the
+like) are cut before the densities, so they carry no weight. A name counts as a whole or by
+its head (``site-footer``, ``comment-list``), not by any word in it (``has-sidebar``), and a
+box that holds most of the page's text outside links stays unless an article or main element
+stands outside the boxes. Inside the chosen subtree, lists and divs that hold nothing but
+links are cut, never a paragraph.
 
 Text: character references are decoded, white space inside a block is one space, blocks are
 trimmed and joined by a line feed in page order; nothing else is dropped.
@@ -58,39 +61,83 @@ BOXES = frozenset("""ad ads advert adverts advertisement advertising adbox spons
     related recommended recommendations comment comments commentlist respond disqus replies reply
     widget widgets copyright legal disclaimer contentinfo complementary alert""".split())
 
+#: Words that may follow the name of a box, and words before which a name is only a state of the page.
+AFTER_BOX = frozenset("""area bar block body bottom box btn button buttons col column container content
+    footer form group header holder inner item items left link links list main outer panel post posts
+    right row section slot space text thread title top unit wrap wrapper zone""".split())
+STATES = frozenset("has have no not non with without is hide show hidden".split())
+
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
                   r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 _MARK = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|style|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""",
                    re.I | re.S)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_LETTER = re.compile(r"[^\W_]")
 _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("name", "children", "cut", "chars", "tags", "link_chars", "link_tags", "block", "density", "sum")
+    __slots__ = ("name", "children", "cut", "chars", "tags", "link_chars", "link_tags", "block", "density", "sum",
+                 "box", "prose")
 
-    def __init__(self, name: str, cut: bool = False):
-        self.name, self.cut = name, cut
+    def __init__(self, name: str, cut: bool = False, box: bool = False):
+        self.name, self.cut, self.box = name, cut, box
+        self.prose = False  # holds text outside links, or a paragraph
         self.children: list[Node | str] = []
         self.block = name in BLOCK  # or holds a block
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
 
 
-def _is_box(attributes: str) -> bool:
-    if not attributes or attributes.isspace():
+def _names_box(token: str) -> bool:
+    """Whether a class, id or role token names a box: as a whole, or by its head."""
+    parts = [p.lower() for p in _PART.findall(token)]
+    if not parts or parts[0] in STATES:
         return False
-    for m in _MARK.finditer(attributes):
-        key, value = m[1].lower(), (m[2] or "").strip("\"'")
-        if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
-        if key == "style":
-            if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return True
-        elif key != "hidden" and any(p.lower() in BOXES for p in _PART.findall(value)):
-            return True
-    return False
+    return (token.lower() in BOXES or parts[-1] in BOXES
+            or parts[0] in BOXES and all(p in BOXES or p in AFTER_BOX for p in parts[1:]))
+
+
+def _marks(attributes: str) -> tuple[bool, bool]:
+    """(hidden, box) as the attributes say."""
+    hidden = box = False
+    if attributes and not attributes.isspace():
+        for m in _MARK.finditer(attributes):
+            key, value = m[1].lower(), (m[2] or "").strip("\"'")
+            if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
+                hidden = True
+            elif key == "style":
+                hidden |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
+            elif key in ("class", "id", "role"):
+                box |= any(_names_box(t) for t in value.split())
+    return hidden, box
+
+
+def _cut_boxes(root: Node) -> None:
+    """Cut the boxes, but not one with most of the text outside links if no article or main
+    element with text stands outside the boxes."""
+    nodes = _order(root)
+    if not any(n.box for n in nodes):
+        return
+    state = {id(root): (False, False)}  # (in a link, in a box)
+    for n in nodes:
+        link, box = state[id(n)]
+        mine = (link or n.name == "a", box or n.box)
+        state[id(n)] = mine
+        for c in n.children:
+            if not isinstance(c, str) and not c.cut:
+                state[id(c)] = mine
+    plain: dict[int, int] = {}
+    outside = False
+    for n in reversed(nodes):
+        link, box = state[id(n)]
+        plain[id(n)] = sum((0 if link else len("".join(c.split()))) if isinstance(c, str) else plain.get(id(c), 0)
+                           for c in n.children)
+        outside |= n.name in ("article", "main") and not box and plain[id(n)] > 0
+    for n in nodes:
+        if n.box and (outside or 2 * plain[id(n)] <= plain[id(root)]):
+            n.cut = True
 
 
 def parse(page: str) -> Node:
@@ -154,7 +201,8 @@ def parse(page: str) -> Node:
                     del stack[i:]
                     # A row also ends the cells that are still open above it.
                     continue
-        node = Node(name, name in SKIP or _is_box(attributes) and name not in ("article", "main"))
+        hidden, box = _marks(attributes) if name not in ("article", "main") else (False, False)
+        node = Node(name, name in SKIP or hidden, box)
         if name == "head":
             node.cut = True
         elif stack[-1].name == "head":
@@ -165,7 +213,9 @@ def parse(page: str) -> Node:
         if not attributes.endswith("/") or name not in VOID:
             stack[-1].children.append(node)
             stack.append(node)
-    return body if body is not None else root
+    top = body if body is not None else root
+    _cut_boxes(top)
+    return top
 
 
 def _order(root: Node) -> list[Node]:
@@ -194,12 +244,14 @@ def measure(root: Node) -> list[Node]:
         for c in node.children:
             if isinstance(c, str):
                 k = 0 if c.isspace() else len(c)
+                node.prose |= bool(k) and not link and bool(_LETTER.search(html.unescape(c)))
                 counts = (k, 0, k if link else 0, 0)
             elif c.cut:
                 continue
             else:
                 counts = (c.chars, c.tags + 1, c.link_chars, c.link_tags + (c.name == "a"))
                 node.block = node.block or c.block
+                node.prose |= c.prose or c.name == "p" and c.chars > 0
             into = below if not isinstance(c, str) and c.block else direct
             for i, k in enumerate(counts):
                 into[i] += k
@@ -258,7 +310,8 @@ def content(root: Node) -> list[Node]:
 
 
 def _link_list(node: Node) -> bool:
-    return node.link_tags >= 2 and 2 * node.link_chars >= node.chars > 0
+    """A list or div that holds links and nothing else."""
+    return node.name in ("ul", "ol", "menu", "dir", "div") and node.link_tags >= 2 and not node.prose
 
 
 def blocks(node: Node) -> list[str]:
@@ -280,7 +333,7 @@ def blocks(node: Node) -> list[str]:
             run.append(x)
         elif not entering:
             flush()
-        elif x.cut or x is not node and x.name in BLOCK and _link_list(x):
+        elif x.cut or x is not node and _link_list(x):
             flush() if x.name in BLOCK else None
         else:
             if x.name in ("br", "hr"):

@@ -66,3 +66,31 @@ def test_edge_rows(spark):
                                "page_id long, url string, html string").selectExpr("*", "1 AS text", "2 AS id")
     assert sorted(tuple(r) for r in H.extract_text(df).collect() if r["url"]) == [(2, "u", "x")] * 2
     assert H.extract_text(df.where("false")).count() == 0
+
+
+LINKS = "<p>See <a href=1>a long title of a page</a> and <a href=2>another title of a page</a>.</p>"
+TABLE = "<table><tr><td><a href=1>One entry</a><td>x</tr><tr><td><a href=2>Two entries</a><td>y</tr></table>"
+
+
+@pytest.mark.parametrize("extra,text", [
+    (LINKS, ["See a long title of a page and another title of a page."]),
+    ("<p><a href=1>One</a> <a href=2>Two</a></p>", ["One Two"]),
+    (TABLE, ["One entry", "x", "Two entries", "y"]),
+    ("<ul><li>A note on <a href=1>the first page</a><li><a href=2>The second page</a></ul>",
+     ["A note on the first page", "The second page"]),
+    ("<ul><li><a href=1>One</a> | <li><a href=2>Two</a></ul>", []),
+])
+def test_links_of_the_article_stay(extra, text):
+    assert H.extract(f"<article>{ARTICLE}{extra}</article>") == "\n".join([WANT, *text])
+
+
+@pytest.mark.parametrize("mark", ["class='content has-sidebar'", "class='post comments-open'", "id='legal-analysis'",
+                                  "class='no-sidebar'", "class='sidebar'", "id=noticeBoard class='widget'"])
+def test_a_box_word_does_not_remove_the_article(mark):
+    assert H.extract(f"<body><nav>Home</nav><section {mark}>{ARTICLE}</section></body>") == WANT
+
+
+@pytest.mark.parametrize("mark", ["class='site-footer'", "class='comment-list'", "id=relatedPosts", "role=banner",
+                                  "class='x sidebar'", "hidden", "class='ad-slot-top'"])
+def test_boxes_beside_the_article_go(mark):
+    assert H.extract(f"<body><div>{ARTICLE}</div><div {mark}>Some other words.</div></body>") == WANT
