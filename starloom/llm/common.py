@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,3 +96,32 @@ def _star(edges: DataFrame) -> Staged:
         p = Staged(q.df.select("v", "root"), q.rows, q.bytes)
         if not moved:
             return p
+
+
+class Memory:
+    """A bounded table of results in two halves: a full young half becomes the old one, and
+    what is still asked for moves back. Never holds more than ``2 * half`` entries."""
+
+    def __init__(self, half: int):
+        self.half = half
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def recall(self, key):
+        """What is known of a key that the young half lacks, or None."""
+        value = self.old.get(key)
+        if value is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.half:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
+def slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of about ``size`` bytes, so that outputs stay small."""
+    step = max(1, batch.num_rows * size // max(1, batch.nbytes))
+    for lo in range(0, batch.num_rows, step):
+        yield batch.slice(lo, step)

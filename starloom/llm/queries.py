@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import (bpe, decontaminate, embedding_dedup, html_text, licenses, pu_quality,
-                          secret_scan, simhash_dedup, toxicity, url_filter)
+from starloom.llm import (bpe, decontaminate, embedding_dedup, hard_negatives, html_text, licenses, pieces,
+                          pu_quality, secret_scan, simhash_dedup, spelling, toxicity, url_filter)
 from starloom.llm.common import crc_mod, table
 
 #: The rules of the URL query (host, path, action).
@@ -126,6 +126,54 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", *token_columns())
 
 
+def piece_model(path: str | None = None) -> pieces.Model:
+    """The model of the SentencePiece query, or the file at ``path``."""
+    if path is None:
+        import public_tokenizers
+        path = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.load(path)
+
+
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids, decoded text and spans; the spans' ends say where every piece begins and ends."""
+    m = piece_model()
+    coded = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), m), m, keep=("doc_id", "ends"))
+
+    def digest(numbers: str) -> Column:
+        return F.sha2(F.array_join(F.col(numbers).cast("array<string>"), " "), 256)
+
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest("ids").alias("ids_sha256"),
+                        F.sha2("text", 256).alias("decoded_sha256"), digest("ends").alias("ends_sha256"))
+
+
+#: Fixed values of the spelling query: runs of letters (shorter ones cannot reach the least
+#: length), every how many occurrences a letter is dropped, least length and least occurrences.
+SPELLING_RUNS = r"[A-Za-z\u00C0-\u00FF]{6,}"
+SPELLING_EVERY, SPELLING_CHARS, SPELLING_TIMES = 199, 6, 5
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.runs(table(spark, sf_dir, "documents"), SPELLING_RUNS)
+    name = F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.col("word"))
+    h, chars = F.crc32(name.cast("binary")), F.char_length("word")
+    at = F.pmod(h, chars).cast("int")
+    shorter = F.concat(F.substring("word", F.lit(1), at), F.substring("word", at + 2, chars))
+    found = found.select(F.when(F.pmod(h, F.lit(SPELLING_EVERY)) == 0, shorter).otherwise(F.col("word")).alias("word"))
+    counted = (found.where(F.char_length("word") >= SPELLING_CHARS).groupBy("word").agg(F.count("*").alias("n"))
+               .where(F.col("n") >= SPELLING_TIMES))
+    return spelling.variants(counted)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    usable = ("embedding IS NOT NULL AND NOT exists(embedding, x -> x IS NULL OR isnan(x) "
+              "OR abs(x) = double('inf'))")
+    vecs = rows.where(usable).select(
+        "vec_id", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+        F.transform("embedding", lambda x: F.floor(256 * x.cast("double"))).alias("embedding"))
+    return hard_negatives.mine(vecs, F.col("id") % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pu_quality": op1_pu_quality,
@@ -138,6 +186,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_licenses": op8_licenses,
         "op9_url_filter": op9_url_filter,
         "op10_bpe": op10_bpe,
+        "op11_sentencepiece": op11_sentencepiece,
+        "op12_spelling": op12_spelling,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
@@ -198,8 +249,81 @@ FROM found
 """
 
 
+_OP13 = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+         list_inner_product(a.v, r.v)::BIGINT AS score
+  FROM usable a JOIN usable r ON a.vec_id % 100 = 0 AND r.vec_id <> a.vec_id),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id)::INT AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same
+  AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+#: crc32 bit by bit over the UTF-8 bytes, near words through what is left when one letter is
+#: taken out: equal at the same place for a replaced letter, equal to the shorter word for a
+#: deleted one.
+_OP12 = """
+WITH runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents),
+seen AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY ALL),
+bytes AS (
+  SELECT *, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS hx FROM seen),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+           list_transform(range(0, 4 * len(hx)), lambda i:
+             (('0x' || substr(hx, 1 + 2 * (i // 8), 2))::BIGINT >> (i % 8)::INT) & 1),
+           lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1)), 4294967295::BIGINT)) AS h
+  FROM bytes),
+written AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+              ELSE run END AS word, n FROM hashed),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM written WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+holes AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS hole
+  FROM (SELECT word, n, unnest(range(0, length(word)::BIGINT)) AS i FROM words)),
+one_way AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM holes a JOIN holes b ON a.hole = b.hole AND a.i = b.i
+  WHERE a.word <> b.word AND length(a.word) = length(b.word)
+  UNION SELECT h.word, h.n, w.word, w.n FROM holes h JOIN words w ON h.hole = w.word),
+near AS (
+  SELECT word, n, other, other_n FROM one_way
+  UNION SELECT other, other_n, word, n FROM one_way),
+best AS (
+  SELECT word, count(*) AS n_near,
+         arg_min(other, {'a': -other_n, 'b': encode(other)}) AS other, max(other_n) AS other_n
+  FROM near GROUP BY word),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+         CASE WHEN other_n >= 5 * w.n THEN other END AS form, CASE WHEN other_n >= 5 * w.n THEN other_n END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word),
+chain AS (
+  WITH RECURSIVE c AS (
+    SELECT word, word AS at FROM forms
+    UNION ALL SELECT c.word, f.form FROM c JOIN forms f ON f.word = c.at WHERE f.form IS NOT NULL)
+  SELECT c.word, c.at AS root FROM c JOIN forms f ON f.word = c.at WHERE f.form IS NULL)
+SELECT f.word, form, root, n, n_near, form_n::BIGINT AS form_n FROM forms f JOIN chain USING (word)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op12_spelling": _OP12,
+        "op13_hard_negatives": _OP13,
         "op3_secret_scan": _op3(),
         "op9_url_filter": _OP9,
     }
