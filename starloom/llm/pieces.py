@@ -7,8 +7,9 @@
 2. Merging: adjacent symbols whose joined text is a piece are merged, best score first, the
    leftmost of equals. Characters are sorted into classes such that no piece mixes two of them
    (but for blanks in front); no merge crosses classes, so the text is cut between them, and a
-   cut is worked off once for as long as it is remembered (a bounded table). A cut of n
-   characters takes n log n steps.
+   cut is worked off once for as long as it is remembered (a bounded table). The new cuts of
+   some megabytes of text are merged together, all of one length at once; a cut of n > 32
+   characters takes n log n steps of its own.
 3. Spans: the pieces follow each other in the normalised text; their ends are projected through
    the alignment to byte offsets of the original text. A character that is no piece becomes
    the ids of its bytes; the last one carries its span, those before it are empty.
@@ -227,8 +228,68 @@ def cutter(pieces: Iterable[str]) -> Callable[[str], list[str]]:
     return re.compile(f"{BLANK}*(?:{'|'.join([*sets, f'[^{BLANK}]'])})|{BLANK}+", re.DOTALL).findall
 
 
+class Merges:
+    """Merging of many short cuts at once: of all cuts of one length the best pair of each is
+    merged, then the next one, so that the rows of a step stay equally long."""
+
+    def __init__(self, rank: dict[str, int], ids: dict[str, int]):
+        #: Symbols are pieces by id; characters that are no piece of their own never merge.
+        self.of = np.full(0x110000, -1, np.int32)
+        for p, i in ids.items():
+            if len(p) == 1:
+                self.of[ord(p)] = i
+        made = [(ids[p[:k]] << 32 | ids[p[k:]], rank[p], ids[p]) for p in rank for k in range(1, len(p))
+                if p[:k] in ids and p[k:] in ids]
+        made.sort()
+        self.pair, self.place, self.whole = np.array(made or [(-1, _NO_MERGE, 0)], np.int64).T.copy()
+
+    def _look(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Where the pairs stand in the table, or -1."""
+        key = left.astype(np.int64) << 32 | right
+        at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
+        return np.where(self.pair[at] == key, at, -1)
+
+    def packed(self, cuts: list[str]) -> dict[str, bytes]:
+        """Ids of the cuts whose characters are all pieces, packed."""
+        out: dict[str, bytes] = {}
+        by_length: dict[int, list[str]] = {}
+        for c in cuts:
+            by_length.setdefault(len(c), []).append(c)
+        for n, words in by_length.items():
+            points = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").reshape(-1, n)
+            ids = self.of[points]
+            row = np.flatnonzero((ids >= 0).all(axis=1))
+            ids = ids[row].astype(np.int64)
+            at = self._look(ids[:, :-1], ids[:, 1:])
+            place = np.where(at >= 0, self.place[at], _NO_MERGE)
+            while len(row):
+                wide = ids.shape[1]
+                best = place.argmin(axis=1) if wide > 1 else np.zeros(len(row), np.int64)
+                each = np.arange(len(row))
+                open_ = place[each, best] < _NO_MERGE if wide > 1 else np.zeros(len(row), bool)
+                raw = ids[~open_].astype(np.int32).tobytes()
+                out.update((words[i], raw[k * 4 * wide:(k + 1) * 4 * wide])
+                           for k, i in enumerate(row[~open_].tolist()))
+                row, ids, at, place, best = row[open_], ids[open_], at[open_], place[open_], best[open_, None]
+                if not len(row):
+                    break
+                each, column = np.arange(len(row)), np.arange(wide - 1)
+                new = self.whole[at[each, best[:, 0]]]
+                ids = np.where(column <= best, ids[:, :-1], ids[:, 1:])
+                ids[each, best[:, 0]] = new
+                at = np.where(column[:-1] < best, at[:, :-1], at[:, 1:])
+                place = np.where(column[:-1] < best, place[:, :-1], place[:, 1:])
+                for side in (best[:, 0] - 1, best[:, 0]):
+                    ok = np.flatnonzero((side >= 0) & (side < wide - 2))
+                    s = side[ok]
+                    found = self._look(ids[ok, s], ids[ok, s + 1])
+                    at[ok, s] = found
+                    place[ok, s] = np.where(found >= 0, self.place[found], _NO_MERGE)
+        return out
+
+
 class Encoder:
-    """Encodes and decodes with one model; built once per task."""
+    """Encodes with one model. Kept by a worker from task to task, with what it remembers."""
 
     def __init__(self, model: Model, remembered: int = 120_000, short: int = 40):
         self.m = model
@@ -236,17 +297,13 @@ class Encoder:
         self.ids = {p: i for i, p in enumerate(model.pieces) if model.kinds[i] == _NORMAL}
         self.cut = cutter(model.rank)
         self.chunks, self.short = Memory(remembered), short
+        self.merges = Merges(model.rank, self.ids)
         #: Bytes of a token in the normalised text; whether it is a byte, and one that continues.
         self.size = np.array([1 if k == _BYTE else len(p.encode()) for p, k in
                               zip(model.pieces, model.kinds, strict=True)], np.int64)
         self.is_byte = np.array([k == _BYTE for k in model.kinds])
         self.continues = np.zeros(len(model.pieces), bool)
         self.continues[model.byte_ids[0x80:0xC0]] = True
-        self.control = {i for i, k in enumerate(model.kinds) if k == _CONTROL}
-        self.shown = [b"" if k == _CONTROL else model.unknown.encode() if k == _UNKNOWN
-                      else p.replace(BLANK, " ").encode() for p, k in zip(model.pieces, model.kinds, strict=True)]
-        for b, i in enumerate(model.byte_ids):
-            self.shown[i] = bytes([b])
 
     def merge(self, text: str) -> bytes:
         """Ids of a cut, packed."""
@@ -296,28 +353,37 @@ class Encoder:
                     heapq.heappush(queue, (r, a, len(parts[a]) + len(parts[b])))
         return [p for p in parts if p]
 
-    def packed(self, normalised: str) -> bytes:
-        """Ids of a normalised text as int32 bytes."""
-        chunks = self.cut(normalised)
-        memory = self.chunks
-        found = list(map(memory.young.get, chunks))
-        if None in found:
-            for i, ids in enumerate(found):
-                if ids is None:
-                    c = chunks[i]
-                    known = memory.young.get(c) or memory.recall(c)
-                    if known is None:
-                        known = self.merge(c)
-                        if len(c) <= self.short:
-                            memory.put(c, known)
-                    found[i] = known
-        return b"".join(found)
+    def _known(self, distinct: Iterable[str]) -> dict[str, bytes]:
+        """Packed ids of each cut."""
+        memory, now, new = self.chunks, {}, []
+        for c in distinct:
+            ids = memory.young.get(c) or memory.recall(c)
+            if ids is None:
+                new.append(c)
+            else:
+                now[c] = ids
+        now.update(self.merges.packed([c for c in new if len(c) <= 32]))
+        for c in new:
+            if c not in now:
+                now[c] = self.merge(c)
+            if len(c) <= self.short:
+                memory.put(c, now[c])
+        return now
 
     def encode(self, text: str | None, end: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, begins, ends): ids of a whole text and the bytes of the text each one covers."""
-        text = text or ""
-        normalised, align = self.normalise(text)
-        ids = np.frombuffer(self.packed(normalised), np.int32)
+        return self.encode_all([text], end)[0]
+
+    def encode_all(self, texts: list[str | None], end: bool = True) -> list[tuple[np.ndarray, ...]]:
+        """As :meth:`encode` for each text."""
+        normal = [self.normalise(t or "") for t in texts]
+        cuts = [self.cut(n) for n, _ in normal]
+        now = self._known(set().union(*cuts))
+        return [self._spans(t or "", align, np.frombuffer(b"".join(map(now.__getitem__, c)), np.int32), end)
+                for t, (_, align), c in zip(texts, normal, cuts, strict=True)]
+
+    def _spans(self, text: str, align: np.ndarray | None, ids: np.ndarray,
+               end: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         stop = np.cumsum(self.size[ids])
         start = stop - self.size[ids]
         byte = self.is_byte[ids]
@@ -334,6 +400,18 @@ class Encoder:
             return np.append(ids, np.int32(self.m.end)), np.append(begins, last), np.append(ends, last)
         return ids, begins, ends
 
+
+class Decoder:
+    """Texts of ids."""
+
+    def __init__(self, model: Model):
+        self.m = model
+        self.control = {i for i, k in enumerate(model.kinds) if k == _CONTROL}
+        self.shown = [b"" if k == _CONTROL else model.unknown.encode() if k == _UNKNOWN
+                      else p.replace(BLANK, " ").encode() for p, k in zip(model.pieces, model.kinds, strict=True)]
+        for b, i in enumerate(model.byte_ids):
+            self.shown[i] = bytes([b])
+
     def decode(self, ids: list[int]) -> str:
         """The text of a list of ids."""
         while ids and self.m.kinds[ids[-1]] == _CONTROL:
@@ -378,6 +456,16 @@ class Encoder:
         return "".join(out)
 
 
+_encoders: list[Encoder] = []
+
+
+def _encoder(model: Model) -> Encoder:
+    """This worker's encoder of the model."""
+    if not _encoders or _encoders[0].m.pieces != model.pieces or _encoders[0].m != model:
+        _encoders[:] = [Encoder(model)]
+    return _encoders[0]
+
+
 def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
            end: bool = True) -> DataFrame:
     """(id, ids, begins, ends) for every row: arrays of int; piece k covers the bytes from
@@ -386,10 +474,10 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     base = pick(docs, id=id_col, text=text_col)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Encoder(sent.value)
+        coder = _encoder(sent.value)
         for whole in batches:
             for b in slices(whole, 2 << 20):
-                rows = [coder.encode(t, end) for t in b.column("text").to_pylist()]
+                rows = coder.encode_all(b.column("text").to_pylist(), end)
                 at = pa.array(np.cumsum([0, *[len(r[0]) for r in rows]]), pa.int32())
                 lists = [pa.ListArray.from_arrays(at, pa.array(np.concatenate([r[k] for r in rows]), pa.int32()))
                          for k in range(3)]
@@ -407,7 +495,7 @@ def decode(encoded: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)
     base = encoded.select(*keep, ids_col)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Encoder(sent.value)
+        coder = Decoder(sent.value)
         for whole in batches:
             for b in slices(whole, 2 << 20):
                 texts = [coder.decode(ids or []) for ids in b.column(ids_col).to_pylist()]

@@ -40,19 +40,22 @@ def _texts(rng, k):
 def _check(spec, k, seed=1):
     library = sentencepiece.SentencePieceProcessor()
     library.LoadFromSerializedProto(spec.SerializeToString())
-    coder = pieces.Encoder(pieces.read(spec), remembered=50)
+    model = pieces.read(spec)
+    coder, back = pieces.Encoder(model, remembered=50), pieces.Decoder(model)
     rng = random.Random(seed)
-    for t in _texts(rng, k):
-        ids, begins, ends = (x.tolist() for x in coder.encode(t))
+    texts = list(_texts(rng, k))
+    for t, found in zip(texts, coder.encode_all(texts), strict=True):
+        ids, begins, ends = (x.tolist() for x in found)
+        assert ids == coder.encode(t)[0].tolist()
         assert ids == library.encode(t, add_eos=True), t
         spans = library.encode(t, return_type="offset_mapping", return_bytes=True)["offsets"]
         size = len(t.encode())
         assert list(zip(begins, ends, strict=True)) == [*map(tuple, spans), (size, size)], t
-        assert coder.decode(ids) == library.decode(ids), t
+        assert back.decode(ids) == library.decode(ids), t
     for _ in range(400):
         ids = [rng.choice([0, 1, 2, 35, rng.randint(3, 258), rng.randint(3, 258), 28705, rng.randint(259, 31999)])
                for _ in range(rng.randint(0, 8))]
-        assert coder.decode(ids) == library.decode(ids), ids
+        assert back.decode(ids) == library.decode(ids), ids
 
 
 def test_given_model_equals_library():
