@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -24,14 +25,17 @@ def library():
 
 def test_encoder_equals_library(library):
     rng = random.Random(2)
-    coder = bpe.Encoder(vocabulary())
     texts = ["".join(rng.choices(ALPHABET, k=rng.randint(0, 60))) for _ in range(1500)]
     texts += [t[:9] + "<|endoftext|>" * rng.randint(1, 2) + t[9:] for t in texts[:150]]
-    texts += [c * n for c in ("a", " ", "\n", "é", "0", "\r\n ") for n in (1, 2, 3, 500)]
-    for t in texts:
-        ids = library.encode(t, add_special_tokens=False).ids
-        assert coder.encode(t).tolist() == ids
-        assert coder.decode(ids) == library.decode(ids, skip_special_tokens=False)
+    texts += [c * n for c in ("a", " ", "\n", "é", "0", "\r\n ") for n in (1, 2, 3, 60, 500)]
+    coder = bpe.Encoder(vocabulary(), remembered=300, pairs=8)
+    for lo in range(0, len(texts), 200):
+        some = texts[lo:lo + 200]
+        for t, packed in zip(some, coder.encode_all(some), strict=True):
+            ids = library.encode(t, add_special_tokens=False).ids
+            assert np.frombuffer(packed, np.int32).tolist() == ids
+            assert coder.decode(ids) == library.decode(ids, skip_special_tokens=False)
+    assert coder.encode(texts[0]).tolist() == library.encode(texts[0], add_special_tokens=False).ids
     assert coder.decode([162, 120, 198]) == library.decode([162, 120, 198], skip_special_tokens=False)
 
 
