@@ -4,8 +4,8 @@
         --target /warehouse/music [--csv-out /exports/merged] [--no-enforce]
 
 ``--awards`` may be a CSV path or a JDBC URL (``jdbc:...``, table via
-``--awards-table``). On a cluster the platform's session (and its
-``spark.checkpoint.dir``) is used; locally a tuned local session is made.
+``--awards-table``). The session is the one the job is submitted with (its master and its
+``spark.checkpoint.dir``); only without any configured master a tuned local one is made.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from starloom.plans.pipeline import run
-from starloom.session import local_session
+from starloom.session import platform_session
 from starloom.sources.files import read_awards_csv, read_tracks
 from starloom.sources.jdbc import read_awards_jdbc
 
@@ -31,6 +31,9 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--awards-table", default="awards")
     p.add_argument("--target", required=True, help="warehouse folder (versioned)")
     p.add_argument("--csv-out", default=None, help="optional merged-table CSV export")
+    p.add_argument("--one-csv", action="store_true", help="export one file instead of a folder of parts")
+    p.add_argument("--multi-line", action="store_true", help="quoted CSV values may hold newlines")
+    p.add_argument("--work", default=None, help="folder of this job, to resume a failed run from")
     p.add_argument("--no-enforce", action="store_true",
                    help="publish even if contract checks report violations")
     return p.parse_args(argv)
@@ -39,12 +42,12 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
     args = parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
-    spark = spark or SparkSession.getActiveSession() or local_session()
-    tracks = read_tracks(spark, args.tracks, fmt=args.tracks_format)
+    spark = spark or platform_session()
+    tracks = read_tracks(spark, args.tracks, fmt=args.tracks_format, multi_line=args.multi_line)
     awards = (read_awards_jdbc(spark, args.awards, args.awards_table)
-              if args.awards.startswith("jdbc:") else read_awards_csv(spark, args.awards))
+              if args.awards.startswith("jdbc:") else read_awards_csv(spark, args.awards, multi_line=args.multi_line))
     counts = run(tracks, awards, args.target, csv_out=args.csv_out,
-                 enforce=not args.no_enforce)
+                 enforce=not args.no_enforce, one_csv=args.one_csv, work=args.work)
     print(json.dumps(counts))
     return counts
 

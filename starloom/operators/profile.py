@@ -16,7 +16,7 @@ from pyspark.sql.types import BooleanType, DoubleType, FloatType, NumericType, S
 
 from starloom.functions.numeric import round_half_up
 from starloom.functions.text import display_first_part
-from starloom.operators.quantiles import exact_quantiles, number
+from starloom.operators.quantiles import exact_quantiles, long_values, number
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -232,28 +232,20 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 50, digits: int =
     for i, c in held:
         lo, hi = ranges[f"l{i}"], ranges[f"h{i}"]
         spans[c] = (lo - 0.5, hi + 0.5) if lo == hi else (lo, hi)
-    edges = df.sparkSession.createDataFrame([(c, *spans[c]) for _, c in held],
-                                            "column_name string, _lo double, _hi double")
-
-    def edge(i: Column, lo: Column | None = None, hi: Column | None = None) -> Column:
-        lo, hi = (F.col("_lo") if lo is None else lo), (F.col("_hi") if hi is None else hi)
-        return F.when(i >= bins, hi).otherwise(i * ((hi - lo) / bins) + lo)
-
-    def bin_of(c: str) -> Column:
-        x, (lo, hi) = number(c), map(F.lit, spans[c])
-        # least() skips nulls, so missing values are kept out first.
-        i = F.when(x.isNotNull(), F.least(((x - lo) / (hi - lo) * bins).cast("int"), F.lit(bins - 1)))
-        i = F.when(x < edge(i, lo, hi), i - 1).otherwise(i)
-        return F.when((i != bins - 1) & (x >= edge(i + 1, lo, hi)), i + 1).otherwise(i)
-
-    # All columns of a row are binned at once; bins (columns x bins) are counted map-side.
-    binned = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), bin_of(c).alias("bin"))
-                                           for _, c in held])).alias("s")).select("s.*") if held else None
-    if binned is None:
-        return df.sparkSession.createDataFrame(
-            [], "column_name string, bin int, bin_lo double, bin_hi double, n long")
-    counts = binned.where("bin IS NOT NULL").groupBy("column_name", "bin").agg(
-        F.count(F.lit(1)).cast("long").alias("n"))
+    edges = df.sparkSession.createDataFrame([(i, c, *spans[c]) for i, c in held],
+                                            "i int, column_name string, _lo double, _hi double")
+
+    def edge(i: Column) -> Column:
+        return F.when(i >= bins, F.col("_hi")).otherwise(i * ((F.col("_hi") - F.col("_lo")) / bins) + F.col("_lo"))
+
+    # One row for each value; a bin is estimated first and then set right by its edges.
+    x, b = F.col("x"), F.col("bin")
+    binned = (long_values(df, names).join(F.broadcast(edges), "i")  # one row for each column
+              .withColumn("bin", F.least(((x - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins).cast("int"),
+                                         F.lit(bins - 1)))
+              .withColumn("bin", F.when(x < edge(b), b - 1).otherwise(b))
+              .withColumn("bin", F.when((b != bins - 1) & (x >= edge(b + 1)), b + 1).otherwise(b)))
+    counts = binned.groupBy("column_name", "bin").agg(F.count(F.lit(1)).cast("long").alias("n"))
     grid = edges.select("column_name", "_lo", "_hi",
                         F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     out = grid.join(counts, ["column_name", "bin"], "left")

@@ -1,32 +1,31 @@
-"""Exact quantiles (linear interpolation, as numpy) in bounded memory.
-
-A quantile is one or two order statistics. Each is found by narrowing a bracket:
-
-1. A bounded sketch (``percentile_approx``) of all requested quantiles of all columns in one
-   aggregate gives brackets around the wanted ranks.
-2. One aggregate counts, for each bracket, the values below and inside it and takes its
-   neighbours; brackets that miss a rank are widened, brackets with too many values inside
-   are sketched again over what they hold.
-3. Only the values inside the final brackets (at most ``keep`` for each) are counted by
-   value, ranked and read off.
-
-Each pass is one scan with fixed-size buffers: no table of a column's values is ever
-shuffled. The driver sees a handful of numbers for each (column, quantile). NaN counts as
-missing.
+"""Exact quantiles (linear interpolation, as numpy) by radix selection.
+
+A quantile is one or two order statistics. The values of all columns are one list of
+(column, value); each round divides every range that holds a wanted rank into ``BUCKETS``
+equal parts, counts the values of each part and takes its ends, in one aggregate over
+(range, part). The part that holds a rank is the next round's range, until its values are all
+equal, the rank is an end of it, or it holds at most ``keep`` values; those are counted by
+value and read off.
+
+A part is a monotone function of the value, so counts and ends are exact whatever the rounding.
+Every round is one scan with a small hash table (ranges x parts): no table of a column's values
+is ever shuffled. The driver sees the parts of the open ranges. NaN counts as missing.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from itertools import accumulate
 from math import floor
+from sys import float_info
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rank error of a sketch is at most 1/ACCURACY of the values.
-ACCURACY = 10_000
-#: Values of a bracket that are ranked one by one.
+BUCKETS = 512
+#: Values of a range that are ranked one by one.
 KEEP = 100_000
 
 
@@ -36,138 +35,116 @@ def number(c: str | Column) -> Column:
     return F.when(~F.isnan(x), x)
 
 
-@dataclass
-class _Wanted:
-    column: str
-    prob: float
-    n: int           # values of the column
-    lo: float        # bracket, both ends inside
-    hi: float
-    below: int = 0   # values under the bracket
-    inside: int = 0
-    before: float | None = None  # nearest values outside
-    after: float | None = None
-    slack: float = 2.0
-    settled: bool = False  # sketching again gave the same ends
-
-    def crowded(self, keep: int) -> bool:
-        """Worth another sketch. A bracket that no longer shrinks holds few values or is full
-        of copies of its ends, which are one row each when they are counted."""
-        return self.lo < self.hi and self.inside > keep and not self.settled
+def long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(i, x): the values of all columns, one row each, by the column's place in ``cols``."""
+    if not cols:
+        return df.sparkSession.createDataFrame([], "i int, x double")
+    return (df.select(F.posexplode(F.array(*[number(c) for c in cols])).alias("i", "x"))
+            .where(F.col("x").isNotNull()))
 
-    @property
-    def ranks(self) -> tuple[int, int, float]:
-        h = (self.n - 1) * self.prob
-        low = floor(h)
-        return low, min(low + 1, self.n - 1), h - low
 
-    def covers(self) -> bool:
-        first = self.below - (self.before is not None)
-        last = self.below + self.inside - 1 + (self.after is not None)
-        low, high, _ = self.ranks
-        return first <= low and high <= last
+@dataclass
+class _Range:
+    """Values of a column from ``lo`` to ``hi``; ``below`` values are smaller."""
+    i: int
+    lo: float
+    hi: float
+    below: int
+    n: int
+    ranks: list[int] = field(default_factory=list)
 
 
-def _around(n: int, p: float, slack: float) -> list[float]:
-    e = slack / ACCURACY
-    return [max(0.0, p - e), min(1.0, p + e)]
+def _ranks(n: int, p: float) -> tuple[int, int, float]:
+    h = (n - 1) * p
+    low = floor(h)
+    return low, min(low + 1, n - 1), h - low
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    keep: int = KEEP) -> DataFrame:
+                    keep: int = KEEP, buckets: int = BUCKETS) -> DataFrame:
     """(column_name, prob, quantile) for every column that has values."""
-    data = df.select(*[number(c).alias(f"c{i}") for i, c in enumerate(cols)])
-    ask = [x for p in probs for x in _around(0, p, 2.0)]
-    first = data.agg(*[F.count(f"c{i}").alias(f"n{i}") for i in range(len(cols))],
-                     *[F.percentile_approx(f"c{i}", ask, ACCURACY).alias(f"q{i}")
-                       for i in range(len(cols))]).first()
-    open_, done = [], []
-    for i, c in enumerate(cols):
-        for k, p in enumerate(probs):
-            if first[f"n{i}"]:
-                lo, hi = first[f"q{i}"][2 * k:2 * k + 2]
-                open_.append((i, _Wanted(c, p, first[f"n{i}"], lo, hi)))
-    while open_:
-        open_ = _measure(data, open_)
-        wide = [(i, w) for i, w in open_ if not w.covers()]
-        many = [(i, w) for i, w in open_ if w.covers() and w.crowded(keep)]
-        done += [(i, w) for i, w in open_ if w.covers() and not w.crowded(keep)]
-        open_ = _narrow(data, wide, many)
-    rows = _read_off(data, done)
-    return df.sparkSession.createDataFrame(rows, "column_name string, prob double, quantile double")
-
-
-def _measure(data: DataFrame, wanted: list[tuple[int, _Wanted]]) -> list[tuple[int, _Wanted]]:
-    aggs = []
-    for k, (i, w) in enumerate(wanted):
-        x = F.col(f"c{i}")
-        aggs += [F.count_if(x < w.lo).alias(f"b{k}"), F.count_if(x.between(w.lo, w.hi)).alias(f"i{k}"),
-                 F.max(F.when(x < w.lo, x)).alias(f"p{k}"), F.min(F.when(x > w.hi, x)).alias(f"a{k}")]
-    row = data.agg(*aggs).first()
-    for k, (_, w) in enumerate(wanted):
-        w.below, w.inside, w.before, w.after = (row[f"{s}{k}"] for s in "bipa")
-    return wanted
-
-
-def _narrow(data: DataFrame, wide: list, many: list) -> list[tuple[int, _Wanted]]:
-    """New brackets: further out where a rank was missed, closer in where too much is inside."""
-    if not wide and not many:
-        return []
-    aggs = []
-    for k, (i, w) in enumerate(wide):
-        w.slack *= 10
-        aggs.append(F.percentile_approx(f"c{i}", _around(w.n, w.prob, w.slack), ACCURACY).alias(f"w{k}"))
-    for k, (i, w) in enumerate(many):
-        low, high, _ = w.ranks
-        x = F.col(f"c{i}")
-        at = [(low - w.below) / w.inside, (high - w.below + 1) / w.inside]
-        aggs.append(F.percentile_approx(F.when(x.between(w.lo, w.hi), x), [
-            min(1.0, max(0.0, at[0] - w.slack / ACCURACY)), min(1.0, max(0.0, at[1] + w.slack / ACCURACY))],
-            ACCURACY).alias(f"m{k}"))
-    row = data.agg(*aggs).first()
-    for name, group in (("w", wide), ("m", many)):
-        for k, (_, w) in enumerate(group):
-            ends = tuple(row[f"{name}{k}"])
-            w.settled = name == "m" and ends == (w.lo, w.hi)
-            w.lo, w.hi = ends
-    return wide + many
-
-
-def _read_off(data: DataFrame, wanted: list[tuple[int, _Wanted]]) -> list[tuple[str, float, float]]:
-    several = [(k, i, w) for k, (i, w) in enumerate(wanted) if w.lo < w.hi]
+    spark = df.sparkSession
+    data = long_values(df, cols)
     found: dict[tuple[int, int], float] = {}
-    if several:
-        # Every row contributes only the values that fall into a bracket.
-        hits = F.array_compact(F.array(*[
-            F.when(F.col(f"c{i}").between(w.lo, w.hi), F.struct(F.lit(k).alias("k"), F.col(f"c{i}").alias("v")))
-            for k, i, w in several]))
-        counts = (data.select(F.explode(hits).alias("h")).groupBy("h.k", "h.v")
-                  .agg(F.count(F.lit(1)).alias("n")))
-        # At most ``keep`` rows in a window: the brackets were narrowed until they hold no more.
-        before = F.coalesce(F.sum("n").over(Window.partitionBy("k").orderBy("v").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0))
-        needed = F.create_map(*[F.lit(x) for k, _, w in several for x in (k, w.ranks[0] - w.below)])
-        local = F.try_element_at(needed, F.col("k"))
-        ranked = counts.withColumn("first", before).withColumn("last", before + F.col("n") - 1)
-        # The wanted rank and the one after it.
-        rows = ranked.where((F.col("first") <= local + 1) & (F.col("last") >= local)).collect()
-        for r in rows:
-            w = wanted[r["k"]][1]
-            for rank in w.ranks[:2]:
-                if r["first"] <= rank - w.below <= r["last"]:
-                    found[r["k"], rank] = r["v"]
+    first = [_Range(r["i"], r["lo"], r["hi"], 0, r["n"]) for r in data.groupBy("i").agg(
+        F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()]
+    sizes = {r.i: r.n for r in first}
+    for r in first:
+        r.ranks = sorted({k for p in probs for k in _ranks(r.n, p)[:2]})
+    few: list[_Range] = []
+    open_ = _settle(first, found, few, keep)
+    while open_:
+        open_ = _settle(_divide(data, open_, buckets), found, few, keep)
+    _read_off(data, few, found)
+    rows = []
+    for i, n in sorted(sizes.items()):
+        for p in probs:
+            low, high, t = _ranks(n, p)
+            a, b = found[i, low], found[i, high]
+            # numpy's interpolation: from the nearer end.
+            rows.append((cols[i], float(p), float(b - (b - a) * (1 - t) if t >= 0.5 else a + (b - a) * t)))
+    return spark.createDataFrame(rows, "column_name string, prob double, quantile double")
+
+
+def _settle(ranges: list[_Range], found: dict, few: list[_Range], keep: int) -> list[_Range]:
+    """Ranks at a range's ends are known; small ranges are read off later; the rest stay open."""
+    open_ = []
+    for r in ranges:
+        for k in r.ranks:
+            if r.lo == r.hi or k == r.below:
+                found[r.i, k] = r.lo
+            elif k == r.below + r.n - 1:
+                found[r.i, k] = r.hi
+        r.ranks = [k for k in r.ranks if (r.i, k) not in found]
+        if r.ranks:
+            (few if r.n <= keep else open_).append(r)
+    return open_
+
+
+def _within(data: DataFrame, ranges: list[_Range]) -> DataFrame:
+    """(k, lo, hi, x): the values that lie in each range."""
+    side = data.sparkSession.createDataFrame([(k, r.i, r.lo, r.hi) for k, r in enumerate(ranges)],
+                                             "k int, i int, lo double, hi double")
+    # A few rows for each (column, quantile).
+    return data.join(F.broadcast(side), "i").where(F.col("x").between(F.col("lo"), F.col("hi")))
+
+
+def _divide(data: DataFrame, ranges: list[_Range], buckets: int) -> list[_Range]:
+    """The parts of each range that hold its ranks."""
+    x = F.col("x")
+    # Halves cannot overflow; infinite ends are cut to the largest number.
+    lo, hi = (F.greatest(F.least(F.col(c), F.lit(float_info.max)), F.lit(-float_info.max)) / 2 for c in ("lo", "hi"))
+    part = F.least(F.floor(F.coalesce(F.try_divide(x / 2 - lo, hi - lo), F.lit(0.0)) * buckets), F.lit(buckets - 1))
+    part = F.when(x <= F.col("lo"), 0).when(x >= F.col("hi"), buckets - 1).otherwise(part).cast("int")
+    rows = (_within(data, ranges).select("k", part.alias("part"), "x").groupBy("k", "part")
+            .agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect())
+    by_range: dict[int, list] = {}
+    for row in sorted(rows, key=lambda r: (r["k"], r["part"])):
+        by_range.setdefault(row["k"], []).append(row)
     out = []
-    for k, (_, w) in enumerate(wanted):
-        low, high, t = w.ranks
-
-        def at(rank: int) -> float:
-            if rank < w.below:
-                return w.before
-            if rank >= w.below + w.inside:
-                return w.after
-            return w.lo if w.lo == w.hi else found[k, rank]
-
-        a, b = at(low), at(high)
-        # numpy's interpolation: from the nearer end.
-        out.append((w.column, float(w.prob), float(b - (b - a) * (1 - t) if t >= 0.5 else a + (b - a) * t)))
+    for k, parts in by_range.items():
+        r = ranges[k]
+        ends = list(accumulate((p["n"] for p in parts), initial=r.below))
+        inside: dict[int, _Range] = {}
+        for rank in r.ranks:
+            at = bisect_right(ends, rank) - 1
+            p = parts[at]
+            inside.setdefault(at, _Range(r.i, p["lo"], p["hi"], ends[at], p["n"])).ranks.append(rank)
+        out += inside.values()
     return out
+
+
+def _read_off(data: DataFrame, ranges: list[_Range], found: dict[tuple[int, int], float]) -> None:
+    """Counts the values of small ranges one by one and takes the wanted ranks."""
+    if not ranges:
+        return
+    counts = _within(data, ranges).groupBy("k", "x").agg(F.count(F.lit(1)).alias("n"))
+    # At most ``keep`` rows in a window.
+    last = F.sum("n").over(Window.partitionBy("k").orderBy("x").rowsBetween(Window.unboundedPreceding, 0))
+    wanted = data.sparkSession.createDataFrame(
+        [(k, rank, rank - r.below) for k, r in enumerate(ranges) for rank in r.ranks], "k int, rank long, at long")
+    rows = (counts.withColumn("last", last).join(F.broadcast(wanted), "k")
+            .where((F.col("at") < F.col("last")) & (F.col("at") >= F.col("last") - F.col("n")))
+            .select("k", "rank", "x").collect())
+    for row in rows:
+        found[ranges[row["k"]].i, row["rank"]] = row["x"]

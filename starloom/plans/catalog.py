@@ -10,6 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from starloom import storage
 
 from starloom.functions.text import blank_to_null, na_tokens_to_null, normalize_key
 from starloom.functions.time import epoch_micros, parse_ts_utc
@@ -26,14 +29,15 @@ from starloom.plans.pipeline import (
     landed_tracks,
     run,
 )
-from starloom.schemas import TABLE_ORDER
+from starloom.schemas import AWARDS, TABLE_ORDER
 from starloom.session import scratch
-from starloom.sinks.files import export_csv
-from starloom.sinks.warehouse import publish, read_published
+from starloom.sinks.files import export_csv, export_one_csv
+from starloom.sinks.warehouse import publish, publish_views, read_published
 from starloom.sources.files import (
     CSV_OPTIONS,
     create_landing_table,
     read_awards_csv,
+    read_csv_text,
     read_stage,
     read_tracks,
     write_stage,
@@ -42,6 +46,7 @@ from starloom.sources.fixtures import gappy_tracks_text, raw_tracks, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The columns that the profiles report.
 DESCRIBE_COLS = ("popularity", "duration_ms", "danceability", "energy", "key", "loudness",
                  "mode", "speechiness", "acousticness", "instrumentalness", "liveness",
                  "valence", "tempo", "time_signature")
@@ -249,6 +254,66 @@ def csv_export(spark, d):
     return spark.read.schema(merged.schema).options(**CSV_OPTIONS).csv(path)
 
 
+def csv_documents(spark, d):
+    """Documents, whose texts hold line feeds and quotes, written as CSV in id order and read back
+    by many tasks with their source order."""
+    path = scratch(spark, "documents-csv")
+    docs = _documents(spark, d)
+    export_csv(docs.orderBy("doc_id"), path)
+    return read_csv_text(spark, path, docs.schema)
+
+
+def csv_source_order(spark, d):
+    """The awards source, exported as one CSV file in source order, without an index column, and read
+    back: every row's number in the file."""
+    path = scratch(spark, "awards-order") + ".csv"
+    export_one_csv(landed_awards(spark, d).withColumn("event", F.col("_row_ord")), path, order_by="_row_ord")
+    kind = StructType([*AWARDS.fields, StructField("event", LongType())])
+    return read_csv_text(spark, path, kind, multi_line=False).select("_row_ord", "event", "year", "artist")
+
+
+def csv_by_name(spark, d):
+    """The awards CSV with its columns in another order: they are found by their names."""
+    path = scratch(spark, "awards-swapped")
+    awards = landed_awards(spark, d).drop("_row_ord")
+    export_csv(awards.select(*reversed(awards.columns)), path)
+    return read_awards_csv(spark, path)
+
+
+def csv_one_file(spark, d):
+    """The merged table as one CSV file in source order, read back with the rows' numbers in the file."""
+    path = scratch(spark, "merged") + ".csv"
+    merged = fixture_merged(spark, d)
+    export_one_csv(merged, path, order_by="_row_ord")
+    text = StructType([StructField(c, StringType()) for c in merged.columns if c != "_row_ord"])
+    return read_csv_text(spark, path, text).select("_row_ord", "track_id", "artist_norm")
+
+
+def catalog_fact_track(spark, d):
+    """The warehouse published and read by table name through catalog views, created twice."""
+    target = scratch(spark, "catalog")
+    name = "starloom_" + target.rsplit("-", 1)[-1]
+    publish(fixture_star(spark, d), target, enforce=False)  # the given keys repeat
+    publish_views(spark, name, target)
+    publish_views(spark, name, target)
+    return spark.table(f"{name}.fact_track")
+
+
+def resumed_counts(spark, d):
+    """Counts of a run that goes on after the merged step of a run that failed while publishing,
+    and the steps and CSV that it did not need to do."""
+    work, target = scratch(spark, "run-work"), scratch(spark, "run-target")
+    tracks, awards = landed_tracks(spark, d), landed_awards(spark, d)
+    try:
+        run(tracks, awards, target, work=work)  # the given keys repeat: the contract is violated
+    except V.ContractViolation:
+        pass
+    counts = run(tracks, awards, target, work=work, enforce=False)
+    counts["steps_left"] = len(storage.listing(spark, work))
+    return spark.createDataFrame([(k, int(v)) for k, v in counts.items() if k != "version"],
+                                 "stage string, row_count long")
+
+
 def gappy_tracks(spark, d):
     """The track source with missing-value tokens and NaN, through the CSV reader."""
     path = scratch(spark, "gappy-csv")
@@ -405,6 +470,12 @@ def registry() -> dict[str, Query]:
         "landing_table": landing_table,
         "stage_round_trip": stage_round_trip,
         "csv_export": csv_export,
+        "csv_documents": csv_documents,
+        "csv_source_order": csv_source_order,
+        "csv_by_name": csv_by_name,
+        "csv_one_file": csv_one_file,
+        "catalog_fact_track": catalog_fact_track,
+        "resumed_counts": resumed_counts,
         "gappy_nulls": gappy_nulls,
         "gappy_describe": gappy_describe,
         "gappy_corr": gappy_corr,

@@ -62,14 +62,19 @@ def _per_genre(star: Star, cols: list[str]) -> DataFrame:
 
 def overview(star: Star) -> DataFrame:
     """KPI scorecards: tracks, artists, winning artists, genres, avg popularity."""
-    pairs = star.fact_track.groupBy("artist_key", "genre_key").agg(*_sums(["popularity"]))
-    j = join_small(pairs, star.side("dim_artist", _wins), "artist_key")
-    return j.agg(
+    agg = star.fact_track.groupBy("artist_key").agg(*_sums(["popularity"]))
+    j = join_small(agg, star.side("dim_artist", _wins), "artist_key")
+    # One row is one artist; genres are counted in bitmaps over their dense keys.
+    artists = j.select("artist_key", "grammy_wins", *[c for c in agg.columns if c != "artist_key"],
+                       F.lit(0).cast("long").alias("_genres"))
+    genres = (star.fact_track.groupBy(F.bitmap_bucket_number("genre_key").alias("_bucket"))
+              .agg(F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("genre_key"))).alias("_genres"))
+              .select("_genres"))
+    return artists.unionByName(genres, allowMissingColumns=True).agg(
         F.sum("_n").cast("long").alias("total_tracks"),
-        F.count_distinct("artist_key").cast("long").alias("unique_artists"),
-        F.count_distinct(F.when(F.col("grammy_wins") > 0, F.col("artist_key")))
-        .cast("long").alias("grammy_artists"),
-        F.count_distinct("genre_key").cast("long").alias("total_genres"),
+        F.count("artist_key").cast("long").alias("unique_artists"),
+        F.count_if(F.col("grammy_wins") > 0).cast("long").alias("grammy_artists"),
+        F.sum("_genres").cast("long").alias("total_genres"),
         _avg("popularity", 1),
     )
 

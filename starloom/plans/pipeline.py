@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators.clean import clean_awards, clean_tracks
 from starloom.operators.enrich import award_stats, enrich
 from starloom.operators.star import Star, build_star, conform
-from starloom.session import stage, stage_all
+from starloom.plans.resume import Run, fingerprint
+from starloom.session import scratch, stage, stage_all, temporary_stages
 from starloom.sources.fixtures import raw_awards, raw_tracks
 
 _STAR_CACHE: dict[tuple[str, str, str], Star] = {}
@@ -99,45 +102,57 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def run(tracks: DataFrame, awards: DataFrame, target: str, *, csv_out: str | None = None,
-        enforce: bool = True, log=None) -> dict[str, int | str]:
+        enforce: bool = True, log=None, work: str | None = None, one_csv: bool = False) -> dict[str, int | str]:
     """End-to-end job: clean, merge, build, validate and publish the star;
-    optionally export the merged table as CSV.
+    optionally export the merged table as CSV (``one_csv``: as one file).
 
     Stage row counts are collected with observations attached to the plan,
     so logging them costs no extra job. An unset ``csv_out`` skips the export
     with a warning, as an unconfigured optional sink should.
+
+    ``work`` names a folder of this job alone. A run that fails leaves its finished steps there, and the
+    next one with the same inputs goes on after them; a run that succeeds removes the folder.
+    All other tables staged on the way are removed at the end in any case.
     """
     import logging
 
-    log = log or logging.getLogger("starloom.run")
-    raw_t, o_raw_t = observed(tracks, "raw_tracks")
-    raw_a, o_raw_a = observed(awards, "raw_awards")
-    clean_t, o_clean_t = observed(clean_tracks(raw_t), "clean_tracks")
-    clean_a, o_clean_a = observed(clean_awards(raw_a), "clean_awards")
-    merged = stage(enrich(clean_t, award_stats(clean_a)), "merged")
-    counts: dict[str, int | str] = {
-        "raw_tracks": int(o_raw_t.get["rows"]), "raw_awards": int(o_raw_a.get["rows"]),
-        "clean_tracks": int(o_clean_t.get["rows"]), "clean_awards": int(o_clean_a.get["rows"]),
-        "merged": merged.rows,
-    }
-    for k, v in counts.items():
-        log.info("%s: %s rows", k, v)
-
+    from starloom.sinks.files import export_csv, export_one_csv
     from starloom.sinks.warehouse import publish, read_published
 
-    star = conform(build_star(merged.df, stage_spine=False))
-    version = publish(star, target, enforce=enforce)
-    published = read_published(merged.df.sparkSession, target, version)
-    for name in published.tables():  # observed while publishing: no extra job
-        counts[name] = published.sizes[name][0]
-    counts["version"] = version
-    log.info("warehouse version %s published", version)
-
-    if csv_out:
-        from starloom.sinks.files import export_csv
-
-        export_csv(merged.df.drop("_row_ord"), csv_out)
-        log.info("merged table exported to %s", csv_out)
-    else:
-        log.warning("skipping CSV export: no output path configured")
+    log = log or logging.getLogger("starloom.run")
+    spark = tracks.sparkSession
+    steps = Run(spark, work or scratch(spark, "run-steps"), fingerprint(tracks, awards) if work else "")
+
+    def build() -> tuple[DataFrame, Callable[[], dict]]:
+        raw_t, o_raw_t = observed(tracks, "raw_tracks")
+        raw_a, o_raw_a = observed(awards, "raw_awards")
+        clean_t, o_clean_t = observed(clean_tracks(raw_t), "clean_tracks")
+        clean_a, o_clean_a = observed(clean_awards(raw_a), "clean_awards")
+        seen = {"raw_tracks": o_raw_t, "raw_awards": o_raw_a, "clean_tracks": o_clean_t, "clean_awards": o_clean_a}
+        return (enrich(clean_t, award_stats(clean_a)),
+                lambda: {name: int(o.get["rows"]) for name, o in seen.items()})
+
+    with temporary_stages(spark):
+        merged, counts = steps.step("merged", build)
+        counts = {**counts, "merged": merged.rows}
+        for k, v in counts.items():
+            log.info("%s: %s rows%s", k, v, " (resumed)" if "merged" in steps.reused else "")
+
+        star = conform(build_star(merged.df, stage_spine=False))
+        version = publish(star, target, enforce=enforce)
+        published = read_published(spark, target, version)
+        for name in published.tables():  # observed while publishing: no extra job
+            counts[name] = published.sizes[name][0]
+        counts["version"] = version
+        log.info("warehouse version %s published", version)
+
+        if csv_out and one_csv:
+            export_one_csv(merged.df, csv_out, order_by="_row_ord")
+        elif csv_out:
+            export_csv(merged.df.drop("_row_ord"), csv_out)
+        if csv_out:
+            log.info("merged table exported to %s", csv_out)
+        else:
+            log.warning("skipping CSV export: no output path configured")
+    steps.finish()
     return counts

@@ -11,13 +11,18 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 from dataclasses import dataclass
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
+
+from starloom import storage
 
 _CKPT_KEY = "spark.checkpoint.dir"
 
@@ -46,6 +51,19 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def platform_session(app: str = "starloom") -> SparkSession:
+    """The platform's session: whatever master, memory and folders it was submitted with are
+    kept. Only where no master is configured at all a tuned local session is made."""
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        return active
+    if SparkContext._active_spark_context is None and not SparkConf().contains("spark.master"):
+        return local_session(app=app)
+    spark = SparkSession.builder.appName(app).getOrCreate()
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a private one only for
     local masters where the session does not name one."""
@@ -70,15 +88,29 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/starloom/{name}-{uuid.uuid4().hex}"
 
 
-def payload_expr(df: DataFrame) -> Column:
-    """Per-row data size: string/binary byte lengths plus 8 bytes per other value."""
-    total = F.lit(0).cast("long")
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (StringType, BinaryType)):
-            total = total + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)).cast("long")
+def _payload(c: Column, kind: DataType) -> Column:
+    """Data size of one value."""
+    zero = F.lit(0).cast("long")
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)).cast("long")
+    if isinstance(kind, StructType):
+        return sum((_payload(c[f.name], f.dataType) for f in kind.fields), F.lit(8).cast("long"))
+    if isinstance(kind, ArrayType):
+        if isinstance(kind.elementType, (StringType, BinaryType, StructType, ArrayType, MapType)):
+            inner = F.aggregate(c, zero, lambda total, x: total + F.lit(8) + _payload(x, kind.elementType))
         else:
-            total = total + F.lit(8).cast("long")
-    return total
+            inner = F.greatest(F.size(c), F.lit(0)).cast("long") * 8
+        return F.coalesce(inner, zero) + F.lit(8)
+    if isinstance(kind, MapType):
+        return (_payload(F.map_keys(c), ArrayType(kind.keyType))
+                + _payload(F.map_values(c), ArrayType(kind.valueType)))
+    return F.lit(8).cast("long")
+
+
+def payload_expr(df: DataFrame) -> Column:
+    """Per-row data size: byte lengths of strings and binaries, 8 bytes per other value, all
+    elements of arrays, maps and structs included."""
+    return sum((_payload(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(0).cast("long"))
 
 
 @dataclass(frozen=True)
@@ -90,12 +122,12 @@ class Staged:
     bytes: int
 
 
-def stage(df: DataFrame, name: str = "stage") -> Staged:
+def stage(df: DataFrame, name: str = "stage", path: str | None = None, keep: bool = False) -> Staged:
     """Write ``df`` to the shared checkpoint folder and measure it on the way."""
     obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
     measured = df.observe(obs, F.count(F.lit(1)).alias("rows"),
                           F.sum(payload_expr(df)).alias("bytes"))
-    out = materialize(measured, name)
+    out = materialize(measured, name, path, keep)
     m = obs.get
     return Staged(out, int(m.get("rows") or 0), int(m.get("bytes") or 0))
 
@@ -108,12 +140,30 @@ def stage_all(builders: dict[str, Callable[[], DataFrame]]) -> dict[str, Staged]
         (name, build), = builders.items()
         return {name: stage(build(), name)}
     with ThreadPoolExecutor(max_workers=len(builders)) as pool:
-        futures = {name: pool.submit(lambda n=name, b=build: stage(b(), n))
+        # Each thread knows the caller's open :func:`temporary_stages`.
+        futures = {name: pool.submit(copy_context().run, lambda n=name, b=build: stage(b(), n))
                    for name, build in builders.items()}
         return {name: f.result() for name, f in futures.items()}
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+_scope: ContextVar[list[str] | None] = ContextVar("starloom_stages", default=None)
+
+
+@contextmanager
+def temporary_stages(spark: SparkSession) -> Iterator[list[str]]:
+    """Removes the tables that are staged inside when it ends, also after a failure. What is
+    taken off the list, or staged with ``keep``, stays."""
+    made: list[str] = []
+    token = _scope.set(made)
+    try:
+        yield made
+    finally:
+        _scope.reset(token)
+        for path in made:
+            storage.remove(spark, path)
+
+
+def materialize(df: DataFrame, name: str = "stage", path: str | None = None, keep: bool = False) -> DataFrame:
     """Cut lineage by writing a parquet table into the shared checkpoint folder.
 
     Used where a result is read by several later jobs and must be identical
@@ -122,7 +172,10 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     columnar copy keeps column pruning and filter pushdown for its readers.
     """
     spark = df.sparkSession
-    path = scratch(spark, name)
+    path = path or scratch(spark, name)
+    made = _scope.get()
+    if made is not None and not keep:
+        made.append(path)
     df.write.mode("error").parquet(path)
     # Known schema: no footer sampling to infer it again.
     return spark.read.schema(df.schema).parquet(path)

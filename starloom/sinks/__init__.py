@@ -1,6 +1,6 @@
 """Sinks: versioned parquet warehouse, CSV export, JDBC staging."""
 
-from starloom.sinks.files import export_csv
+from starloom.sinks.files import export_csv, export_one_csv
 from starloom.sinks.jdbc import jdbc_write_options, stage_star_jdbc, swap_statements
 from starloom.sinks.warehouse import (
     create_warehouse,

@@ -1,18 +1,18 @@
-"""Publishing the star: all-or-nothing, re-runnable, validated.
+"""Publishing the star: all-or-nothing, re-runnable, validated, safe between publishers.
 
 Parquet target layout::
 
     <target>/v=<version>/<table>/part-*.parquet   one folder per attempt
-    <target>/_commits/part-*.json                 one row per committed version
-
-A publish writes every table of a new version (dims first, the fact sorted
-within partitions by ``artist_key`` so parquet min/max statistics prune
-artist lookups), validates the *written* copy, and only then appends one
-row to ``_commits`` -- a single Spark write that becomes visible at job
-commit. Readers take the newest committed version, so a failed or
-interrupted publish (including one rejected by the contract checks) leaves
-the previous version current, and a rerun simply commits a new, identical
-version. Nothing is deleted or overwritten in place.
+    <target>/_commits/<number>.json               one file per committed version
+
+A publish writes every table of a new version (dims first, the fact sorted within partitions by
+``artist_key`` so parquet min/max statistics prune artist lookups), validates the *written* copy,
+and only then claims the next commit number by creating its file, which of several publishers
+exactly one can do. Readers take the highest number, so a failed or interrupted publish
+(including one rejected by the contract checks) leaves the previous version current, and a
+rerun simply commits a new, identical version. A publisher that finds its number taken takes the
+next one, or with ``on_conflict="fail"`` leaves the other's version current. Nothing is
+overwritten in place; :func:`retain` removes versions that are no longer kept.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from starloom import storage
 from starloom.operators.star import Star
 from starloom.operators.validate import enforce as enforce_contract
 from starloom.schemas import TABLE_ORDER, WAREHOUSE
@@ -60,22 +61,28 @@ def read_version(spark: SparkSession, target: str, version: str,
         f"{target}/v={version}/{name}") for name in TABLE_ORDER}, sizes=dict(sizes or {}))
 
 
-COMMIT_SCHEMA = "version string, committed_at_ms long, fact_rows long, sizes string"
+COMMIT_SCHEMA = "number long, version string, committed_at_ms long, fact_rows long, sizes string"
+
+
+class PublishConflict(RuntimeError):
+    """Another publisher committed while this one was writing."""
 
 
 def committed_versions(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.schema(COMMIT_SCHEMA).json(f"{target}/{COMMITS}")
+    return spark.read.schema(COMMIT_SCHEMA).json(f"{target}/{COMMITS}").where("version IS NOT NULL")
+
+
+def _newest_commit(spark: SparkSession, target: str) -> int:
+    """The highest commit number taken, 0 before the first."""
+    names = [n for n, *_ in storage.listing(spark, f"{target}/{COMMITS}") if n.endswith(".json")]
+    return max((int(n.split(".")[0]) for n in names), default=0)
 
 
 def current_version(spark: SparkSession, target: str) -> str | None:
     """Newest committed version, or ``None`` before the first publish."""
-    try:
-        row = committed_versions(spark, target).agg(F.max("version").alias("v")).first()
-    except Exception as exc:  # noqa: BLE001 -- missing folder means "never published"
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            return None
-        raise
-    return row["v"] if row else None
+    if not _newest_commit(spark, target):
+        return None
+    return committed_versions(spark, target).agg(F.max_by("version", "number").alias("v")).first()["v"]
 
 
 def read_published(spark: SparkSession, target: str, version: str | None = None) -> Star:
@@ -92,25 +99,72 @@ def read_published(spark: SparkSession, target: str, version: str | None = None)
     return read_version(spark, target, v, sizes)
 
 
-def publish(star: Star, target: str, enforce: bool = True) -> str:
+def publish(star: Star, target: str, enforce: bool = True, on_conflict: str = "retry") -> str:
     """Write, validate and commit one version; return its id.
 
     With ``enforce`` a contract violation raises before the commit, so the
     previous version stays current. Without it the version is committed
-    and the caller can inspect ``validate.violations`` on it.
+    and the caller can inspect ``validate.violations`` on it. ``on_conflict``: what happens if
+    another publisher commits meanwhile, ``"retry"`` with the next number (the later commit is
+    current, the other one stays readable) or ``"fail"`` with :class:`PublishConflict`.
     """
+    if on_conflict not in ("retry", "fail"):
+        raise ValueError(f"on_conflict: {on_conflict!r}")
     spark = star.fact_track.sparkSession
+    number = _newest_commit(spark, target) + 1
     version = new_version()
     sizes = write_version(star, target, version)
     written = read_version(spark, target, version, sizes)
     if enforce:
         enforce_contract(written)
-    spark.createDataFrame([(version, int(time.time() * 1000), sizes["fact_track"][0],
-                            json.dumps(sizes))], COMMIT_SCHEMA) \
-        .coalesce(1).write.mode("append").json(f"{target}/{COMMITS}")
+    while not _commit(spark, target, number, version, sizes):
+        if on_conflict == "fail":
+            raise PublishConflict(f"commit {number} of {target} was taken while {version} was written")
+        number = max(number, _newest_commit(spark, target)) + 1
     return version
 
 
+def _commit(spark: SparkSession, target: str, number: int, version: str, sizes: dict[str, tuple[int, int]]) -> bool:
+    line = json.dumps({"number": number, "version": version, "committed_at_ms": int(time.time() * 1000),
+                       "fact_rows": sizes["fact_track"][0], "sizes": json.dumps(sizes)})
+    return storage.create_if_absent(spark, f"{target}/{COMMITS}/{number:010d}.json", line + "\n")
+
+
+def retain(spark: SparkSession, target: str, keep: int = 2, grace_ms: int = 24 * 3600 * 1000) -> list[str]:
+    """Remove the tables of all but the newest ``keep`` committed versions, and of attempts that
+    were never committed and began more than ``grace_ms`` ago; returns what was removed. Commit
+    files stay, so no number is used twice."""
+    if keep < 1:
+        raise ValueError("the current version is always kept")
+    committed = [r["version"] for r in committed_versions(spark, target).orderBy(F.desc("number"))
+                 .select("version").collect()] if _newest_commit(spark, target) else []
+    removed = []
+    for name, _, _, folder in storage.listing(spark, target):
+        version = name.removeprefix("v=")
+        if not folder or version == name or version in committed[:keep]:
+            continue
+        if version in committed or int(version.split("-")[0]) < time.time() * 1000 - grace_ms:
+            storage.remove(spark, f"{target}/{name}")
+            removed.append(version)
+    return removed
+
+
+def publish_views(spark: SparkSession, database: str, target: str, version: str | None = None) -> str:
+    """Catalog views ``<database>.<table>`` over a committed version (the current one if none is
+    named). Re-runnable after each publish: every view is replaced in one catalog step, and the
+    files that running queries read stay until :func:`retain` removes them."""
+    v = version or current_version(spark, target)
+    if v is None:
+        raise FileNotFoundError(f"nothing published under {target}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name in TABLE_ORDER:
+        columns = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+                            for f in WAREHOUSE[name].fields)
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT {columns} "
+                  f"FROM parquet.`{target}/v={v}/{name}`")
+    return v
+
+
 def warehouse_ddl(database: str, location: str) -> list[str]:
     """Re-runnable DDL for the five tables (drops the fact first)."""
     stmts = [f"CREATE DATABASE IF NOT EXISTS {database}"]

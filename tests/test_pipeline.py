@@ -71,3 +71,19 @@ def test_cli_on_csv_sources_matches_fixture_run(spark, tmp_dir):
     a = read_published(spark, f"{tmp_dir}/wh").dim_artist.orderBy("artist_key").collect()
     b = read_published(spark, f"{tmp_dir}/wh_ref").dim_artist.orderBy("artist_key").collect()
     assert [tuple(r) for r in a] == [tuple(r) for r in b]
+
+
+def test_platform_session_keeps_a_configured_master(spark, monkeypatch):
+    import subprocess
+    import sys
+
+    from starloom.session import platform_session
+    assert platform_session() is spark
+    code = ("from starloom.session import platform_session; s = platform_session(); "
+            "print('MASTER', s.sparkContext.master)")
+    import os
+    conf = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = {**os.environ, "PYTHONPATH": conf, "PYSPARK_SUBMIT_ARGS":
+           "--master local[2] --conf spark.ui.enabled=false pyspark-shell"}
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120).stdout
+    assert "MASTER local[2]" in out
