@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from starloom.llm import bpe, decontaminate, secret_scan, simhash_dedup, toxicity
 from starloom.llm.common import table
 from starloom.llm.queries import TOXIC_AT, token_columns, toxicity_model, vocabulary
-from starloom.session import materialize
+from starloom.session import materialize, scratch, temporary_stages
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,8 +56,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole documents table; the last stage's rows."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the whole documents table; the last stage's rows. What a stage stages on
+    its way, and its input, are removed once its result is written."""
+    docs, held = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        written = scratch(spark, f"pipeline-{name}")
+        with temporary_stages(spark) as made:
+            docs = materialize(stage(spark, docs, sf_dir), path=written, keep=True)
+            if held:
+                made.append(held)
+        held = written
     return docs

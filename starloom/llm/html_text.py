@@ -3,17 +3,22 @@
 A page becomes a tree of elements. Every element gets its composite text density: the
 characters per tag below it, adjusted by how many of those characters and tags are links
 and by the share of link text in the whole body. The density sum of an element is the sum
-of its children's densities. The element with the largest sum is looked up, the threshold
-is the smallest density on the path from the body to it, and from the body down every
-element at or above the threshold yields its descendant with the largest sum as content.
+of its children's densities. The element with the largest sum is looked up, and the threshold
+is the smallest density on the path from the body to it. The content is one subtree: the
+article around that element, or else its main element. Without either it grows upwards from that
+element to each one around it that adds text: a neighbour at or above the threshold, a
+neighbour with a twentieth of the text found so far (in the body itself a quarter), or a
+paragraph, heading or the like beside it.
 
 Elements that are never article text (scripts, styles, forms, navigation, headers, footers,
 sidebars, and boxes whose class, id or role names an advert, comments, notice, menu and the
 like) are cut before the densities, so they carry no weight. A name counts as a whole or by
 its head (``site-footer``, ``comment-list``), not by any word in it (``has-sidebar``), and a
 box that holds most of the page's text outside links stays unless an article or main element
-stands outside the boxes. Inside the chosen subtree, lists and divs that hold nothing but
-links are cut, never a paragraph.
+stands outside the boxes. Inside an article its own header (the title) stays, and so do boxes
+whose name may as well be a topic (legal, share) if they hold paragraphs. Lists and divs that
+hold nothing but links are cut, never a paragraph, and in an article or main element no list
+right under a heading (sources).
 
 Text: character references are decoded, white space inside a block is one space, blocks are
 trimmed and joined by a line feed in page order; nothing else is dropped.
@@ -41,7 +46,7 @@ from starloom.llm.common import pick
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea noscript iframe xmp noembed noframes".split())
 SKIP = RAW | frozenset("""head nav header footer aside form button select option template svg canvas
-    object audio video menu dialog map math fieldset label datalist""".split())
+    object audio video menu dialog map fieldset label datalist""".split())
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dir div dl dt
     fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main
     menu nav ol p pre section summary table tbody td tfoot th thead tr ul""".split())
@@ -61,6 +66,11 @@ BOXES = frozenset("""ad ads advert adverts advertisement advertising adbox spons
     related recommended recommendations comment comments commentlist respond disqus replies reply
     widget widgets copyright legal disclaimer contentinfo complementary alert""".split())
 
+#: Names that are a topic as well: inside an article such a box stays if it holds paragraphs.
+TOPICS = frozenset("legal copyright disclaimer share sharing social alert widget widgets search login side".split())
+#: Blocks that hold running text.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt td th figcaption summary".split())
+
 #: Words that may follow the name of a box, and words before which a name is only a state of the page.
 AFTER_BOX = frozenset("""area bar block body bottom box btn button buttons col column container content
     footer form group header holder inner item items left link links list main outer panel post posts
@@ -79,10 +89,10 @@ _SPACE = re.compile(r"\s+")
 
 class Node:
     __slots__ = ("name", "children", "cut", "chars", "tags", "link_chars", "link_tags", "block", "density", "sum",
-                 "box", "prose")
+                 "box", "topic", "prose")
 
-    def __init__(self, name: str, cut: bool = False, box: bool = False):
-        self.name, self.cut, self.box = name, cut, box
+    def __init__(self, name: str, cut: bool = False, box: bool = False, topic: bool = False):
+        self.name, self.cut, self.box, self.topic = name, cut, box, topic
         self.prose = False  # holds text outside links, or a paragraph
         self.children: list[Node | str] = []
         self.block = name in BLOCK  # or holds a block
@@ -90,18 +100,20 @@ class Node:
         self.density = self.sum = 0.0
 
 
-def _names_box(token: str) -> bool:
-    """Whether a class, id or role token names a box: as a whole, or by its head."""
+def _names_box(token: str) -> str | None:
+    """The box that a class, id or role token names, as a whole or by its head."""
     parts = [p.lower() for p in _PART.findall(token)]
     if not parts or parts[0] in STATES:
-        return False
-    return (token.lower() in BOXES or parts[-1] in BOXES
-            or parts[0] in BOXES and all(p in BOXES or p in AFTER_BOX for p in parts[1:]))
+        return None
+    for name in (token.lower(), parts[-1]):
+        if name in BOXES:
+            return name
+    return parts[0] if parts[0] in BOXES and all(p in BOXES or p in AFTER_BOX for p in parts[1:]) else None
 
 
-def _marks(attributes: str) -> tuple[bool, bool]:
-    """(hidden, box) as the attributes say."""
-    hidden = box = False
+def _marks(attributes: str) -> tuple[bool, bool, bool]:
+    """(hidden, box, only boxes whose names are topics too) as the attributes say."""
+    hidden, boxes = False, []
     if attributes and not attributes.isspace():
         for m in _MARK.finditer(attributes):
             key, value = m[1].lower(), (m[2] or "").strip("\"'")
@@ -110,8 +122,8 @@ def _marks(attributes: str) -> tuple[bool, bool]:
             elif key == "style":
                 hidden |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
             elif key in ("class", "id", "role"):
-                box |= any(_names_box(t) for t in value.split())
-    return hidden, box
+                boxes += [b for t in value.split() if (b := _names_box(t))]
+    return hidden, bool(boxes), all(b in TOPICS for b in boxes)
 
 
 def _cut_boxes(root: Node) -> None:
@@ -135,8 +147,14 @@ def _cut_boxes(root: Node) -> None:
         plain[id(n)] = sum((0 if link else len("".join(c.split()))) if isinstance(c, str) else plain.get(id(c), 0)
                            for c in n.children)
         outside |= n.name in ("article", "main") and not box and plain[id(n)] > 0
+    articles = {id(root): root.name == "article"}
     for n in nodes:
-        if n.box and (outside or 2 * plain[id(n)] <= plain[id(root)]):
+        for c in n.children:
+            if not isinstance(c, str):
+                articles[id(c)] = articles[id(n)] or c.name == "article"
+        topic = n.topic and articles[id(n)] and any(
+            not isinstance(c, str) and c.name in PROSE for c in n.children)
+        if n.box and not topic and (outside or 2 * plain[id(n)] <= plain[id(root)]):
             n.cut = True
 
 
@@ -201,8 +219,11 @@ def parse(page: str) -> Node:
                     del stack[i:]
                     # A row also ends the cells that are still open above it.
                     continue
-        hidden, box = _marks(attributes) if name not in ("article", "main") else (False, False)
-        node = Node(name, name in SKIP or hidden, box)
+        inner = name in ("article", "header") and any(x.name == "article" for x in stack)
+        hidden, box, topic = _marks(attributes) if name not in ("article", "main") or inner else (False, False, False)
+        # An article's own header holds its title.
+        node = Node(name, name in SKIP and not (inner and name == "header") or hidden,
+                    box and not (inner and name == "header"), topic)
         if name == "head":
             node.cut = True
         elif stack[-1].name == "head":
@@ -278,35 +299,42 @@ def _density(chars: int, tags: int, link_chars: int, link_tags: int, body_share:
     return chars / tags * math.log(max(chars / lc * tags / lt, 1.0)) / math.log(base)
 
 
-def content(root: Node) -> list[Node]:
-    """The content elements in page order."""
+def content(root: Node) -> tuple[Node | None, bool]:
+    """The content subtree, and whether it is an article or main element."""
     nodes = measure(root)
     if not root.chars:
-        return []
+        return None, False
     best = max((n for n in nodes if n.block or n is root), key=lambda x: x.sum)  # the first of equals, which is the outer one
     if best.sum <= 0:
-        return [root]
+        return root, False
     parent = {id(c): n for n in nodes for c in n.children if not isinstance(c, str)}
-    threshold, node = best.density, best
-    while node is not root:
-        node = parent[id(node)]
-        threshold = min(threshold, node.density)
-    # Largest sum in each subtree, bottom up.
-    top: dict[int, Node] = {}
-    for n in reversed(nodes):
-        choice = n
-        for c in n.children:
-            if not isinstance(c, str) and not c.cut and c.block and top[id(c)].sum > choice.sum:
-                choice = top[id(c)]
-        top[id(n)] = choice
-    out, stack = [], [root]
-    while stack:
-        n = stack.pop()
-        if n is not root and n.density >= threshold or n is best:
-            out.append(top[id(n)])
-            continue
-        stack.extend(c for c in reversed(n.children) if not isinstance(c, str) and not c.cut and c.block)
-    return out or [best]
+    threshold, path = best.density, [best]
+    while path[-1] is not root:
+        path.append(parent[id(path[-1])])
+        threshold = min(threshold, path[-1].density)
+    for name in ("article", "main"):
+        around = [n for n in path if n.name == name]
+        if around:
+            return around[-1], True
+    # From the best element upwards: an element around it is content as a whole if it adds some.
+    cover = best
+    for inner, outer in zip(path, path[1:], strict=False):
+        if any(_adds(c, cover, threshold, outer is root) for c in outer.children if c is not inner):
+            cover = outer
+    return cover, False
+
+
+def _adds(c: Node | str, cover: Node, threshold: float, top: bool) -> bool:
+    """Whether a neighbour of the content found so far belongs to it: it is at or above the
+    threshold, holds a good part of running text, or (below the body) is itself a paragraph, a
+    heading or the like."""
+    whole = max(cover.chars - cover.link_chars, 1)
+    if isinstance(c, str):
+        return not c.isspace() and bool(_LETTER.search(c)) and len(c.strip()) * (4 if top else 20) >= whole
+    if c.cut or not c.prose:
+        return False
+    return (c.density >= threshold or (c.chars - c.link_chars) * (4 if top else 20) >= whole
+            or not top and c.name in PROSE)
 
 
 def _link_list(node: Node) -> bool:
@@ -314,8 +342,25 @@ def _link_list(node: Node) -> bool:
     return node.name in ("ul", "ol", "menu", "dir", "div") and node.link_tags >= 2 and not node.prose
 
 
-def blocks(node: Node) -> list[str]:
-    """Texts of the blocks of a subtree in page order."""
+def _headed(node: Node) -> set[int]:
+    """Elements that follow a heading directly."""
+    out = set()
+    for n in _order(node):
+        last = ""
+        for c in n.children:
+            if not isinstance(c, str) and not c.cut:
+                if last in ("h1", "h2", "h3", "h4", "h5", "h6"):
+                    out.add(id(c))
+                last = c.name
+            elif isinstance(c, str) and not c.isspace():
+                last = ""
+    return out
+
+
+def blocks(node: Node, article: bool = False) -> list[str]:
+    """Texts of the blocks of a subtree in page order. A list of links only is left out, but in an
+    article not if it stands under a heading of its own."""
+    headed = _headed(node) if article else set()
     out: list[str] = []
     run: list[str] = []
 
@@ -333,7 +378,7 @@ def blocks(node: Node) -> list[str]:
             run.append(x)
         elif not entering:
             flush()
-        elif x.cut or x is not node and _link_list(x):
+        elif x.cut or x is not node and _link_list(x) and id(x) not in headed:
             flush() if x.name in BLOCK else None
         else:
             if x.name in ("br", "hr"):
@@ -350,7 +395,8 @@ def extract(page: str | None) -> str:
     """The main text of one page."""
     if not page:
         return ""
-    return "\n".join(b for node in content(parse(page)) for b in blocks(node))
+    node, article = content(parse(page))
+    return "\n".join(blocks(node, article)) if node is not None else ""
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",

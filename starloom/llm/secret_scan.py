@@ -110,20 +110,46 @@ def _matches(text: Column, rule: Rule, number: int) -> Column:
     whole = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     part = whole if rule.group == 0 else F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
     between = F.split(text, rule.pattern, -1)
-    cut = F.arrays_zip(F.slice(between, 1, F.size(whole)).alias("gap"), whole.alias("hit"), part.alias("part"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(
-        "array<struct<start:int,kind_no:int,kind:string,stop:int>>").alias("spans"))
-
-    def step(acc: Column, m: Column) -> Column:
-        begin = acc["at"] + F.length(m["gap"])
-        stop = begin + F.length(m["hit"])
-        span = F.struct(begin.alias("start"), F.lit(number).alias("kind_no"),
-                        F.lit(rule.kind).alias("kind"), stop.alias("stop"))
-        keep = F.length(m["part"]) >= rule.min_chars
-        return F.struct(stop.alias("at"), F.when(keep, F.concat(acc["spans"], F.array(span)))
-                        .otherwise(acc["spans"]).alias("spans"))
-
-    return F.aggregate(cut, start, step, lambda acc: acc["spans"])
+    cut = F.transform(F.arrays_zip(F.slice(between, 1, F.size(whole)).alias("gap"), whole.alias("hit"),
+                                   part.alias("part")),
+                      lambda m: F.struct(F.length(m["gap"]).alias("gap"), F.length(m["hit"]).alias("hit"),
+                                         F.length(m["part"]).alias("part")))
+
+    def stops(of: Column, base: Column) -> Column:
+        """What each match adds, added up: few elements, for every step copies them."""
+        return F.aggregate(of, F.array(base), lambda acc, x: F.concat(
+            acc, F.array(F.element_at(acc, -1) + x)))
+
+    def spans(cut: Column) -> Column:
+        # Running sums by blocks of about the root of the number of matches: sums of the blocks,
+        # where each block begins, and the places in it.
+        n = F.size(cut)
+        width = F.greatest(F.ceil(F.sqrt(n)).cast("int"), F.lit(1))
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / width).cast("int")),
+                             lambda b: F.slice(cut, b * width + 1, width))
+
+        def of_blocks(blocks: Column) -> Column:
+            sums = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda t, m: t + m["gap"] + m["hit"]))
+
+            def block(b: Column, begin: Column) -> Column:
+                ends = F.slice(stops(F.transform(b, lambda m: m["gap"] + m["hit"]), begin), 2, F.size(b))
+                return F.zip_with(b, ends, lambda m, stop: F.struct(
+                    (stop - m["hit"]).alias("start"), F.lit(number).alias("kind_no"), F.lit(rule.kind).alias("kind"),
+                    stop.alias("stop"), m["part"].alias("part")))
+
+            return F.flatten(F.zip_with(blocks, F.slice(stops(sums, F.lit(0)), 1, F.size(blocks)), block))
+
+        return _let(blocks, of_blocks)
+
+    # Each step's array is computed once: a lambda over an array of one.
+    kept = F.filter(_let(cut, spans), lambda s: s["part"] >= rule.min_chars)
+    return F.transform(kept, lambda s: F.struct(
+        s["start"].alias("start"), s["kind_no"].alias("kind_no"), s["kind"].alias("kind"), s["stop"].alias("stop")))
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -94,3 +94,56 @@ def test_a_box_word_does_not_remove_the_article(mark):
                                   "class='x sidebar'", "hidden", "class='ad-slot-top'"])
 def test_boxes_beside_the_article_go(mark):
     assert H.extract(f"<body><div>{ARTICLE}</div><div {mark}>Some other words.</div></body>") == WANT
+
+
+def _p(n, word="words"):
+    return "".join(f"<p>Paragraph {i} of {word} says something at the usual length, with a comma and an end.</p>"
+                   for i in range(n))
+
+
+def _plain(fragment):
+    """A plain reading of an element: its blocks' texts."""
+    parts = re.split(r"</?(?:h1|h2|p|section|div|ul|li|header|article|blockquote|table|tr|td|figure|figcaption)[^>]*>",
+                     fragment)
+    texts = [re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]+>", "", p))).strip() for p in parts]
+    return "\n".join(t for t in texts if t)
+
+
+NESTED = [
+    f"<h1>Title</h1><section>{_p(6, 'one')}</section><section>{_p(6, 'two')}</section>",
+    f"<h1>Title</h1><section>{_p(6, 'one')}</section><section><h2>Short</h2>{_p(3, 'two')}</section>",
+    f"{_p(3)}<ul>" + "".join(f"<li>Item {i} of the list with a few words</li>" for i in range(20)) + f"</ul>{_p(2, 'end')}",
+    f"<header><h1>The title</h1></header>{_p(4)}",
+    f"{_p(3)}<p>Then <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p>",
+    f"{_p(4)}<h2>Sources</h2><ul><li><a href=1>One source</a></li><li><a href=2>Another one</a></li></ul>",
+    f"{_p(4)}<div class='legal'><h2>Legal side</h2>{_p(2, 'law')}</div>",
+    f"<div class='text-block share'>{_p(3)}</div><blockquote>{_p(1, 'quote')}</blockquote>",
+    f"{_p(2)}<figure><img src=x><figcaption>What one sees</figcaption></figure><table><tr><td>a</td><td>b</td></tr></table>",
+    "<h1>Short one</h1><p>Just this.</p>",
+]
+AROUND = ["<nav><a href=/>Home</a> <a href=/n>News</a></nav>", "<div class='cookie-notice'><p>We use cookies.</p></div>",
+          f"<div class='comments'>{_p(5, 'comment')}</div><footer><p>All rights reserved.</p></footer>"]
+
+
+@pytest.mark.parametrize("inner", NESTED)
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_nested_articles_are_kept_whole(inner, tag):
+    if tag == "main" and "legal" in inner or tag == "main" and ("share" in inner or "<header>" in inner):
+        pytest.skip("only an article makes these its own")
+    page = f"<html><body>{AROUND[0]}{AROUND[1]}<{tag}>{inner}</{tag}>{AROUND[2]}</body></html>"
+    assert H.extract(page) == _plain(inner)
+
+
+@pytest.mark.parametrize("inner", [
+    f"<p>A lead paragraph of usual length that opens the text, with a comma.</p><div>{_p(5, 'one')}</div><div>{_p(4, 'two')}</div>",
+    f"<h1>Title</h1><section>{_p(6, 'one')}</section><section>{_p(3, 'two')}</section>",
+    f"{_p(3)}<ul>" + "".join(f"<li>Item {i} of the list with a few words</li>" for i in range(20)) + f"</ul>{_p(2, 'end')}",
+])
+def test_articles_without_an_article_element(inner):
+    page = f"<body>{AROUND[0]}<div id=page><div id=post>{inner}</div></div>{AROUND[2]}</body>"
+    assert H.extract(page) == _plain(inner)
+
+
+def test_comments_in_an_article_are_cut():
+    page = f"<article>{_p(4)}<article class='comment'><p>First!</p></article><div class='ad'>Buy</div></article>"
+    assert H.extract(page) == _plain(_p(4))

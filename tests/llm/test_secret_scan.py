@@ -77,3 +77,16 @@ def test_documents_of_a_hot_trigram(spark):
     base = docs.selectExpr("doc_id AS id", "text")
     assert S.candidates(base, S.RULES, block_rows=64).where("array_contains(rules, 0)").count() == 3000
     assert S.scan(docs).where("size(spans) > 0").count() == 300
+
+
+def test_very_many_hits_in_one_text(spark):
+    import time
+    n = 16_000
+    text = " ".join(f"{i:032x}" for i in range(n))
+    docs = spark.createDataFrame([(1, text), (2, "f" * 32), (3, f"{'a' * 32} {'b' * 31} {'c' * 40}")],
+                                 "doc_id long, text string")
+    t0 = time.time()
+    got = {r["doc_id"]: [(s["start"], s["stop"]) for s in r["spans"]] for r in S.scan(docs).collect()}
+    assert got[1] == [(33 * i, 33 * i + 32) for i in range(n)]
+    assert got[2] == [(0, 32)] and got[3] == [(0, 32), (65, 105)]
+    assert time.time() - t0 < 30
