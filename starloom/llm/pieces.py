@@ -384,17 +384,15 @@ class Encoder:
 
     def _spans(self, text: str, align: np.ndarray | None, ids: np.ndarray,
                end: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        stop = np.cumsum(self.size[ids])
-        start = stop - self.size[ids]
+        # A place of the normalised text is where one piece ends and the next begins.
+        marks = self.normalise.source(text, align, np.concatenate([[0], np.cumsum(self.size[ids])]))
+        begins, ends = marks[:-1], marks[1:]
         byte = self.is_byte[ids]
         if byte.any():
             follows = self.continues[ids]
             head = np.maximum.accumulate(np.where(follows, 0, np.arange(len(ids))))
-            start = start[head]
-            inner = byte & np.append(follows[1:], False)
-            stop = np.where(inner, start, stop)
-        marks = self.normalise.source(text, align, np.concatenate([start, stop]))
-        begins, ends = marks[:len(ids)], marks[len(ids):]
+            begins = begins[head]
+            ends = np.where(byte & np.append(follows[1:], False), begins, ends)
         if end:
             last = len(text.encode())
             return np.append(ids, np.int32(self.m.end)), np.append(begins, last), np.append(ends, last)
@@ -411,6 +409,7 @@ class Decoder:
                       else p.replace(BLANK, " ").encode() for p, k in zip(model.pieces, model.kinds, strict=True)]
         for b, i in enumerate(model.byte_ids):
             self.shown[i] = bytes([b])
+        self.is_control = np.array([k == _CONTROL for k in model.kinds])
 
     def decode(self, ids: list[int]) -> str:
         """The text of a list of ids."""
@@ -427,6 +426,24 @@ class Decoder:
                            for byte, run in itertools.groupby(ids, lambda i: self.m.kinds[i] == _BYTE))
         return text[self._front(ids):]
 
+    def decode_all(self, flat: np.ndarray, ends: list[int]) -> list[str]:
+        """The texts of lists of ids that lie end to end; list k ends at ``ends[k + 1]``."""
+        shown = list(map(self.shown.__getitem__, flat.tolist()))
+        # Control ids before the last one are rare and cut byte runs: the slow way takes them.
+        rare = np.concatenate([[0], np.cumsum(self.is_control[flat])]) if len(flat) else np.zeros(1, np.int64)
+        out = []
+        for x, y in zip(ends, ends[1:], strict=False):
+            if x == y or rare[y - 1] > rare[x] or self.m.drop_blanks:
+                out.append(self.decode(flat[x:y].tolist()))
+                continue
+            try:
+                text = b"".join(shown[x:y]).decode()
+            except UnicodeDecodeError:
+                out.append(self.decode(flat[x:y].tolist()))
+                continue
+            out.append(text[self._front(flat[x:x + 1].tolist()):])
+        return out
+
     def _front(self, ids: list[int]) -> int:
         """How many blanks at the beginning were put in front."""
         n = 0
@@ -467,9 +484,11 @@ def _encoder(model: Model) -> Encoder:
 
 
 def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
-           end: bool = True) -> DataFrame:
+           end: bool = True, spans: tuple[str, ...] = ("begins", "ends")) -> DataFrame:
     """(id, ids, begins, ends) for every row: arrays of int; piece k covers the bytes from
-    ``begins[k]`` up to ``ends[k]`` of the text's UTF-8."""
+    ``begins[k]`` up to ``ends[k]`` of the text's UTF-8. ``spans`` names those that are wanted."""
+    names = ("ids", *spans)
+    places = [("ids", "begins", "ends").index(n) for n in names]
     sent = docs.sparkSession.sparkContext.broadcast(model)
     base = pick(docs, id=id_col, text=text_col)
 
@@ -480,12 +499,12 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 rows = coder.encode_all(b.column("text").to_pylist(), end)
                 at = pa.array(np.cumsum([0, *[len(r[0]) for r in rows]]), pa.int32())
                 lists = [pa.ListArray.from_arrays(at, pa.array(np.concatenate([r[k] for r in rows]), pa.int32()))
-                         for k in range(3)]
-                yield pa.RecordBatch.from_arrays([b.column("id"), *lists], names=["id", "ids", "begins", "ends"])
+                         for k in places]
+                yield pa.RecordBatch.from_arrays([b.column("id"), *lists], names=["id", *names])
 
     kind = base.schema["id"].dataType.simpleString()
-    return (base.mapInArrow(work, f"id {kind}, ids array<int>, begins array<int>, ends array<int>")
-            .select(F.col("id").alias(id_col), "ids", "begins", "ends"))
+    return (base.mapInArrow(work, f"id {kind}, {', '.join(f'{n} array<int>' for n in names)}")
+            .select(F.col("id").alias(id_col), *names))
 
 
 def decode(encoded: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",),
@@ -498,7 +517,10 @@ def decode(encoded: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)
         coder = Decoder(sent.value)
         for whole in batches:
             for b in slices(whole, 2 << 20):
-                texts = [coder.decode(ids or []) for ids in b.column(ids_col).to_pylist()]
+                col = b.column(ids_col)
+                ends = col.offsets.to_numpy()
+                flat = col.values.to_numpy(zero_copy_only=False)[ends[0]:ends[-1]]
+                texts = coder.decode_all(flat, (ends - ends[0]).tolist())
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())],
                                                  names=[*b.schema.names, "text"])
 

@@ -137,13 +137,15 @@ def piece_model(path: str | None = None) -> pieces.Model:
 def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids, decoded text and spans; the spans' ends say where every piece begins and ends."""
     m = piece_model()
-    coded = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), m), m, keep=("doc_id", "ends"))
 
     def digest(numbers: str) -> Column:
-        return F.sha2(F.array_join(F.col(numbers).cast("array<string>"), " "), 256)
+        return F.sha2(F.array_join(F.col(numbers).cast("array<string>"), " "), 256).alias(f"{numbers}_sha256")
 
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest("ids").alias("ids_sha256"),
-                        F.sha2("text", 256).alias("decoded_sha256"), digest("ends").alias("ends_sha256"))
+    coded = pieces.encode(table(spark, sf_dir, "documents"), m, spans=("ends",)).select(
+        "doc_id", "ids", digest("ends"))
+    return pieces.decode(coded, m, keep=("doc_id", "ends_sha256")).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), digest("ids"),
+        F.sha2("text", 256).alias("decoded_sha256"), "ends_sha256")
 
 
 #: Fixed values of the spelling query: runs of letters (shorter ones cannot reach the least

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -52,10 +53,14 @@ def _check(spec, k, seed=1):
         size = len(t.encode())
         assert list(zip(begins, ends, strict=True)) == [*map(tuple, spans), (size, size)], t
         assert back.decode(ids) == library.decode(ids), t
+    lists = []
     for _ in range(400):
         ids = [rng.choice([0, 1, 2, 35, rng.randint(3, 258), rng.randint(3, 258), 28705, rng.randint(259, 31999)])
                for _ in range(rng.randint(0, 8))]
         assert back.decode(ids) == library.decode(ids), ids
+        lists.append(ids)
+    flat = np.array([i for ids in lists for i in ids], np.int32)
+    assert back.decode_all(flat, np.cumsum([0, *map(len, lists)]).tolist()) == [back.decode(ids) for ids in lists]
 
 
 def test_given_model_equals_library():
