@@ -8,13 +8,19 @@ occurs) of ``similarity`` or more with it.
 1. Windows: for every item size that occurs, at every place that overlaps a shingle which
    an item of that size also has. A window without such a shingle has similarity zero with
    all of them, so none that could be accepted is left out; it is an exact bound, not a cap.
-2. Each window and item gets a 64-bit SimHash of its weighted shingles.
+2. Each window and item gets a 64-bit SimHash of its weighted shingles and, where a shingle
+   repeats, a second one in which each shingle counts once. One heavy shingle that is edited
+   turns many bits of the first, one that is shared covers edits in the second.
 3. The fingerprints are cut into ``radius + 1`` blocks. Two within ``radius`` bits agree in
    at least one block, so an equi-join on (size, block, value) finds every item within the
-   radius; a pair is taken in the first block it agrees in, and its distance is checked.
+   radius; two fingerprints are taken in the first block they agree in, and their distance is
+   checked.
 4. The shingle texts of what remains are compared exactly.
 
-The defaults leave much room: at similarity 0.8 the expected distance is below 10 bits.
+SimHash is a filter that may miss: of windows at a similarity of just 0.8 the default radius
+misses some hundredths (``tests/llm/test_decontaminate.py`` measures it), of closer ones fewer.
+
+Equal texts are one text from the first shuffle on: windows are laid once for all copies.
 Everything is built-in column functions. The items are broadcast only behind their
 measured size; larger sets are joined by shuffle.
 
@@ -70,6 +76,13 @@ def simhash(hashes: Column) -> Column:
     return F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
 
 
+def fingerprints(hashes: Column) -> Column:
+    """Array of the SimHash by weight and, if a hash repeats, the one that counts each once."""
+    once = F.array_distinct(hashes)
+    return F.when(F.size(once) == F.size(hashes), F.array(simhash(hashes))).otherwise(
+        F.array_distinct(F.array(simhash(hashes), simhash(once))))
+
+
 def _blocks(radius: int) -> list[tuple[int, int]]:
     """(shift, mask) of radius + 1 blocks that cover 64 bits."""
     count = radius + 1
@@ -107,14 +120,14 @@ def _weighted_jaccard(a: Column, b: Column) -> Column:
 
 def prepare_items(items: DataFrame, id_col: str = "item_id", text_col: str = "text",
                   radius: int = RADIUS) -> Staged:
-    """(item_id, words, n, k, fp) of every item with words."""
+    """(item_id, words, n, k, hashes, fps) of every item with words."""
     base = (pick(items, item_id=id_col, text=text_col)
             .select("item_id", words_of(F.col("text")).alias("words"))
             .withColumn("n", F.size("words")).where("n > 0")
             .withColumn("k", F.least("n", F.lit(WORDS_PER_SHINGLE))))
     hashes = F.coalesce(*[F.when(F.col("k") == k, _hashes(F.col("words"), k))
                           for k in range(1, WORDS_PER_SHINGLE + 1)])
-    return stage(base.withColumn("hashes", hashes).withColumn("fp", simhash(F.col("hashes"))),
+    return stage(base.withColumn("hashes", hashes).withColumn("fps", fingerprints(F.col("hashes"))),
                  "benchmark-items")
 
 
@@ -136,9 +149,8 @@ def _seeds(docs: DataFrame, items: Staged, ks: list[int]) -> DataFrame:
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """(key, item_id, similarity): one row for each contaminated document and item, with the
-    best window's similarity. ``key`` is ``document_key(id, text)``."""
-    base = (pick(docs, id=id_col, text=text_col)
-            .select(document_key(F.col("id"), F.col("text")).alias("key"), "text"))
+    best window's similarity. ``key`` is ``text_key(text)``: equal texts have one."""
+    base = pick(docs, text=text_col).select(text_key(F.col("text")).alias("key"), "text")
     ready = prepare_items(items, radius=radius)
     ks = sorted(r["k"] for r in ready.df.select("k").distinct().collect())  # at most five values
     if not ks:
@@ -147,8 +159,10 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     seeds = stage(_seeds(base, ready, ks).select("key", "k", "pos", F.explode("sizes").alias("n"))
                   .groupBy("key").agg(F.collect_set(F.struct("n", "k", "pos")).alias("seeds")),
                   "benchmark-seeds")
-    texts = (join_small(base, seeds, "key")
-             .select("key", "seeds", words_of(F.col("text")).alias("words")))
+    # Copies meet here: one row for each text, combined map-side.
+    one = join_small(base, Staged(seeds.df.select("key"), seeds.rows, 16 * seeds.rows), "key").groupBy("key").agg(
+        F.first("text").alias("text"))
+    texts = join_small(one, seeds, "key").select("key", "seeds", words_of(F.col("text")).alias("words"))
 
     def starts(s: Column) -> Column:
         m = s["n"] - s["k"] + 1
@@ -162,14 +176,15 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
                        F.slice("words", F.col("w.start") + 1, F.col("w.n")).alias("window"))
                .withColumn("hashes", F.coalesce(*[F.when(F.col("k") == k, _hashes(F.col("window"), k))
                                                   for k in ks]))
-               .withColumn("wfp", simhash(F.col("hashes"))).drop("hashes"))
+               .withColumn("wfps", fingerprints(F.col("hashes"))).drop("hashes"))
     # Written once: filters on a fingerprint or a similarity would otherwise be pushed down to
     # where the texts are cut and compute them there again.
     windows = stage(windows, "windows").df
-    table = Staged(ready.df.select("n", "item_id", F.col("words").alias("item"), F.col("fp").alias("ifp"),
-                                   F.posexplode(_block_values(F.col("fp"), radius)).alias("block", "value")),
-                   ready.rows * (radius + 1), ready.bytes * (radius + 1))
-    probes = windows.select("*", F.posexplode(_block_values(F.col("wfp"), radius)).alias("block", "value"))
+    each = ready.df.select("n", "item_id", F.col("words").alias("item"), F.explode("fps").alias("ifp"))
+    table = Staged(each.select("*", F.posexplode(_block_values(F.col("ifp"), radius)).alias("block", "value")),
+                   2 * ready.rows * (radius + 1), 2 * ready.bytes * (radius + 1))
+    probes = (windows.withColumn("wfp", F.explode("wfps")).drop("wfps")
+              .select("*", F.posexplode(_block_values(F.col("wfp"), radius)).alias("block", "value")))
     x = F.col("wfp").bitwiseXOR(F.col("ifp"))
     near = (join_small(probes, table, ["n", "block", "value"])
             .where((F.bit_count(x) <= radius) & (_first_shared(x, radius) == F.col("block"))))
@@ -180,9 +195,9 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
             .where(F.col("similarity") >= similarity))
 
 
-def document_key(doc_id: Column, text: Column) -> Column:
-    """Tells documents apart also where ids repeat or are null."""
-    return F.xxhash64(doc_id, text)
+def text_key(text: Column) -> Column:
+    """128 bits that tell texts apart; null for a null text, which is clean."""
+    return F.unhex(F.md5(text.cast("binary")))
 
 
 def flag(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -192,7 +207,7 @@ def flag(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
                   .groupBy("key").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"),
                                       F.max("similarity").alias("similarity")), "contaminated")
     keyed = pick(docs, id=id_col, text=text_col).select(
-        "id", document_key(F.col("id"), F.col("text")).alias("key"))
+        "id", text_key(F.col("text")).alias("key"))
     return (join_small(keyed, found, "key", "left")
             .select(F.col("id").alias(id_col), F.col("item_ids").isNotNull().alias("contaminated"),
                     F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),
@@ -206,6 +221,6 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     found = stage(contaminated(docs, items, id_col, text_col, similarity, radius)
                   .select("key").distinct(), "contaminated")
     key = fresh(docs, "_key")
-    marked = docs.withColumn(key, document_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")))
+    marked = docs.withColumn(key, text_key(F.col(f"`{text_col}`")))
     renamed = Staged(found.df.withColumnRenamed("key", key), found.rows, found.bytes)
     return join_small(marked, renamed, key, "left_anti").select(*[f"`{c}`" for c in docs.columns])

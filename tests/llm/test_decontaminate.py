@@ -89,3 +89,46 @@ def test_blocks_guarantee_the_radius():
             for b in rng.sample(range(64), rng.randint(0, radius)):
                 x |= 1 << b
             assert any((x >> s) & m == 0 for s, m in blocks)
+
+
+def test_recall_at_the_similarity(spark):
+    """Edits that leave a similarity of 0.8 or little more: of all that the exact comparison
+    accepts at least nine in ten are found, also where one shingle carries much weight."""
+    rng = random.Random(12)
+    items, docs = [], []
+    for i in range(60):
+        v = [f"w{rng.randrange(10 ** 6)}" for _ in range(120 if i % 3 == 0 else rng.choice([60, 90]))]
+        if i % 3 == 0:
+            # Many times the same five words, of which an edit removes the repeats.
+            v += [f"r{i}"] * 14
+        items.append((i, " ".join(v)))
+        for copy in range(3):
+            best = None
+            for _ in range(25):
+                at, wide = rng.randrange(len(v)), rng.randint(1, 8)
+                edit = [f"e{rng.randrange(10 ** 6)}" if at <= j < at + wide else x for j, x in enumerate(v)]
+                share = plain(" ".join(edit), items[-1][1])
+                if share >= 0.8 and (best is None or share < best[0]):
+                    best = (share, edit)
+            if best:
+                docs.append((1000 * i + copy, "some words before " + " ".join(best[1]) + " and after"))
+        if i % 3 == 0:
+            edit = [x if not x.startswith("r") else f"e{j}" for j, x in enumerate(v)]
+            docs.append((1000 * i + 9, " ".join(edit)))
+    asked = {d for d, t in docs if plain(t, items[d // 1000][1]) >= 0.8}
+    got = {d for d, i in flagged(spark, docs, items) if i == str(d // 1000)}
+    assert got <= asked and len(asked) >= 150
+    assert len(got) >= 0.95 * len(asked), (len(got), len(asked))
+    heavy = {d for d in asked if d % 1000 == 9}
+    assert len(heavy & got) >= 0.9 * len(heavy), (len(heavy & got), len(heavy))
+
+
+def test_copies_lay_their_windows_once(spark):
+    item = " ".join(f"x{i}" for i in range(30))
+    text = f"before {item} after"
+    docs = [(n % 50 if n % 7 else None, text) for n in range(500)] + [(1, "clean"), (1, None)]
+    got = Counter(flagged(spark, docs, [(5, item)]))
+    assert got == Counter((d, "5" if t == text else None) for d, t in docs)
+    found = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                           spark.createDataFrame([(5, item)], "item_id long, text string"))
+    assert found.count() == 1
