@@ -123,11 +123,6 @@ def _matches(text: Column, rule: Rule, number: int) -> Column:
     def spans(cut: Column) -> Column:
         # Running sums by blocks of about the root of the number of matches: sums of the blocks,
         # where each block begins, and the places in it.
-        n = F.size(cut)
-        width = F.greatest(F.ceil(F.sqrt(n)).cast("int"), F.lit(1))
-        blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / width).cast("int")),
-                             lambda b: F.slice(cut, b * width + 1, width))
-
         def of_blocks(blocks: Column) -> Column:
             sums = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda t, m: t + m["gap"] + m["hit"]))
 
@@ -139,7 +134,7 @@ def _matches(text: Column, rule: Rule, number: int) -> Column:
 
             return F.flatten(F.zip_with(blocks, F.slice(stops(sums, F.lit(0)), 1, F.size(blocks)), block))
 
-        return _let(blocks, of_blocks)
+        return _let(_blocks_of(cut), of_blocks)
 
     # Each step's array is computed once: a lambda over an array of one.
     kept = F.filter(_let(cut, spans), lambda s: s["part"] >= rule.min_chars)
@@ -183,17 +178,42 @@ def _with_spans(docs: DataFrame, doc_id: Column, text: Column, rules: tuple[Rule
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     """The text with every span replaced by ``mark``; spans that overlap share one mark."""
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        return F.when(s["start"] >= acc["at"], F.struct(
-            s["stop"].alias("at"), F.concat(acc["out"], gap, F.lit(mark)).alias("out"))).otherwise(
-            F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), acc["out"].alias("out")))
-
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(
-        spans, begin, step, lambda acc: F.concat(acc["out"], F.substring(
-            text, acc["at"] + 1, F.length(text)))))
+    # All by blocks of about the root of the number of spans, as nothing may be copied once a span.
+    def gaps(blocks: Column) -> Column:
+        """Blocks of the places (from, to) of the text between marks."""
+        tops = _running(F.transform(blocks, lambda b: F.array_max(F.transform(b, lambda s: s["stop"]))), F.lit(0))
+
+        def block(b: Column, before: Column) -> Column:
+            reached = _running(F.transform(b, lambda s: s["stop"]), before)
+            pairs = F.zip_with(b, F.slice(reached, 1, F.size(b)), lambda s, at: F.struct(
+                at.alias("from"), s["start"].alias("to")))
+            return F.filter(pairs, lambda p: p["to"] >= p["from"])
+
+        return F.filter(F.zip_with(blocks, F.slice(tops, 1, F.size(blocks)), block), lambda b: F.size(b) > 0)
+
+    def part(b: Column) -> Column:
+        base = F.element_at(b, 1)["from"]
+        return _let(F.substring(text, base + 1, F.element_at(b, -1)["to"] - base), lambda t: F.array_join(
+            F.transform(b, lambda p: F.substring(t, p["from"] - base + 1, p["to"] - p["from"])), mark))
+
+    end = F.array_max(F.transform(spans, lambda s: s["stop"]))
+    pieces = F.transform(_let(_blocks_of(spans), gaps), part)
+    return F.when(F.size(spans) == 0, text).otherwise(F.array_join(
+        F.concat(pieces, F.array(F.substring(text, end + 1, F.length(text)))), mark))
+
+
+def _blocks_of(values: Column) -> Column:
+    """An array cut into blocks of about the root of its size."""
+    n = F.size(values)
+    width = F.greatest(F.ceil(F.sqrt(n)).cast("int"), F.lit(1))
+    return F.transform(F.sequence(F.lit(0), F.floor((n - 1) / width).cast("int")),
+                       lambda b: F.slice(values, b * width + 1, width))
+
+
+def _running(values: Column, first: Column) -> Column:
+    """``first`` and then the largest value so far, itself included."""
+    return F.aggregate(values, F.array(first), lambda acc, x: F.concat(
+        acc, F.array(F.greatest(F.element_at(acc, -1), x))))
 
 
 def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -57,6 +57,28 @@ def test_masking(spark):
     assert got == [(1, "a [SECRET] b", 12), (2, "clean", 5), (3, None, None)]
 
 
+def plain_mask(text):
+    out, at = "", 0
+    for start, _, _, stop in plain(text):
+        if start >= at:
+            out += text[at:start] + "[SECRET]"
+        at = max(at, stop)
+    return out + text[at:]
+
+
+def test_masking_equals_python_and_keeps_time(spark):
+    import time
+    rng = random.Random(6)
+    texts = ["".join(rng.choices(BITS, k=rng.randint(0, 60))) for _ in range(300)]
+    texts += ["token=" + "0123456789abcdef" * 3 + " secret=AKIA" + "B" * 20, "f" * 40,
+              " é😀 ".join(f"{i:032x}" for i in range(16_000))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    t0 = time.time()
+    got = {r["doc_id"]: r["text"] for r in S.mask(docs).collect()}
+    assert got == {i: plain_mask(t) for i, t in enumerate(texts)}
+    assert time.time() - t0 < 40
+
+
 def test_trigram_queries_hold_for_every_match():
     rng = random.Random(9)
     patterns = [r.pattern for r in S.RULES] + [r"(?i)foo(bar)?baz", r"a(bc|de)+fgh", r"x?yzab{2}c", r"[ab]cd[xyz]{3}"]
