@@ -1,14 +1,16 @@
 """License scan by patience alignment against notice templates.
 
-A document is read as words in windows of twice a template's length, laid at every template
-length, so each place where a notice could stand lies inside one window. A window is aligned
-with the template: words that occur exactly once in both are anchors, the longest increasing
+A notice is a stretch of at most twice a template's length. A document is read as words in
+windows of three times that length, laid at every template length, so each such stretch lies
+whole in one window, whatever its place. A window is aligned with the template: words that occur exactly once in both are anchors, the longest increasing
 subsequence of the anchors fixes the frame, and the gaps between anchors (after cutting equal
 ends) are aligned the same way. Coverage is the share of template words that are aligned; a
 notice is found where coverage reaches the threshold.
 
-A window that holds fewer template words than the threshold asks for cannot reach it and is
-not aligned. Whole texts are read; the window bounds the work of an alignment, not the text.
+Words beside a notice may repeat its words and so take anchors away; where a window that holds
+enough template words does not reach the threshold, the stretches in it are aligned on their
+own at every place. A window or stretch that holds fewer template words, each counted as often
+as the template has it, than the threshold asks for cannot reach it and is not aligned. Whole texts are read; the window bounds the work of an alignment, not the text.
 
 Defined results: null and empty texts hold no notice; every place of a notice is found, also
 of the same one; of notices at overlapping places the best covered one counts, then the one
@@ -32,7 +34,7 @@ from starloom.llm.common import pick
 
 COVERAGE = 0.8
 
-#: Short notices of public licenses (name, text).
+#: Notices and short license texts of public licenses (name, text).
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0-header", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this
@@ -40,10 +42,53 @@ TEMPLATES = [
     ("MIT", "Released under the MIT License."),
     ("MIT-text", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software
         and associated documentation files, to deal in the Software without restriction"""),
+    ("MIT-full", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software
+        and associated documentation files (the "Software"), to deal in the Software without restriction, including
+        without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+        copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the
+        following conditions: The above copyright notice and this permission notice shall be included in all copies
+        or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND,
+        EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR
+        PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM,
+        DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN
+        CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("GPL-2.0-header", """This program is free software; you can redistribute it and/or modify it under the terms of
+        the GNU General Public License as published by the Free Software Foundation; either version 2 of the License,
+        or (at your option) any later version."""),
+    ("GPL-3.0-header", """This program is free software: you can redistribute it and/or modify it under the terms of
+        the GNU General Public License as published by the Free Software Foundation, either version 3 of the License,
+        or (at your option) any later version."""),
+    ("LGPL-2.1-header", """This library is free software; you can redistribute it and/or modify it under the terms of
+        the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the
+        License, or (at your option) any later version."""),
+    ("AGPL-3.0-header", """This program is free software: you can redistribute it and/or modify it under the terms of
+        the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the
+        License, or (at your option) any later version."""),
+    ("MPL-2.0-header", """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a
+        copy of the MPL was not distributed with this file, You can obtain one at"""),
     ("BSD", """Redistribution and use in source and binary forms, with or without modification, are permitted
         provided that the following conditions are met"""),
+    ("BSD-2-Clause", """Redistribution and use in source and binary forms, with or without modification, are permitted
+        provided that the following conditions are met: 1. Redistributions of source code must retain the above
+        copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must
+        reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation
+        and/or other materials provided with the distribution."""),
+    ("BSD-3-Clause", """Redistribution and use in source and binary forms, with or without modification, are permitted
+        provided that the following conditions are met: 1. Redistributions of source code must retain the above
+        copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must
+        reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation
+        and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the
+        names of its contributors may be used to endorse or promote products derived from this software without
+        specific prior written permission."""),
+    ("ISC", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
+        hereby granted, provided that the above copyright notice and this permission notice appear in all copies."""),
+    ("Unlicense", """This is free and unencumbered software released into the public domain. Anyone is free to copy,
+        modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled
+        binary, for any purpose, commercial or non-commercial, and by any means."""),
+    ("CC0-1.0", """To the extent possible under law, the author has waived all copyright and related or neighboring
+        rights to this work."""),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
@@ -111,6 +156,11 @@ class Scanner:
             words = [self.number.setdefault(w, len(self.number) + 1) for w in _word.findall(text.lower())]
             if words:
                 self.templates.append((name, words))
+        #: Whether a template has a word number, and how often.
+        self.has = np.zeros((len(self.templates), len(self.number) + 1), bool)
+        for t, (_, words) in enumerate(self.templates):
+            self.has[t, words] = True
+        self.often = [Counter(words) for _, words in self.templates]
 
     def find(self, text: str | None) -> list[tuple[str, float, int, int]]:
         """Of ``places``, the best covered and then first one of each template."""
@@ -149,11 +199,15 @@ class Scanner:
         held: list[np.ndarray] = []
         for t, (_, template) in enumerate(self.templates):
             n = len(template)
-            held.append(np.cumsum(np.concatenate([[0], np.isin(ids, template)])))
-            starts = np.arange(0, max(len(ids) - n, 0) + n, n)
-            stops = np.minimum(starts + 2 * n, len(ids))
-            enough = held[t][stops] - held[t][np.minimum(starts, len(ids))] >= self.coverage * n
-            work.extend((t, lo, hi) for lo, hi in zip(starts[enough].tolist(), stops[enough].tolist(), strict=True))
+            held.append(np.zeros(len(ids) + 1, np.int32))
+            np.cumsum(self.has[t, ids], out=held[t][1:])
+            if held[t][-1] < self.coverage * n:
+                continue
+            starts = np.arange(0, len(ids), n)
+            stops = np.minimum(starts + 3 * n, len(ids))
+            enough = held[t][stops] - held[t][starts] >= self.coverage * n
+            work.extend((t, lo, hi) for lo, hi in zip(starts[enough].tolist(), stops[enough].tolist(), strict=True)
+                        if self._may(t, words, lo, hi))
         kept: list[tuple[int, float, int, int]] = []
         hits: dict[tuple[int, int, int], tuple[int, float, int, int]] = {}
         while True:
@@ -178,7 +232,32 @@ class Scanner:
                     i += 1
                 left.add((t, at, hi))
             work = [(t, lo, hi) for t, lo, hi in left
-                    if lo < hi and held[t][hi] - held[t][lo] >= self.coverage * len(self.templates[t][1])]
+                    if lo < hi and held[t][hi] - held[t][lo] >= self.coverage * len(self.templates[t][1])
+                    and self._may(t, words, lo, hi)]
+
+    def _may(self, t: int, words: list[int], lo: int, hi: int) -> bool:
+        """Whether enough words of a template are there, in whatever order."""
+        have, often = Counter(words[lo:hi]), self.often[t]
+        return sum(min(k, have[w]) for w, k in often.items()) >= self.coverage * len(self.templates[t][1])
+
+    def _stretches(self, t: int, words: list[int], lo: int, hi: int) -> Iterator[tuple[int, int]]:
+        """Stretches of a window that may hold a notice, at every place."""
+        often, n = self.often[t], len(self.templates[t][1])
+        for size in (2 * n, n + n // 4):
+            if size >= hi - lo:
+                continue
+            have: Counter[int] = Counter()
+            shared = 0
+            for i in range(lo, hi):
+                w = words[i]
+                have[w] += 1
+                shared += have[w] <= often.get(w, 0)
+                if i - size >= lo:
+                    w = words[i - size]
+                    shared -= have[w] <= often.get(w, 0)
+                    have[w] -= 1
+                if i - lo >= size - 1 and shared >= self.coverage * n:
+                    yield i + 1 - size, i + 1
 
     def _tight(self, t: int, words: list[int], lo: int, hi: int) -> tuple[float, int, int]:
         """(coverage, start, stop) of a template between two words. An alignment may begin in
@@ -191,6 +270,9 @@ class Scanner:
             return (len(got) / n, lo + got[0][1], lo + got[-1][1] + 1) if got else (0.0, lo, lo)
 
         best = aligned(lo, hi)
+        if best[0] < self.coverage:
+            for x, y in self._stretches(t, words, lo, hi):
+                best = max(best, aligned(x, y), key=lambda e: e[0])
         while best[0] >= self.coverage and best[2] - best[1] > n:
             _, a, b = best
             ends = [aligned(x, y) for m in (n, n + n // 4) if m < b - a for x, y in ((a, a + m), (b - m, b))]

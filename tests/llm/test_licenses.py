@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 from starloom.llm import licenses as L
 from starloom.llm.queries import op8_licenses
@@ -88,3 +89,50 @@ def test_every_place_of_a_notice(spark):
         assert sorted(f["template"] for f in got[i]) == names, text
         assert all(L._word.findall(text[f["start"]:f["stop"]].lower()) == L._word.findall(texts[f["template"]].lower())
                    for f in got[i])
+
+
+def test_stretched_notices_at_every_offset():
+    """Foreign words between, words of the notice beside it: found wherever it stands."""
+    rng = random.Random(11)
+    filler = [f"word{i}" for i in range(50)]
+    scanner = L.Scanner(L.TEMPLATES, 0.8)
+    for name in ("Apache-2.0-header", "BSD", "MPL-2.0-header", "ISC"):
+        notice = L._word.findall(dict(L.TEMPLATES)[name].lower())
+        for added in (7, len(notice) // 2, len(notice) - 1):
+            body = list(notice)
+            for _ in range(added):
+                body.insert(rng.randint(1, len(body) - 1), rng.choice(filler))
+            for offset in range(0, 2 * len(notice) + 1):
+                text = " ".join(rng.choices(filler, k=offset) + body + rng.choices(filler, k=rng.randint(0, 40)))
+                assert name in [f[0] for f in scanner.places(text)], (name, added, offset)
+
+
+def test_equal_to_alignment_over_all_windows():
+    """A notice is found exactly where some stretch of a text, aligned on its own, reaches the threshold."""
+    rng = random.Random(13)
+    seen = Counter()
+    for _ in range(150):
+        template = [rng.choice("abcdefghijklmnop") for _ in range(rng.randint(4, 10))]
+        n = len(template)
+        scanner = L.Scanner([("t", " ".join(template))], 0.8)
+        part = [w for w in template if rng.random() > 0.08]
+        text = [rng.choice("abcdefghxyz") for _ in range(rng.randint(0, 25))]
+        for w in part:
+            text += [w] + [rng.choice("abxyz")] * rng.choice([0, 0, 0, 1])
+        text += [rng.choice("abcdefghxyz") for _ in range(rng.randint(0, 25))]
+        number = [scanner.number.get(w, 0) for w in text]
+        numbers = scanner.templates[0][1]
+        want = any(len(L.align(numbers, number[i:i + s])) >= 0.8 * n
+                   for s in (2 * n, n + n // 4) for i in range(max(len(text) - s, 0) + 1))
+        got = scanner.places(" ".join(text))
+        seen[want, bool(got)] += 1
+        assert bool(got) or not want, (template, text)
+        for _, share, _, _ in got:
+            assert share >= 0.8
+    assert seen[True, True] > 30 and seen[False, False] > 5
+
+
+def test_full_texts_win_over_their_parts():
+    texts = dict(L.TEMPLATES)
+    for name in ("MIT-full", "BSD-2-Clause", "BSD-3-Clause", "GPL-3.0-header", "GPL-2.0-header", "AGPL-3.0-header", "Apache-2.0-header"):
+        assert [f[0] for f in L.Scanner(L.TEMPLATES, 0.8).places(f"x {texts[name]} y")] == [name]
