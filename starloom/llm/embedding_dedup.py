@@ -3,15 +3,19 @@
 1. Codes: vectors are scaled to unit length; a bounded sample gives a mean, principal axes
    and a rotation learned by iterative quantisation (alternate between the nearest corner of
    the cube and the rotation that fits the corners best), which spreads variance evenly over
-   the bits. Every vector is coded, not only the sample. One code misses pairs whose bits
-   differ in more than the radius, the more so where the mean takes much of the length, so
-   independent codes are added until pairs planted in the sample at exactly the threshold
-   meet under one of them with a share of ``RECALL``. If ``CODES`` codes do not get there
-   all vectors are one neighbourhood, which is exact and quadratic.
-2. Tables: distinct codes are stored under their segments and probe the Hamming ball around
-   each segment, so all codes within ``radius`` bits meet. Codes that meet and are within the
-   radius are joined into neighbourhoods; under one value members are tied to each other by
-   a tree, never by all pairs.
+   the bits. Every vector is coded, not only the sample. A code has as many 64-bit words, each
+   with a rotation of its own, as pairs planted in the sample at exactly the threshold need
+   to meet with a share of ``RECALL``, for each of the ``LENGTHS`` most frequent vector lengths
+   on its own. If ``CODES`` words do not get there, shorter segments are tried, and if these
+   do not either all vectors are one neighbourhood, which is exact and quadratic.
+2. Tables: a word is cut into segments of 16, 21 or 32 bits, the more bits the more vectors,
+   so that a segment's value stays rare. Codes meet that have a segment within ``ball``
+   bits. A table is dealt by the upper bits of the segment: a code goes to its own part and to
+   the parts in reach of those upper bits, and the ball over the lower bits is enumerated
+   in the task, so few rows are shuffled. Codes that meet are verified by their distance over
+   ``VERIFY`` words, with the reach that planted pairs have, which random codes do not get
+   near at any number of vectors. They are tied to each other by a tree, never by all pairs.
+   A crowded part is cut, members and visitors alike.
 3. Rerank: the original vectors of a neighbourhood are compared by exact cosine in double
    precision. A neighbourhood of more than ``block`` vectors is cut into blocks and every
    pair of blocks is a task of its own. Tasks return for each vector how many vectors it
@@ -28,6 +32,7 @@ of others but never name a component unless it has no other id.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil, log2
 
 import numpy as np
 import pyarrow as pa
@@ -35,20 +40,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import pick, roots
-from starloom.llm.simhash_dedup import _link_partition, _longs, _masks
+from starloom.llm.simhash_dedup import _longs, _masks
 from starloom.operators.joins import join_small
 from starloom.session import stage
 
 COSINE = 0.9
+#: (most vectors, bits of a segment, ball around it): a segment has about as many values as there are vectors.
+WIDTHS = ((1 << 20, 16, 2), (1 << 26, 21, 1), (1 << 62, 32, 1))
+#: Segments to fall back on, shortest last.
+SHORTER = ((16, 2), (8, 1))
+#: Within this many bits of a word, 16-bit segments are sure to meet.
 RADIUS = 11
-SEGMENTS = 4
 #: Bounds: vectors the rotation is learned from, vectors of a rerank block, members of one
-#: table value in one task.
-SAMPLE, BLOCK, CROWD = 10_000, 2048, 4096
-#: Share of planted pairs that must meet, the most codes for it, and pairs planted of a kind.
-RECALL, CODES, PLANTED = 0.95, 24, 2000
+#: part of a table in one task, candidate pairs held at once.
+SAMPLE, BLOCK, CROWD, CHUNK = 10_000, 2048, 1 << 14, 1 << 20
+#: Share of planted pairs that must meet, the most words for it, pairs planted of a kind, vector
+#: lengths for which they are planted.
+RECALL, CODES, PLANTED, LENGTHS = 0.95, 40, 2000, 8
+#: Words that verify a meeting, and the share of planted pairs within the reach.
+VERIFY, WITHIN = 3, 0.999
 _BITS = 64
-_SEG = _BITS // SEGMENTS
 #: Numbers of cuts fit below this, so a pair of them is one long.
 _WIDE = 1 << 20
 
@@ -82,10 +93,7 @@ def learn(sample: np.ndarray, rounds: int = 40, seed: int = 3) -> tuple[np.ndarr
 
 def codes(x: np.ndarray, mean: np.ndarray, projection: np.ndarray) -> np.ndarray:
     """Signed 64-bit codes of unit rows (cut or filled with zeros to the learned length)."""
-    d = len(mean)
-    y = np.zeros((len(x), d))
-    y[:, :min(d, x.shape[1])] = x[:, :d]
-    bits = (y - mean) @ projection >= 0
+    bits = (_filled(x, len(mean)) - mean) @ projection >= 0
     return np.packbits(bits, axis=1).view(">u8").astype(np.uint64).view(np.int64).reshape(-1)
 
 
@@ -122,22 +130,48 @@ def planted(sample: np.ndarray, cosine: float, seed: int = 5) -> list[tuple[np.n
     return out
 
 
-def enough(sample: np.ndarray, cosine: float, radius: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], float]:
-    """(codes, recall): (mean, projection) of as many codes as planted pairs need to meet, and
+def _filled(x: np.ndarray, d: int) -> np.ndarray:
+    """Rows cut or filled with zeros to ``d`` components."""
+    out = np.zeros((len(x), d))
+    out[:, :min(d, x.shape[1])] = x[:, :d]
+    return out
+
+
+def _far(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(a.view(np.uint64) ^ b.view(np.uint64))
+
+
+def _meet(a: np.ndarray, b: np.ndarray, width: int, ball: int) -> np.ndarray:
+    """Whether any segment of two words is within ``ball`` bits."""
+    x = a.view(np.uint64) ^ b.view(np.uint64)
+    mask = np.uint64((1 << width) - 1)
+    return np.any([np.bitwise_count((x >> np.uint64(width * s)) & mask) <= ball
+                   for s in range(_BITS // width)], axis=0)
+
+
+def enough(sample: np.ndarray, cosine: float, width: int = 16, ball: int = 2,
+           pairs: list[tuple[np.ndarray, np.ndarray]] | None = None,
+           ) -> tuple[list[tuple[np.ndarray, np.ndarray]], float]:
+    """(words, recall): (mean, projection) of as many words as planted pairs need to meet, and
     the smallest share of a kind of pairs that does."""
-    pairs = planted(sample, cosine)
+    pairs = planted(sample, cosine) if pairs is None else pairs
     met = [np.zeros(len(a), bool) for a, _ in pairs]
     out: list[tuple[np.ndarray, np.ndarray]] = []
     share = 0.0
     while share < RECALL and len(out) < CODES:
         out.append(learn(sample, seed=3 + len(out)))
         for hit, (a, b) in zip(met, pairs, strict=True):
-            far = np.bitwise_count(codes(a, *out[-1]).view(np.uint64) ^ codes(b, *out[-1]).view(np.uint64))
-            hit |= far <= radius
+            hit |= _meet(codes(a, *out[-1]), codes(b, *out[-1]), width, ball)
         share = min((float(hit.mean()) for hit in met), default=1.0)
     return out, share
 
 
+def reach(pairs: list[tuple[np.ndarray, np.ndarray]], words: list[tuple[np.ndarray, np.ndarray]]) -> int:
+    """Distance over all of ``words`` that a share of ``WITHIN`` of every kind of pairs keeps."""
+    far = [sum(_far(codes(a, *w), codes(b, *w)).astype(int) for w in words) for a, b in pairs]
+    return int(max((np.ceil(np.quantile(f, WITHIN)) for f in far), default=_BITS * len(words)))
+
+
 def _usable(column: str) -> str:
     """SQL condition: can be compared by cosine."""
     return (f"{column} IS NOT NULL AND size({column}) > 0 AND NOT exists({column}, x -> x IS NULL OR isnan(x) "
@@ -169,42 +203,144 @@ def _coded(groups: DataFrame, learned: list[tuple[np.ndarray, np.ndarray]]) -> D
         work, "g long, codes array<long>, dim int, weight long, vec array<double>")
 
 
-def _neighbourhoods(coded: DataFrame, radius: int, crowd: int) -> DataFrame:
-    """(g, hood) for vectors with another one in reach under any code; all others stand alone."""
-    members = coded.select("g", F.posexplode("codes").alias("table", "code"))
-    distinct = members.select("table", "code").distinct()
-    seg_of = [F.shiftrightunsigned("code", _SEG * s).bitwiseAND(F.lit((1 << _SEG) - 1)) for s in range(SEGMENTS)]
-    own = (distinct.select("table", "code", F.posexplode(F.array(*seg_of)).alias("seg", "own"))
-           .select("code", (F.col("table") * SEGMENTS + F.col("seg")).alias("part"), "own"))
-    crowds = stage(own.groupBy("part", F.col("own").alias("key")).count().where(F.col("count") > crowd)
-                   .select("part", "key", F.ceil(F.col("count") / crowd).cast("int").alias("cuts")), "crowds")
-    rows = (own.select("*", F.explode(_longs(_masks(_SEG, radius // SEGMENTS))).alias("mask"))
-            .withColumn("key", F.col("own").bitwiseXOR(F.col("mask")))
-            # Of two values, the smaller one probes the larger.
-            .where(F.col("own") <= F.col("key")))
-    rows = rows.select("part", "key", (F.col("mask") != 0).alias("near"), "code")
+def _tie(home: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
+    """Joins the groups of x[i] and y[i]; ``home`` names the smallest member of a group."""
+    while True:
+        a, b = home[x], home[y]
+        open_ = a != b
+        if not open_.any():
+            return
+        x, y, a, b = x[open_], y[open_], a[open_], b[open_]
+        np.minimum.at(home, np.maximum(a, b), np.minimum(a, b))
+        while True:
+            up = home[home]
+            if np.array_equal(up, home):
+                break
+            home[:] = up
+
+
+def _part_links(key: np.ndarray, words: np.ndarray, side: np.ndarray, inner: bool, masks: list[int],
+                radius: int) -> np.ndarray:
+    """For each row of a part the smallest row that it is tied to. Rows of side 0 are compared with
+    those of side 1 if there are any, else with each other if ``inner``, and with those of side 2."""
+    home = np.arange(len(key))
+    stored = np.flatnonzero(side == 0)
+    stored = stored[np.argsort(key[stored], kind="stable")]
+    values = key[stored]
+    own = not (side == 1).any()
+    askers = [np.flatnonzero(side > 0)]
+    if own and inner:
+        askers.append(stored)
+    for asking, itself in zip(askers, (False, True)):
+        for mask in masks:
+            to = key[asking] ^ mask
+            at = np.arange(len(asking))
+            if itself and mask:
+                at = np.flatnonzero(key[asking] < to)
+            lo = np.searchsorted(values, to[at], "left")
+            if itself and not mask:
+                lo = at + 1  # Of equal values, those after it.
+            size = np.searchsorted(values, to[at], "right") - lo
+            some = np.flatnonzero(size > 0)
+            lo, size, who = lo[some], size[some], asking[at[some]]
+            # As many askers at once as make about CHUNK pairs.
+            ends = np.cumsum(size)
+            first = 0
+            while first < len(who):
+                before = ends[first - 1] if first else 0
+                last = max(first + 1, int(np.searchsorted(ends, before + CHUNK, "right")))
+                n = size[first:last]
+                x = np.repeat(who[first:last], n)
+                y = stored[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo[first:last], n)]
+                new = home[x] != home[y]
+                x, y = x[new], y[new]
+                if len(x):
+                    near = np.bitwise_count(words[x] ^ words[y]).sum(axis=1, dtype=np.int64) <= radius
+                    _tie(home, x[near], y[near])
+                first = last
+    return home
+
+
+def _link_parts(batches: Iterator[pa.RecordBatch], masks: list[int], radius: int) -> Iterator[pa.RecordBatch]:
+    """Edges (a, b) of the runs of equal (part, to, pair) of a sorted partition."""
+    held: list[pa.RecordBatch] = []
+    current: tuple | None = None
+
+    def done() -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(held)
+        if t.num_rows > 1:
+            v = t.column("v").to_numpy()
+            words = np.stack([t.column(f"w{k}").to_numpy() for k in range(VERIFY)], axis=1).view(np.uint64)
+            home = _part_links(t.column("key").to_numpy(), words, t.column("side").to_numpy(),
+                               current[2] < _WIDE * _WIDE, masks, radius)
+            tied = np.flatnonzero(home != np.arange(len(home)))
+            yield pa.RecordBatch.from_arrays([pa.array(v[tied]), pa.array(v[home[tied]])], names=["a", "b"])
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        keys = [b.column(c).to_numpy() for c in ("part", "to", "pair")]
+        change = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+        cuts = [0, *change.tolist(), b.num_rows]
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            at = tuple(k[lo].item() for k in keys)
+            if at != current:
+                if held:
+                    yield from done()
+                held, current = [], at
+            held.append(b.slice(lo, hi - lo))
+    if held:
+        yield from done()
+
+
+def _neighbourhoods(coded: DataFrame, tables: int, width: int, ball: int, radius: int, crowd: int) -> DataFrame:
+    """(g, hood) for vectors with another one in reach; all others stand alone."""
+    heads = stage(coded.groupBy("codes").agg(F.min("g").alias("v"), F.count("*").alias("n")), "code-heads")
+    # The upper bits by which a table is dealt: as many as leave about ``crowd`` codes a part.
+    high = min(width - 1, max(0, ceil(log2(max(1, heads.rows) / crowd))))
+    segment = [F.shiftrightunsigned(F.col("codes")[t], width * s).bitwiseAND(F.lit((1 << width) - 1))
+               for t in range(tables) for s in range(_BITS // width)]
+    rows = heads.df.select("v", *[F.col("codes")[k].alias(f"w{k}") for k in range(VERIFY)],
+                           F.posexplode(F.array(*segment)).alias("part", "key"))
+    home = F.shiftrightunsigned("key", width - high)
+    rows = (rows.withColumn("mask", F.explode(_longs(_masks(high, min(ball, high)) if high else [0])))
+            .withColumn("to", home.bitwiseXOR(F.col("mask")))
+            # Of two parts, codes of the smaller one visit the larger.
+            .where(home <= F.col("to")).withColumn("visits", F.col("mask") != 0))
+    visitors = 8 * crowd
+    crowds = stage(rows.groupBy("part", "to").agg(F.count_if(~F.col("visits")).alias("members"),
+                                                  F.count_if("visits").alias("guests"))
+                   .where((F.col("members") > crowd) | (F.col("guests") > visitors))
+                   .select("part", "to", F.greatest(F.lit(1), F.ceil(F.col("members") / crowd)).alias("cuts"),
+                           F.greatest(F.lit(1), F.ceil(F.col("guests") / visitors)).alias("halls")), "crowds")
+    first, guest = F.lit(0).cast("byte"), F.lit(2).cast("byte")
     if crowds.rows:
-        # A crowded value is cut into pairs of cuts: stored members go to every pair with their
-        # own cut, probers to each cut once.
-        rows = join_small(rows, crowds, ["part", "key"], "left")
-        cuts = F.coalesce("cuts", F.lit(1))
-        mine = F.pmod(F.xxhash64("code"), cuts).cast("int")
-        to = F.transform(F.sequence(F.lit(0), cuts - 1), lambda i: F.when(
-            F.col("near"), i.cast("long") * _WIDE + i).otherwise(
-            F.least(i, mine).cast("long") * _WIDE + F.greatest(i, mine)))
-        rows = (rows.select("part", "key", F.explode(to).alias("pair"), "near", "code")
-                .select("part", (F.col("key") * _WIDE * _WIDE + F.col("pair")).alias("key"), "near", "code"))
-    edges = (rows.repartition("part", "key").sortWithinPartitions("part", "key", "near")
-             .mapInArrow(lambda it: _link_partition(it, radius), "a long, b long"))
-    links = stage(edges, "code-links").df
-    # A code stands for its first vector. That a value may occur under several codes can only
-    # make a neighbourhood larger.
-    heads = stage(members.groupBy("code").agg(F.min("g").alias("head"), F.count("*").alias("n")), "code-heads").df
-    shared = heads.where("n > 1").select("code", "head")
-    same = members.select("g", "code").join(shared, "code").select(F.col("g").alias("a"), F.col("head").alias("b"))
-    near = (links.join(heads.select(F.col("code").alias("a"), F.col("head").alias("x")), "a")
-            .join(heads.select(F.col("code").alias("b"), F.col("head").alias("y")), "b")
-            .select(F.col("x").alias("a"), F.col("y").alias("b")))
+        # Members go to every pair with their own cut, visitors to each cut once; where these are
+        # many they are cut too and members also go to each further cut of the visitors.
+        rows = join_small(rows, crowds, ["part", "to"], "left")
+        cuts, halls = F.coalesce("cuts", F.lit(1)).cast("long"), F.coalesce("halls", F.lit(1)).cast("long")
+        mine, hall = F.pmod(F.xxhash64("v"), cuts), F.pmod(F.xxhash64(F.lit(1), "v"), halls)
+        zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+        wide, hole = F.lit(_WIDE).cast("long"), F.lit(_WIDE * _WIDE).cast("long")
+        among = F.transform(F.sequence(zero, cuts - 1), lambda i: F.struct(
+            (F.least(i, mine) * wide + F.greatest(i, mine)).alias("pair"),
+            F.when(i < mine, F.lit(1)).otherwise(0).cast("byte").alias("side")))
+        further = F.transform(F.filter(F.sequence(zero, halls - 1), lambda p: p > 0), lambda p: F.struct(
+            (p * hole + mine * wide + mine).alias("pair"), first.alias("side")))
+        visit = F.transform(F.sequence(zero, cuts - 1), lambda i: F.struct(
+            (hall * hole + i * wide + i).alias("pair"), guest.alias("side")))
+        rows = rows.withColumn("go", F.explode(F.when(F.col("visits"), visit).otherwise(F.concat(among, further))))
+        rows = rows.withColumn("pair", F.col("go.pair")).withColumn("side", F.col("go.side"))
+    else:
+        rows = (rows.withColumn("pair", F.lit(0).cast("long"))
+                .withColumn("side", F.when(F.col("visits"), guest).otherwise(first)))
+    masks = _masks(width, ball)
+    edges = (rows.select("part", "to", "pair", "v", "key", "side", *[f"w{k}" for k in range(VERIFY)])
+             .repartition("part", "to", "pair").sortWithinPartitions("part", "to", "pair")
+             .mapInArrow(lambda it: _link_parts(it, masks, radius), "a long, b long"))
+    near = stage(edges, "code-links").df
+    shared = heads.df.where("n > 1").select("codes", "v")
+    same = coded.select("g", "codes").join(shared, "codes").select(F.col("g").alias("a"), F.col("v").alias("b"))
     return roots(stage(same.unionByName(near), "vector-links").df).select(
         F.col("v").alias("g"), F.col("root").alias("hood"))
 
@@ -280,25 +416,50 @@ def _rerank(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.Rec
         yield from done()
 
 
+def _plan(groups: DataFrame, n: int, sample: int, cosine: float) -> tuple | None:
+    """(words, words that are tables, width, ball, reach), or None if no codes meet often enough."""
+    counts = (groups.groupBy("dim").count().orderBy(F.desc("count"), F.desc("dim")).limit(LENGTHS)
+              .select("dim").collect())
+    lengths = [r["dim"] for r in counts]
+    top = max(lengths)
+    rows = (groups.where(F.col("dim").isin(lengths)).orderBy(F.xxhash64("vec"), "g").limit(sample)
+            .select("vec").collect())
+    by_length: dict[int, list] = {}
+    for r in rows:
+        by_length.setdefault(len(r["vec"]), []).append(r["vec"])
+    units = [_unit(np.array(vectors)) for _, vectors in sorted(by_length.items())]
+    learned_from = np.concatenate([_filled(x, top) for x in units])
+    pairs = [(_filled(a, top), _filled(b, top)) for x in units for a, b in planted(x, cosine)]
+    width, ball = next((w, b) for most, w, b in WIDTHS if n <= most)
+    for width, ball in [(width, ball), *[s for s in SHORTER if s[0] < width]]:
+        words, recall = enough(learned_from, cosine, width, ball, pairs)
+        if recall >= RECALL:
+            tables = len(words)
+            words += [learn(learned_from, seed=3 + k) for k in range(tables, VERIFY)]
+            return words, tables, width, ball, reach(pairs, words[:VERIFY])
+    return None
+
+
 def group(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", cosine: float = COSINE,
-          radius: int = RADIUS, sample: int = SAMPLE, block: int = BLOCK, crowd: int = CROWD) -> DataFrame:
+          sample: int = SAMPLE, block: int = BLOCK, crowd: int = CROWD) -> DataFrame:
     """(id, n_links, component_id) for every row."""
     base = pick(vectors, id=id_col, vec=vec_col).withColumn("vec", F.col("vec").cast("array<double>"))
     good = base.where(_usable("vec"))
     # Equal vectors: zeros of either sign are equal too.
     good = good.withColumn("vec", F.transform("vec", lambda x: x + F.lit(0.0)))
+    # Rows find their vector's result by 128 bits of it; the vector itself moves only once.
+    name = [F.xxhash64("vec").alias("h1"), F.xxhash64(F.lit(1), "vec").alias("h2")]
     distinct = stage(good.groupBy("vec").agg(F.min("id").alias("least"), F.count("*").alias("weight"))
-                     .withColumn("dim", F.size("vec")), "distinct-vectors").df
+                     .withColumn("dim", F.size("vec")), "distinct-vectors")
     # Numbered as written; a written table is read back with the same numbers.
-    groups = stage(distinct.withColumn("g", F.monotonically_increasing_id()), "vectors").df
-    top = groups.agg(F.max("dim").alias("d")).first()["d"]
-    if top is None:
+    groups = stage(distinct.df.withColumn("g", F.monotonically_increasing_id()), "vectors").df
+    if not distinct.rows:
         return base.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    rows = groups.where(F.col("dim") == top).orderBy(F.xxhash64("vec"), "g").limit(sample).select("vec").collect()
-    learned, recall = enough(_unit(np.array([r["vec"] for r in rows])), cosine, radius)
-    if recall >= RECALL:
-        coded = stage(_coded(groups, learned), "coded").df
-        hoods = _neighbourhoods(coded, radius, crowd)
+    plan = _plan(groups, distinct.rows, sample, cosine)
+    if plan is not None:
+        words, tables, width, ball, radius = plan
+        coded = stage(_coded(groups, words), "coded").df
+        hoods = _neighbourhoods(coded, tables, width, ball, radius, crowd)
         placed = (join_small(coded, stage(hoods, "hoods"), "g", "left")
                   .select("g", "dim", "weight", "vec", F.coalesce("hood", "g").alias("hood")))
     else:
@@ -316,14 +477,14 @@ def group(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding"
                   .mapInArrow(lambda it: _rerank(it, cosine), "g long, links long, root long"), "reranked").df
     ties = roots(found.select(F.col("g").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("g").agg(F.sum("links").alias("links"))
-    homes = (groups.select("g", "vec", "least", "weight")
+    homes = (groups.select("g", *name, "least", "weight")
              .join(links, "g", "left").join(ties.withColumnRenamed("v", "g"), "g", "left")
-             .select("g", "vec", "least", F.coalesce("root", "g").alias("root"),
+             .select("g", "h1", "h2", "least", F.coalesce("root", "g").alias("root"),
                      (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")))
     homes = stage(homes, "homes").df
     named = homes.groupBy("root").agg(F.min("least").alias("component_id"))
-    side = stage(homes.join(named, "root").select("vec", "n_links", "component_id"), "vector-components")
-    out = join_small(good, side, "vec").select("id", "n_links", "component_id")
+    side = stage(homes.join(named, "root").select("h1", "h2", "n_links", "component_id"), "vector-components")
+    out = join_small(good.select("id", *name), side, ["h1", "h2"]).select("id", "n_links", "component_id")
     rest = base.where(f"NOT coalesce({_usable('vec')}, false)").select(
         "id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return out.unionByName(rest)

@@ -108,7 +108,7 @@ def test_pairs_just_above_the_threshold_link(spark, common):
     x, y = (top + np.sqrt(1 - common) * v for v in (a, b))
     got = run(spark, list(range(2 * n)), np.concatenate([x, y]).tolist())
     assert np.mean([links > 0 for _, links, _ in got]) >= 0.9
-    learned, recall = E.enough(E._unit(np.concatenate([x, y])), 0.9, E.RADIUS)
+    learned, recall = E.enough(E._unit(np.concatenate([x, y])), 0.9)
     assert recall >= E.RECALL and len(learned) <= E.CODES
 
 
@@ -117,3 +117,55 @@ def test_a_mean_that_hides_the_links_is_compared_in_full(spark):
     vectors = (10 + rng.normal(size=(60, 8)) * 4).tolist()
     ids = list(range(60))
     assert run(spark, ids, vectors) == plain(ids, [np.array(v, np.float32).tolist() for v in vectors])
+
+
+def test_pairs_of_every_length_link(spark):
+    """Vectors of several lengths in one table: each length has its own recall."""
+    rng = np.random.default_rng(11)
+    vectors, lengths = [], []
+    for d, n in ((64, 600), (24, 300), (8, 300), (48, 40)):
+        a, u = rng.normal(size=(n, d)), rng.normal(size=(n, d))
+        a /= np.linalg.norm(a, axis=1, keepdims=True)
+        u -= (u * a).sum(axis=1, keepdims=True) * a
+        u /= np.linalg.norm(u, axis=1, keepdims=True)
+        c = rng.uniform(0.901, 0.92, size=(n, 1))
+        vectors += a.tolist() + (c * a + np.sqrt(1 - c * c) * u).tolist()
+        lengths += [d] * 2 * n
+    got = run(spark, list(range(len(vectors))), vectors)
+    linked = np.array([links > 0 for _, links, _ in sorted(got)])
+    for d in set(lengths):
+        assert linked[np.array(lengths) == d].mean() >= 0.9
+
+
+@pytest.mark.parametrize("inner", [True, False])
+def test_part_links_equal_all_pairs(inner):
+    """Members, a second cut or visitors of a part against every pair of them."""
+    rng = np.random.default_rng(12)
+    for sides in ((0,), (0, 2), (0, 1)):
+        n = 300
+        words = rng.integers(0, 1 << 62, size=(n, E.VERIFY)).astype(np.uint64)
+        words[1::2] = words[::2] ^ (np.uint64(1) << rng.integers(0, 60, size=(n // 2, E.VERIFY)).astype(np.uint64))
+        key = (words[:, 0] & np.uint64(255)).astype(np.int64)
+        side = rng.choice(sides, size=n)
+        home = E._part_links(key, words, side, inner, E._masks(8, 1), 40)
+        want = np.arange(n)
+        for i in range(n):
+            for j in range(n):
+                pair = {int(side[i]), int(side[j])}
+                allowed = (inner and 1 not in sides) if pair == {0} else 0 in pair
+                if (allowed and int(key[i] ^ key[j]).bit_count() <= 1
+                        and int(np.bitwise_count(words[i] ^ words[j]).sum()) <= 40):
+                    a, b = want[i], want[j]
+                    want[want == max(a, b)] = min(a, b)
+        assert home.tolist() == want.tolist()
+
+
+def test_crowded_parts_find_the_same(spark):
+    """Parts cut into few members and visitors, and tables dealt by upper bits."""
+    rng = np.random.default_rng(13)
+    centres = rng.normal(size=(40, 32))
+    vectors = (np.repeat(centres, 8, axis=0) + rng.normal(scale=0.12, size=(320, 32))).tolist()
+    ids = list(range(320))
+    want = plain(ids, [np.array(v, np.float32).tolist() for v in vectors])
+    for crowd in (1 << 14, 16, 2):
+        assert run(spark, ids, vectors, crowd=crowd) == want
