@@ -18,8 +18,10 @@ from starloom.session import materialize, scratch, temporary_stages
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model rejects go."""
-    return toxicity.drop_toxic(docs, toxicity_model(spark, sf_dir), TOXIC_AT)
+    """Documents that the toxicity model rejects go; without labels of both classes there is no
+    model and every document stays."""
+    model = toxicity_model(spark, sf_dir)
+    return docs if model.base is not None else toxicity.drop_toxic(docs, model, TOXIC_AT)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -278,10 +278,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
                  # The same id may come with several texts of one component: the first hash stays.
                  .groupBy("component", "id").agg(F.min("text_hash").alias("text_hash"),
                                                     F.count("*").alias("copies")), "kept")
-    key = fresh(docs, "_key")
-    keys = Staged(kept.df.select(F.xxhash64("id", "text_hash").alias(key)), kept.rows, kept.bytes)
-    marked = docs.withColumn(key, F.xxhash64(F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text_col}`"))))
-    out = join_small(marked, keys, key, "left_semi")
+    # 128 bits of id and text hash: 64 would meet by chance among some 1e9 documents.
+    key, more = fresh(docs, "_key"), fresh(docs, "_more")
+    keys = Staged(kept.df.select(F.xxhash64("id", "text_hash").alias(key),
+                                 F.xxhash64(F.lit(1), "id", "text_hash").alias(more)), kept.rows, kept.bytes)
+    own = [F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text_col}`"))]
+    marked = docs.withColumns({key: F.xxhash64(*own), more: F.xxhash64(F.lit(1), *own)})
+    out = join_small(marked, keys, [key, more], "left_semi")
     if kept.df.where("copies > 1").limit(1).count():
-        out = out.dropDuplicates([key])
+        out = out.dropDuplicates([key, more])
     return out.select(*[f"`{c}`" for c in docs.columns])

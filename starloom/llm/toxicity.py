@@ -1,9 +1,10 @@
 """Toxicity scores from a bidirectional gated recurrent network with attention pooling.
 
-Input of a step is a word vector plus the mean of its character n-gram vectors (both
-hashed, so any word has an input). A run of more than ``LONGEST`` characters without a
-break (languages written without blanks, glued text) is read as overlapping pieces of
-``PIECE`` characters, each a step of its own, so all its n-grams count. Two gated recurrent layers read a window forwards and
+A step is a run of letters and digits or a run of other characters (punctuation, symbols,
+emoji); nothing but white space is left out. Its input is a word vector plus the mean of its
+character n-gram vectors (both hashed, so any run has an input). A run of more than
+``LONGEST`` characters (languages written without blanks, glued text) is read as overlapping
+pieces of ``PIECE`` characters, each a step of its own, so all its n-grams count. Two gated recurrent layers read a window forwards and
 backwards, attention weighs their states into one vector, a logistic unit scores it. A
 text is covered by overlapping windows of ``WINDOW`` words at ``STRIDE`` words, the last
 one aligned with the end; its score is that of the worst window. All windows of the whole
@@ -12,12 +13,12 @@ text are scored.
 Training (numpy, Adam) takes a bounded sample of labelled training rows: at most
 ``per_class`` documents of each class, those with the smallest hash of their id. It is the
 only thing that is sampled: their texts are whole and every window counts, worked off
-``CHUNK`` at a time. A labelled document is a bag of windows: the first passes push
+``CHUNK`` at a time. The driver reads them as a stream and keeps four bytes a word. A labelled document is a bag of windows: the first passes push
 every window towards the label, later ones only the window with the highest score.
 
 Defined results: null and empty texts have one window of padding and get the score of an
 empty attention pool; repeated rows score alike; without labelled training rows of both
-classes every score is the share of toxic rows (0.0 without any).
+classes every score is the share of toxic rows (0.0 without any); of an id with several texts the smallest one is trained on.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,7 +46,7 @@ PER_CLASS, CHUNK = 1500, 1024
 LONGEST, PIECE, SHARED = 40, 16, 8
 _PAD_GATE = 30.0
 
-_words = re.compile(r"[^\W_]+").findall
+_words = re.compile(r"[^\W_]+|(?:[^\w\s]|_)+").findall
 
 
 @dataclass
@@ -56,7 +57,7 @@ class Model:
 
 
 def words_of(text: str | None) -> list[str]:
-    """The words of a text in order, long runs as overlapping pieces."""
+    """The runs of letters and digits and of other characters of a text in order, long ones as overlapping pieces."""
     words = _words((text or "").lower())
     if max(map(len, words), default=0) <= LONGEST:
         return words
@@ -289,21 +290,27 @@ def _chunks(bags: list[np.ndarray], size: int = CHUNK) -> Iterator[tuple[np.ndar
         yield np.concatenate(held), np.concatenate(owner)
 
 
-def train(texts: list[str], labels: list[int], shown: int = 8_000, seed: int = 7) -> Model:
-    """Fit on a bounded list of labelled texts; ``shown`` is how many documents are looked
-    at in all passes together."""
-    y = np.array(labels, np.float32)
+def train(texts: Iterable[str], labels: Iterable[int], shown: int = 8_000, seed: int = 7,
+          informed: bool = True) -> Model:
+    """Fit on a bounded number of labelled texts, read one by one; ``shown`` is how many
+    documents are looked at in all passes together, ``informed`` whether word vectors start
+    from log-odds or from chance alone."""
+    lexicon = _Lexicon()
+    bags, marks = [], []
+    for text, label in zip(texts, labels, strict=True):
+        bags.append(lexicon.rows(words_of(text)))
+        marks.append(label)
+    y = np.array(marks, np.float32)
     if len(y) == 0 or y.min() == y.max():
         return Model({}, float(y.mean()) if len(y) else 0.0)
     rng = np.random.default_rng(seed)
     p = _init(rng)
     adam = _Adam(p, 0.01)
-    lexicon = _Lexicon()
-    bags = [lexicon.rows(words_of(t)) for t in texts]
     counts = np.array([len(_window_starts(len(b))) for b in bags])
     word, gram, size = (np.array(a) for a in (lexicon.word, lexicon.gram, lexicon.size))
     begin = np.cumsum(size) - size
-    _informed(p, bags, y, word, gram, size, begin)
+    if informed:
+        _informed(p, bags, y, word, gram, size, begin)
     batch = min(96, max(16, len(bags) // 16))
     share = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (1 - y).sum()))
     # Every class gets half of the weight; a pass is shuffled into batches of documents.
@@ -455,9 +462,9 @@ def sample(docs: DataFrame, labels: DataFrame, use: Column, id_col: str = "doc_i
         chosen = one if chosen is None else chosen.unionByName(one)
     text = F.coalesce("text", F.lit(""))
     rows = (pick(docs, id=id_col, text=text_col).join(F.broadcast(chosen), "id")
-            .select("id", "label", text.alias("text")).dropDuplicates(["id"])
-            .orderBy("label", "id").collect())
-    return train([r["text"] for r in rows], [r["label"] for r in rows])
+            .groupBy("id", "label").agg(F.min(text).alias("text")).orderBy("label", "id"))
+    marks = [r["label"] for r in rows.select("label", "id").collect()]
+    return train((r["text"] for r in rows.toLocalIterator()), marks)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

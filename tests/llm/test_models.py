@@ -164,3 +164,26 @@ def test_chunks_are_all_windows():
     for size in (1, 3, 10, 1024):
         got = [(int(o), r.tobytes()) for rows, owner in toxicity._chunks(bags, size) for r, o in zip(rows, owner, strict=True)]
         assert set(got) == want and len(got) == sum(len(toxicity._windows(b)) for b in bags)
+
+
+def test_every_character_but_white_space_is_read():
+    text = "Ab1_c!!! $$$\t\U0001f600\u00e9\u4e2d\u6587 --x " + "#" * 50
+    steps = toxicity.words_of(text)
+    assert steps[:9] == ["ab1", "_", "c", "!!!", "$$$", "\U0001f600", "\u00e9\u4e2d\u6587", "--", "x"]
+    assert set("".join(steps)) == {c for c in text.lower() if not c.isspace()}
+    bad, good = ["look $$$ !!! here"] * 40, ["look at all of it here"] * 40
+    model = toxicity.train(bad + good, [1] * 40 + [0] * 40, shown=1500)
+    a, b, c = toxicity.Scorer(model).scores(["!!! $$$", "look here", ""])
+    assert a > 0.5 > b and a > c
+
+
+def test_a_repeated_id_is_trained_on_one_text(spark):
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (2, None), (2, None), (3, "c")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, 0), (3, None)], "doc_id long, toxic int")
+    seen = []
+    real, toxicity.train = toxicity.train, lambda texts, marks: seen.extend(zip(texts, marks, strict=True))
+    try:
+        toxicity.sample(docs, labels, toxicity.F.lit(True))
+    finally:
+        toxicity.train = real
+    assert seen == [("", 0), ("c", 0), ("a", 1)]
