@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from starloom.functions.text import blank_to_null, clean_text, normalize_key, parse_flag
 from starloom.functions.time import parse_ts_utc
@@ -34,35 +35,47 @@ def dedup_rows(df: DataFrame, order_col: str = ROW_ORD,
     return df.groupBy(*keys).agg(*aggs).select(*df.columns)
 
 
-def dedup_wide_rows(df: DataFrame, order_col: str = ROW_ORD) -> DataFrame:
-    """Keep-first full-row dedup for rows carrying long texts, exact.
+def dedup_wide_rows(df: DataFrame, order_col: str = ROW_ORD, reread: bool = False) -> DataFrame:
+    """Keep-first full-row dedup for wide rows, exact.
 
-    Phase 1 shuffles only a 96-bit row signature (xxhash64 + murmur3) and
-    the order value; signatures seen once mark rows that are certainly
-    unique, and those rows never move. Only rows in signature-collision
+    Phase 1 shuffles only a 64-bit row signature; signatures seen once mark rows that are
+    certainly unique, and those rows never move. Only rows in signature-collision
     groups (the actual copies, plus any hash collisions) go through the
-    exact :func:`dedup_rows`. The candidate-signature table is broadcast
-    only when its measured size allows; otherwise the rows meet it in a shuffle
-    join on the narrow signature.
+    exact :func:`dedup_rows`. The candidate-signature table must be small enough to broadcast by
+    its measured size; where copies are too many for that, all rows go through :func:`dedup_rows`,
+    which moves them once. With ``reread`` whatever is grouped is staged, so the result can be
+    read many times without moving rows again.
     """
-    from starloom.operators.joins import join_small
+    from starloom.operators.joins import fits_broadcast, join_small
     from starloom.session import stage
 
+    def grouped(rows: DataFrame) -> DataFrame:
+        kept = dedup_rows(rows, order_col)
+        return stage(kept, "dedup-rows").df if reread else kept
+
     keys = [c for c in df.columns if c != order_col]
-    tagged = df.withColumns({"_h1": F.xxhash64(*keys), "_h2": F.hash(*keys)})
-    repeated = stage(tagged.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
+    tagged = df.withColumn("_h", F.xxhash64(*keys))
+    repeated = stage(tagged.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
                      .filter(F.col("_n") > 1).drop("_n"), "dedup-signatures")
-    unique = join_small(tagged, repeated, ["_h1", "_h2"], "left_anti").drop("_h1", "_h2")
-    copies = join_small(tagged, repeated, ["_h1", "_h2"], "left_semi").drop("_h1", "_h2")
-    return unique.unionByName(dedup_rows(copies, order_col))
+    if not fits_broadcast(repeated):
+        return grouped(df)
+    # Grouping turns -0.0 into 0.0, so rows that are not grouped are shown likewise.
+    zeros = {f.name: F.col(f.name) + F.lit(0.0).cast(f.dataType) for f in df.schema.fields
+             if isinstance(f.dataType, (DoubleType, FloatType)) and f.name != order_col}
+    if reread and not repeated.rows:
+        return df.withColumns(zeros)
+    unique = join_small(tagged, repeated, "_h", "left_anti").drop("_h").withColumns(zeros)
+    copies = join_small(tagged, repeated, "_h", "left_semi").drop("_h")
+    return unique.select(*df.columns).unionByName(grouped(copies))
 
 
 def clean_tracks(df: DataFrame, required: Sequence[str] = TRACK_REQUIRED,
-                 key_source: str = "artists", key_name: str = "artist_norm") -> DataFrame:
+                 key_source: str = "artists", key_name: str = "artist_norm", reread: bool = False) -> DataFrame:
     """Drop rows missing a required field, collapse full-row copies, then
-    derive the entity key (in this order, as the reference does)."""
+    derive the entity key (in this order, as the reference does). ``reread``: as
+    in :func:`dedup_wide_rows`."""
     out = df.na.drop("any", subset=list(required))
-    out = dedup_rows(out)
+    out = dedup_wide_rows(out, reread=reread) if ROW_ORD in out.columns else dedup_rows(out)
     return out.withColumn(key_name, normalize_key(key_source))
 
 

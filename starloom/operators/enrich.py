@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators.joins import join_small
 from starloom.schemas import ROW_ORD, STAT_COLUMNS
-from starloom.session import stage
+from starloom.session import Staged, stage
 
 
 def award_stats(awards: DataFrame, key: str = "artist_norm", flag: str = "winner",
@@ -28,7 +28,7 @@ def award_stats(awards: DataFrame, key: str = "artist_norm", flag: str = "winner
                  F.max(year).cast("int").alias("last_grammy_year")))
 
 
-def enrich(spine: DataFrame, stats: DataFrame, key: str = "artist_norm",
+def enrich(spine: DataFrame, stats: DataFrame | Staged, key: str = "artist_norm",
            stat_cols: Sequence[str] = STAT_COLUMNS, fill: int = 0,
            stage_stats: bool = True) -> DataFrame:
     """Left-join ``stats`` onto ``spine`` (every spine row survives, row count
@@ -38,7 +38,7 @@ def enrich(spine: DataFrame, stats: DataFrame, key: str = "artist_norm",
     is broadcast only when that check proves it small, otherwise the join
     shuffles and AQE splits a skewed spine partition.
     """
-    if stage_stats:
+    if stage_stats and not isinstance(stats, Staged):
         stats = stage(stats, "award-stats")
     salt = [ROW_ORD] if ROW_ORD in spine.columns else None
     joined = join_small(spine, stats, key, "left", salt_by=salt)

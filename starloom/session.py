@@ -176,6 +176,6 @@ def materialize(df: DataFrame, name: str = "stage", path: str | None = None, kee
     made = _scope.get()
     if made is not None and not keep:
         made.append(path)
-    df.write.mode("error").parquet(path)
+    df.write.mode("error").option("compression", "zstd").parquet(path)
     # Known schema: no footer sampling to infer it again.
     return spark.read.schema(df.schema).parquet(path)

@@ -92,3 +92,36 @@ def test_signature_dedup_equals_plain_dedup(spark):
     plain = sorted(tuple(r) for r in dedup_rows(df, order_col="doc_id").collect())
     wide = sorted(tuple(r) for r in dedup_wide_rows(df, order_col="doc_id").collect())
     assert wide == plain and (100, "hot copy", "en", 1) in wide
+
+
+def test_dedup_moves_only_signatures_and_copies(spark):
+    from tests.test_plans import plan
+
+    rows = [track(1), track(2, tid="t2"), track(3, tid="t3", dance=-0.0)]
+    out = clean_tracks(tracks_df(spark, rows), reread=True)
+    assert "Exchange" not in plan(out)  # no copies: rows stay where they are read
+    assert sorted((r[ROW_ORD], str(r.danceability)) for r in out.collect()) == [(1, "0.5"), (2, "0.5"), (3, "0.0")]
+
+
+def test_dedup_by_signature_equals_grouping(spark, monkeypatch):
+    from starloom.operators import joins
+
+    rows = [track(7), track(3), track(5, tid="t2", dance=-0.0), track(4, tid="t2", dance=0.0),
+            track(9, tid="t3", dance=float("nan")), track(8, tid="t3", dance=float("nan")),
+            track(2, tid="t4", genre=None), track(1, tid="t4", genre=None), track(6, tid="t5")]
+    def shown(df):
+        return sorted(map(str, df.collect()))
+    want = shown(dedup_rows(tracks_df(spark, rows)))
+    for reread in (False, True):
+        assert shown(clean_tracks(tracks_df(spark, rows), reread=reread).drop("artist_norm")) == want
+    monkeypatch.setattr(joins, "fits_broadcast", lambda *a, **k: False)  # too many copies
+    assert shown(clean_tracks(tracks_df(spark, rows)).drop("artist_norm")) == want
+
+
+def test_staged_stats_are_not_staged_again(spark):
+    from starloom.session import stage
+
+    tracks = clean_tracks(tracks_df(spark, [track(1, artists="Adele"), track(2, artists="Bob")]))
+    stats = stage(award_stats(clean_awards(spark.createDataFrame([award(1, "Adele")], AWARD_DDL))), "award-stats")
+    out = {r.artists: r.grammy_wins for r in enrich(tracks, stats).collect()}
+    assert out == {"Adele": 1, "Bob": 0}
