@@ -25,21 +25,22 @@ def _order(cols: Sequence[str | Column]) -> list[Column]:
 
 
 def dense_keys(df: DataFrame, key_name: str, order_by: Sequence[str | Column], *,
-               num_partitions: int | None = None, first: bool = True) -> DataFrame:
+               num_partitions: int | None = None, first: bool = True, drop: Sequence[str] = ()) -> DataFrame:
     """Add ``key_name`` = 1..n following ``order_by`` (which must be a total order over the
-    rows; add the natural key as a tiebreak). The key column is placed first when ``first``."""
-    keyed = _range_keys(df, key_name, _order(order_by), num_partitions)
-    return keyed.select(key_name, *df.columns) if first else keyed
+    rows; add the natural key as a tiebreak). The key column is placed first when ``first``.
+    Columns in ``drop`` only give the order: they are not in the ranged copy nor in the result."""
+    keyed = _range_keys(df, key_name, _order(order_by), num_partitions, drop)
+    return keyed.select(key_name, *[c for c in df.columns if c not in drop]) if first else keyed
 
 
 def _range_keys(df: DataFrame, key_name: str, order: list[Column],
-                num_partitions: int | None) -> DataFrame:
+                num_partitions: int | None, drop: Sequence[str]) -> DataFrame:
     spark = df.sparkSession
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(parts, *order)
               .sortWithinPartitions(*order)
               .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = materialize(ranged, f"keys-{key_name}")
+    ranged = materialize(ranged.drop(*drop), f"keys-{key_name}")
     mask = (1 << _POS_BITS) - 1
     ranged = (ranged.withColumn("_pid", F.shiftright("_mid", _POS_BITS))
               .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(mask))))

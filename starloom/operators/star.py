@@ -82,27 +82,27 @@ def artist_rows(merged: DataFrame, albums: Staged) -> DataFrame:
     The first row is the earliest of the artist's album first rows; its text
     is fetched with an equi-join on (artist_norm, _row_ord). That key is
     (nearly) unique per row, so even an artist owning a third of the spine
-    spreads evenly over the join's partitions; the artist side is broadcast
-    when its measured size allows.
+    spreads evenly over the join's partitions; the artist side is staged, and broadcast
+    when its measured size allows, so that the spine does not move.
     """
-    firsts = albums.df.groupBy("artist_norm").agg(
-        F.min("_first").alias(ROW_ORD), *[F.min(c).alias(c) for c in STAT_COLUMNS])
+    firsts = stage(albums.df.groupBy("artist_norm").agg(
+        F.min("_first").alias(ROW_ORD), *[F.min(c).alias(c) for c in STAT_COLUMNS]), "artist-firsts").df
     names = join_small(merged.select("artist_norm", ROW_ORD, "artists"),
-                       Staged(firsts.select("artist_norm", ROW_ORD), albums.rows, albums.bytes),
-                       ["artist_norm", ROW_ORD], "left_semi")
+                       firsts.select("artist_norm", ROW_ORD), ["artist_norm", ROW_ORD], "left_semi")
     # Rows sharing an order value are copies of one source line: same text.
     names = names.groupBy("artist_norm").agg(F.min("artists").alias("artist_name"))
     return firsts.join(names, "artist_norm").select(
         "artist_norm", "artist_name", *STAT_COLUMNS)
 
 
-def build_star(merged: DataFrame, stage_spine: bool = True) -> Star:
+def build_star(merged: DataFrame, stage_spine: bool = True, lines: DataFrame | None = None) -> Star:
     """Split the merged spine into ``dim_artist``, ``dim_album``,
     ``dim_genre``, ``dim_year`` and ``fact_track``.
 
     Keys: artists, genres and years are numbered in sorted natural-key
     order, albums in order of first appearance (ties broken by the natural
-    key). Year 0 (never nominated) is an ordinary member.
+    key). Year 0 (never nominated) is an ordinary member. ``lines``: the spine's rows as they
+    were before the stats joined them, of which the fact needs none.
     """
     m = stage(merged, "merged").df if stage_spine else merged
 
@@ -118,7 +118,7 @@ def build_star(merged: DataFrame, stage_spine: bool = True) -> Star:
     w2 = stage_all({
         "dim-album": lambda: dense_keys(
             albums.df.select("album_name", "artist_norm", "_first"), "album_key",
-            ["_first", "album_name", "artist_norm"]).drop("_first"),
+            ["_first", "album_name", "artist_norm"], drop=["_first"]),
         "artist-rows": lambda: artist_rows(m, albums),
         "dim-genre": keyed(genres.df, "genre_key", ["genre_name"]),
     })
@@ -140,14 +140,15 @@ def build_star(merged: DataFrame, stage_spine: bool = True) -> Star:
     def sized(name: str, df: DataFrame) -> Staged:
         return Staged(df, *sizes[name])
 
+    # Measured as it is joined, by a job over the dimension: narrower than the whole.
     artist_part = dim_artist.select("artist_key", "artist_norm", "first_grammy_year")
-    key_map = join_small(dim_album, Staged(artist_part, *sizes["dim_artist"]), "artist_norm")
+    key_map = join_small(dim_album, artist_part, "artist_norm")
     key_map = join_small(key_map, sized("dim_year", dim_year.withColumnRenamed(
         "year_value", "first_grammy_year")), "first_grammy_year")
     key_map = stage(key_map.select("album_name", "artist_norm", "album_key", "artist_key",
                                    "year_key"), "key-map")
 
-    fact = join_small(m, sized("dim_genre", dim_genre.withColumnRenamed(
+    fact = join_small(m if lines is None else lines, sized("dim_genre", dim_genre.withColumnRenamed(
         "genre_name", "track_genre")), "track_genre")
     fact = join_small(fact, key_map, ["album_name", "artist_norm"], salt_by=[ROW_ORD])
     fact = fact.withColumnRenamed("key", "music_key").select(*FACT_COLUMNS)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators.clean import clean_awards, clean_tracks
 from starloom.operators.enrich import award_stats, enrich
+from starloom.operators.joins import fits_broadcast
 from starloom.operators.star import Star, build_star, conform
 from starloom.plans.resume import Run, fingerprint
 from starloom.session import scratch, stage, stage_all, temporary_stages
@@ -54,12 +55,27 @@ def land_sources(spark: SparkSession, sf_dir: str) -> None:
             _STAGE_CACHE[(app, sf_dir, name)] = st.df
 
 
+def fixture_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned tracks, planned once per session: landed rows without their copies, which
+    every reader drops as it scans them."""
+    key = (spark.sparkContext.applicationId, sf_dir, "clean-tracks")
+    if key not in _STAGE_CACHE:
+        land_sources(spark, sf_dir)
+        _STAGE_CACHE[key] = clean_tracks(landed_tracks(spark, sf_dir), reread=True)
+    return _STAGE_CACHE[key]
+
+
 def fixture_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The merged spine from the landed sources, staged once per session (the
-    star build and every later reader scan the same written copy)."""
-    land_sources(spark, sf_dir)
-    return _staged_once(spark, sf_dir, "merged", lambda: merged_from(
-        landed_tracks(spark, sf_dir), landed_awards(spark, sf_dir)))
+    """The merged spine from the landed sources, planned once per session. Where the award stats
+    are broadcast, every reader adds them as it scans the tracks; otherwise the spine moves to
+    meet them, so it is staged, and every reader scans the same written copy."""
+    key = (spark.sparkContext.applicationId, sf_dir, "merged")
+    if key not in _STAGE_CACHE:
+        tracks = fixture_tracks(spark, sf_dir)
+        stats = stage(award_stats(clean_awards(landed_awards(spark, sf_dir))), "award-stats")
+        merged = enrich(tracks, stats)
+        _STAGE_CACHE[key] = merged if fits_broadcast(stats) else stage(merged, "merged").df
+    return _STAGE_CACHE[key]
 
 
 def fixture_star(spark: SparkSession, sf_dir: str) -> Star:
@@ -78,7 +94,8 @@ def fixture_raw_star(spark: SparkSession, sf_dir: str) -> Star:
     """The star as built (source types, before the warehouse casts)."""
     key = (spark.sparkContext.applicationId, sf_dir, "raw")
     if key not in _STAR_CACHE:
-        _STAR_CACHE[key] = build_star(fixture_merged(spark, sf_dir), stage_spine=False)
+        _STAR_CACHE[key] = build_star(fixture_merged(spark, sf_dir), stage_spine=False,
+                                      lines=fixture_tracks(spark, sf_dir))
     return _STAR_CACHE[key]
 
 

@@ -84,3 +84,48 @@ def test_keys_equal_window_keys(spark):
     b = sorted(tuple(r) for r in large.collect())
     assert a == b
     assert [r.k for r in large.orderBy("k").collect()] == list(range(1, 5001))
+
+
+def test_order_columns_are_not_copied_and_first_rows_are_measured(spark, monkeypatch):
+    from starloom.operators import keys, star
+
+    ranged, staged = {}, []
+    keep = keys.materialize
+    monkeypatch.setattr(keys, "materialize", lambda df, name: ranged.setdefault(name, keep(df, name)))
+    put = star.stage
+    monkeypatch.setattr(star, "stage", lambda df, name: staged.append(name) or put(df, name))
+    built = toy_star(spark)
+    assert "_first" not in ranged["keys-album_key"].columns
+    assert "artist-firsts" in staged
+    assert built.dim_album.columns == ["album_key", "album_name", "artist_norm"]
+    assert built.fact_track.count() == 5
+
+
+def test_source_lookups_of_a_proven_size_do_not_move_the_rows(spark):
+    from tests.test_plans import plan
+
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert plan(raw_tracks(spark, SF)).count("BroadcastHashJoin") == 3
+        assert plan(raw_awards(spark, SF)).count("BroadcastHashJoin") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_run_with_copies_counts_each_input_row_once(spark, tmp_path):
+    from starloom.plans.pipeline import run
+
+    rows = [track(i, f"t{i // 2}", genre="pop") for i in range(6)]
+    counts = run(tracks_df(spark, rows), spark.createDataFrame([award(1, "A")], AWARD_DDL), str(tmp_path / "w"))
+    assert {k: counts[k] for k in ("raw_tracks", "clean_tracks", "merged", "fact_track")} == {
+        "raw_tracks": 6, "clean_tracks": 3, "merged": 3, "fact_track": 3}
+
+
+def test_fact_reads_the_tracks_without_the_stats(spark):
+    from starloom.plans.pipeline import fixture_merged, fixture_raw_star, fixture_tracks
+    from tests.test_plans import plan
+
+    assert "grammy_wins" not in plan(fixture_raw_star(spark, SF).fact_track)
+    assert "grammy_wins" not in fixture_tracks(spark, SF).columns
+    assert "merged-" not in plan(fixture_merged(spark, SF))  # no second copy of the landed rows
