@@ -23,9 +23,11 @@ library does. A vocabulary in which two merges make the same token is rejected.
 
 from __future__ import annotations
 
+import hashlib
 import json
+import pickle
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -40,6 +42,8 @@ from starloom.llm.common import Memory, pick, slices
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 _NEVER = 1 << 60
+#: Bytes of a batch that are worked off at a time.
+_SLICE = 1 << 20
 _BLANK_AFTER_SPACE = re.compile(r"\s(?= )").search
 _WORDS = re.compile(r"^[^ ]+| [^ ]*").findall
 
@@ -337,32 +341,36 @@ class Encoder:
         return b"".join(map(self.v.tokens.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_encoders: list[Encoder] = []
+_encoders: dict[str, Encoder] = {}
 
 
-def _encoder(vocabulary: Vocabulary) -> Encoder:
-    """This worker's encoder of the vocabulary."""
-    if not _encoders or _encoders[0].v != vocabulary:
-        _encoders[:] = [Encoder(vocabulary)]
-    return _encoders[0]
+def _encoder(mark: str, vocabulary: Callable[[], Vocabulary]) -> Encoder:
+    """This worker's encoder of the vocabulary with this mark; the vocabulary is only fetched
+    where the encoder is not there yet, so a worker holds it once."""
+    if mark not in _encoders:
+        _encoders.clear()
+        _encoders[mark] = Encoder(vocabulary())
+    return _encoders[mark]
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """(id, ids) for every row; ids is an array of int."""
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    mark = hashlib.sha256(pickle.dumps(vocabulary)).hexdigest()
     base = pick(docs, id=id_col, text=text_col)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _encoder(sent.value)
+        coder = _encoder(mark, lambda: sent.value)
         for whole in batches:
-            for b in slices(whole, 2 << 20):
+            for b in slices(whole, _SLICE):
                 rows = coder.encode_all(b.column("text").to_pylist())
                 ends = np.cumsum([0, *map(len, rows)]) // 4
                 flat = np.frombuffer(b"".join(rows), np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
                     names=["id", "ids"])
+            pa.default_memory_pool().release_unused()
 
     kind = base.schema["id"].dataType.simpleString()
     return (base.mapInArrow(work, f"id {kind}, ids array<int>")
@@ -377,7 +385,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...] = (
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = sent.value
         for whole in batches:
-            for b in slices(whole, 2 << 20):
+            for b in slices(whole, _SLICE):
                 col = b.column(ids_col)
                 flat = col.values.to_numpy(zero_copy_only=False)
                 ends = col.offsets.to_numpy()
@@ -387,6 +395,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...] = (
                          for x, y in zip(at, at[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())],
                                                  names=[*b.schema.names, "text"])
+            pa.default_memory_pool().release_unused()
 
     base = encoded.select(*keep, ids_col)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)

@@ -69,3 +69,11 @@ def test_ambiguous_vocabulary_is_rejected(tmp_path):
                                           "merges": [["a", "b"], ["b", "a"], ["ab", "a"], ["a", "ba"]]}}))
     with pytest.raises(ValueError, match="two merges"):
         bpe.load(str(path))
+
+
+def test_a_worker_fetches_the_vocabulary_once(monkeypatch):
+    monkeypatch.setattr(bpe, "_encoders", {})
+    v = bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
+    first = bpe._encoder("a", lambda: v)
+    assert bpe._encoder("a", lambda: 1 / 0) is first and first.v is v
+    assert bpe._encoder("b", lambda: v) is not first and len(bpe._encoders) == 1
