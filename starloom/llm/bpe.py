@@ -43,7 +43,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 
 _NEVER = 1 << 60
 #: Bytes of a batch that are worked off at a time.
-_SLICE = 1 << 20
+_SLICE = 2 << 20
 _BLANK_AFTER_SPACE = re.compile(r"\s(?= )").search
 _WORDS = re.compile(r"^[^ ]+| [^ ]*").findall
 
@@ -149,7 +149,7 @@ class Automaton:
 class Encoder:
     """Encodes with one vocabulary. Kept by a worker from task to task, with what it remembers."""
 
-    def __init__(self, vocabulary: Vocabulary, remembered: int = 100_000, short: int = 32, pairs: int = 20):
+    def __init__(self, vocabulary: Vocabulary, remembered: int = 200_000, short: int = 32, pairs: int = 20):
         self.v = vocabulary
         self.short = short
         taken = set(vocabulary.special.values())
@@ -353,24 +353,48 @@ def _encoder(mark: str, vocabulary: Callable[[], Vocabulary]) -> Encoder:
     return _encoders[mark]
 
 
+def _encoded(batches: Iterable[pa.RecordBatch], coder: Encoder) -> Iterator[pa.RecordBatch]:
+    """(id, ids) from (id, text), a slice at a time."""
+    for whole in batches:
+        for b in slices(whole, _SLICE):
+            rows = coder.encode_all(b.column("text").to_pylist())
+            ends = np.cumsum([0, *map(len, rows)]) // 4
+            flat = np.frombuffer(b"".join(rows), np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
+                names=["id", "ids"])
+        pa.default_memory_pool().release_unused()
+
+
+def _decoded(batches: Iterable[pa.RecordBatch], tokens: list[bytes], ids_col: str) -> Iterator[pa.RecordBatch]:
+    """The batches with the text of their ids, a slice at a time."""
+    for whole in batches:
+        for b in slices(whole, _SLICE):
+            col = b.column(ids_col)
+            flat = col.values.to_numpy(zero_copy_only=False)
+            ends = col.offsets.to_numpy()
+            pieces = list(map(tokens.__getitem__, flat[ends[0]:ends[-1]].tolist()))
+            at = (ends - ends[0]).tolist()
+            texts = [b"".join(pieces[x:y]).decode("utf-8", "replace")
+                     for x, y in zip(at, at[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())],
+                                             names=[*b.schema.names, "text"])
+        pa.default_memory_pool().release_unused()
+
+
+def _mark(vocabulary: Vocabulary) -> str:
+    return hashlib.sha256(pickle.dumps(vocabulary)).hexdigest()
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """(id, ids) for every row; ids is an array of int."""
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    mark = hashlib.sha256(pickle.dumps(vocabulary)).hexdigest()
+    mark = _mark(vocabulary)
     base = pick(docs, id=id_col, text=text_col)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _encoder(mark, lambda: sent.value)
-        for whole in batches:
-            for b in slices(whole, _SLICE):
-                rows = coder.encode_all(b.column("text").to_pylist())
-                ends = np.cumsum([0, *map(len, rows)]) // 4
-                flat = np.frombuffer(b"".join(rows), np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
-                    names=["id", "ids"])
-            pa.default_memory_pool().release_unused()
+        return _encoded(batches, _encoder(mark, lambda: sent.value))
 
     kind = base.schema["id"].dataType.simpleString()
     return (base.mapInArrow(work, f"id {kind}, ids array<int>")
@@ -383,20 +407,26 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...] = (
     sent = encoded.sparkSession.sparkContext.broadcast(vocabulary.tokens)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = sent.value
-        for whole in batches:
-            for b in slices(whole, _SLICE):
-                col = b.column(ids_col)
-                flat = col.values.to_numpy(zero_copy_only=False)
-                ends = col.offsets.to_numpy()
-                pieces = list(map(tokens.__getitem__, flat[ends[0]:ends[-1]].tolist()))
-                at = (ends - ends[0]).tolist()
-                texts = [b"".join(pieces[x:y]).decode("utf-8", "replace")
-                         for x, y in zip(at, at[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())],
-                                                 names=[*b.schema.names, "text"])
-            pa.default_memory_pool().release_unused()
+        return _decoded(batches, sent.value, ids_col)
 
     base = encoded.select(*keep, ids_col)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
     return base.mapInArrow(work, f"{schema}, text string")
+
+
+def encode_decode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id",
+                  text_col: str = "text") -> DataFrame:
+    """(id, ids, text) for every row: :func:`encode`, and :func:`decode` of its ids, in one worker
+    for each task. One after the other they are two, and as workers are lent to either from task
+    to task, both come to hold an encoder."""
+    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    mark = _mark(vocabulary)
+    base = pick(docs, id=id_col, text=text_col)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = _encoder(mark, lambda: sent.value)
+        return _decoded(_encoded(batches, coder), coder.v.tokens, "ids")
+
+    kind = base.schema["id"].dataType.simpleString()
+    return (base.mapInArrow(work, f"id {kind}, ids array<int>, text string")
+            .select(F.col("id").alias(id_col), "ids", "text"))

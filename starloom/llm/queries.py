@@ -121,8 +121,7 @@ def token_columns() -> list[Column]:
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = vocabulary()
-    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), v), v)
+    coded = bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary())
     return coded.select("doc_id", *token_columns())
 
 

@@ -77,3 +77,16 @@ def test_a_worker_fetches_the_vocabulary_once(monkeypatch):
     first = bpe._encoder("a", lambda: v)
     assert bpe._encoder("a", lambda: 1 / 0) is first and first.v is v
     assert bpe._encoder("b", lambda: v) is not first and len(bpe._encoders) == 1
+
+
+def test_the_query_has_one_worker_a_task_and_the_operators_results(spark):
+    v = vocabulary()
+    docs = spark.createDataFrame([(1, None), (2, ""), (3, "ab <|endoftext|> caf\u00e9  x"), (3, "a" * 100_000), (None, "x")],
+                                 "doc_id long, text string").selectExpr("doc_id", "text", "1 AS ids", "2 AS id")
+    both = bpe.encode_decode(docs, v)
+    want = bpe.decode(bpe.encode(docs, v), v)
+    assert both.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(str, both.collect())) == sorted(map(str, want.collect()))
+    assert both.where("false").count() == 0
+    plan = op10_bpe(spark, SF0001)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
