@@ -77,19 +77,24 @@ def _read_text(spark: SparkSession, path: str, wanted: StructType, multi_line: b
 def typed(column: str, kind: DataType) -> Column:
     """Text as ``kind``; null stays null, a value that cannot be read fails the job with its
     column and text. Whole numbers may be written with a decimal point (``50.0``)."""
+    name = kind.simpleString()
     text = F.trim(F.col(f"`{column}`"))
     if isinstance(kind, StringType):
         return F.col(f"`{column}`")
     if isinstance(kind, BooleanType):
         value = F.when(F.lower(text) == "true", True).when(F.lower(text) == "false", False)
-    elif isinstance(kind, IntegralType):
-        plain = F.regexp_replace(text, r"^([+-]?[0-9]+)[.]0*$", "$1")
-        value = plain.try_cast(kind.simpleString())
     else:
-        value = text.try_cast(kind.simpleString())
-    wrong = F.raise_error(F.concat(F.lit(f"column {column}: cannot read as {kind.simpleString()}: "), text))
-    return F.when(text.isNull(), F.lit(None).cast(kind)).otherwise(
-        F.coalesce(value, wrong.cast(kind)))
+        value = text.try_cast(name)
+
+    def rare(t: Column) -> Column:
+        wrong = F.raise_error(F.concat(F.lit(f"column {column}: cannot read as {name}: "), t)).cast(kind)
+        if not isinstance(kind, IntegralType):
+            return wrong
+        return F.coalesce(F.regexp_replace(t, r"^([+-]?[0-9]+)[.]0*$", "$1").try_cast(name), wrong)
+
+    # What cannot be read at once is looked at by a lambda: its code stays out of the loop that Spark
+    # generates for a row, which with it for every column is too long for the JVM to compile.
+    return F.coalesce(value, F.when(text.isNotNull(), F.transform(F.array(text), rare)[0]))
 
 
 def read_tracks(spark: SparkSession, path: str, fmt: str = "csv",
