@@ -7,6 +7,10 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
+#: Bytes of the buffer through which parts are joined.
+_BUFFER = 4 << 20
+
+
 def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 
@@ -101,7 +105,7 @@ def join_files(spark: SparkSession, parts: list[str], target: str) -> None:
             for p in parts:
                 stream = file_system(spark, p).open(_path(spark, p))
                 try:
-                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, conf, False)
+                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, _BUFFER, False)
                 finally:
                     stream.close()
     finally:
