@@ -41,8 +41,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, with the digests of the ids and of the decoded text."""
-    v = vocabulary()
-    return bpe.decode(bpe.encode(docs, v), v).select("doc_id", *token_columns(), "ids")
+    return bpe.encode_decode(docs, vocabulary()).select("doc_id", *token_columns(), "ids")
 
 
 STAGES = [
