@@ -38,8 +38,8 @@ def dedup_rows(df: DataFrame, order_col: str = ROW_ORD,
 def dedup_wide_rows(df: DataFrame, order_col: str = ROW_ORD, reread: bool = False) -> DataFrame:
     """Keep-first full-row dedup for wide rows, exact.
 
-    Phase 1 shuffles only a 64-bit row signature; signatures seen once mark rows that are
-    certainly unique, and those rows never move. Only rows in signature-collision
+    Phase 1 shuffles only a row signature, the upper 44 bits of a 64-bit hash; signatures seen once
+    mark rows that are certainly unique, and those rows never move. Only rows in signature-collision
     groups (the actual copies, plus any hash collisions) go through the
     exact :func:`dedup_rows`. The candidate-signature table must be small enough to broadcast by
     its measured size; where copies are too many for that, all rows go through :func:`dedup_rows`,
@@ -54,7 +54,8 @@ def dedup_wide_rows(df: DataFrame, order_col: str = ROW_ORD, reread: bool = Fals
         return stage(kept, "dedup-rows").df if reread else kept
 
     keys = [c for c in df.columns if c != order_col]
-    tagged = df.withColumn("_h", F.xxhash64(*keys))
+    # The bytes left out would be shuffled for every row; of 10^10 rows under 0.1 % are grouped for nothing.
+    tagged = df.withColumn("_h", F.shiftrightunsigned(F.xxhash64(*keys), 20))
     repeated = stage(tagged.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
                      .filter(F.col("_n") > 1).drop("_n"), "dedup-signatures")
     if not fits_broadcast(repeated):

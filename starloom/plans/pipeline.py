@@ -13,7 +13,7 @@ from starloom.operators.joins import fits_broadcast
 from starloom.operators.star import Star, build_star, conform
 from starloom.plans.resume import Run, fingerprint
 from starloom.session import scratch, stage, stage_all, temporary_stages
-from starloom.sources.fixtures import raw_awards, raw_tracks
+from starloom.sources.fixtures import raw_awards, track_lines, tracks_of
 
 _STAR_CACHE: dict[tuple[str, str, str], Star] = {}
 _STAGE_CACHE: dict[tuple[str, str, str], DataFrame] = {}
@@ -34,8 +34,9 @@ def _staged_once(spark: SparkSession, sf_dir: str, name: str, build) -> DataFram
 def landed_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The track source derived from the driver tables, landed once per
     session as parquet in the checkpoint folder (the landing/stage step of
-    the pipeline); later readers scan it instead of re-running the joins."""
-    return _staged_once(spark, sf_dir, "landed-tracks", lambda: raw_tracks(spark, sf_dir))
+    the pipeline); later readers scan it instead of re-running the joins.
+    The joined lines are landed, of which readers make the columns they read."""
+    return tracks_of(_staged_once(spark, sf_dir, "landed-tracks", lambda: track_lines(spark, sf_dir)))
 
 
 def landed_awards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +48,7 @@ def land_sources(spark: SparkSession, sf_dir: str) -> None:
     """Land both fixture sources, concurrently, if not landed yet."""
     app = spark.sparkContext.applicationId
     todo = {name: build for name, build in (
-        ("landed-tracks", lambda: raw_tracks(spark, sf_dir)),
+        ("landed-tracks", lambda: track_lines(spark, sf_dir)),
         ("landed-awards", lambda: raw_awards(spark, sf_dir)))
         if (app, sf_dir, name) not in _STAGE_CACHE}
     if todo:

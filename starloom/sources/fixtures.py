@@ -36,11 +36,15 @@ def _lookup(big: DataFrame, small: DataFrame, key: str, small_key: str) -> DataF
     return join_small(big, small.withColumnRenamed(small_key, key), key)
 
 
-def raw_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Track-grain source: one row per line item, 20 columns plus ``_row_ord``."""
+def track_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line items with what the track source takes of their orders, customers, parts and
+    suppliers: the rows of ``raw_tracks`` before its columns are made of them, less than half as
+    wide. Only what is needed of a column meets a join."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
+        F.floor("l_extendedprice").alias("whole_price"), "l_discount", "l_tax",
+        (F.col("l_returnflag") == "R").alias("returned"),
+        F.when(F.col("l_linestatus") == "O", 1).otherwise(0).alias("open"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
@@ -50,13 +54,17 @@ def raw_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     buyers = _lookup(orders, cust, "o_custkey", "c_custkey")
     j = li.join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
     j = _lookup(_lookup(j, part, "l_partkey", "p_partkey"), supp, "l_suppkey", "s_suppkey")
+    return j.drop("o_orderkey", "o_custkey")
 
+
+def tracks_of(lines: DataFrame) -> DataFrame:
+    """The track source made of :func:`track_lines`, row by row: 20 columns plus ``_row_ord``."""
     line = F.col("l_linenumber")
-    artists = (F.when(F.col("o_orderkey") % 997 == 0, F.lit(None).cast("string"))
+    artists = (F.when(F.col("l_orderkey") % 997 == 0, F.lit(None).cast("string"))
                .when(line > 3, F.concat(F.col("c_name"), F.lit(";"), F.col("s_name")))
                .when(line == 3, F.concat(F.lit(" "), F.upper("c_name")))
                .otherwise(F.col("c_name")))
-    return j.select(
+    return lines.select(
         source_order().alias(ROW_ORD),
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), line.cast("string"))
         .alias("track_id"),
@@ -64,13 +72,13 @@ def raw_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("album_name"),
         F.concat(F.col("p_name"), F.lit(" #"), line.cast("string")).alias("track_name"),
         (F.floor("l_quantity").cast("int") * 2).alias("popularity"),
-        F.floor("l_extendedprice").cast("int").alias("duration_ms"),
-        (F.col("l_returnflag") == "R").alias("explicit"),
+        F.col("whole_price").cast("int").alias("duration_ms"),
+        F.col("returned").alias("explicit"),
         (F.col("l_discount") * 10).alias("danceability"),
         (F.col("l_tax") * 10).alias("energy"),
         line.cast("int").alias("key"),
         (-F.col("l_quantity")).alias("loudness"),
-        F.when(F.col("l_linestatus") == "O", 1).otherwise(0).alias("mode"),
+        F.col("open").alias("mode"),
         ((F.col("l_partkey") % 100).cast("double") / 100).alias("speechiness"),
         ((F.col("l_suppkey") % 10).cast("double") / 10).alias("acousticness"),
         ((F.col("l_orderkey") % 50).cast("double") / 50).alias("instrumentalness"),
@@ -82,6 +90,11 @@ def raw_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Track-grain source: one row per line item, 20 columns plus ``_row_ord``."""
+    return tracks_of(track_lines(spark, sf_dir))
+
+
 def raw_awards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Awards landing table (10 text-ish columns plus ``_row_ord``): every event,
     a purchase being a win and any other a nomination only."""

@@ -53,3 +53,33 @@ def test_source_order_is_wide_enough(spark):
     df = spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long")
     got = [tuple(r)[:4] for r in df.withColumn("o", source_order()).orderBy("o").collect()]
     assert got == sorted(rows)
+
+
+def test_landed_tracks_hold_the_joined_lines_and_give_the_same_rows(spark):
+    from starloom.plans.pipeline import landed_tracks
+    from starloom.sources.fixtures import raw_tracks
+
+    d = "/root/testdata/sf0.001"
+    landed, raw = landed_tracks(spark, d), raw_tracks(spark, d)
+    stored = spark.read.parquet(*landed.inputFiles()).columns
+    assert not {"_row_ord", "track_id", "artists", "track_name", "speechiness"} & set(stored)  # made by the readers
+    assert [(f.name, f.dataType) for f in landed.schema] == [(f.name, f.dataType) for f in raw.schema]
+    assert sorted(map(repr, landed.collect())) == sorted(map(repr, raw.collect()))
+
+
+def test_dedup_shuffles_short_signatures(spark, monkeypatch):
+    from starloom import session
+    from starloom.operators.clean import dedup_wide_rows
+
+    real, seen = session.stage, []
+
+    def stage(df, name="stage", *a, **k):
+        out = real(df, name, *a, **k)
+        seen.extend(r["_h"] for r in out.df.collect() if name == "dedup-signatures")
+        return out
+
+    monkeypatch.setattr(session, "stage", stage)
+    df = spark.range(400).selectExpr("id AS _row_ord", "id % 200 AS v")
+    kept = sorted(tuple(r) for r in dedup_wide_rows(df).collect())
+    assert kept == [(i, i) for i in range(200)]
+    assert len(seen) == 200 and all(0 <= h < 2 ** 44 for h in seen)
