@@ -129,13 +129,14 @@ def run(tracks: DataFrame, awards: DataFrame, target: str, *, csv_out: str | Non
     with a warning, as an unconfigured optional sink should.
 
     ``work`` names a folder of this job alone. A run that fails leaves its finished steps there, and the
-    next one with the same inputs goes on after them; a run that succeeds removes the folder.
+    next one with the same inputs goes on after them: the merged table, and the version written
+    below the same target, which is validated anew. A run that succeeds removes the folder.
     All other tables staged on the way are removed at the end in any case.
     """
     import logging
 
     from starloom.sinks.files import export_csv, export_one_csv
-    from starloom.sinks.warehouse import publish, read_published
+    from starloom.sinks.warehouse import is_written, new_version, publish_written, read_published, write_version
 
     log = log or logging.getLogger("starloom.run")
     spark = tracks.sparkSession
@@ -156,13 +157,20 @@ def run(tracks: DataFrame, awards: DataFrame, target: str, *, csv_out: str | Non
         for k, v in counts.items():
             log.info("%s: %s rows%s", k, v, " (resumed)" if "merged" in steps.reused else "")
 
-        star = conform(build_star(merged.df, stage_spine=False))
-        version = publish(star, target, enforce=enforce)
+        def write() -> dict:
+            version = new_version()
+            sizes = write_version(conform(build_star(merged.df, stage_spine=False)), target, version)
+            return {"target": target, "version": version, "sizes": sizes}
+
+        written = steps.noted("written", write, lambda n: n["target"] == target
+                              and is_written(spark, target, n["version"]))
+        version = publish_written(spark, target, written["version"],
+                                  {name: tuple(size) for name, size in written["sizes"].items()}, enforce)
         published = read_published(spark, target, version)
         for name in published.tables():  # observed while publishing: no extra job
             counts[name] = published.sizes[name][0]
         counts["version"] = version
-        log.info("warehouse version %s published", version)
+        log.info("warehouse version %s published%s", version, " (written before)" if "written" in steps.reused else "")
 
         if csv_out and one_csv:
             export_one_csv(merged.df, csv_out, order_by="_row_ord")

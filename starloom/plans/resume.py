@@ -3,7 +3,8 @@
 A run's folder holds one manifest for each finished step, ``<step>.json``, with the fingerprint
 of the run's inputs, the folder of the step's table and what was counted. A step whose manifest
 has the same fingerprint is read back; any other is done anew. Manifests are created only after
-their table is complete, so an interrupted step leaves none. ``finish`` removes the folder.
+their table is complete, so an interrupted step leaves none. A step whose outcome lies elsewhere
+(a written warehouse version) has a manifest with its notes alone. ``finish`` removes the folder.
 """
 
 from __future__ import annotations
@@ -54,5 +55,19 @@ class Run:
         storage.create_if_absent(self.spark, manifest, json.dumps(m))
         return done, m["notes"]
 
+    def noted(self, name: str, build: Callable[[], dict], holds: Callable[[dict], bool]) -> dict:
+        """The notes of a step whose outcome lies outside the folder; done anew unless what they
+        name still ``holds``."""
+        manifest = f"{self.folder}/{name}.json"
+        if storage.exists(self.spark, manifest):
+            m = json.loads(storage.read_text(self.spark, manifest))
+            if m["fingerprint"] == self.print and holds(m["notes"]):
+                self.reused.append(name)
+                return m["notes"]
+            storage.remove(self.spark, manifest)
+        m = {"fingerprint": self.print, "notes": build()}
+        storage.create_if_absent(self.spark, manifest, json.dumps(m))
+        return m["notes"]
+
     def finish(self) -> None:
         storage.remove(self.spark, self.folder)

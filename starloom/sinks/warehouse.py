@@ -50,7 +50,7 @@ def write_version(star: Star, target: str, version: str) -> dict[str, tuple[int,
             df = df.sortWithinPartitions(FACT_SORT)
         obs = Observation(f"publish-{name}-{version}")
         (df.observe(obs, F.count(F.lit(1)).alias("rows"), F.sum(payload_expr(df)).alias("bytes"))
-         .write.mode("error").parquet(f"{target}/v={version}/{name}"))
+         .write.mode("error").option("compression", "zstd").parquet(f"{target}/v={version}/{name}"))
         sizes[name] = (int(obs.get["rows"] or 0), int(obs.get["bytes"] or 0))
     return sizes
 
@@ -114,9 +114,18 @@ def publish(star: Star, target: str, enforce: bool = True, on_conflict: str = "r
     number = _newest_commit(spark, target) + 1
     version = new_version()
     sizes = write_version(star, target, version)
-    written = read_version(spark, target, version, sizes)
+    return publish_written(spark, target, version, sizes, enforce, on_conflict, number)
+
+
+def publish_written(spark: SparkSession, target: str, version: str, sizes: dict[str, tuple[int, int]],
+                    enforce: bool = True, on_conflict: str = "retry", number: int | None = None) -> str:
+    """The rest of :func:`publish` for a version that :func:`write_version` has finished: validate
+    the written copy and commit it. ``number``: the commit number that was free before it was
+    written, by default the next one now."""
+    if number is None:
+        number = _newest_commit(spark, target) + 1
     if enforce:
-        enforce_contract(written)
+        enforce_contract(read_version(spark, target, version, sizes))
     while not _commit(spark, target, number, version, sizes):
         if on_conflict == "fail":
             raise PublishConflict(f"commit {number} of {target} was taken while {version} was written")
@@ -124,6 +133,11 @@ def publish(star: Star, target: str, enforce: bool = True, on_conflict: str = "r
     return version
 
 
+def is_written(spark: SparkSession, target: str, version: str) -> bool:
+    """Whether all tables of an attempt are there and complete."""
+    return all(storage.exists(spark, f"{target}/v={version}/{name}/_SUCCESS") for name in TABLE_ORDER)
+
+
 def _commit(spark: SparkSession, target: str, number: int, version: str, sizes: dict[str, tuple[int, int]]) -> bool:
     line = json.dumps({"number": number, "version": version, "committed_at_ms": int(time.time() * 1000),
                        "fact_rows": sizes["fact_track"][0], "sizes": json.dumps(sizes)})

@@ -170,3 +170,30 @@ def test_payload_counts_nested_values(spark):
     assert df.select(payload_expr(df).alias("b")).first()["b"] >= 24 + 3 + 9 + 4 + 4
     wide = spark.range(10).selectExpr("transform(sequence(1, 64), x -> CAST(x AS DOUBLE)) AS v")
     assert wide.select(payload_expr(wide).alias("b")).first()["b"] >= 512
+
+
+def test_run_resumes_after_the_written_version(spark, tmp_dir, monkeypatch):
+    work, target = f"{tmp_dir}/work", f"{tmp_dir}/wh"
+    tracks, awards = raw_tracks(spark, SF), raw_awards(spark, SF)
+
+    def fails(to):
+        with pytest.raises(ContractViolation):
+            pipeline.run(tracks, awards, to, work=work)
+        return {n for n, *_ in storage.listing(spark, to) if n.startswith("v=")}
+
+    built, real = [], pipeline.build_star
+    monkeypatch.setattr(pipeline, "build_star", lambda *a, **k: built.append(1) or real(*a, **k))
+    first = fails(target)
+    assert len(first) == 1 and fails(target) == first and len(built) == 1  # checked anew, not written anew
+    assert W.current_version(spark, target) is None
+    (version,) = first
+    storage.remove(spark, f"{target}/{version}/dim_year")  # no longer whole
+    both = fails(target)
+    assert len(both) == 2 and len(built) == 2
+    other = fails(f"{tmp_dir}/other")  # another target has nothing written
+    assert len(other) == 1 and len(built) == 3
+    counts = pipeline.run(tracks, awards, f"{tmp_dir}/other", work=work, enforce=False)
+    assert f"v={counts['version']}" in other and len(built) == 3
+    published = W.read_published(spark, f"{tmp_dir}/other")
+    assert {n: df.count() for n, df in published.tables().items()} == {n: counts[n] for n in published.tables()}
+    assert not storage.exists(spark, work)
