@@ -28,7 +28,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.joins import join_small
+from starloom.operators.joins import fits_broadcast, join_small
 from starloom.operators.keys import dense_keys
 from starloom.schemas import ROW_ORD, STAT_COLUMNS, TABLE_ORDER, WAREHOUSE
 from starloom.session import Staged, stage, stage_all
@@ -145,8 +145,11 @@ def build_star(merged: DataFrame, stage_spine: bool = True, lines: DataFrame | N
     key_map = join_small(dim_album, artist_part, "artist_norm")
     key_map = join_small(key_map, sized("dim_year", dim_year.withColumnRenamed(
         "year_value", "first_grammy_year")), "first_grammy_year")
-    key_map = stage(key_map.select("album_name", "artist_norm", "album_key", "artist_key",
-                                   "year_key"), "key-map")
+    key_map = key_map.select("album_name", "artist_norm", "album_key", "artist_key", "year_key")
+    # The map has a row for each album and more bytes: where the albums outgrow a broadcast it is
+    # joined as it is; otherwise a staged copy is measured.
+    albums_side = sized("dim_album", key_map)
+    key_map = stage(key_map, "key-map") if fits_broadcast(albums_side) else albums_side
 
     fact = join_small(m if lines is None else lines, sized("dim_genre", dim_genre.withColumnRenamed(
         "genre_name", "track_genre")), "track_genre")

@@ -129,3 +129,17 @@ def test_fact_reads_the_tracks_without_the_stats(spark):
     assert "grammy_wins" not in plan(fixture_raw_star(spark, SF).fact_track)
     assert "grammy_wins" not in fixture_tracks(spark, SF).columns
     assert "merged-" not in plan(fixture_merged(spark, SF))  # no second copy of the landed rows
+
+
+def test_key_map_is_staged_only_where_it_may_be_broadcast(spark, monkeypatch):
+    from starloom.operators import star as S
+
+    merged = merged_from(raw_tracks(spark, SF), raw_awards(spark, SF))
+    real, names = S.stage, []
+    monkeypatch.setattr(S, "stage", lambda df, name="stage", *a, **k: names.append(name) or real(df, name, *a, **k))
+    small = sorted(map(repr, build_star(merged).fact_track.collect()))
+    assert "key-map" in names
+    names.clear()
+    monkeypatch.setattr(S, "fits_broadcast", lambda side, *a, **k: False)  # as for albums beyond the bound
+    assert sorted(map(repr, build_star(merged).fact_track.collect())) == small
+    assert "key-map" not in names
