@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from starloom.operators.joins import fits_broadcast, join_small
 from starloom.operators.keys import dense_keys
 from starloom.schemas import ROW_ORD, STAT_COLUMNS, TABLE_ORDER, WAREHOUSE
-from starloom.session import Staged, stage, stage_all
+from starloom.session import Staged, stage, stage_all, temporary_stages
 
 FACT_COLUMNS = tuple(f.name for f in WAREHOUSE["fact_track"].fields)
 
@@ -95,6 +95,10 @@ def artist_rows(merged: DataFrame, albums: Staged) -> DataFrame:
         "artist_norm", "artist_name", *STAT_COLUMNS)
 
 
+#: Staged tables of a star build that its result reads; the others go when it is built.
+_KEPT = ("merged", "dim-album", "dim-artist", "dim-genre", "dim-year", "key-map")
+
+
 def build_star(merged: DataFrame, stage_spine: bool = True, lines: DataFrame | None = None) -> Star:
     """Split the merged spine into ``dim_artist``, ``dim_album``,
     ``dim_genre``, ``dim_year`` and ``fact_track``.
@@ -104,6 +108,11 @@ def build_star(merged: DataFrame, stage_spine: bool = True, lines: DataFrame | N
     key). Year 0 (never nominated) is an ordinary member. ``lines``: the spine's rows as they
     were before the stats joined them, of which the fact needs none.
     """
+    with temporary_stages(merged.sparkSession, kept=_KEPT):
+        return _build_star(merged, stage_spine, lines)
+
+
+def _build_star(merged: DataFrame, stage_spine: bool, lines: DataFrame | None) -> Star:
     m = stage(merged, "merged").df if stage_spine else merged
 
     def keyed(src: DataFrame, key: str, order: list[str]) -> Callable[[], DataFrame]:

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Collection, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from contextvars import ContextVar, copy_context
@@ -25,6 +26,7 @@ from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringTy
 from starloom import storage
 
 _CKPT_KEY = "spark.checkpoint.dir"
+_FREE_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
@@ -150,17 +152,51 @@ _scope: ContextVar[list[str] | None] = ContextVar("starloom_stages", default=Non
 
 
 @contextmanager
-def temporary_stages(spark: SparkSession) -> Iterator[list[str]]:
+def temporary_stages(spark: SparkSession, kept: Collection[str] = ()) -> Iterator[list[str]]:
     """Removes the tables that are staged inside when it ends, also after a failure. What is
-    taken off the list, or staged with ``keep``, stays."""
+    taken off the list, or staged with ``keep``, stays. Tables staged under a name in ``kept`` go
+    after a failure only; otherwise an enclosing scope has them."""
     made: list[str] = []
     token = _scope.set(made)
+    done = False
     try:
         yield made
+        done = True
     finally:
         _scope.reset(token)
+        outer = _scope.get()
         for path in made:
-            storage.remove(spark, path)
+            if not done or path.rsplit("/", 1)[-1].rsplit("-", 1)[0] not in kept:
+                storage.remove(spark, path)
+            elif outer is not None:
+                outer.append(path)
+
+
+_freeing: dict[int, int] = {}
+_freeing_lock = threading.Lock()
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of a write inside go when the write ends. Otherwise they stay until the
+    driver's garbage collector comes across the write's plan, so a job of many steps holds those
+    of all its steps at once. A setting that the session brings is kept. Threads may be inside together."""
+    with _freeing_lock:
+        if id(spark) in _freeing:
+            _freeing[id(spark)] += 1
+        elif spark.conf.get(_FREE_KEY, None) is None:
+            spark.conf.set(_FREE_KEY, "true")
+            _freeing[id(spark)] = 1
+        counted = id(spark) in _freeing
+    try:
+        yield
+    finally:
+        with _freeing_lock:
+            if counted:
+                _freeing[id(spark)] -= 1
+                if not _freeing[id(spark)]:
+                    del _freeing[id(spark)]
+                    spark.conf.unset(_FREE_KEY)
 
 
 def materialize(df: DataFrame, name: str = "stage", path: str | None = None, keep: bool = False) -> DataFrame:
@@ -176,6 +212,7 @@ def materialize(df: DataFrame, name: str = "stage", path: str | None = None, kee
     made = _scope.get()
     if made is not None and not keep:
         made.append(path)
-    df.write.mode("error").option("compression", "zstd").parquet(path)
+    with freed_shuffles(spark):
+        df.write.mode("error").option("compression", "zstd").parquet(path)
     # Known schema: no footer sampling to infer it again.
     return spark.read.schema(df.schema).parquet(path)

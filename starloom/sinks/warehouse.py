@@ -28,7 +28,7 @@ from starloom import storage
 from starloom.operators.star import Star
 from starloom.operators.validate import enforce as enforce_contract
 from starloom.schemas import TABLE_ORDER, WAREHOUSE
-from starloom.session import payload_expr
+from starloom.session import freed_shuffles, payload_expr
 
 COMMITS = "_commits"
 FACT_SORT = "artist_key"
@@ -49,8 +49,9 @@ def write_version(star: Star, target: str, version: str) -> dict[str, tuple[int,
         if name == "fact_track":
             df = df.sortWithinPartitions(FACT_SORT)
         obs = Observation(f"publish-{name}-{version}")
-        (df.observe(obs, F.count(F.lit(1)).alias("rows"), F.sum(payload_expr(df)).alias("bytes"))
-         .write.mode("error").option("compression", "zstd").parquet(f"{target}/v={version}/{name}"))
+        measured = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.sum(payload_expr(df)).alias("bytes"))
+        with freed_shuffles(df.sparkSession):
+            measured.write.mode("error").option("compression", "zstd").parquet(f"{target}/v={version}/{name}")
         sizes[name] = (int(obs.get["rows"] or 0), int(obs.get["bytes"] or 0))
     return sizes
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators.keys import dense_keys
 from starloom.operators.star import build_star, conform
-from starloom.plans.pipeline import merged_from
+from starloom.plans.pipeline import fixture_merged, merged_from
 from starloom.sources.fixtures import raw_awards, raw_tracks
 from tests.test_clean_merge import AWARD_DDL, award, track, tracks_df
 
@@ -143,3 +143,56 @@ def test_key_map_is_staged_only_where_it_may_be_broadcast(spark, monkeypatch):
     monkeypatch.setattr(S, "fits_broadcast", lambda side, *a, **k: False)  # as for albums beyond the bound
     assert sorted(map(repr, build_star(merged).fact_track.collect())) == small
     assert "key-map" not in names
+
+
+def _shuffle_files(spark) -> set:
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    names = set()
+    while found.hasNext():
+        names.add(found.next().getName())
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_the_write_that_made_them(spark, tmp_path):
+    import time
+
+    from starloom.session import _FREE_KEY, freed_shuffles, materialize, stage_all
+
+    before = _shuffle_files(spark)
+    rows = spark.range(20_000).selectExpr("id % 1000 AS k", "id AS v")
+    made = stage_all({n: lambda: rows.groupBy("k").agg(F.sum("v").alias("s")) for n in ("a", "b", "c")})
+    assert all(st.rows == 1000 for st in made.values())
+    until = time.time() + 20
+    while _shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.1)  # removed in the background
+    assert not _shuffle_files(spark) - before
+    assert spark.conf.get(_FREE_KEY, None) is None
+    # The setting a session brings is kept, also where a write inside fails.
+    spark.conf.set(_FREE_KEY, "false")
+    try:
+        with pytest.raises(RuntimeError), freed_shuffles(spark):
+            raise RuntimeError
+        materialize(rows)
+        assert spark.conf.get(_FREE_KEY) == "false"
+    finally:
+        spark.conf.unset(_FREE_KEY)
+
+
+def test_star_build_leaves_only_the_tables_it_reads(spark):
+    from starloom import storage
+    from starloom.session import ensure_checkpoint_dir, temporary_stages
+
+    def staged() -> set:
+        return {n for n, *_ in storage.listing(spark, f"{ensure_checkpoint_dir(spark)}/starloom")}
+
+    merged = fixture_merged(spark, SF)
+    before = staged()
+    star = build_star(merged, stage_spine=False)
+    left = {n.rsplit("-", 1)[0] for n in staged() - before}
+    assert left == {"dim-album", "dim-artist", "dim-genre", "dim-year", "key-map"}
+    assert star.fact_track.count() == merged.count()
+    before = staged()
+    with temporary_stages(spark):
+        build_star(merged)
+        assert staged() > before
+    assert staged() == before  # an enclosing scope has what the build leaves
