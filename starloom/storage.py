@@ -80,10 +80,17 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def join_files(spark: SparkSession, parts: list[str], target: str) -> None:
+def may_splice(spark: SparkSession, path: str) -> bool:
+    """Whether files may be joined without moving their bytes (``concat``) where ``path`` lies."""
+    return file_system(spark, path).getScheme() not in ("file", "viewfs")
+
+
+def join_files(spark: SparkSession, parts: list[str], target: str, consume: bool = False) -> None:
     """One file from the bytes of all parts in order, put in place by a rename when it is
     complete. A file system that can splice blocks (``concat``) moves no byte; elsewhere they are
-    copied through a fixed buffer."""
+    copied through a fixed buffer, and unpacked on the way where a part's name ends like those of a
+    Hadoop codec (only if not :func:`may_splice`). With ``consume`` each part is removed once it is
+    copied, so that the disk never holds all of them twice."""
     fs, jvm, conf = file_system(spark, target), spark._jvm, spark._jsc.hadoopConfiguration()
     done = _path(spark, target)
     building = _path(spark, f"{target}._building")
@@ -91,7 +98,7 @@ def join_files(spark: SparkSession, parts: list[str], target: str) -> None:
     out = fs.create(building, True)
     try:
         spliced = False
-        if parts and fs.getScheme() not in ("file", "viewfs"):
+        if parts and may_splice(spark, target):
             out.close()
             try:
                 sources = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(parts))
@@ -102,12 +109,18 @@ def join_files(spark: SparkSession, parts: list[str], target: str) -> None:
             except Py4JJavaError:
                 out = fs.create(building, True)
         if not spliced:
+            codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
             for p in parts:
+                packed = None if may_splice(spark, target) else codecs.getCodec(_path(spark, p))
                 stream = file_system(spark, p).open(_path(spark, p))
                 try:
+                    if packed is not None:
+                        stream = packed.createInputStream(stream)
                     jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, _BUFFER, False)
                 finally:
                     stream.close()
+                if consume:
+                    remove(spark, p)
     finally:
         out.close()
     options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)

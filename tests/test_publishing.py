@@ -197,3 +197,35 @@ def test_run_resumes_after_the_written_version(spark, tmp_dir, monkeypatch):
     published = W.read_published(spark, f"{tmp_dir}/other")
     assert {n: df.count() for n, df in published.tables().items()} == {n: counts[n] for n in published.tables()}
     assert not storage.exists(spark, work)
+
+
+def test_one_csv_parts_are_packed_and_go_as_they_are_joined(spark, tmp_dir, monkeypatch):
+    df = spark.range(5000).selectExpr("id AS k", "concat('name of ', id % 50) AS s").repartition(5)
+    packed, left, real, remove = [], [], storage.join_files, storage.remove
+
+    def joined(session, parts, target, **how):
+        packed.append(sum(storage.status(session, p)[0] for p in parts))
+        real(session, parts, target, **how)
+        left.append([p for p in parts if storage.exists(session, p)])
+
+    monkeypatch.setattr(storage, "join_files", joined)
+    export_one_csv(df, f"{tmp_dir}/one.csv", order_by="k")
+    text = "s\n" + "".join(f"name of {k % 50}\n" for k in range(5000))
+    with open(f"{tmp_dir}/one.csv") as f:
+        assert f.read() == text
+    assert left == [[]] and packed[0] < len(text) / 2
+    # A join that fails half way leaves the old file and no part.
+    stages = f"{ensure_checkpoint_dir(spark)}/starloom"
+    before = [n for n, *_ in storage.listing(spark, stages)]
+
+    def fails(session, path):
+        if path.endswith(".lz4"):
+            raise RuntimeError("no removal")
+        return remove(session, path)
+
+    monkeypatch.setattr(storage, "remove", fails)
+    with pytest.raises(RuntimeError, match="no removal"):
+        export_one_csv(df.where("k > 9"), f"{tmp_dir}/one.csv", order_by="k")
+    with open(f"{tmp_dir}/one.csv") as f:
+        assert f.read() == text
+    assert [n for n, *_ in storage.listing(spark, stages)] == before
