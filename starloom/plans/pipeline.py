@@ -159,7 +159,9 @@ def run(tracks: DataFrame, awards: DataFrame, target: str, *, csv_out: str | Non
 
         def write() -> dict:
             version = new_version()
-            sizes = write_version(conform(build_star(merged.df, stage_spine=False)), target, version)
+            # What the build staged goes with it: the export does not need the room twice.
+            with temporary_stages(spark):
+                sizes = write_version(conform(build_star(merged.df, stage_spine=False)), target, version)
             return {"target": target, "version": version, "sizes": sizes}
 
         written = steps.noted("written", write, lambda n: n["target"] == target

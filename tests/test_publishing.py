@@ -229,3 +229,16 @@ def test_one_csv_parts_are_packed_and_go_as_they_are_joined(spark, tmp_dir, monk
     with open(f"{tmp_dir}/one.csv") as f:
         assert f.read() == text
     assert [n for n, *_ in storage.listing(spark, stages)] == before
+
+
+def test_run_exports_after_the_star_build_is_removed(spark, tmp_dir, monkeypatch):
+    from starloom.sinks import files
+    stages = f"{ensure_checkpoint_dir(spark)}/starloom"
+    left, real = [], files.export_csv
+    monkeypatch.setattr(files, "export_csv", lambda *a: left.extend(storage.listing(spark, stages)) or real(*a))
+    tracks, awards = raw_tracks(spark, SF), raw_awards(spark, SF)
+    before = {n for n, *_ in storage.listing(spark, stages)}
+    counts = pipeline.run(tracks, awards, f"{tmp_dir}/wh", csv_out=f"{tmp_dir}/csv", enforce=False)
+    names = {n.rsplit("-", 1)[0] for n, *_ in left if n not in before}
+    assert left and not names & {"dim-album", "dim-artist", "key-map", "album-first", "keys-album_key"}
+    assert counts["fact_track"] == counts["merged"] == spark.read.option("header", "true").csv(f"{tmp_dir}/csv").count()
