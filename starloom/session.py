@@ -9,6 +9,7 @@ setting is absent *and* the master is local (tests, bench, smoke runs).
 from __future__ import annotations
 
 import os
+import shlex
 import tempfile
 import threading
 import uuid
@@ -59,7 +60,11 @@ def platform_session(app: str = "starloom") -> SparkSession:
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
-    if SparkContext._active_spark_context is None and not SparkConf().contains("spark.master"):
+    # Before a JVM runs, its settings are not known here: it will take those of the submit.
+    submitted = ("PYSPARK_GATEWAY_PORT" in os.environ
+                 or any(w.partition("=")[0] in ("--master", "spark.master")
+                        for w in shlex.split(os.environ.get("PYSPARK_SUBMIT_ARGS", ""))))
+    if SparkContext._active_spark_context is None and not submitted and not SparkConf().contains("spark.master"):
         return local_session(app=app)
     spark = SparkSession.builder.appName(app).getOrCreate()
     ensure_checkpoint_dir(spark)
